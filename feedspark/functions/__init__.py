@@ -1,13 +1,13 @@
 """Column expressions used inside the operators (scalar functions, §2.8)."""
 
-from .ids import extract_id, id_pick, invalid_reason, is_uuid, is_valid_id, string_id
-from .json import field_path, strict_parse, top_keys, vget, vkind, vtext, vtruthy
+from .ids import invalid_reason, is_uuid, is_valid_id, string_id, with_element_id, with_id_pick
+from .json import field_path, strict_parse, top_keys, truthy_of, vget, vkind, vtext, vtruthy
 from .text import extract_all, extract_first, request_outcome, string_format_class
 from .timefmt import epoch_ms, ms_to_ts, ts_format_class, ts_normalise
 
 __all__ = [
-    "extract_id", "id_pick", "invalid_reason", "is_uuid", "is_valid_id", "string_id",
-    "field_path", "strict_parse", "top_keys", "vget", "vkind", "vtext", "vtruthy",
+    "invalid_reason", "is_uuid", "is_valid_id", "string_id", "with_element_id", "with_id_pick",
+    "field_path", "strict_parse", "top_keys", "truthy_of", "vget", "vkind", "vtext", "vtruthy",
     "extract_all", "extract_first", "request_outcome", "string_format_class",
     "epoch_ms", "ms_to_ts", "ts_format_class", "ts_normalise",
 ]

@@ -59,13 +59,17 @@ def vtext(v) -> Column:
     d = F.try_variant_get(v, "$", "double")
     integral_double = ((F.schema_of_variant(v) == "DOUBLE") & (d == F.floor(d))
                        & (F.abs(d) < F.lit(1e21)))
-    return F.when(integral_double, F.try_cast(d, "decimal(38,0)").cast("string")).otherwise(s)
+    return F.when(integral_double, d.try_cast("decimal(38,0)").cast("string")).otherwise(s)
 
 
 def vtruthy(v) -> Column:
     """JavaScript truthiness of a variant value (missing counts as undefined)."""
-    v = _c(v)
-    kind = vkind(v)
+    return truthy_of(_c(v), vkind(v))
+
+
+def truthy_of(v, kind) -> Column:
+    """Truthiness of variant `v` whose kind (`vkind`) is already computed."""
+    v, kind = _c(v), _c(kind)
     s = F.try_variant_get(v, "$", "string")
     return (F.when(kind.isin("missing", "null"), F.lit(False))
             .when(kind == "string", s != F.lit(""))

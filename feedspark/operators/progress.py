@@ -101,10 +101,11 @@ def worker_health(heartbeats: DataFrame, now_ms, name: str = "name",
                   ts: str = "last_progress_ms", fetched: str = "fetched",
                   stuck_ms: int = STUCK_AFTER_MS, dead_ms: int = DEAD_AFTER_MS) -> DataFrame:
     """A10: last progress per worker and its state (strictly greater ages:
-    > 60 s dead, > 30 s stuck, else active)."""
+    > 60 s dead, > 30 s stuck, else active). Among heartbeats with the same
+    time the largest `fetched` counts, so the result is deterministic."""
     now = F.lit(now_ms) if isinstance(now_ms, int) else now_ms
     last = heartbeats.groupBy(name).agg(F.max(ts).alias("last_progress_ms"),
-                                        F.max_by(fetched, ts).alias("fetched"))
+                                        F.max_by(fetched, F.struct(ts, fetched)).alias("fetched"))
     age = now - F.col("last_progress_ms")
     return last.withColumn("age_ms", age).withColumn(
         "state", F.when(age > dead_ms, F.lit("dead")).when(age > stuck_ms, F.lit("stuck"))

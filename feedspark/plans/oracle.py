@@ -152,7 +152,7 @@ HB = ("hb AS (SELECT 'w' || CAST(user_id % 6 AS VARCHAR) AS name, "
 HEALTH = (HB + ", health AS (SELECT name, last_progress_ms, fetched, 1000000000000 - last_progress_ms AS age_ms, "
           "CASE WHEN 1000000000000 - last_progress_ms > 60000 THEN 'dead' "
           "WHEN 1000000000000 - last_progress_ms > 30000 THEN 'stuck' ELSE 'active' END AS state FROM ("
-          "SELECT name, max(last_progress_ms) AS last_progress_ms, arg_max(fetched, last_progress_ms) AS fetched "
+          "SELECT name, max(last_progress_ms) AS last_progress_ms, arg_max(fetched, [last_progress_ms, fetched]) AS fetched "
           "FROM hb GROUP BY name))")
 
 MD5 = "md5(id)"
@@ -482,7 +482,7 @@ count(*) AS required, 'exported' AS status FROM events""")
 # ------------------------------------------------------------- page text
 sql("page_script_srcs", f"""WITH m AS (SELECT page_id, list_slice(list_filter(
     regexp_extract_all(html, '{sql_regex(K.SCRIPT_SRC_PATTERN)}', 1),
-    s -> suffix(s, '.js') OR contains(s, 'assets/')), 1, {K.SCRIPT_MAX}) AS a FROM pages)
+    lambda s: suffix(s, '.js') OR contains(s, 'assets/')), 1, {K.SCRIPT_MAX}) AS a FROM pages)
 SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, a[i] AS src FROM m, range(1, len(a) + 1) AS r(i)""")
 
 sql("page_href_links", f"""WITH m AS (SELECT page_id, list_slice(
@@ -498,8 +498,8 @@ FROM m, range(1, len(a) + 1) AS r(i)""")
 sql("page_path_literals", f"""WITH m AS (SELECT page_id,
     list_distinct(regexp_extract_all(html, '{sql_regex(K.PATH_LITERAL_PATTERN)}', 1)) AS p,
     list_filter(regexp_extract_all(html, '{sql_regex(K.FETCH_URL_PATTERN)}', 1),
-                u -> starts_with(u, '/api/') OR starts_with(u, '/internal/')) AS f FROM pages)
-SELECT page_id, unnest(list_filter(p, x -> NOT list_contains(f, x))) AS path FROM m""")
+                lambda u: starts_with(u, '/api/') OR starts_with(u, '/internal/')) AS f FROM pages)
+SELECT page_id, unnest(list_filter(p, lambda x: NOT list_contains(f, x))) AS path FROM m""")
 
 sql("page_query_params", f"""SELECT DISTINCT page_id, unnest(regexp_extract_all(url, '{sql_regex(K.QUERY_PARAM_PATTERN)}', 1)) AS param
 FROM pages""")

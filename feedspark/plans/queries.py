@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.ids import id_pick, invalid_reason, is_uuid, is_valid_id
+from ..functions.ids import invalid_reason, is_uuid, is_valid_id, with_id_pick
 from ..functions.json import strict_parse
+from ..functions.num import keep_rows
 from ..operators import extract, load, profile, progress, reconcile, scans, sinks
 from ..session import scratch_path
 from ..sources import feed
@@ -179,22 +180,21 @@ def entity_counts(spark, sf_dir):
 
 @query("extract_id")
 def extract_id(spark, sf_dir):
-    r = _records(spark, sf_dir)
-    p = id_pick(F.col("v"))
-    return r.select("event_id", p["id"].alias("id"), p["field"].alias("field"))
+    r = with_id_pick(_records(spark, sf_dir), "v", field_col="field")
+    return r.select("event_id", "id", "field")
 
 
 @query("valid_ids")
 def valid_ids(spark, sf_dir):
-    r = _records(spark, sf_dir)
-    return r.select("event_id", id_pick(F.col("v"))["id"].alias("id")).where(is_valid_id("id"))
+    r = with_id_pick(_records(spark, sf_dir), "v")
+    return keep_rows(r.select("event_id", "id"), is_valid_id("id"))
 
 
 @query("quarantine_ids")
 def quarantine_ids(spark, sf_dir):
-    r = _records(spark, sf_dir)
-    reason = invalid_reason(id_pick(F.col("v")), parsed_ok=F.col("v").isNotNull())
-    return r.select("event_id", reason.alias("reason")).where(F.col("reason").isNotNull())
+    r = with_id_pick(_records(spark, sf_dir), "v")
+    reason = invalid_reason("id", "id_kind", parsed_ok=F.col("v").isNotNull())
+    return keep_rows(r.select("event_id", reason.alias("reason")), F.col("reason").isNotNull())
 
 
 @query("uuid_check")

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ..constants import (BARE_ID_MAX_LEN_EXCL, BARE_ID_MIN_LEN_EXCL, DUMP_ARRAY_FIELDS,
                          ID_FIELDS, ID_FIELDS_CSV, ID_SENTINELS, SSE_DATA_PREFIX, SSE_DONE,
                          SSE_ID_GATE_FIELDS)
-from ..functions.ids import id_pick, is_valid_id
-from ..functions.json import field_path, strict_parse, vget, vkind, vtext, vtruthy
+from ..functions.ids import is_valid_id, with_element_id, with_id_pick
+from ..functions.json import field_path, strict_parse, truthy_of, vget, vkind, vtext
+from ..functions.num import keep_rows
 
 
 def _bare_ok(t: Column) -> Column:
@@ -29,12 +30,11 @@ def _js_trim(col: Column) -> Column:
     return F.regexp_replace(col, r"^\s+|\s+$", "")
 
 
-def _elem_id(e: Column, fields=ID_FIELDS) -> Column:
-    """Id of one array element: a string element is the id, an object goes
-    through the candidate pick, anything else yields nothing."""
-    k = vkind(e)
-    return (F.when(k == "string", vtext(e))
-            .when(k == "object", id_pick(e, fields)["id"]))
+def _parsed(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """Project `keep`, the strict parse `_v` of column `text` and its kind `_k`
+    (two projections, so the parse runs once per row)."""
+    df = df.select(*keep, F.col(text).alias("_raw"), strict_parse(F.col(text)).alias("_v"))
+    return df.withColumn("_k", vkind(F.col("_v")))
 
 
 # ----------------------------------------------------------- page envelopes
@@ -49,7 +49,8 @@ def parse_pages(text: DataFrame, nested: bool = True, fields=ID_FIELDS,
     (NULL when a page carries only the nested form).
     """
     keep = keep or []
-    v = strict_parse(F.col("value"))
+    p = _parsed(text, "value", keep)
+    v = F.col("_v")
     flat_more = F.try_variant_get(v, "$.hasMore", "boolean")
     flat_cur = F.try_variant_get(v, "$.nextCursor", "string")
     if nested:
@@ -58,11 +59,10 @@ def parse_pages(text: DataFrame, nested: bool = True, fields=ID_FIELDS,
         cur = F.coalesce(F.try_variant_get(v, "$.pagination.nextCursor", "string"), flat_cur)
     else:
         more, cur = flat_more, flat_cur
-    pages = text.select(*keep, more.alias("has_more"), cur.alias("next_cursor"),
-                        F.try_variant_get(v, "$.data", "array<variant>").alias("_data"))
-    rows = pages.select(*keep, "has_more", "next_cursor", F.explode("_data").alias("_e"))
-    rows = rows.withColumn("id", id_pick(F.col("_e"), fields)["id"])
-    return rows.where(is_valid_id(F.col("id"))).select(*keep, "id", "has_more", "next_cursor")
+    rows = p.select(*keep, more.alias("has_more"), cur.alias("next_cursor"),
+                    F.explode(F.try_variant_get(v, "$.data", "array<variant>")).alias("_e"))
+    rows = with_id_pick(rows, "_e", fields, field_col=None, kind_col=None)
+    return keep_rows(rows, is_valid_id(F.col("id"))).select(*keep, "id", "has_more", "next_cursor")
 
 
 def read_pages(spark: SparkSession, path: str, whole_file: bool = True,
@@ -79,12 +79,13 @@ def parse_dump(text: DataFrame, fields=ID_FIELDS, keep: list[str] | None = None,
     `events` that is present. Each element decides for itself whether it is
     an id string or an event object (a superset of deciding by the first)."""
     keep = keep or []
-    v = strict_parse(F.col("value"))
+    p = _parsed(text, "value", keep)
+    v = F.col("_v")
     arrays = [F.try_variant_get(v, "$", "array<variant>")]
     arrays += [F.try_variant_get(v, field_path(f), "array<variant>") for f in array_fields]
-    rows = text.select(*keep, F.explode(F.coalesce(*arrays)).alias("_e"))
-    rows = rows.withColumn("id", _elem_id(F.col("_e"), fields))
-    return rows.where(is_valid_id(F.col("id"))).select(*keep, "id")
+    rows = p.select(*keep, F.explode(F.coalesce(*arrays)).alias("_e"))
+    rows = with_element_id(rows, "_e", fields)
+    return keep_rows(rows, is_valid_id(F.col("id"))).select(*keep, "id")
 
 
 # ------------------------------------------------------------------- NDJSON
@@ -96,15 +97,15 @@ def parse_ndjson_lenient(lines: DataFrame, fields=ID_FIELDS,
     nothing; an unparsable line is a bare id when its trimmed length is
     between 5 and 200 (exclusive)."""
     keep = keep or []
-    raw = F.col("value")
-    v = strict_parse(raw)
-    k = vkind(v)
-    t = _js_trim(raw)
-    id_expr = (F.when(v.isNull(), F.when(_bare_ok(t), t))
-               .when(k == "string", vtext(v))
-               .when(k == "object", id_pick(v, fields)["id"]))
-    out = lines.where(_js_trim(raw) != "").select(*keep, id_expr.alias("id"))
-    return out.where(is_valid_id(F.col("id")))
+    p = _parsed(lines.where(_js_trim(F.col("value")) != ""), "value", keep)
+    p = with_id_pick(p, "_v", fields, id_col="_oid", field_col=None, kind_col=None)
+    t = _js_trim(F.col("_raw"))
+    k = F.col("_k")
+    id_expr = (F.when(F.col("_v").isNull(), F.when(_bare_ok(t), t))
+               .when(k == "string", vtext(F.col("_v")))
+               .when(k == "object", F.col("_oid")))
+    out = p.select(*keep, id_expr.alias("id"))
+    return keep_rows(out, is_valid_id(F.col("id")))
 
 
 def parse_ndjson_strict(lines: DataFrame, fields=ID_FIELDS,
@@ -112,13 +113,13 @@ def parse_ndjson_strict(lines: DataFrame, fields=ID_FIELDS,
     """Every non-blank line must be one JSON object; any other line fails
     the job (`raise_error`), naming the offending text."""
     keep = keep or []
-    raw = F.col("value")
-    v = strict_parse(raw)
-    checked = F.when((v.isNull()) | (vkind(v) != "object"),
-                     F.raise_error(F.concat(F.lit("bad NDJSON line: "), F.substring(raw, 1, 200))))
-    out = (lines.where(_js_trim(raw) != "")
-           .select(*keep, F.coalesce(checked.cast("string"), id_pick(v, fields)["id"]).alias("id")))
-    return out.where(is_valid_id(F.col("id")))
+    p = _parsed(lines.where(_js_trim(F.col("value")) != ""), "value", keep)
+    bad = F.col("_v").isNull() | (F.col("_k") != "object")
+    p = p.withColumn("_chk", F.when(bad, F.raise_error(
+        F.concat(F.lit("bad NDJSON line: "), F.substring(F.col("_raw"), 1, 200)))))
+    p = with_id_pick(p, "_v", fields, field_col=None, kind_col=None)
+    out = p.select(*keep, F.coalesce(F.col("_chk").cast("string"), F.col("id")).alias("id"))
+    return keep_rows(out, is_valid_id(F.col("id")))
 
 
 # ---------------------------------------------------------------------- SSE
@@ -137,19 +138,27 @@ def parse_sse(lines: DataFrame, fields=ID_FIELDS, gate_fields=SSE_ID_GATE_FIELDS
     framed = (lines.where(raw.startswith(SSE_DATA_PREFIX))
               .select(*keep, data.alias("_d"))
               .where((F.col("_d") != "") & (F.col("_d") != SSE_DONE)))
-    v = strict_parse(F.col("_d"))
-    k = vkind(v)
+    p = _parsed(framed, "_d", keep)
+    d = F.col("_raw")
+    gates = [vget(F.col("_v"), field_path(g)) for g in gate_fields]
     gate = F.lit(False)
-    for g in gate_fields:
-        gate = gate | vtruthy(vget(v, field_path(g)))
-    bare = F.when(_bare_ok(F.col("_d")) & ~F.col("_d").contains("{"), F.col("_d"))
-    ids = (F.when(v.isNull(), F.array(bare))
-           .when(k == "string", F.array(vtext(v)))
-           .when(k == "array", F.transform(F.try_variant_get(v, "$", "array<variant>"),
-                                           lambda e: _elem_id(e, fields)))
-           .when((k == "object") & gate, F.array(id_pick(v, fields)["id"])))
-    out = framed.select(*keep, F.explode(ids).alias("id"))
-    return out.where(is_valid_id(F.col("id")))
+    for g in gates:
+        gate = gate | truthy_of(g, vkind(g))
+    elems = (F.when(F.col("_k") == "array", F.try_variant_get(F.col("_v"), "$", "array<variant>"))
+             .when(F.col("_k") == "string", F.array(F.col("_v")))
+             .when((F.col("_k") == "object") & gate, F.array(F.col("_v"))))
+    # One pass: each payload becomes a list of (element, bare text) pairs.
+    no_elem = F.lit(None).cast("variant")
+    no_text = F.lit(None).cast("string")
+    pairs = (F.when(F.col("_v").isNull(),
+                    F.when(_bare_ok(d) & ~d.contains("{"),
+                           F.array(F.struct(no_elem.alias("e"), d.alias("b")))))
+             .otherwise(F.transform(elems, lambda e: F.struct(e.alias("e"), no_text.alias("b")))))
+    rows = p.select(*keep, F.explode(pairs).alias("_p")).select(
+        *keep, F.col("_p.e").alias("_e"), F.col("_p.b").alias("_b"))
+    rows = with_element_id(rows, "_e", fields, id_col="_eid")
+    out = rows.select(*keep, F.coalesce(F.col("_b"), F.col("_eid")).alias("id"))
+    return keep_rows(out, is_valid_id(F.col("id")))
 
 
 # ---------------------------------------------------------------------- CSV
