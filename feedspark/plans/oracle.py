@@ -572,3 +572,19 @@ SELECT batch, ts_ms, events, strategy FROM b ORDER BY ts_ms DESC, batch DESC LIM
 sql("worker_health", f"WITH {EV}, {HEALTH} SELECT * FROM health")
 
 sql("worker_health_counts", f"WITH {EV}, {HEALTH} SELECT state, count(*) AS workers FROM health GROUP BY 1")
+
+# ------------------------------------------------------------- streaming
+sql("stream_idempotent_load", f"""WITH {DELIVERIES}
+SELECT id FROM dtgt UNION SELECT id FROM deliv""")
+
+sql("stream_dedup_watermark", f"WITH {DELIVERIES} SELECT DISTINCT id FROM deliv")
+
+sql("stream_throughput", f"""WITH {EV},
+s AS (SELECT (ms // 43200000) * 43200000 AS window_start_ms FROM ev
+      UNION ALL SELECT (ms // 43200000) * 43200000 - 43200000 FROM ev)
+SELECT window_start_ms, window_start_ms + {Q.DAY_MS} AS window_end_ms, count(*) AS events,
+       count(*) / {Q.DAY_MS / 1000.0} AS rate FROM s GROUP BY 1""")
+
+sql("stream_daily_counts", f"""WITH {EV}
+SELECT (ms // {Q.DAY_MS}) * {Q.DAY_MS} AS window_start_ms, (ms // {Q.DAY_MS}) * {Q.DAY_MS} + {Q.DAY_MS} AS window_end_ms,
+       event_type, count(*) AS events FROM ev GROUP BY 1, 2, 3""")

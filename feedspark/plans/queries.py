@@ -556,3 +556,60 @@ def estimated_count(spark, sf_dir):
     fx.events(spark, sf_dir).select("id").write.parquet(path)
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
     return reconcile.estimated_count(spark, name)
+
+
+# -------------------------------------------------------------- streaming
+
+def _stream_dirs(spark, name):
+    base = scratch_path(spark, name)
+    return base + "/landing", base + "/target", base + "/checkpoint"
+
+
+@query("stream_idempotent_load")
+def stream_idempotent_load(spark, sf_dir):
+    """Deliveries land newest-first-agnostic in several files; a file
+    stream loads them into a table that already holds the existing ids."""
+    from ..streaming import create_target, stream_idempotent_load as run
+    ev = fx.events(spark, sf_dir)
+    landing, target, ckpt = _stream_dirs(spark, "stream-load")
+    d = fx.deliveries(ev).select("id", "strategy", "seq")
+    for s in fx.STRATEGIES:
+        d.where(F.col("strategy") == s).repartition(4).write.mode("append").parquet(landing)
+    create_target(spark, target, seed=fx.existing_target(ev))
+    run(spark, landing, d.schema, target, ckpt, files_per_trigger=4)
+    return spark.read.parquet(target)
+
+
+@query("stream_dedup_watermark")
+def stream_dedup_watermark(spark, sf_dir):
+    """Time-ordered deliveries, duplicates dropped within a 1 hour watermark."""
+    from ..streaming import land_in_time_order, stream_dedup_within_watermark
+    ev = fx.events(spark, sf_dir)
+    landing, sink, ckpt = _stream_dirs(spark, "stream-dedup")
+    d = fx.deliveries(ev).select("id", "strategy", "ms", F.timestamp_millis("ms").alias("ts"))
+    land_in_time_order(d, landing)
+    stream_dedup_within_watermark(spark, landing, d.schema, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+def _stream_counts(spark, sf_dir, name, window, slide, by):
+    from ..streaming import fold_window_log, land_in_time_order, stream_window_counts
+    ev = fx.events(spark, sf_dir).select("event_id", "event_type", "ms",
+                                         F.timestamp_millis("ms").alias("ts"))
+    landing, log, ckpt = _stream_dirs(spark, name)
+    land_in_time_order(ev, landing)
+    stream_window_counts(spark, landing, ev.schema, log, ckpt, window, slide, by=by)
+    return fold_window_log(spark.read.parquet(log), ["window_start_ms", "window_end_ms", *by])
+
+
+@query("stream_throughput")
+def stream_throughput(spark, sf_dir):
+    """Sliding 1-day windows every 12 hours; rate over the fixed window length."""
+    out = _stream_counts(spark, sf_dir, "stream-rate", "1 day", "12 hours", [])
+    return out.withColumn("rate", F.col("events") / F.lit(DAY_MS / 1000.0))
+
+
+@query("stream_daily_counts")
+def stream_daily_counts(spark, sf_dir):
+    """Tumbling 1-day counts per event type."""
+    return _stream_counts(spark, sf_dir, "stream-daily", "1 day", None, ["event_type"])
