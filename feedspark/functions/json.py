@@ -15,12 +15,35 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def wrap_parse(text) -> Column:
+    """Parse of ``[text]``: a one-element array exactly when `text` is one JSON value."""
+    return F.try_parse_json(F.concat(F.lit("["), _c(text), F.lit("]")))
+
+
+def unwrap(wrapped) -> Column:
+    """The single value of a `wrap_parse` result, NULL when it held 0 or 2+ values.
+
+    ``$[1]`` is SQL NULL only when there is no second element (a JSON null
+    element is a variant null, not SQL NULL), so no array is materialised.
+    """
+    w = _c(wrapped)
+    return F.when(F.try_variant_get(w, "$[1]", "variant").isNull(),
+                  F.try_variant_get(w, "$[0]", "variant"))
+
+
 def strict_parse(text) -> Column:
-    """Variant of a whole JSON text, or NULL if the text is not exactly one value."""
-    t = _c(text)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
-    arr = F.try_variant_get(wrapped, "$", "array<variant>")
-    return F.when(F.size(arr) == 1, F.try_variant_get(wrapped, "$[0]", "variant"))
+    """Variant of a whole JSON text, or NULL if the text is not exactly one value.
+
+    As one expression the parse appears twice; `with_strict_parse` stages it
+    so each row is parsed once.
+    """
+    return unwrap(wrap_parse(text))
+
+
+def with_strict_parse(df, text: str, out: str = "v"):
+    """Add `out` = strict parse of column `text`, parsing each row once."""
+    return df.withColumn("_wrapped", wrap_parse(text)).withColumn(out, unwrap("_wrapped")).drop(
+        "_wrapped")
 
 
 def vget(v, path: str) -> Column:
@@ -38,14 +61,13 @@ def field_path(name: str) -> str:
 def vkind(v) -> Column:
     """JSON kind of a variant: missing / null / string / number / boolean / object / array."""
     v = _c(v)
-    tag = F.schema_of_variant(v)
+    # The type tag is computed once: its first three letters pick the kind
+    # (CASE branches after the first are not shared by subexpression elimination).
+    tag3 = F.substring(F.schema_of_variant(v), 1, 3)
+    kinds = F.create_map(*[F.lit(x) for x in ("STR", "string", "BOO", "boolean", "OBJ", "object",
+                                              "ARR", "array", "VOI", "null")])
     return (F.when(v.isNull(), F.lit("missing"))
-            .when(F.is_variant_null(v), F.lit("null"))
-            .when(tag == "STRING", F.lit("string"))
-            .when(tag == "BOOLEAN", F.lit("boolean"))
-            .when(tag.startswith("OBJECT"), F.lit("object"))
-            .when(tag.startswith("ARRAY"), F.lit("array"))
-            .otherwise(F.lit("number")))
+            .otherwise(F.coalesce(F.element_at(kinds, tag3), F.lit("number"))))
 
 
 def vtext(v) -> Column:

@@ -32,6 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer
+    partitions than there are task slots (a small file with one row group is
+    one task). A large input already has more splits than slots, so this is
+    a no-op there and adds no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` plus `ms` (epoch milliseconds, truncated) and text `id`."""
     ev = table(spark, sf_dir, "events")
@@ -88,8 +97,8 @@ def raw_event_json(ev: DataFrame) -> Column:
 
 def raw_events(ev: DataFrame) -> DataFrame:
     """(event_id, ts, ms, event_type, json)."""
-    return ev.select("event_id", "ts", "ms", "event_type", "user_id",
-                     raw_event_json(ev).alias("json"))
+    return spread(ev).select("event_id", "ts", "ms", "event_type", "user_id",
+                             raw_event_json(ev).alias("json"))
 
 
 def cursor_text(ms: Column, key: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.ids import invalid_reason, is_uuid, is_valid_id, with_id_pick
-from ..functions.json import strict_parse
+from ..functions.json import with_strict_parse
 from ..functions.num import keep_rows
 from ..operators import extract, load, profile, progress, reconcile, scans, sinks
 from ..session import scratch_path
@@ -48,7 +48,7 @@ def query(name: str):
 def _records(spark, sf_dir) -> DataFrame:
     """Raw JSON events parsed to Variant: (event_id, event_type, json, v)."""
     raw = fx.raw_events(fx.events(spark, sf_dir))
-    return raw.withColumn("v", strict_parse(F.col("json")))
+    return with_strict_parse(raw, "json", "v")
 
 
 def _slice_load(spark, sf_dir):
@@ -428,7 +428,7 @@ def export_gate(spark, sf_dir):
 # ---------------------------------------------------------- page text
 
 def _pages(spark, sf_dir):
-    return fx.table(spark, sf_dir, "pages")
+    return fx.spread(fx.table(spark, sf_dir, "pages"))
 
 
 @query("page_script_srcs")

@@ -16,7 +16,7 @@ from ..constants import (BARE_ID_MAX_LEN_EXCL, BARE_ID_MIN_LEN_EXCL, DUMP_ARRAY_
                          ID_FIELDS, ID_FIELDS_CSV, ID_SENTINELS, SSE_DATA_PREFIX, SSE_DONE,
                          SSE_ID_GATE_FIELDS)
 from ..functions.ids import is_valid_id, with_element_id, with_id_pick
-from ..functions.json import field_path, strict_parse, truthy_of, vget, vkind, vtext
+from ..functions.json import field_path, truthy_of, vget, vkind, vtext, with_strict_parse
 from ..functions.num import keep_rows
 
 
@@ -33,7 +33,7 @@ def _js_trim(col: Column) -> Column:
 def _parsed(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """Project `keep`, the strict parse `_v` of column `text` and its kind `_k`
     (two projections, so the parse runs once per row)."""
-    df = df.select(*keep, F.col(text).alias("_raw"), strict_parse(F.col(text)).alias("_v"))
+    df = with_strict_parse(df.select(*keep, F.col(text).alias("_raw")), "_raw", "_v")
     return df.withColumn("_k", vkind(F.col("_v")))
 
 
