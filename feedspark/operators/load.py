@@ -139,13 +139,20 @@ def duplicate_rate(deliveries: DataFrame, target: DataFrame, order: str,
             .withColumn("rejected", F.col("offered") - F.col("inserted")))
 
 
-def capped_ids(offered: DataFrame, target_count: int, order: list[Column],
+def capped_ids(offered: DataFrame, target_count: int | Column, order: list[Column],
                key: str = "id") -> DataFrame:
-    """Stop at a target count, applied to the distinct set in a total order.
+    """Stop at a target count, applied to the distinct set in a total order
+    (each key ranked by its first delivery).
 
-    The limit is the feature here (the source stops once it holds `target_count` ids).
+    The cap is the feature here (the source stops once it holds
+    `target_count` ids). A target that is a fraction of the data is too big
+    for a top-k buffer, so the distinct keys get a distributed row index and
+    the first `target_count` positions are kept.
     """
+    from .rowindex import with_row_index
+
     d = offered.where(F.col(key).isNotNull()).groupBy(key).agg(
         *[F.min(c).alias(f"_o{i}") for i, c in enumerate(order)])
-    return d.orderBy(*[F.col(f"_o{i}") for i in range(len(order))], F.col(key)).limit(
-        target_count).select(key)
+    ranked = with_row_index(d, [*[F.col(f"_o{i}") for i in range(len(order))], F.col(key)], "_r")
+    cap = F.lit(target_count) if isinstance(target_count, int) else target_count
+    return ranked.where(F.col("_r") < cap).select(key)

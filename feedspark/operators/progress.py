@@ -16,6 +16,7 @@ from ..constants import (DEAD_AFTER_MS, RATE_WINDOW_MS, RECENT_SAMPLES, STUCK_AF
                          TREND_DOWN_RATIO, TREND_UP_RATIO)
 from ..functions.text import request_outcome
 from ..functions.num import idiv
+from .running import running_sums
 
 CHECKPOINT_COLS = ["seq", "strategy", "status", "cursor", "events_count"]
 
@@ -49,21 +50,23 @@ def latest_open_checkpoint(state: DataFrame) -> DataFrame:
 
 
 def milestones(batches: DataFrame, every: int, by: str = "worker", order: str = "batch",
-               events: str = "events", exact: bool = False) -> DataFrame:
+               events: str = "events", exact: bool = False,
+               block_rows: int = 1_000_000) -> DataFrame:
     """Batches at which a worker's running count crosses a
     multiple of `every` (W01: ``cum % every < batch``), or lands on one
-    exactly (W02: ``cum % every = 0``, which misses uneven batches)."""
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    cum = batches.withColumn("fetched", F.sum(events).over(w))
+    exactly (W02: ``cum % every = 0``, which misses uneven batches).
+    Running counts are segmented (`running.running_sums`)."""
+    cum = running_sums(batches, [by], order, {"fetched": events}, block_rows)
     hit = (F.col("fetched") % every == 0) if exact else (F.col("fetched") % every < F.col(events))
     return cum.where(hit)
 
 
-def running_totals(batches: DataFrame, by: str = "strategy", order: str = "batch") -> DataFrame:
-    """Running offered and inserted per strategy in load order."""
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return batches.select(by, order, F.sum("events").over(w).alias("offered_total"),
-                          F.sum("inserted").over(w).alias("inserted_total"))
+def running_totals(batches: DataFrame, by: str = "strategy", order: str = "batch",
+                   block_rows: int = 1_000_000) -> DataFrame:
+    """Running offered and inserted per strategy in load order (segmented)."""
+    out = running_sums(batches, [by], order,
+                       {"offered_total": "events", "inserted_total": "inserted"}, block_rows)
+    return out.select(by, order, "offered_total", "inserted_total")
 
 
 def rate_in_window(samples: DataFrame, now_ms, window_ms: int = RATE_WINDOW_MS,

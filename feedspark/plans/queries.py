@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.ids import invalid_reason, is_uuid, is_valid_id, with_id_pick
 from ..functions.json import with_strict_parse
-from ..functions.num import keep_rows
+from ..functions.num import idiv, keep_rows
 from ..operators import extract, load, profile, progress, reconcile, scans, sinks
 from ..session import scratch_path
 from ..sources import feed
@@ -122,8 +122,7 @@ def source_overlap(spark, sf_dir):
 @query("capped_load")
 def capped_load(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
-    target = ev.count() // 2
-    return load.capped_ids(fx.deliveries(ev), target, [F.col("seq")])
+    return load.capped_ids(fx.deliveries(ev), idiv(fx.n_rows(ev), 2), [F.col("seq")])
 
 
 @query("bulk_lookup_found")
@@ -392,17 +391,18 @@ def stats_doc_rows(spark, sf_dir):
     counts = ev.agg(F.create_map(
         F.lit("events"), F.count(F.lit(1)),
         F.lit("users"), F.count_distinct("user_id"),
-        F.lit("types"), F.count_distinct("event_type")).alias("counts"))
+        F.lit("types"), F.count_distinct("event_type"))).scalar()
 
     def dist(col):
+        # one row per category, so the collected list is bounded by the category count
         return (ev.groupBy(col.alias("type")).agg(F.count(F.lit(1)).alias("count"))
-                .agg(F.array_sort(F.collect_list(F.struct("type", "count"))).alias("a")))
+                .agg(F.array_sort(F.collect_list(F.struct("type", "count")))).scalar())
 
-    doc = (counts.join(dist(F.col("event_type")).withColumnRenamed("a", "eventTypes"))
-           .join(dist(device).withColumnRenamed("a", "deviceTypes")))
-    text = doc.select(F.to_json(F.struct(
-        "counts", F.struct("eventTypes", "deviceTypes").alias("distributions"),
-        F.create_map(F.lit("hits"), F.lit("0")).alias("cache"))).alias("value"))
+    doc = F.struct(counts.alias("counts"),
+                   F.struct(dist(F.col("event_type")).alias("eventTypes"),
+                            dist(device).alias("deviceTypes")).alias("distributions"),
+                   F.create_map(F.lit("hits"), F.lit("0")).alias("cache"))
+    text = spark.range(1).select(F.to_json(doc).alias("value"))
     return feed.parse_stats_doc(text)
 
 

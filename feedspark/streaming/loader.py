@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.load import new_ids
+from ..operators.load import distinct_ids
 
 
 def create_target(spark: SparkSession, path: str, key: str = "id",
@@ -28,12 +28,31 @@ def create_target(spark: SparkSession, path: str, key: str = "id",
     seed.select(F.col(key).cast("string").alias(key)).write.mode("errorifexists").parquet(path)
 
 
-def load_batch(target_path: str, key: str = "id"):
-    """foreachBatch body: append the batch's unseen keys to the target."""
+BROADCAST_KEYS_MAX = 5_000_000
+
+
+def load_batch(target_path: str, key: str = "id", broadcast_max: int = BROADCAST_KEYS_MAX):
+    """foreachBatch body: append the batch's unseen keys to the target.
+
+    The target grows without bound while a micro-batch is bounded by the
+    trigger limits, so the batch's distinct keys are counted and, when at
+    most `broadcast_max`, broadcast to filter the target scan (semi join,
+    no shuffle of the target); only the few matches meet the batch in the
+    anti join. Above the bound it falls back to the shuffled anti join.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        target = spark.read.parquet(target_path)
-        new_ids(batch, target, key).write.mode("append").parquet(target_path)
+        target = spark.read.parquet(target_path).select(key)
+        keys = distinct_ids(batch, key).persist()
+        try:
+            if keys.count() <= broadcast_max:
+                seen = target.join(F.broadcast(keys), key, "left_semi")
+                new = keys.join(seen, key, "left_anti")
+            else:
+                new = keys.join(target, key, "left_anti")
+            new.write.mode("append").parquet(target_path)
+        finally:
+            keys.unpersist()
     return run
 
 
