@@ -35,7 +35,11 @@ def gated_export(ids: DataFrame, path: str, required: int, key: str = "id",
     Returns a dict with `exact`, `exported`, `required` and `status`
     (``refused_count``, ``refused_mismatch`` or ``exported``).
     """
-    distinct = ids.select(key).where(F.col(key).isNotNull()).dropDuplicates([key])
+    from ..session import cut_lineage
+
+    # The distinct set is computed once (reliable checkpoint in the shared
+    # folder) and both counted and written from there.
+    distinct = cut_lineage(ids.select(key).where(F.col(key).isNotNull()).dropDuplicates([key]))
     exact = distinct.count()
     if exact < required:
         return {"exact": exact, "exported": 0, "required": required, "status": "refused_count"}

@@ -125,3 +125,13 @@ def test_shortfall_decisions(spark):
     assert reconcile.shortfall(df, 5).first()["decision"] == "complete"
     assert reconcile.shortfall(df, 6, passes_done=1).first()["decision"] == "retry"
     assert reconcile.shortfall(df, 6, passes_done=3).first()["decision"] == "give_up"
+
+
+def test_gated_export(spark, tmp_dir):
+    from feedspark.operators import sinks
+    ids = spark.range(10).select(F.col("id").cast("string").alias("id"))
+    refused = sinks.gated_export(ids, tmp_dir + "/a", required=11)
+    assert refused["status"] == "refused_count" and refused["exported"] == 0
+    ok = sinks.gated_export(ids.unionByName(ids), tmp_dir + "/b", required=10, batch=3)
+    assert ok == {"exact": 10, "exported": 10, "required": 10, "status": "exported"}
+    assert sorted(r[0] for r in spark.read.text(tmp_dir + "/b").collect()) == sorted(str(i) for i in range(10))
