@@ -33,10 +33,18 @@ def new_ids(offered: DataFrame, target: DataFrame, key: str = "id") -> DataFrame
     return distinct_ids(offered, key).join(target.select(key), key, "left_anti")
 
 
-def new_rows(offered: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
-    """K01 keeping the offered columns: one row per unseen key (any of its copies)."""
-    return (offered.where(F.col(key).isNotNull()).dropDuplicates([key])
-            .join(target.select(key), key, "left_anti"))
+def new_rows(offered: DataFrame, target: DataFrame, key: str = "id",
+             same_per_key: bool = False) -> DataFrame:
+    """K01 keeping the offered columns: one row per unseen key (any of its copies).
+
+    `dropDuplicates` keeps the other columns with `first()`, which for text
+    columns plans a sort-based aggregate. When every copy of a key carries
+    the same values (the columns describe the keyed event), `same_per_key`
+    groups on all columns instead: the same rows, hash-aggregated.
+    """
+    rows = offered.where(F.col(key).isNotNull())
+    rows = rows.distinct() if same_per_key else rows.dropDuplicates([key])
+    return rows.join(target.select(key), key, "left_anti")
 
 
 def loaded_ids(offered: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:

@@ -2,9 +2,9 @@
 
 Running totals are always partitioned by worker or strategy; a global
 series is aggregated to bucket level first, so no window sees raw rows in
-one task. The checkpoint fold needs no window at all: it is one keyed
-`max_by` aggregate, which combines map-side even when one strategy holds
-most of the log.
+one task. The checkpoint fold needs no window at all: a keyed `max(seq)`
+(combined map-side even when one strategy holds most of the log) and a semi
+join back.
 """
 
 from __future__ import annotations
@@ -22,9 +22,11 @@ CHECKPOINT_COLS = ["seq", "strategy", "status", "cursor", "events_count"]
 
 
 def _last_per_strategy(log: DataFrame) -> DataFrame:
-    cols = [c for c in log.columns if c != "strategy"]
-    return (log.groupBy("strategy").agg(F.max_by(F.struct(*cols), F.col("seq")).alias("_r"))
-            .select("strategy", *[F.col("_r")[c].alias(c) for c in cols]))
+    """Newest row per strategy: a hash `max(seq)` per strategy (one row per
+    strategy, so AQE broadcasts it) and a semi join back, so the log itself
+    is neither sorted nor shuffled."""
+    last = log.groupBy("strategy").agg(F.max("seq").alias("seq"))
+    return log.join(last, ["strategy", "seq"], "left_semi")
 
 
 def checkpoint_state(log: DataFrame, as_written: bool = False) -> DataFrame:

@@ -130,18 +130,30 @@ def with_pages(df: DataFrame, limit: int, order: list[Column]) -> DataFrame:
     return with_row_index(df, order).withColumn("page_no", idiv("idx", limit))
 
 
-def page_summary(paged: DataFrame, key: str = "event_id", cursor: Column | None = None
-                 ) -> DataFrame:
+def page_summary(paged: DataFrame, limit: int, key: str = "event_id",
+                 cursor: Column | None = None) -> DataFrame:
     """Per page its row count, first/last key, `next_cursor` (last row's
-    cursor) and `has_more` (false only on the final page)."""
+    cursor) and `has_more` (false only on the final page).
+
+    Pages are dense ranges of the row index, so only each page's first and
+    last rows matter: they are filtered out first (2 rows per page) and the
+    aggregate runs on those alone.
+    """
+    limit = min(limit, SERVER_PAGE_CAP)
     cur = cursor if cursor is not None else F.col(key).cast("string")
-    last_page = paged.agg(F.max("page_no")).scalar()
-    return (paged.groupBy("page_no")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.min_by(F.col(key), F.col("idx")).alias("first_key"),
-                 F.max_by(F.col(key), F.col("idx")).alias("last_key"),
-                 F.max_by(cur, F.col("idx")).alias("next_cursor"))
-            .withColumn("has_more", F.col("page_no") < last_page))
+    last_idx = paged.agg(F.max("idx")).scalar()
+    pos = F.col("idx") % F.lit(limit)
+    first = pos == 0
+    last = (pos == limit - 1) | (F.col("idx") == last_idx)
+    ends = paged.where(first | last).select(
+        "page_no", "idx", F.col(key).alias("_k"), F.when(last, cur).alias("_c"),
+        first.alias("_first"), last.alias("_last"))
+    return (ends.groupBy("page_no")
+            .agg((F.max("idx") - F.min("idx") + 1).alias("n_rows"),
+                 F.min_by("_k", "idx").alias("first_key"),
+                 F.max_by("_k", "idx").alias("last_key"),
+                 F.max_by("_c", "idx").alias("next_cursor"))
+            .withColumn("has_more", F.col("page_no") < idiv(last_idx, limit)))
 
 
 def page_after(df: DataFrame, cursor_ms: int, cursor_key: int, limit: int,

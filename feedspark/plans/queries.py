@@ -57,7 +57,8 @@ def _slice_load(spark, sf_dir):
     a, b = fx.two_sources(ev)
     offered = load.union_sources(a, b)
     target = ev.where(F.col("event_id") % 10 == 3).select("id", "event_id", "event_type", "ms")
-    new = load.new_rows(offered.select("id", "event_id", "event_type", "ms"), target)
+    new = load.new_rows(offered.select("id", "event_id", "event_type", "ms"), target,
+                        same_per_key=True)
     loaded = target.unionByName(new)
     return ev, offered, target, loaded
 
@@ -291,7 +292,7 @@ def scan_offset_ranges(spark, sf_dir):
 def keyset_pages(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
     paged = scans.with_pages(ev, fx.PAGE_SIZE, scans.feed_order())
-    return scans.page_summary(paged, "event_id",
+    return scans.page_summary(paged, fx.PAGE_SIZE, "event_id",
                               cursor=fx.cursor_text(F.col("ms"), F.col("event_id")))
 
 

@@ -83,7 +83,7 @@ def test_slices_partition_input_exactly_once(spark):
 def test_pages_concatenate_to_sorted_input(spark):
     ev = fx.events(spark, SF)
     paged = scans.with_pages(ev, 97, scans.feed_order())
-    summary = scans.page_summary(paged, "event_id").orderBy("page_no").collect()
+    summary = scans.page_summary(paged, 97, "event_id").orderBy("page_no").collect()
     assert sum(r["n_rows"] for r in summary) == ev.count()
     assert all(r["n_rows"] == 97 for r in summary[:-1])
     assert [r["has_more"] for r in summary] == [True] * (len(summary) - 1) + [False]
