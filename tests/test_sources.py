@@ -68,3 +68,32 @@ def test_id_lines_and_stats_doc(spark):
            '"deviceTypes":[{"type":"mobile","count":1}]},"cache":{}}')
     rows = {(r["section"], r["name"]): r["count"] for r in feed.parse_stats_doc(lines(spark, [doc])).collect()}
     assert rows == {("counts", "events"): 3, ("eventTypes", "click"): 2, ("deviceTypes", "mobile"): 1}
+
+
+def test_file_readers(spark, tmp_dir):
+    import os
+    pages = os.path.join(tmp_dir, "pages")
+    os.makedirs(pages)
+    docs = ['{"data":[{"id":"a"},{"id":"b"}],\n "pagination":{"hasMore":true,"nextCursor":"c1"}}',
+            '{"data":[{"eventId":"c"}],\n "hasMore":false}']
+    for i, d in enumerate(docs):
+        with open(os.path.join(pages, f"page-{i}.json"), "w") as f:
+            f.write(d)
+    got = {r["id"]: (r["has_more"], r["next_cursor"]) for r in feed.read_pages(spark, pages).collect()}
+    assert got == {"a": (True, "c1"), "b": (True, "c1"), "c": (False, None)}
+    lines_dir = os.path.join(tmp_dir, "lines")
+    os.makedirs(lines_dir)
+    with open(os.path.join(lines_dir, "p.jsonl"), "w") as f:
+        f.write('{"data":[{"id":"x"}],"hasMore":false}\n{"data":[{"id":"y"}]}\n')
+    assert ids(feed.read_pages(spark, lines_dir, whole_file=False)) == ["x", "y"]
+    journal = os.path.join(tmp_dir, "journal")
+    os.makedirs(journal)
+    with open(os.path.join(journal, "j.wal"), "w") as f:
+        f.write(" a \n\nb\nb\n")
+    assert ids(feed.read_id_lines(spark, journal)) == ["a", "b", "b"]
+    stats = os.path.join(tmp_dir, "stats")
+    os.makedirs(stats)
+    with open(os.path.join(stats, "s.json"), "w") as f:
+        f.write('{\n "counts": {"events": 5, "users": 2},\n "distributions": {"eventTypes": []},\n "cache": {}\n}')
+    rows = {(r["section"], r["name"]): r["count"] for r in feed.read_stats_doc(spark, stats).collect()}
+    assert rows == {("counts", "events"): 5, ("counts", "users"): 2}
