@@ -90,6 +90,20 @@ def append_new_ids(offered: DataFrame, target_path: str, key: str = "id",
     return int(obs.get["n"])
 
 
+def append_new_ids_to_table(offered: DataFrame, table: str, key: str = "id") -> int:
+    """K01 into a catalog table (see `sinks.create_id_table`). When the table
+    is bucketed on `key`, the anti join reads it bucket by bucket and only
+    the offered batch is shuffled (to the table's bucket count). Returns the
+    number inserted, counted with `observe` on the written rows."""
+    from pyspark.sql import Observation
+
+    spark = offered.sparkSession
+    obs = Observation("inserted")
+    rows = new_ids(offered, spark.table(table), key).observe(obs, F.count(F.lit(1)).alias("n"))
+    rows.write.insertInto(table)
+    return int(obs.get["n"])
+
+
 def first_wins(deliveries: DataFrame, order: str | Column, key: str = "id",
                payload: list[str] | None = None) -> DataFrame:
     """W06 / K02 first half: one row per key, the earliest by `order`.
