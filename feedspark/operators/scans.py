@@ -106,6 +106,13 @@ def scan_by_type(df: DataFrame, types: list[str] | None = None,
     return df if types is None else df.where(F.col(type_col).isin(*types))
 
 
+def store_by_type(df: DataFrame, path: str, type_col: str = "event_type",
+                  mode: str = "errorifexists") -> None:
+    """S12 storage: one folder per category, so `scan_by_type` on the stored
+    data prunes folders (PartitionFilters) instead of filtering rows."""
+    df.write.mode(mode).partitionBy(type_col).parquet(path)
+
+
 # ------------------------------------------------------ positional scans
 
 def with_offset_range(df: DataFrame, n_ranges: int, order: list[Column],

@@ -135,3 +135,15 @@ def test_gated_export(spark, tmp_dir):
     ok = sinks.gated_export(ids.unionByName(ids), tmp_dir + "/b", required=10, batch=3)
     assert ok == {"exact": 10, "exported": 10, "required": 10, "status": "exported"}
     assert sorted(r[0] for r in spark.read.text(tmp_dir + "/b").collect()) == sorted(str(i) for i in range(10))
+
+
+def test_scan_by_type_prunes_folders(spark, tmp_dir):
+    ev = fx.events(spark, SF).select("event_id", "event_type")
+    scans.store_by_type(ev, tmp_dir + "/by_type")
+    stored = spark.read.parquet(tmp_dir + "/by_type")
+    picked = scans.scan_by_type(stored, ["click", "view"])
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [event_type" in plan and "IN (click,view)" in plan
+    assert "PushedFilters: []" in plan  # folders pruned, no row filter left
+    want = ev.where(F.col("event_type").isin("click", "view")).count()
+    assert picked.count() == want
