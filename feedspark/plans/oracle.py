@@ -101,10 +101,10 @@ def elem_id(e: str) -> str:
             f"WHEN json_type({e}) = 'OBJECT' THEN {jid(e)} END)")
 
 
-SRC = (f"src AS (SELECT id, event_id, event_type, ms FROM ev, n "
-       f"WHERE event_id * 10 >= 4 * n.n AND event_id % 97 <> 0 "
-       f"UNION ALL SELECT id, event_id, event_type, ms FROM ev, n "
-       f"WHERE event_id * 10 < 6 * n.n AND event_id % 97 <> 0)")
+SRC = (f"src AS (SELECT id, event_id, event_type, ms FROM ev "
+       f"WHERE event_id * 10 >= 4 * (SELECT n FROM n) AND event_id % 97 <> 0 "
+       f"UNION ALL SELECT id, event_id, event_type, ms FROM ev "
+       f"WHERE event_id * 10 < 6 * (SELECT n FROM n) AND event_id % 97 <> 0)")
 TGT = "tgt AS (SELECT id, event_id, event_type, ms FROM ev WHERE event_id % 10 = 3)"
 NEW = ("new AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY event_id) AS rn "
        "FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.id = src.id)) WHERE rn = 1)")
@@ -113,12 +113,12 @@ LOADED = ("loaded AS (SELECT id, event_id, event_type, ms FROM tgt "
 SLICE = ", ".join([EV, N, SRC, TGT, NEW, LOADED])
 
 DELIV = ("deliv AS ("
-         "SELECT id, event_id, event_type, ms, 'feed' AS strategy, 0 * n.n + event_id AS seq, "
-         "'feed:' || props AS payload FROM ev, n WHERE event_id % 2 = 0 "
-         "UNION ALL SELECT id, event_id, event_type, ms, 'cursor-chain', 1 * n.n + event_id, "
-         "'cursor-chain:' || props FROM ev, n WHERE event_id % 3 = 0 "
-         "UNION ALL SELECT id, event_id, event_type, ms, 'type-worker', 2 * n.n + event_id, "
-         "'type-worker:' || props FROM ev, n WHERE event_id % 5 = 0)")
+         "SELECT id, event_id, event_type, ms, 'feed' AS strategy, 0 * (SELECT n FROM n) + event_id AS seq, "
+         "'feed:' || props AS payload FROM ev WHERE event_id % 2 = 0 "
+         "UNION ALL SELECT id, event_id, event_type, ms, 'cursor-chain', 1 * (SELECT n FROM n) + event_id, "
+         "'cursor-chain:' || props FROM ev WHERE event_id % 3 = 0 "
+         "UNION ALL SELECT id, event_id, event_type, ms, 'type-worker', 2 * (SELECT n FROM n) + event_id, "
+         "'type-worker:' || props FROM ev WHERE event_id % 5 = 0)")
 DTGT = "dtgt AS (SELECT id FROM ev WHERE event_id % 10 = 3)"
 DELIVERIES = ", ".join([EV, N, DELIV, DTGT])
 
@@ -248,7 +248,7 @@ FROM m GROUP BY 1""")
 
 sql("capped_load", f"""WITH {DELIVERIES},
 f AS (SELECT id, min(seq) AS s FROM deliv GROUP BY id)
-SELECT id FROM (SELECT id, row_number() OVER (ORDER BY s, id) AS r FROM f), n WHERE r <= n.n // 2""")
+SELECT id FROM (SELECT id, row_number() OVER (ORDER BY s, id) AS r FROM f) WHERE r <= (SELECT n FROM n) // 2""")
 
 sql("bulk_lookup_found", f"""WITH {EV}, asked AS (SELECT CAST(event_id * 3 AS VARCHAR) AS id FROM ev)
 SELECT id, event_id, event_type FROM ev WHERE id IN (SELECT id FROM asked)""")
@@ -259,16 +259,16 @@ SELECT DISTINCT id FROM asked WHERE id NOT IN (SELECT id FROM ev)""")
 sql("exact_count", f"WITH {SLICE} SELECT count(*) AS n FROM loaded")
 
 sql("shortfall", f"""WITH {SLICE}
-SELECT n.n AS expected, (SELECT count(*) FROM loaded) AS loaded, n.n - (SELECT count(*) FROM loaded) AS missing,
-       CASE WHEN n.n - (SELECT count(*) FROM loaded) <= 0 THEN 'complete' ELSE 'retry' END AS decision
+SELECT n AS expected, (SELECT count(*) FROM loaded) AS loaded, n - (SELECT count(*) FROM loaded) AS missing,
+       CASE WHEN n - (SELECT count(*) FROM loaded) <= 0 THEN 'complete' ELSE 'retry' END AS decision
 FROM n""")
 
 sql("progress_summary", f"""WITH {SLICE},
 s AS (SELECT (SELECT count(*) FROM loaded) AS l, (SELECT count(*) FROM src) AS o,
              greatest((max(ms) - min(ms)) / 1000.0, 1.0) AS el FROM ev)
-SELECT n.n AS expected, l AS loaded, o AS offered, l * 100.0 / n.n AS pct, l / el AS rate,
-       CASE WHEN l / el > 0 THEN (n.n - l) / (l / el) / 60.0 END AS eta_min, o - l AS lag
-FROM s, n""")
+SELECT e AS expected, l AS loaded, o AS offered, l * 100.0 / e AS pct, l / el AS rate,
+       CASE WHEN l / el > 0 THEN (e - l) / (l / el) / 60.0 END AS eta_min, o - l AS lag
+FROM (SELECT *, (SELECT n FROM n) AS e FROM s)""")
 
 sql("time_gaps", f"""WITH {SLICE},
 e AS (SELECT ms // {Q.HOUR_MS} AS bucket, count(*) AS expected FROM ev GROUP BY 1),
@@ -362,10 +362,11 @@ WHERE ts >= make_timestamp({Q.FILTER_SINCE_MS} * 1000) AND ts < make_timestamp({
 
 _SL = (f"b AS (SELECT min(ms) AS lo, max(ms) AS hi, greatest(CAST(ceil((max(ms) - min(ms)) / {K.TIME_SLICES}.0) AS BIGINT), 1) AS w FROM ev), "
        f"sl AS (SELECT CAST(s AS INTEGER) AS slice, lo + s * w AS since_ms, least(lo + (s + 1) * w, hi) AS until_ms "
-       f"FROM b, range({K.TIME_SLICES}) AS r(s))")
+       f"FROM (SELECT unnest(range({K.TIME_SLICES})) AS s, (SELECT lo FROM b) AS lo, (SELECT w FROM b) AS w, "
+       f"(SELECT hi FROM b) AS hi))")
 sql("scan_time_slices", f"""WITH {EV}, {_SL},
-c AS (SELECT CAST(least(floor((ms - lo) / w), {K.TIME_SLICES - 1}) AS INTEGER) AS slice, count(*) AS n_rows
-      FROM ev, b GROUP BY 1)
+c AS (SELECT CAST(least(floor((ms - (SELECT lo FROM b)) / (SELECT w FROM b)), {K.TIME_SLICES - 1}) AS INTEGER)
+             AS slice, count(*) AS n_rows FROM ev GROUP BY 1)
 SELECT sl.slice, since_ms, until_ms, coalesce(n_rows, 0) AS n_rows FROM sl LEFT JOIN c ON sl.slice = c.slice""")
 
 sql("range_join_slices", f"""WITH {EV}, {_SL}
@@ -378,8 +379,8 @@ WHERE event_type IN {tuple(Q.TYPES_SCANNED)} GROUP BY 1""")
 
 sql("scan_offset_ranges", f"""WITH {EV}, {N},
 i AS (SELECT *, row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1 AS idx FROM ev),
-r AS (SELECT *, CAST(least(floor(idx / greatest(ceil(n.n / {Q.N_RANGES}.0), 1)), {Q.N_RANGES - 1}) AS INTEGER) AS range_no
-      FROM i, n)
+r AS (SELECT *, CAST(least(floor(idx / greatest(ceil((SELECT n FROM n) / {Q.N_RANGES}.0), 1)), {Q.N_RANGES - 1})
+             AS INTEGER) AS range_no FROM i)
 SELECT range_no, min(idx) AS start_offset, max(idx) + 1 AS end_offset, count(*) AS n_rows,
        arg_min(event_id, idx) AS first_event_id, arg_max(event_id, idx) AS last_event_id FROM r GROUP BY 1""")
 
@@ -397,7 +398,8 @@ ORDER BY ms DESC, event_id DESC LIMIT {PAGE_SIZE}""")
 
 sql("staggered_chain_overlap", f"""WITH {EV},
 p AS (SELECT (row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1) // {PAGE_SIZE} AS page_no FROM ev),
-d AS (SELECT 'chain-' || CAST(k AS VARCHAR) AS source, page_no FROM p, range({Q.N_CHAINS}) AS r(k) WHERE k <= page_no
+d AS (SELECT 'chain-' || CAST(k AS VARCHAR) AS source, page_no
+      FROM (SELECT page_no, unnest(range(least(page_no, {Q.N_CHAINS - 1}) + 1)) AS k FROM p)
       UNION ALL SELECT 'seed', page_no FROM p WHERE page_no < {Q.N_CHAINS - 1})
 SELECT source, count(*) AS n_rows, count(DISTINCT page_no) AS n_pages, min(page_no) AS first_page
 FROM d GROUP BY 1""")
@@ -483,17 +485,16 @@ count(*) AS required, 'exported' AS status FROM events""")
 sql("page_script_srcs", f"""WITH m AS (SELECT page_id, list_slice(list_filter(
     regexp_extract_all(html, '{sql_regex(K.SCRIPT_SRC_PATTERN)}', 1),
     lambda s: suffix(s, '.js') OR contains(s, 'assets/')), 1, {K.SCRIPT_MAX}) AS a FROM pages)
-SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, a[i] AS src FROM m, range(1, len(a) + 1) AS r(i)""")
+SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS src FROM m""")
 
 sql("page_href_links", f"""WITH m AS (SELECT page_id, list_slice(
     regexp_extract_all(html, '{sql_regex(Q.HREF_PATTERN)}', 1), 1, {K.SCRIPT_MAX}) AS a FROM pages)
-SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, a[i] AS src FROM m, range(1, len(a) + 1) AS r(i)""")
+SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS src FROM m""")
 
 sql("page_call_urls", f"""WITH m AS (SELECT page_id, regexp_extract_all(html, '{sql_regex(K.FETCH_URL_PATTERN)}', 1) AS a
     FROM pages)
-SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, a[i] AS url,
-       starts_with(a[i], '/api/') OR starts_with(a[i], '/internal/') AS is_endpoint
-FROM m, range(1, len(a) + 1) AS r(i)""")
+SELECT page_id, pos, url, starts_with(url, '/api/') OR starts_with(url, '/internal/') AS is_endpoint
+FROM (SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS url FROM m)""")
 
 sql("page_path_literals", f"""WITH m AS (SELECT page_id,
     list_distinct(regexp_extract_all(html, '{sql_regex(K.PATH_LITERAL_PATTERN)}', 1)) AS p,
@@ -548,7 +549,8 @@ FROM b""")
 _RATE = (f"nw AS (SELECT max(ts_ms) + 1000 AS now FROM b), "
          f"r AS (SELECT strategy, CAST(sum(events) AS BIGINT) AS events_in_window, "
          f"CASE WHEN (max(now) - min(ts_ms)) / 1000.0 > 0 THEN sum(events) / ((max(now) - min(ts_ms)) / 1000.0) "
-         f"ELSE 0.0 END AS rate FROM b, nw WHERE ts_ms >= now - {Q.DAY_MS} GROUP BY strategy)")
+         f"ELSE 0.0 END AS rate FROM (SELECT *, (SELECT now FROM nw) AS now FROM b) WHERE ts_ms >= now - {Q.DAY_MS} "
+         f"GROUP BY strategy)")
 sql("throughput_rate", f"WITH {EV}, {BATCHES}, {_RATE} SELECT strategy, events_in_window, rate FROM r")
 
 sql("best_strategy", f"""WITH {EV}, {BATCHES}, {_RATE},
