@@ -1,7 +1,6 @@
 """Source parsers on hand-made text."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from feedspark.sources import feed
 
