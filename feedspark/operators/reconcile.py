@@ -97,6 +97,26 @@ def time_gaps(loaded: DataFrame, expected: DataFrame, bucket_ms: int,
     return rep.withColumn("missing", F.col("expected") - F.col("loaded")).where(F.col("missing") > 0)
 
 
+def gap_ranges(gaps: DataFrame, bucket_ms: int) -> DataFrame:
+    """A15 missing ranges: runs of consecutive short buckets from `time_gaps`
+    merged into ``[since_ms, until_ms)`` ranges (what a targeted re-fetch
+    with since/until needs), with the rows missing in each.
+
+    Gaps and islands: within a run, ``bucket - rank`` is constant. The window
+    runs over gap buckets only, whose number is bounded by the time span,
+    not by the row count.
+    """
+    from pyspark.sql import Window
+
+    island = F.col("bucket") - F.row_number().over(Window.orderBy("bucket"))
+    return (gaps.withColumn("_island", island).groupBy("_island")
+            .agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"),
+                 F.sum("missing").cast("long").alias("missing"),
+                 F.count(F.lit(1)).alias("buckets"))
+            .select((F.col("_lo") * bucket_ms).alias("since_ms"),
+                    ((F.col("_hi") + 1) * bucket_ms).alias("until_ms"), "buckets", "missing"))
+
+
 def estimated_count(spark: SparkSession, table_name: str,
                     exact_below: int = ESTIMATE_EXACT_BELOW) -> DataFrame:
     """Row estimate from table statistics (refreshed with

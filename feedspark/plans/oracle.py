@@ -279,6 +279,15 @@ SELECT spine.bucket, spine.bucket * {Q.HOUR_MS} AS bucket_start_ms, coalesce(exp
 FROM spine LEFT JOIN e ON spine.bucket = e.bucket LEFT JOIN a ON spine.bucket = a.bucket
 WHERE coalesce(expected, 0) - coalesce(loaded, 0) > 0""")
 
+sql("gap_ranges", f"""WITH {SLICE},
+e AS (SELECT ms // {Q.HOUR_MS} AS bucket, count(*) AS expected FROM ev GROUP BY 1),
+a AS (SELECT ms // {Q.HOUR_MS} AS bucket, count(*) AS loaded FROM loaded GROUP BY 1),
+g AS (SELECT e.bucket, expected - coalesce(loaded, 0) AS missing FROM e LEFT JOIN a ON e.bucket = a.bucket
+      WHERE expected - coalesce(loaded, 0) > 0),
+i AS (SELECT *, bucket - row_number() OVER (ORDER BY bucket) AS island FROM g)
+SELECT min(bucket) * {Q.HOUR_MS} AS since_ms, (max(bucket) + 1) * {Q.HOUR_MS} AS until_ms, count(*) AS buckets,
+       sum(missing) AS missing FROM i GROUP BY island""")
+
 sql("type_distribution", f"""WITH {EV}
 SELECT event_type, count(*) AS n, count(*) / (SELECT count(*) FROM ev) AS share FROM ev GROUP BY 1""")
 

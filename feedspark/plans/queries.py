@@ -166,6 +166,12 @@ def time_gaps(spark, sf_dir):
     return reconcile.time_gaps(loaded, ev, HOUR_MS)
 
 
+@query("gap_ranges")
+def gap_ranges(spark, sf_dir):
+    ev, _, _, loaded = _slice_load(spark, sf_dir)
+    return reconcile.gap_ranges(reconcile.time_gaps(loaded, ev, HOUR_MS), HOUR_MS)
+
+
 @query("type_distribution")
 def type_distribution(spark, sf_dir):
     return reconcile.distribution(fx.events(spark, sf_dir), "event_type", name="event_type")

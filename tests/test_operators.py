@@ -147,3 +147,14 @@ def test_scan_by_type_prunes_folders(spark, tmp_dir):
     assert "PushedFilters: []" in plan  # folders pruned, no row filter left
     want = ev.where(F.col("event_type").isin("click", "view")).count()
     assert picked.count() == want
+
+
+def test_gap_ranges_merge_runs(spark):
+    h = 3_600_000
+    expected = spark.createDataFrame([(b * h,) for b in range(10) for _ in range(2)], "ms long")
+    loaded = spark.createDataFrame([(b * h,) for b in (0, 1, 1, 4, 4, 5, 6, 6, 9, 9)], "ms long")
+    gaps = reconcile.time_gaps(loaded, expected, h)
+    got = sorted(tuple(r) for r in reconcile.gap_ranges(gaps, h).select(
+        "since_ms", "until_ms", "buckets", "missing").collect())
+    # bucket 0 short by 1, 2-3 empty, 4 full, 5 short by 1, 6 full, 7-8 empty
+    assert got == [(0, h, 1, 1), (2 * h, 4 * h, 2, 4), (5 * h, 6 * h, 1, 1), (7 * h, 9 * h, 2, 4)]
