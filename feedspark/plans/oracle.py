@@ -599,3 +599,5 @@ SELECT window_start_ms, window_start_ms + {Q.DAY_MS} AS window_end_ms, count(*)
 sql("stream_daily_counts", f"""WITH {EV}
 SELECT (ms // {Q.DAY_MS}) * {Q.DAY_MS} AS window_start_ms, (ms // {Q.DAY_MS}) * {Q.DAY_MS} + {Q.DAY_MS} AS window_end_ms,
        event_type, count(*) AS events FROM ev GROUP BY 1, 2, 3""")
+
+sql("stream_worker_health", f"WITH {EV}, {HEALTH} SELECT name, state, last_progress_ms, fetched FROM health")

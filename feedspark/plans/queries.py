@@ -620,3 +620,23 @@ def stream_throughput(spark, sf_dir):
 def stream_daily_counts(spark, sf_dir):
     """Tumbling 1-day counts per event type."""
     return _stream_counts(spark, sf_dir, "stream-daily", "1 day", None, ["event_type"])
+
+
+@query("stream_worker_health")
+def stream_worker_health(spark, sf_dir):
+    """T06 / A10 on a stream: heartbeats land in time order, keyed state with
+    event-time timers turns silent workers stuck, then dead; the transition
+    log is folded to each worker's latest state (now = the last heartbeat)."""
+    from ..streaming.health import fold_transitions, worker_health_event_time
+    from ..streaming.loader import land_in_time_order
+    from ..streaming.windows import _log_batch
+    hb = fx.heartbeats(fx.events(spark, sf_dir)).withColumn(
+        "hb_ts", F.timestamp_millis("last_progress_ms"))
+    landing, log, ckpt = _stream_dirs(spark, "stream-health")
+    land_in_time_order(hb, landing, ms="last_progress_ms")
+    stream = spark.readStream.schema(hb.schema).option("maxFilesPerTrigger", 2).parquet(landing)
+    q = (worker_health_event_time(stream).writeStream.outputMode("append")
+         .foreachBatch(_log_batch(log)).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return fold_transitions(spark.read.parquet(log))

@@ -63,3 +63,76 @@ def worker_health_stream(heartbeats: DataFrame, stuck_ms: int = STUCK_AFTER_MS,
     return heartbeats.groupBy("name").applyInPandasWithState(
         _transitions(stuck_ms, dead_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
         GroupStateTimeout.ProcessingTimeTimeout)
+
+
+STATE_RANK = {"active": 0, "stuck": 1, "dead": 2}
+
+
+def _event_time_transitions(stuck_ms: int, dead_ms: int):
+    """Same state machine on event time: the timer is `last + stuck_ms`
+    (then `last + dead_ms`) and fires when the watermark passes it. When it
+    fires after the watermark already passed the dead mark, both steps are
+    emitted at once (no later batch may come to fire the second timer)."""
+    def row(name, status, last, fetched):
+        return pd.DataFrame({"name": [name], "state": [status], "last_progress_ms": [last],
+                             "fetched": [fetched]})
+
+    def run(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        name = key[0]
+        if state.hasTimedOut:
+            last, fetched, status = state.get
+            wm = state.getCurrentWatermarkMs()
+            if status == "active":
+                yield row(name, "stuck", last, fetched)
+                if wm > last + dead_ms:
+                    state.remove()
+                    yield row(name, "dead", last, fetched)
+                else:
+                    state.update((last, fetched, "stuck"))
+                    state.setTimeoutTimestamp(last + dead_ms)
+            else:
+                state.remove()
+                yield row(name, "dead", last, fetched)
+            return
+        best = None
+        for pdf in pdfs:
+            if pdf.empty:
+                continue
+            top = pdf.sort_values(["last_progress_ms", "fetched"]).iloc[-1]
+            cand = (int(top["last_progress_ms"]), int(top["fetched"]))
+            best = cand if best is None or cand > best else best
+        if best is None:
+            return
+        prev = state.get if state.exists else None
+        if prev is not None and (prev[0], prev[1]) > best:
+            best = (prev[0], prev[1])
+        state.update((best[0], best[1], "active"))
+        state.setTimeoutTimestamp(best[0] + stuck_ms)
+        # One row per worker and batch when its state or progress changes, so
+        # the folded log always holds the newest progress.
+        if prev is None or prev[2] != "active" or (prev[0], prev[1]) != best:
+            yield row(name, "active", best[0], best[1])
+    return run
+
+
+def worker_health_event_time(heartbeats: DataFrame, ts: str = "hb_ts",
+                             stuck_ms: int = STUCK_AFTER_MS, dead_ms: int = DEAD_AFTER_MS,
+                             delay: str = "0 seconds") -> DataFrame:
+    """T06 on event time: state transitions per worker from a time-ordered
+    heartbeat stream (name, last_progress_ms, fetched, `ts` = the heartbeat
+    time). `now` is the watermark, so a replay gives the same transitions."""
+    return (heartbeats.withWatermark(ts, delay).groupBy("name").applyInPandasWithState(
+        _event_time_transitions(stuck_ms, dead_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout))
+
+
+def fold_transitions(log: DataFrame) -> DataFrame:
+    """Latest state per worker from a transition log with `batch_id`: the
+    newest batch wins, and within a batch the later state (dead > stuck > active)."""
+    from pyspark.sql import functions as F
+
+    rank = F.element_at(F.create_map(*[x for k, v in STATE_RANK.items()
+                                       for x in (F.lit(k), F.lit(v))]), F.col("state"))
+    packed = F.struct("state", "last_progress_ms", "fetched")
+    return (log.groupBy("name").agg(F.max_by(packed, F.struct("batch_id", rank)).alias("s"))
+            .select("name", "s.state", "s.last_progress_ms", "s.fetched"))

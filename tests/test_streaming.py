@@ -78,3 +78,28 @@ def test_newest_first_input_loses_nothing(spark, tmp_dir):
             "append").parquet(landing)
     stream_idempotent_load(spark, landing, d.schema, target, ckpt, files_per_trigger=1)
     assert _ids(spark.read.parquet(target)) == _ids(d.select("id").distinct())
+
+
+def test_event_time_health_progress_across_batches(spark, tmp_dir):
+    from feedspark.streaming.health import fold_transitions, worker_health_event_time
+    from feedspark.streaming.windows import _log_batch
+    schema = "name string, last_progress_ms long, fetched long, hb_ts timestamp"
+    landing, log, ckpt = tmp_dir + "/hb", tmp_dir + "/log", tmp_dir + "/ck"
+    s = 1000
+    t0 = 1_700_000_000_000  # heartbeats at the epoch would sit on the initial watermark
+
+    def land(rows):
+        rows = [(n, t0 + t, f) for n, t, f in rows]
+        spark.createDataFrame(rows, "name string, last_progress_ms long, fetched long").withColumn(
+            "hb_ts", F.timestamp_millis("last_progress_ms")).coalesce(1).write.mode("append").parquet(landing)
+    land([("a", 0, 1), ("b", 0, 1), ("c", 0, 1)])
+    land([("a", 40 * s, 2), ("b", 10 * s, 2)])
+    land([("a", 95 * s, 3)])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    q = (worker_health_event_time(stream).writeStream.outputMode("append").foreachBatch(_log_batch(log))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r["name"]: (r["state"], r["last_progress_ms"], r["fetched"])
+           for r in fold_transitions(spark.read.parquet(log)).collect()}
+    # now = 95 s: a is fresh; b silent 85 s (dead); c silent 95 s (dead)
+    assert got == {"a": ("active", t0 + 95 * s, 3), "b": ("dead", t0 + 10 * s, 2), "c": ("dead", t0, 1)}
