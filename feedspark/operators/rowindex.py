@@ -29,6 +29,9 @@ def with_row_index(df: DataFrame, order: list[Column], idx: str = "idx",
                    num_partitions: int | None = None) -> DataFrame:
     """Add a 0-based dense index following `order` (which must be total).
 
+    `df` is materialised as given (Catalyst cannot prune columns through the
+    checkpoint), so project to the columns needed downstream first.
+
     The result stays range-partitioned on `order`, so a later aggregate on
     `idx div k` groups mostly inside partitions.
     """

@@ -286,7 +286,8 @@ def scan_by_type(spark, sf_dir):
 @query("scan_offset_ranges")
 def scan_offset_ranges(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
-    r = scans.with_offset_range(ev, N_RANGES, scans.feed_order())
+    # project before indexing: the row index materialises its input
+    r = scans.with_offset_range(ev.select("event_id", "ts"), N_RANGES, scans.feed_order())
     return r.groupBy("range_no").agg(
         F.min("idx").alias("start_offset"), (F.max("idx") + 1).alias("end_offset"),
         F.count(F.lit(1)).alias("n_rows"),
@@ -297,7 +298,7 @@ def scan_offset_ranges(spark, sf_dir):
 @query("keyset_pages")
 def keyset_pages(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
-    paged = scans.with_pages(ev, fx.PAGE_SIZE, scans.feed_order())
+    paged = scans.with_pages(ev.select("event_id", "ts", "ms"), fx.PAGE_SIZE, scans.feed_order())
     return scans.page_summary(paged, fx.PAGE_SIZE, "event_id",
                               cursor=fx.cursor_text(F.col("ms"), F.col("event_id")))
 
@@ -311,7 +312,7 @@ def keyset_page_after(spark, sf_dir):
 @query("staggered_chain_overlap")
 def staggered_chain_overlap(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
-    paged = scans.with_pages(ev, fx.PAGE_SIZE, scans.feed_order())
+    paged = scans.with_pages(ev.select("event_id", "ts"), fx.PAGE_SIZE, scans.feed_order())
     d = scans.staggered_chains(paged, N_CHAINS)
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"),
                                    F.count_distinct("page_no").alias("n_pages"),
