@@ -56,7 +56,7 @@ def _q(s: Column) -> Column:
     return F.concat(F.lit('"'), s, F.lit('"'))
 
 
-def _pick(idx: Column, values: tuple[str, ...]) -> Column:
+def pick_value(idx: Column, values: tuple[str, ...]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
 
 
@@ -69,7 +69,7 @@ def raw_event_json(ev: DataFrame) -> Column:
     eid = F.col("event_id")
     txt = eid.cast("string")
     m50 = eid % 50
-    idkey = _pick(eid % 4, ("id", "eventId", "_id", "event_id"))
+    idkey = pick_value(eid % 4, ("id", "eventId", "_id", "event_id"))
     idval = F.when(eid % 2 == 0, txt).otherwise(_q(txt))
     id_part = (F.when(m50 == 7, F.concat(_q(idkey), F.lit(':"null"')))
                .when(m50 == 17, F.concat(F.lit('"id":"","eventId":'), idval))
@@ -77,7 +77,7 @@ def raw_event_json(ev: DataFrame) -> Column:
                .when(m50 == 37, F.lit('"id":false,"_id":null'))
                .when(m50 == 47, F.concat(F.lit('"id":null,"event_id":'), _q(txt)))
                .otherwise(F.concat(_q(idkey), F.lit(":"), idval)))
-    typekey = _pick(eid % 3, ("type", "eventType", "event_type"))
+    typekey = pick_value(eid % 3, ("type", "eventType", "event_type"))
     tskey = (F.when(eid % 7 == 0, F.lit("created_at")).when(eid % 7 == 1, F.lit("ts"))
              .otherwise(F.lit("timestamp")))
     ms = F.col("ms")
@@ -252,7 +252,7 @@ def batches(ev: DataFrame) -> DataFrame:
         F.count_if(F.col("event_id") % 10 == 3).alias("known"),
         F.max("ms").alias("ts_ms"))
     return (b.withColumn("inserted", F.col("events") - F.col("known"))
-            .withColumn("strategy", _pick(F.col("batch") % 3, STRATEGIES))
+            .withColumn("strategy", pick_value(F.col("batch") % 3, STRATEGIES))
             .withColumn("worker", F.concat(F.lit("w"), (F.col("batch") % 6).cast("string"))))
 
 
@@ -285,7 +285,7 @@ def request_log(ev: DataFrame) -> DataFrame:
 
 def link_headers(ev: DataFrame) -> DataFrame:
     """A `Link` header per event; rel by ``event_id % 5`` (``next`` is not an export rel)."""
-    rel = _pick(F.col("event_id") % 5, ("stream", "export", "bulk", "download", "next"))
+    rel = pick_value(F.col("event_id") % 5, ("stream", "export", "bulk", "download", "next"))
     v = F.concat(F.lit("<https://feed.example/"), F.col("event_type"), F.lit("/"),
                  F.col("id"), F.lit('>; rel="'), rel, F.lit('"'))
     return ev.select("event_id", v.alias("link"))

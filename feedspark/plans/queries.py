@@ -395,7 +395,7 @@ def journal_replay(spark, sf_dir):
 @query("stats_doc_rows")
 def stats_doc_rows(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
-    device = fx._pick(F.col("user_id") % 3, K.DEVICE_TYPES)
+    device = fx.pick_value(F.col("user_id") % 3, K.DEVICE_TYPES)
     counts = ev.agg(F.create_map(
         F.lit("events"), F.count(F.lit(1)),
         F.lit("users"), F.count_distinct("user_id"),
@@ -630,14 +630,14 @@ def stream_worker_health(spark, sf_dir):
     log is folded to each worker's latest state (now = the last heartbeat)."""
     from ..streaming.health import fold_transitions, worker_health_event_time
     from ..streaming.loader import land_in_time_order
-    from ..streaming.windows import _log_batch
+    from ..streaming.windows import log_batch
     hb = fx.heartbeats(fx.events(spark, sf_dir)).withColumn(
         "hb_ts", F.timestamp_millis("last_progress_ms"))
     landing, log, ckpt = _stream_dirs(spark, "stream-health")
     land_in_time_order(hb, landing, ms="last_progress_ms")
     stream = spark.readStream.schema(hb.schema).option("maxFilesPerTrigger", 2).parquet(landing)
     q = (worker_health_event_time(stream).writeStream.outputMode("append")
-         .foreachBatch(_log_batch(log)).option("checkpointLocation", ckpt)
+         .foreachBatch(log_batch(log)).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return fold_transitions(spark.read.parquet(log))

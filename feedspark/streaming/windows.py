@@ -16,7 +16,9 @@ from pyspark.sql.types import StructType
 from ..functions.timefmt import epoch_ms
 
 
-def _log_batch(log_path: str):
+def log_batch(log_path: str):
+    """foreachBatch body: append the batch's rows, tagged with `batch_id`, to a
+    log that a fold reads back (a replayed batch rewrites the same values)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(
             log_path)
@@ -37,7 +39,7 @@ def stream_window_counts(spark: SparkSession, landing: str, schema: StructType |
     agg = s.groupBy(w.alias("w"), *by).agg(F.count(F.lit(1)).alias("events")).select(
         epoch_ms(F.col("w.start")).alias("window_start_ms"),
         epoch_ms(F.col("w.end")).alias("window_end_ms"), *by, "events")
-    q = (agg.writeStream.outputMode("update").foreachBatch(_log_batch(log_path))
+    q = (agg.writeStream.outputMode("update").foreachBatch(log_batch(log_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 

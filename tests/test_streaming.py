@@ -82,7 +82,7 @@ def test_newest_first_input_loses_nothing(spark, tmp_dir):
 
 def test_event_time_health_progress_across_batches(spark, tmp_dir):
     from feedspark.streaming.health import fold_transitions, worker_health_event_time
-    from feedspark.streaming.windows import _log_batch
+    from feedspark.streaming.windows import log_batch
     schema = "name string, last_progress_ms long, fetched long, hb_ts timestamp"
     landing, log, ckpt = tmp_dir + "/hb", tmp_dir + "/log", tmp_dir + "/ck"
     s = 1000
@@ -96,7 +96,7 @@ def test_event_time_health_progress_across_batches(spark, tmp_dir):
     land([("a", 40 * s, 2), ("b", 10 * s, 2)])
     land([("a", 95 * s, 3)])
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    q = (worker_health_event_time(stream).writeStream.outputMode("append").foreachBatch(_log_batch(log))
+    q = (worker_health_event_time(stream).writeStream.outputMode("append").foreachBatch(log_batch(log))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     got = {r["name"]: (r["state"], r["last_progress_ms"], r["fetched"])
