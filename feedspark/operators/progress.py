@@ -84,9 +84,13 @@ def rate_in_window(samples: DataFrame, now_ms, window_ms: int = RATE_WINDOW_MS,
     keys = [by] if by else []
     agg = recent.groupBy(*keys).agg(F.sum(events).cast("long").alias("events_in_window"),
                                     F.min(ts).alias("earliest_ms"))
+    if by:
+        # a strategy seen before the window has rate 0, not no row
+        agg = samples.select(by).distinct().join(agg, by, "left")
     secs = (now - F.col("earliest_ms")) / F.lit(1000.0)
-    return agg.withColumn("rate", F.when(secs > 0, F.col("events_in_window") / secs)
-                          .otherwise(F.lit(0.0))).drop("earliest_ms")
+    return (agg.withColumn("events_in_window", F.coalesce("events_in_window", F.lit(0)).cast("long"))
+            .withColumn("rate", F.when(secs > 0, F.col("events_in_window") / secs)
+                        .otherwise(F.lit(0.0))).drop("earliest_ms"))
 
 
 def best_strategy(samples: DataFrame, now_ms, window_ms: int = RATE_WINDOW_MS,

@@ -556,10 +556,12 @@ SELECT strategy, batch,
 FROM b""")
 
 _RATE = (f"nw AS (SELECT max(ts_ms) + 1000 AS now FROM b), "
-         f"r AS (SELECT strategy, CAST(sum(events) AS BIGINT) AS events_in_window, "
+         f"rw AS (SELECT strategy, CAST(sum(events) AS BIGINT) AS events_in_window, "
          f"CASE WHEN (max(now) - min(ts_ms)) / 1000.0 > 0 THEN sum(events) / ((max(now) - min(ts_ms)) / 1000.0) "
          f"ELSE 0.0 END AS rate FROM (SELECT *, (SELECT now FROM nw) AS now FROM b) WHERE ts_ms >= now - {Q.DAY_MS} "
-         f"GROUP BY strategy)")
+         f"GROUP BY strategy), "
+         f"r AS (SELECT s.strategy, coalesce(events_in_window, 0) AS events_in_window, coalesce(rate, 0.0) AS rate "
+         f"FROM (SELECT DISTINCT strategy FROM b) s LEFT JOIN rw ON s.strategy = rw.strategy)")
 sql("throughput_rate", f"WITH {EV}, {BATCHES}, {_RATE} SELECT strategy, events_in_window, rate FROM r")
 
 sql("best_strategy", f"""WITH {EV}, {BATCHES}, {_RATE},

@@ -57,6 +57,9 @@ def test_rate_and_best_strategy(spark):
                               "ts_ms long, events long, strategy string")
     rates = {r["strategy"]: r["rate"] for r in progress.rate_in_window(s, 4000, 3000).collect()}
     assert rates == {"a": 10 / 3.0, "b": 40 / 2.0}
+    late = {r["strategy"]: (r["events_in_window"], r["rate"])
+            for r in progress.rate_in_window(s, 4000, 1500).collect()}
+    assert late == {"a": (0, 0.0), "b": (30, 30 / 1.0)}  # "a" has no sample in the window
     best = progress.best_strategy(s, 4000, 3000).first()
     assert best["best_strategy"] == "b"
     none = progress.best_strategy(s, 100_000, 10).first()
