@@ -82,3 +82,48 @@ def test_checkpoint_fold_matches_replay(spark, rows):
     for as_written in (False, True):
         got = sorted(r["seq"] for r in checkpoint_state(log, as_written=as_written).collect())
         assert got == fold_model(rows, as_written), (rows, as_written)
+
+
+def _strict_json(text):
+    """JSON.parse: whole text, no NaN/Infinity; raises on anything else."""
+    def bad_constant(c):
+        raise ValueError(c)
+    return json.loads(text, parse_constant=bad_constant)
+
+
+def ndjson_model(line):
+    """The lenient NDJSON rule for one non-blank line."""
+    try:
+        obj = _strict_json(line)
+    except ValueError:
+        t = line.strip()
+        return t if 5 < len(t) < 200 else None
+    if isinstance(obj, str):
+        s = obj
+    elif isinstance(obj, dict):
+        return model(obj)
+    else:
+        return None
+    return None if s in ("", "undefined", "null") else s
+
+
+json_line = st.one_of(
+    record.map(json.dumps),
+    st.text(alphabet="abc 01", max_size=8).map(json.dumps),
+    st.sampled_from(["123456789", "true", "null", "[1,2]", "-0.5", '"null"', '"undefined"', "{}", "[]"]),
+    st.text(alphabet='abc{}[]":,01 -', min_size=1, max_size=12),
+    st.sampled_from(["NaN", "Infinity", "{'id': 'x'}", '{"id":"a"} junk', '{"id":"a",}', "[1,]",
+                     '{"id":1e400}', "012345", "0x1F2E3D", ".5e1", '"tab\\tok"']))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(json_line, min_size=1, max_size=60))
+def test_ndjson_lenient_matches_model(spark, lines):
+    from feedspark.sources.feed import parse_ndjson_lenient
+    lines = [ln for ln in lines if ln.strip() and "\n" not in ln]
+    if not lines:
+        return
+    df = spark.createDataFrame(list(enumerate(lines)), "n int, value string")
+    got = {r["n"]: r["id"] for r in parse_ndjson_lenient(df, keep=["n"]).collect()}
+    for i, ln in enumerate(lines):
+        assert got.get(i) == ndjson_model(ln), (ln, got.get(i))
