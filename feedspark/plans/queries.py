@@ -36,6 +36,7 @@ MILESTONE_EVERY = 1000                       # W01 / W02
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
 HREF_PATTERN = r'<a[^>]+href="([^"]+)"'      # P12 with a pattern that the test pages hold
+HEALTH_STATE_PARTITIONS = 2                  # T06: state partitions for a stream keyed by worker
 
 
 def query(name: str):
@@ -628,16 +629,18 @@ def stream_worker_health(spark, sf_dir):
     """T06 / A10 on a stream: heartbeats land in time order, keyed state with
     event-time timers turns silent workers stuck, then dead; the transition
     log is folded to each worker's latest state (now = the last heartbeat)."""
-    from ..streaming.health import fold_transitions, worker_health_event_time
+    from ..streaming.health import (fold_transitions, start_with_state_partitions,
+                                    worker_health_event_time)
     from ..streaming.loader import land_in_time_order
     from ..streaming.windows import log_batch
     hb = fx.heartbeats(fx.events(spark, sf_dir)).withColumn(
         "hb_ts", F.timestamp_millis("last_progress_ms"))
     landing, log, ckpt = _stream_dirs(spark, "stream-health")
     land_in_time_order(hb, landing, ms="last_progress_ms")
-    stream = spark.readStream.schema(hb.schema).option("maxFilesPerTrigger", 2).parquet(landing)
-    q = (worker_health_event_time(stream).writeStream.outputMode("append")
-         .foreachBatch(log_batch(log)).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+    stream = spark.readStream.schema(hb.schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    writer = (worker_health_event_time(stream).writeStream.outputMode("append")
+              .foreachBatch(log_batch(log)).option("checkpointLocation", ckpt)
+              .trigger(availableNow=True))
+    q = start_with_state_partitions(writer, spark, HEALTH_STATE_PARTITIONS)
     q.awaitTermination()
     return fold_transitions(spark.read.parquet(log))

@@ -136,3 +136,20 @@ def fold_transitions(log: DataFrame) -> DataFrame:
     packed = F.struct("state", "last_progress_ms", "fetched")
     return (log.groupBy("name").agg(F.max_by(packed, F.struct("batch_id", rank)).alias("s"))
             .select("name", "s.state", "s.last_progress_ms", "s.fetched"))
+
+
+def start_with_state_partitions(writer, spark, state_partitions: int | None):
+    """Start a stateful streaming query with `state_partitions` state-store
+    partitions. Spark takes the count from ``spark.sql.shuffle.partitions`` at
+    the first start and keeps it in the checkpoint; a stream keyed by a few
+    workers wants a few partitions, not the batch jobs' thousands (each
+    partition runs a task, and here a Python worker, every micro-batch)."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)

@@ -101,11 +101,15 @@ def land_in_time_order(df: DataFrame, path: str, ms: str = "ms", n_chunks: int =
     """Write `df` to a landing folder as `n_chunks` time-ordered appends, so the
     file source (which takes files oldest first) sees time-ordered input.
     Chunk bounds come from one min/max aggregate."""
-    b = df.agg(F.min(ms).alias("lo"), F.max(ms).alias("hi")).first()
-    if b is None or b["lo"] is None:
-        return
-    lo, hi = int(b["lo"]), int(b["hi"])
-    width = max(-(-(hi - lo + 1) // n_chunks), 1)
-    for i in range(n_chunks):
-        part = df.where((F.col(ms) >= lo + i * width) & (F.col(ms) < lo + (i + 1) * width))
-        part.repartition(files_per_chunk).write.mode("append").parquet(path)
+    df = df.persist()  # one derivation of the input for all chunk writes
+    try:
+        b = df.agg(F.min(ms).alias("lo"), F.max(ms).alias("hi")).first()
+        if b is None or b["lo"] is None:
+            return
+        lo, hi = int(b["lo"]), int(b["hi"])
+        width = max(-(-(hi - lo + 1) // n_chunks), 1)
+        for i in range(n_chunks):
+            part = df.where((F.col(ms) >= lo + i * width) & (F.col(ms) < lo + (i + 1) * width))
+            part.repartition(files_per_chunk).write.mode("append").parquet(path)
+    finally:
+        df.unpersist()
