@@ -77,7 +77,8 @@ def _ts_type(df: DataFrame, ts: str) -> str:
     return df.schema[ts].dataType.simpleString()
 
 
-def range_join_slices(df: DataFrame, slices: DataFrame, ms: str = "ms") -> DataFrame:
+def range_join_slices(df: DataFrame, slices: DataFrame, ms: str = "ms",
+                      broadcast_max: int = 10_000, bucket_ms: int = 86_400_000) -> DataFrame:
     """Assign rows to uneven slices given as (slice, since_ms, until_ms).
 
     A slice list is tiny and its size is checked before broadcasting; beyond
@@ -86,14 +87,13 @@ def range_join_slices(df: DataFrame, slices: DataFrame, ms: str = "ms") -> DataF
     """
     n = slices.count()
     cond = (F.col(ms) >= F.col("since_ms")) & (F.col(ms) < F.col("until_ms"))
-    if n <= 10_000:
+    if n <= broadcast_max:
         return df.join(F.broadcast(slices), cond, "left")
     # Bucketed range join: each slice is copied into every bucket it touches.
-    bucket_ms = 86_400_000
     s = slices.withColumn("_b", F.explode(F.sequence(idiv("since_ms", bucket_ms),
                                                     idiv(F.col("until_ms") - 1, bucket_ms))))
     d = df.withColumn("_b", idiv(ms, bucket_ms))
-    return d.join(s, (d["_b"] == s["_b"]) & cond, "left").drop("_b")
+    return d.join(s, (d["_b"] == s["_b"]) & cond, "left").drop(d["_b"]).drop(s["_b"])
 
 
 # ------------------------------------------------------------- category scan

@@ -37,8 +37,12 @@ def spread(df: DataFrame) -> DataFrame:
     partitions than there are task slots (a small file with one row group is
     one task). A large input already has more splits than slots, so this is
     a no-op there and adds no shuffle."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,3 +161,14 @@ def test_gap_ranges_merge_runs(spark):
         "since_ms", "until_ms", "buckets", "missing").collect())
     # bucket 0 short by 1, 2-3 empty, 4 full, 5 short by 1, 6 full, 7-8 empty
     assert got == [(0, h, 1, 1), (2 * h, 4 * h, 2, 4), (5 * h, 6 * h, 1, 1), (7 * h, 9 * h, 2, 4)]
+
+
+def test_range_join_fallback_equals_broadcast(spark):
+    ev = fx.events(spark, SF)
+    slices = scans.slice_table(ev, 6)
+    cols = ["event_id", "slice", "since_ms", "until_ms"]
+    small = scans.range_join_slices(ev, slices).select(*cols)
+    big = scans.range_join_slices(ev, slices, broadcast_max=0, bucket_ms=3_600_000).select(*cols)
+    assert "BroadcastNestedLoopJoin" not in big._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
+    assert big.count() == ev.count()
