@@ -59,7 +59,8 @@ def load_batch(target_path: str, key: str = "id", broadcast_max: int = BROADCAST
 def stream_idempotent_load(spark: SparkSession, landing: str, schema: StructType | str,
                            target_path: str, checkpoint: str, key: str = "id",
                            files_per_trigger: int | None = None, fmt: str = "parquet",
-                           available_now: bool = True):
+                           available_now: bool = True,
+                           broadcast_max: int = BROADCAST_KEYS_MAX):
     """Continuous idempotent load from a landing folder.
 
     `checkpoint` makes a restart resume at the first unprocessed file (T03).
@@ -71,7 +72,7 @@ def stream_idempotent_load(spark: SparkSession, landing: str, schema: StructType
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.load(landing).select(key)
-    writer = (stream.writeStream.foreachBatch(load_batch(target_path, key))
+    writer = (stream.writeStream.foreachBatch(load_batch(target_path, key, broadcast_max))
               .option("checkpointLocation", checkpoint))
     if available_now:
         q = writer.trigger(availableNow=True).start()

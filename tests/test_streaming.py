@@ -103,3 +103,17 @@ def test_event_time_health_progress_across_batches(spark, tmp_dir):
            for r in fold_transitions(spark.read.parquet(log)).collect()}
     # now = 95 s: a is fresh; b silent 85 s (dead); c silent 95 s (dead)
     assert got == {"a": ("active", t0 + 95 * s, 3), "b": ("dead", t0 + 10 * s, 2), "c": ("dead", t0, 1)}
+
+
+def test_stream_load_fallback_equals_broadcast_path(spark, tmp_dir):
+    ev = fx.events(spark, SF)
+    d = fx.deliveries(ev).select("id", "strategy")
+    d.repartition(4).write.parquet(tmp_dir + "/land")
+    out = {}
+    for name, bound in (("bcast", 10**9), ("shuffle", 0)):
+        target = f"{tmp_dir}/t_{name}"
+        create_target(spark, target, seed=fx.existing_target(ev))
+        stream_idempotent_load(spark, tmp_dir + "/land", d.schema, target, f"{tmp_dir}/c_{name}",
+                               files_per_trigger=2, broadcast_max=bound)
+        out[name] = _ids(spark.read.parquet(target))
+    assert out["bcast"] == out["shuffle"] == _ids(load.loaded_ids(d, fx.existing_target(ev)))

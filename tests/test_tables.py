@@ -22,3 +22,29 @@ def test_bucketed_target_not_shuffled(spark, tmp_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS ids_bucketed")
+
+
+def test_path_table_load_and_stamp(spark, tmp_dir):
+    ids = spark.range(20).select(F.col("id").cast("string").alias("id"))
+    path = tmp_dir + "/idtable"
+    assert load.append_new_ids(ids.where(F.col("id") < 10), path) == 10
+    assert load.append_new_ids(ids, path) == 10
+    assert load.append_new_ids(ids, path) == 0
+    assert spark.read.parquet(path).count() == 20
+    d = spark.createDataFrame([("a", 1, "x"), ("a", 0, "y"), ("b", 2, "z")], "id string, seq long, data string")
+    rows = load.first_wins_new(d, spark.createDataFrame([("b",)], "id string"), "seq",
+                               payload=["data"], stamp=True).collect()
+    assert [(r["id"], r["data"]) for r in rows] == [("a", "y")] and rows[0]["ingested_at"] is not None
+
+
+def test_estimated_count_paths(spark, tmp_dir):
+    from feedspark.operators import reconcile
+    spark.range(50).write.parquet(tmp_dir + "/est")
+    spark.sql(f"CREATE TABLE est_t USING parquet LOCATION '{tmp_dir}/est'")
+    try:
+        exact = reconcile.estimated_count(spark, "est_t").first()
+        assert (exact["n"], exact["method"]) == (50, "exact")
+        est = reconcile.estimated_count(spark, "est_t", exact_below=10).first()
+        assert (est["n"], est["method"]) == (50, "estimate")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS est_t")
