@@ -343,7 +343,7 @@ kv AS (SELECT event_id, k AS field, json_extract(json, '$."' || k || '"') AS val
        FROM raw, unnest(json_keys(json)) AS u(k)),
 t AS (SELECT event_id, field, val, {jkind('val', '$')} AS kind FROM kv)
 SELECT field, kind, count(*) AS n_rows,
-       max(CASE WHEN kind = 'array' THEN json_array_length(val) END) AS max_array_len,
+       CAST(max(CASE WHEN kind = 'array' THEN json_array_length(val) END) AS INTEGER) AS max_array_len,
        arg_min(substr(CASE WHEN kind = 'null' THEN 'null' WHEN kind IN ('object', 'array') THEN CAST(val AS VARCHAR)
                            ELSE json_extract_string(val, '$') END, 1, 100), event_id) AS preview
 FROM t GROUP BY 1, 2""")
@@ -541,8 +541,8 @@ UNION ALL SELECT * FROM (SELECT * FROM ck WHERE status <> 'completed'
 sql("latest_checkpoint", f"""WITH {EV}, {CKPT_INTENT}
 SELECT * FROM state WHERE status <> 'completed' ORDER BY seq DESC LIMIT 1""")
 
-_CUM = (f"c AS (SELECT worker, batch, events, sum(events) OVER (PARTITION BY worker ORDER BY batch "
-        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fetched FROM b)")
+_CUM = (f"c AS (SELECT worker, batch, events, CAST(sum(events) OVER (PARTITION BY worker ORDER BY batch "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fetched FROM b)")
 sql("milestones", f"""WITH {EV}, {BATCHES}, {_CUM}
 SELECT worker, batch, events, fetched FROM c WHERE fetched % {Q.MILESTONE_EVERY} < events""")
 
@@ -551,8 +551,10 @@ SELECT worker, batch, events, fetched FROM c WHERE fetched % {Q.MILESTONE_EVERY}
 
 sql("running_totals", f"""WITH {EV}, {BATCHES}
 SELECT strategy, batch,
-  sum(events) OVER (PARTITION BY strategy ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS offered_total,
-  sum(inserted) OVER (PARTITION BY strategy ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS inserted_total
+  CAST(sum(events) OVER (PARTITION BY strategy ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS BIGINT) AS offered_total,
+  CAST(sum(inserted) OVER (PARTITION BY strategy ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       AS BIGINT) AS inserted_total
 FROM b""")
 
 _RATE = (f"nw AS (SELECT max(ts_ms) + 1000 AS now FROM b), "
