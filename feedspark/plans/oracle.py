@@ -286,7 +286,7 @@ g AS (SELECT e.bucket, expected - coalesce(loaded, 0) AS missing FROM e LEFT JOI
       WHERE expected - coalesce(loaded, 0) > 0),
 i AS (SELECT *, bucket - row_number() OVER (ORDER BY bucket) AS island FROM g)
 SELECT min(bucket) * {Q.HOUR_MS} AS since_ms, (max(bucket) + 1) * {Q.HOUR_MS} AS until_ms, count(*) AS buckets,
-       sum(missing) AS missing FROM i GROUP BY island""")
+       CAST(sum(missing) AS BIGINT) AS missing FROM i GROUP BY island""")
 
 sql("type_distribution", f"""WITH {EV}
 SELECT event_type, count(*) AS n, count(*) / (SELECT count(*) FROM ev) AS share FROM ev GROUP BY 1""")
