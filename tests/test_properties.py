@@ -28,8 +28,15 @@ def js_truthy(v):
 
 
 def js_string(v):
+    """String(v) in JavaScript for the JSON scalars generated here."""
+    import math
     if v is True:
         return "true"
+    if isinstance(v, float):
+        if math.isinf(v):
+            return "Infinity" if v > 0 else "-Infinity"
+        if v == int(v) and abs(v) < 1e21:
+            return str(int(v))
     return str(v)
 
 
@@ -45,7 +52,7 @@ def model(rec):
     return None
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(record, min_size=1, max_size=60))
 def test_id_pick_matches_model(spark, recs):
     rows = [(i, json.dumps(r)) for i, r in enumerate(recs)]
@@ -73,7 +80,7 @@ def fold_model(rows, as_written):
     return sorted(list(kept) + list(open_row.values()))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(log_row, min_size=1, max_size=40))
 def test_checkpoint_fold_matches_replay(spark, rows):
     from feedspark.operators.progress import checkpoint_state
@@ -116,7 +123,7 @@ json_line = st.one_of(
                      '{"id":1e400}', "012345", "0x1F2E3D", ".5e1", '"tab\\tok"']))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 @given(st.lists(json_line, min_size=1, max_size=60))
 def test_ndjson_lenient_matches_model(spark, lines):
     from feedspark.sources.feed import parse_ndjson_lenient

@@ -96,3 +96,12 @@ def test_file_readers(spark, tmp_dir):
         f.write('{\n "counts": {"events": 5, "users": 2},\n "distributions": {"eventTypes": []},\n "cache": {}\n}')
     rows = {(r["section"], r["name"]): r["count"] for r in feed.read_stats_doc(spark, stats).collect()}
     assert rows == {("counts", "events"): 5, ("counts", "users"): 2}
+
+
+def test_ndjson_number_text_like_javascript(spark):
+    """Numbers print as JavaScript's String() does; non-JSON constants are bare ids."""
+    vals = ['{"id":1e400}', '{"id":-1e400}', '{"id":1.5}', '{"id":2.0}', '{"id":1e3}', '{"id":-0}',
+            "NaN", "Infinity", "0x1F2E3D", "012345"]
+    got = {r["n"]: r["id"] for r in feed.parse_ndjson_lenient(lines(spark, vals), keep=["n"]).collect()}
+    assert [got.get(i) for i in range(len(vals))] == [
+        "Infinity", "-Infinity", "1.5", "2", "1000", None, None, "Infinity", "0x1F2E3D", "012345"]
