@@ -30,10 +30,12 @@ def type_filter_check(records: DataFrame, requested: str, v: str = "v",
                       fields=TYPE_FIELDS) -> DataFrame:
     """P04 all-rows form: per requested type, rows scanned and whether every
     row matched it (`bool_and`)."""
-    return records.groupBy(F.col(requested).alias("requested_type")).agg(
+    staged = records.select(F.col(requested).alias("requested_type"),
+                            type_matches(F.col(v), F.col(requested), fields).alias("_m"))
+    return staged.groupBy("requested_type").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(type_matches(F.col(v), F.col(requested), fields)).alias("n_matching"),
-        F.bool_and(type_matches(F.col(v), F.col(requested), fields)).alias("all_match"))
+        F.count_if("_m").alias("n_matching"),
+        F.bool_and("_m").alias("all_match"))
 
 
 def first_present(v, fields) -> Column:
@@ -42,20 +44,26 @@ def first_present(v, fields) -> Column:
     return F.coalesce(*[F.when(~F.is_variant_null(x), x) for x in vals])
 
 
+def _with_time_value(records: DataFrame, v: str, fields, keep: list[str]) -> DataFrame:
+    """Stage the first present time value (`_t`) and its format class, so the
+    candidate lookups run once per row, not once per use."""
+    staged = records.select(*keep, first_present(F.col(v), fields).alias("_t"))
+    return staged.withColumn("format", F.coalesce(ts_format_class(F.col("_t")), F.lit("none")))
+
+
 def ts_format_profile(records: DataFrame, v: str = "v", fields=TIME_FIELDS_REPORT) -> DataFrame:
     """Rows per timestamp format class of the first present time field
     (``none`` when no candidate is present)."""
-    cls = F.coalesce(ts_format_class(first_present(F.col(v), fields)), F.lit("none"))
-    return records.groupBy(cls.alias("format")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return (_with_time_value(records, v, fields, []).groupBy("format")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def ts_normalised(records: DataFrame, v: str = "v", fields=TIME_FIELDS_REPORT,
                   keep: list[str] | None = None) -> DataFrame:
     """One instant per record (epoch ms), with the format it came from."""
     keep = keep or []
-    t = first_present(F.col(v), fields)
-    return records.select(*keep, F.coalesce(ts_format_class(t), F.lit("none")).alias("format"),
-                          epoch_ms(ts_normalise(t)).alias("norm_ms"))
+    staged = _with_time_value(records, v, fields, keep)
+    return staged.select(*keep, "format", epoch_ms(ts_normalise(F.col("_t"))).alias("norm_ms"))
 
 
 def field_type_profile(records: DataFrame, v: str = "v", order: str = "event_id",
@@ -65,11 +73,12 @@ def field_type_profile(records: DataFrame, v: str = "v", order: str = "event_id"
     first record by `order`)."""
     kv = records.select(order, F.explode(F.try_variant_get(F.col(v), "$", "map<string,variant>"))
                         .alias("field", "val"))
-    kind = vkind(F.col("val"))
+    kv = kv.withColumn("kind", vkind(F.col("val")))  # staged: used three times below
+    kind = F.col("kind")
     text = F.when(kind == "null", F.lit("null")).when(kind.isin("object", "array"),
                                                       F.to_json(F.col("val"))).otherwise(vtext("val"))
     alen = F.when(kind == "array", F.size(F.try_variant_get(F.col("val"), "$", "array<variant>")))
-    return (kv.select("field", kind.alias("kind"), order, alen.alias("_alen"),
+    return (kv.select("field", "kind", order, alen.alias("_alen"),
                       F.substring(text, 1, preview_len).alias("_preview"))
             .groupBy("field", "kind")
             .agg(F.count(F.lit(1)).alias("n_rows"),
