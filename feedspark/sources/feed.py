@@ -97,7 +97,7 @@ def parse_ndjson_lenient(lines: DataFrame, fields=ID_FIELDS,
     nothing; an unparsable line is a bare id when its trimmed length is
     between 5 and 200 (exclusive)."""
     keep = keep or []
-    p = _parsed(lines.where(_js_trim(F.col("value")) != ""), "value", keep)
+    p = _parsed(keep_rows(lines, _js_trim(F.col("value")) != ""), "value", keep)
     p = with_id_pick(p, "_v", fields, id_col="_oid", field_col=None, kind_col=None)
     t = _js_trim(F.col("_raw"))
     k = F.col("_k")
@@ -113,7 +113,7 @@ def parse_ndjson_strict(lines: DataFrame, fields=ID_FIELDS,
     """Every non-blank line must be one JSON object; any other line fails
     the job (`raise_error`), naming the offending text."""
     keep = keep or []
-    p = _parsed(lines.where(_js_trim(F.col("value")) != ""), "value", keep)
+    p = _parsed(keep_rows(lines, _js_trim(F.col("value")) != ""), "value", keep)
     bad = F.col("_v").isNull() | (F.col("_k") != "object")
     p = p.withColumn("_chk", F.when(bad, F.raise_error(
         F.concat(F.lit("bad NDJSON line: "), F.substring(F.col("_raw"), 1, 200)))))
@@ -135,18 +135,23 @@ def parse_sse(lines: DataFrame, fields=ID_FIELDS, gate_fields=SSE_ID_GATE_FIELDS
     keep = keep or []
     raw = F.col("value")
     data = _js_trim(F.substring(raw, len(SSE_DATA_PREFIX) + 1, 1 << 30))
-    framed = (lines.where(raw.startswith(SSE_DATA_PREFIX))
-              .select(*keep, data.alias("_d"))
-              .where((F.col("_d") != "") & (F.col("_d") != SSE_DONE)))
+    # Line filters run as generators (`keep_rows`): a `where` would be pushed
+    # into whatever computed `value` and evaluate it twice.
+    framed = keep_rows(lines, raw.startswith(SSE_DATA_PREFIX)).select(*keep, data.alias("_d"))
+    framed = keep_rows(framed, (F.col("_d") != "") & (F.col("_d") != SSE_DONE))
     p = _parsed(framed, "_d", keep)
     d = F.col("_raw")
-    gates = [vget(F.col("_v"), field_path(g)) for g in gate_fields]
+    # Stage the gate fields and their kinds: each is read several times below.
+    gnames = [f"_g{i}" for i in range(len(gate_fields))]
+    p = p.select("*", *[vget(F.col("_v"), field_path(g)).alias(n) for g, n in zip(gate_fields, gnames)])
+    p = p.select("*", *[vkind(F.col(n)).alias(n + "k") for n in gnames])
     gate = F.lit(False)
-    for g in gates:
-        gate = gate | truthy_of(g, vkind(g))
+    for n in gnames:
+        gate = gate | truthy_of(F.col(n), F.col(n + "k"))
+    p = p.withColumn("_gate", gate).drop(*gnames, *[n + "k" for n in gnames])
     elems = (F.when(F.col("_k") == "array", F.try_variant_get(F.col("_v"), "$", "array<variant>"))
              .when(F.col("_k") == "string", F.array(F.col("_v")))
-             .when((F.col("_k") == "object") & gate, F.array(F.col("_v"))))
+             .when((F.col("_k") == "object") & F.col("_gate"), F.array(F.col("_v"))))
     # One pass: each payload becomes a list of (element, bare text) pairs.
     no_elem = F.lit(None).cast("variant")
     no_text = F.lit(None).cast("string")
