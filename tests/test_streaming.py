@@ -117,3 +117,23 @@ def test_stream_load_fallback_equals_broadcast_path(spark, tmp_dir):
                                files_per_trigger=2, broadcast_max=bound)
         out[name] = _ids(spark.read.parquet(target))
     assert out["bcast"] == out["shuffle"] == _ids(load.loaded_ids(d, fx.existing_target(ev)))
+
+
+def test_watermark_dedup_loses_newest_first_input(spark, tmp_dir):
+    """The late-data trap: on newest-first input the watermark jumps to the
+    newest event and older rows count as late, so T02 drops them (T01 keeps
+    them, see test_newest_first_input_loses_nothing). T02 is for
+    time-ordered input only."""
+    from feedspark.streaming import stream_dedup_within_watermark
+    ev = fx.events(spark, SF)
+    d = fx.deliveries(ev).select("id", "ms", F.timestamp_millis("ms").alias("ts"))
+    landing = tmp_dir + "/l"
+    lo, hi = d.agg(F.min("ms"), F.max("ms")).first()
+    step = (hi + 1 - lo) // 4 + 1
+    for k in range(3, -1, -1):  # newest chunk lands first
+        d.where((F.col("ms") >= lo + k * step) & (F.col("ms") < lo + (k + 1) * step)).write.mode(
+            "append").parquet(landing)
+    stream_dedup_within_watermark(spark, landing, d.schema, tmp_dir + "/sink", tmp_dir + "/c",
+                                  files_per_trigger=1)
+    kept = spark.read.parquet(tmp_dir + "/sink").count()
+    assert kept < d.select("id").distinct().count()
