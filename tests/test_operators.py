@@ -172,3 +172,18 @@ def test_range_join_fallback_equals_broadcast(spark):
     assert "BroadcastNestedLoopJoin" not in big._jdf.queryExecution().executedPlan().toString()
     assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
     assert big.count() == ev.count()
+
+
+def test_row_index_balanced_when_one_timestamp_holds_all_rows(spark):
+    """A hot sort key: every row has the same ts. The unique tie-breaker lets
+    range partitioning split it, so no partition takes the whole set."""
+    df = spark.range(20000).select(F.col("id").alias("event_id"),
+                                   F.lit(1_700_000_000_000).alias("ts"))
+    idx = with_row_index(df, [F.col("ts").desc(), F.col("event_id").desc()], num_partitions=8)
+    sizes = [r["n"] for r in idx.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 2 * 20000 / 8
+    got = idx.agg(F.min("idx"), F.max("idx"), F.count_distinct("idx")).first()
+    assert tuple(got) == (0, 19999, 20000)
+    first = idx.where(F.col("idx") == 0).first()["event_id"]
+    assert first == 19999  # newest first, then the key descending
