@@ -187,3 +187,18 @@ def test_row_index_balanced_when_one_timestamp_holds_all_rows(spark):
     assert tuple(got) == (0, 19999, 20000)
     first = idx.where(F.col("idx") == 0).first()["event_id"]
     assert first == 19999  # newest first, then the key descending
+
+
+def test_hot_id_collapses_before_the_shuffle(spark):
+    """One id is a third of all offered rows: the dedup aggregates map-side
+    (a partial aggregate below the exchange), so the hot id crosses the
+    shuffle as one row per task."""
+    hot = spark.range(10000).select(F.lit("hot").alias("id"))
+    rest = spark.range(20000).select(F.col("id").cast("string").alias("id"))
+    offered = hot.unionByName(rest)
+    target = spark.range(0, 20000, 2).select(F.col("id").cast("string").alias("id"))
+    new = load.new_ids(offered, target)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(id"):]
+    assert "HashAggregate(keys=[id" in below  # partial aggregate before the shuffle
+    assert new.count() == 10001 and new.where(F.col("id") == "hot").count() == 1
