@@ -202,3 +202,20 @@ def test_hot_id_collapses_before_the_shuffle(spark):
     below = plan[plan.index("Exchange hashpartitioning(id"):]
     assert "HashAggregate(keys=[id" in below  # partial aggregate before the shuffle
     assert new.count() == 10001 and new.where(F.col("id") == "hot").count() == 1
+
+
+def test_segmented_running_sums_one_hot_worker(spark):
+    """Every batch belongs to one worker: the segmented form still windows by
+    (worker, block), and equals the plain per-worker running sum."""
+    from pyspark.sql import Window
+    from feedspark.operators.running import running_sums
+    b = spark.range(5000).select(F.lit("w0").alias("worker"), F.col("id").alias("batch"),
+                                 (F.col("id") % 7 + 1).alias("events"))
+    seg = running_sums(b, ["worker"], "batch", {"fetched": "events"}, block_rows=300)
+    plan = seg._jdf.queryExecution().executedPlan().toString()
+    assert "_blk" in plan.split("Window [")[1].split("]")[1]  # window partitioned by the block too
+    w = Window.partitionBy("worker").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    plain = b.withColumn("fetched", F.sum("events").over(w))
+    key = ["worker", "batch", "fetched"]
+    assert sorted(tuple(r) for r in seg.select(*key).collect()) == sorted(
+        tuple(r) for r in plain.select(*key).collect())
