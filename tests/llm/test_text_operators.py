@@ -1,0 +1,348 @@
+"""The per-text operators against plain statements of their rules."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import public_tokenizers as P
+from tokenizers import Tokenizer
+
+from conftest import SF
+from feedspark.llm import bpe, exact_dedup, fingerprint, language, packing, queries, secrets, toxicity
+
+from .conftest import TEXTS, texts_of
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+# --- 4 BPE ------------------------------------------------------------------
+PATH4 = P.path("word_bpe_49k.json")
+
+
+def test_bpe_equals_the_library(spark, wild):
+    lib = Tokenizer.from_file(PATH4)
+    got = bpe.decode_documents(bpe.encode_documents(wild, PATH4), PATH4).collect()
+    want = sorted((i or -1, lib.encode(t or "", add_special_tokens=False).ids) for i, t in TEXTS)
+    assert sorted((r["doc_id"] or -1, r["ids"]) for r in got) == want
+    assert all(r["decoded"] == lib.decode(r["ids"], skip_special_tokens=False) for r in got)
+
+
+def test_bpe_plain_rule_covers_every_plain_character():
+    lib, own = Tokenizer.from_file(PATH4), bpe.PairIndexBPE(PATH4)
+    plain = [chr(c) for c in range(256) if not bpe._OTHER.search(chr(c))]
+    for c in plain:
+        t = f"ab{c}cd{c}{c} {c}e1{c}'s'{c}l"
+        own.learn(set(own.words(t)))
+        assert own.encode_batch([t])[0] == b"".join(
+            i.to_bytes(4, "little") for i in lib.encode(t, add_special_tokens=False).ids), repr(c)
+
+
+def test_bpe_query(spark):
+    lib = Tokenizer.from_file(PATH4)
+    got = {r["doc_id"]: r for r in queries.QUERIES["op4_bpe_pair_index"](spark, SF).collect()}
+    for i, t in texts_of(SF):
+        ids = lib.encode(t or "", add_special_tokens=False).ids
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"], got[i]["decoded_sha256"]) == (
+            len(ids), sha(" ".join(map(str, ids))), sha(lib.decode(ids, skip_special_tokens=False)))
+
+
+def test_merges_come_after_their_parts():
+    """What lets one rank be applied to all its positions at once."""
+    own = bpe.PairIndexBPE(PATH4)
+    made = {}
+    for rank, (a, b, new) in enumerate(own.pair):
+        assert max(made.get(a, -1), made.get(b, -1)) < rank
+        made.setdefault(new, rank)
+
+
+# --- 6 packing ----------------------------------------------------------------
+PATH6 = P.path("byte_bpe_50k.json")
+
+
+def check_packing(rows, texts, window):
+    lib = Tokenizer.from_file(PATH6)
+    want = sorted((i or -1, tuple(lib.encode(t or "", add_special_tokens=False).ids + [1])) for i, t in texts)
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert len(r["ids"]) == 4 * r["length"] and 1 <= r["length"] <= window
+    for parts in by.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+        assert at <= window
+    docs = defaultdict(list)
+    for r in rows:
+        docs[r["doc_id"] or -1].append((r["start"], bytes(r["ids"]), r["doc_tokens"]))
+    for i, parts in docs.items():
+        mine = [w for w in want if w[0] == i]
+        got = b"".join(p for _, p, _ in sorted(parts, key=lambda x: x[0]))
+        if len(mine) == 1:
+            assert got == b"".join(x.to_bytes(4, "little") for x in mine[0][1])
+            assert {n for *_, n in parts} == {len(mine[0][1])}
+    assert sum(r["length"] for r in rows) == sum(len(ids) for _, ids in want)
+    return by
+
+
+def test_packing_wild(wild):
+    for ranks in (None, P.path("byte_bpe_50k.tiktoken")):
+        rows = packing.pack_documents(wild, PATH6, ranks, P.PATTERN, window=64, block_tokens=500).collect()
+        check_packing(rows, TEXTS, 64)
+
+
+def test_packing_query_and_padding(spark):
+    rows = packing.pack_documents(spark.read.parquet(f"{SF}/documents.parquet"), PATH6,
+                                  P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
+    by = check_packing(rows, texts_of(SF), 2048)
+    total = sum(r["length"] for r in rows)
+    assert len(by) * 2048 < 1.03 * total + 2048
+    got = queries.QUERIES["op6_pack_best_fit"](spark, SF).collect()
+    want = {(r["doc_id"], r["start"]): zlib.crc32(bytes(r["ids"])) for r in rows}
+    assert {(r["doc_id"], r["start"]): r["ids_crc32"] for r in got} == want
+
+
+def test_best_fit_takes_the_tightest_window():
+    import random
+    rng = random.Random(5)
+    lengths = [rng.randint(1, 100) for _ in range(700)]
+    rooms, want = [], {}
+    for i in sorted(range(700), key=lambda i: (-lengths[i], i)):
+        fit = [r for r in rooms if r >= lengths[i]]
+        room = min(fit) if fit else 100
+        if fit:
+            rooms.remove(room)
+        want[i] = room
+        rooms.append(room - lengths[i])
+    got = packing.best_fit_decreasing(lengths, 100)
+    assert all(100 - got[i][1] == want[i] for i in range(700))
+    assert packing.best_fit_decreasing([], 100) == []
+
+
+# --- 2 fingerprints -------------------------------------------------------------
+def lz_set(text):
+    seen, p = set(), ""
+    for c in text:
+        p += c
+        if p not in seen:
+            seen.add(p)
+            p = ""
+    return seen
+
+
+def check_edits(rows, texts):
+    """`texts` by descending id, ties in any order."""
+    ids = [i for i, _ in texts]
+    for r in rows:
+        if ids.count(r["doc_id"]) > 1:
+            continue
+        k = ids.index(r["doc_id"])
+        t, nxt = texts[k][1] or "", texts[(k + 1) % len(texts)][1] or ""
+        cut = len(t) // 2
+        edited = t[:len(t) - cut] + nxt[:cut]
+        assert r["n_chars"] == len(t) and r["edited"] == edited
+        sig, esig, nsig = map(fingerprint.lz_signature, (t, edited, nxt))
+        assert r["fingerprint"] == sig.tobytes().hex() and r["edited_fingerprint"] == esig.tobytes().hex()
+        assert r["near_edited"] == fingerprint.likeness(sig, esig)
+        assert r["near_next"] == fingerprint.likeness(sig, nsig)
+
+
+def test_fingerprint_edits_wild(wild):
+    rows = fingerprint.fingerprint_edits(wild).collect()
+    texts = sorted(TEXTS, key=lambda x: -(x[0] or -1))
+    assert len(rows) == len(TEXTS)
+    check_edits(rows, texts)
+
+
+def test_fingerprint_query_and_estimate(spark):
+    texts = texts_of(SF)[::-1]
+    rows = fingerprint.fingerprint_edits(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert len(rows) == len(texts)
+    check_edits(rows, texts)
+    off = []
+    for k in range(0, len(texts) - 1):
+        a, b = lz_set(texts[k][1] or ""), lz_set(texts[k + 1][1] or "")
+        if a and b:
+            sig = [fingerprint.lz_signature(texts[j][1] or "") for j in (k, k + 1)]
+            off.append(abs(fingerprint.likeness(*sig) - len(a & b) / len(a | b)))
+    assert sum(off) / len(off) < 0.05 and max(off) < 0.25
+    got = queries.QUERIES["op2_lz_fingerprint"](spark, SF).collect()
+    assert {r["doc_id"]: r["edited_sha256"] for r in got} == {r["doc_id"]: sha(r["edited"]) for r in rows}
+
+
+def test_likeness_of_empty_texts():
+    e, x = fingerprint.lz_signature(""), fingerprint.lz_signature("some text here")
+    assert fingerprint.likeness(e, e) == 1 and fingerprint.likeness(e, x) == 0
+
+
+# --- 3 exact dedup --------------------------------------------------------------
+def brute_dedup(texts):
+    by = defaultdict(list)
+    for i, t in texts:
+        t = t or ""
+        by[sha(re.sub(r"[\x20\x09-\x0D]", "", t))].append((-len(t), i is None, i))
+    return sorted(((i or -1), min(g)[2] or -1, len(g), h) for h, g in by.items() for _, _, i in g)
+
+
+def test_exact_dedup(spark, wild):
+    for bits in (1 << 27, 1 << 16):
+        got = exact_dedup.exact_duplicates(wild, bits).collect()
+        assert sorted((r["doc_id"] or -1, r["keep_id"] or -1, r["group_size"], r["text_sha256"])
+                      for r in got) == brute_dedup(TEXTS)
+        by = defaultdict(list)
+        for r in got:
+            by[r["text_sha256"]].append(r["kept"])
+        assert all(sum(k) == 1 for k in by.values())
+
+
+def test_exact_dedup_hot_group_and_tiny_filter(spark):
+    """Half of the rows are one text; a filter so small that all positions repeat."""
+    rows = [(i, "same text" if i % 2 else f"text {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.exact_duplicates(df, max_bits=64).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == sorted(
+        (r[0], r[1] if r[1] >= 0 else r[0], r[2], r[3]) for r in
+        [(i if i != -1 else 0, k if k != -1 else 0, n, h) for i, k, n, h in brute_dedup(rows)])
+
+
+# --- 9 secrets ------------------------------------------------------------------
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                    re.ASCII)
+
+
+def brute_spans(t):
+    out = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
+    p = secrets.EntropyParams()
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", t):
+        s = m[0]
+        if len(s) < p.min_run or not re.search("[0-9]", s) or not re.search("[A-Za-z]", s):
+            continue
+        if any(re.fullmatch(a, s) for a in secrets.ALLOW):
+            continue
+        hexa = re.fullmatch("[0-9a-f]+|[0-9A-F]+", s)
+        w, least = (p.hex_window, p.hex_bits) if hexa else (p.mixed_window, p.mixed_bits)
+        hot = [k for k in range(len(s) - w + 1) if entropy(s[k:k + w]) >= least - 1e-9]
+        if hot:
+            out.append((m.start() + hot[0], 3, "entropy", m.start() + hot[-1] + w))
+    return sorted(out)
+
+
+def entropy(s):
+    import math
+    return -sum(s.count(c) / len(s) * math.log2(s.count(c) / len(s)) for c in set(s))
+
+
+def test_secret_scan(spark, wild):
+    got = secrets.scan_secrets(wild).collect()
+    want = {i: brute_spans(t or "") for i, t in TEXTS}
+    assert all([tuple(s) for s in r["spans"]] == want[r["doc_id"]] for r in got) and len(got) == len(TEXTS)
+    assert want[13] and want[14]
+    done = {r["doc_id"]: r["text"] for r in secrets.redact(secrets.scan_secrets(wild)).collect()}
+    assert "hunter2" not in done[13] and "AKIA" not in done[13] and done[9] == "a" and done[6] == LONG_TEXT
+
+
+LONG_TEXT = dict(TEXTS)[6]
+
+
+def test_secret_query(spark):
+    got = {r["doc_id"]: r for r in queries.QUERIES["op9_secret_scan"](spark, "/root/testdata/sf0.01").collect()}
+    some = 0
+    for i, t in texts_of("/root/testdata/sf0.01"):
+        spans = brute_spans(t or "")
+        line = lambda xs: ",".join(f"{k}:{a}:{b}" for a, _, k, b in xs)
+        base = [s for s in spans if s[1] < 3]
+        some += len(base)
+        assert got[i]["spans"] == line(spans) and got[i]["base_sha256"] == sha(line(base))
+        assert [got[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [
+            sum(s[1] == j for s in spans) for j in range(3)]
+    assert some > 0
+
+
+# --- 1 and 10: learned operators ----------------------------------------------------
+def auc(rows):
+    rows = sorted(rows)
+    pos = [k for k, (_, y) in enumerate(rows) if y]
+    n1, n0 = len(pos), len(rows) - len(pos)
+    return (sum(pos) - n1 * (n1 - 1) / 2) / (n1 * n0)
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    got = queries.QUERIES["op1_toxicity_fm"](spark, sf)
+    lab = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = [(r["score"], r["toxic"]) for r in got.where("held_out").join(lab, "doc_id").collect()]
+    assert auc(rows) > 0.95
+    assert sum(s >= 0.5 for s, y in rows if not y) < 0.02 * len(rows)
+    assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_toxicity_finds_a_pair_that_no_single_word_shows(spark):
+    """Either word alone is harmless, both together are toxic."""
+    rows, lab, n = [], [], 0
+    for k in range(400):
+        a, b = k % 2, k // 2 % 2
+        rows.append((k, " ".join(["plain"] + ["alpha"] * a + ["omega"] * b)))
+        lab.append((k, a & b))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(lab, "doc_id long, toxic int")
+    m = toxicity.fit_toxicity(df, labels)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(df, m).collect()}
+    assert all(got[k] == t for k, t in lab)
+
+
+def test_toxicity_edges(spark, wild, nothing):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    lab = spark.createDataFrame([(1, 1), (9, 0), (None, 1), (5, None), (77, 1)], "doc_id long, toxic int")
+    for m in (toxicity.fit_toxicity(wild, none), toxicity.fit_toxicity(wild, lab)):
+        rows = toxicity.score_toxicity(wild, m).collect()
+        assert len(rows) == len(TEXTS) and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_held_out(spark):
+    sf = "/root/testdata/sf0.01"
+    got = queries.QUERIES["op10_language_bitmask"](spark, sf)
+    true = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = got.where("held_out").join(true, "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) > 0.97 * len(rows)
+
+
+def test_language_edges(spark, wild, nothing):
+    df = spark.createDataFrame([(1, "der die das und nicht", "de"), (2, "the and of with", "en"), (3, None, "fr"),
+                                (4, "le la les", None)], "doc_id long, text string, lang string")
+    m = language.fit_languages(df)
+    assert m.langs == ["de", "en"]
+    assert m.predict("the and") == ("en", 1.0) and m.predict("die und")[0] == "de"
+    got = {(r["doc_id"], r["lang_pred"] == "und") for r in language.predict_languages(wild, m).collect()}
+    assert {(2, True), (3, True), (4, True), (1, False), (9, False)} <= got
+    empty = language.fit_languages(nothing)
+    assert empty.predict("words") == ("und", 0.0)
+
+
+def test_language_masks_equal_separate_filters(spark):
+    """The sliced table answers for each language as its own Bloom filter would."""
+    import numpy as np
+    rows = [(f"l{k:02d}", np.unique(language.grams(f"word{chr(97 + k)} text{k} alpha", 4)).tobytes())
+            for k in range(11)]
+    p = language.LangParams(bits=10)
+    m = language._build(rows, p)
+    for k, (lang, data) in enumerate(rows):
+        own = np.zeros(1 << 10, bool)
+        for at in language.slots(np.frombuffer(data, np.uint64), 10, p.hashes):
+            own[at] = True
+        assert (((m.filters[:, k // 8] >> (k % 8)) & 1).astype(bool) == own).all()
+        assert abs(m.false_positive[k] - own.mean() ** 2) < 1e-12
+
+
+def test_empty_tables(spark, nothing):
+    path = PATH4
+    m = toxicity.fit_toxicity(nothing, spark.createDataFrame([], "doc_id long, toxic int"))
+    for df in (toxicity.score_toxicity(nothing, m), fingerprint.fingerprint_edits(nothing),
+               fingerprint.fingerprint_documents(nothing), exact_dedup.exact_duplicates(nothing),
+               bpe.encode_documents(nothing, path), packing.pack_documents(nothing, PATH6),
+               secrets.scan_secrets(nothing), language.predict_languages(nothing, language.fit_languages(nothing))):
+        assert df.count() == 0
