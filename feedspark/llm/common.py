@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir, scratch_path
 
 #: Bytes of one Arrow batch sent to a Python worker. Rows alone do not bound a
 #: batch: ten thousand texts of a megabyte each would be ten gigabytes.
@@ -105,5 +105,43 @@ def attach_by_key(rows: DataFrame, groups: DataFrame, key: str, size: str,
     return hot.unionByName(rest)
 
 
+
+def hash_filter(ids: DataFrame, cols: list[str], bits: int) -> DataFrame:
+    """A Bloom filter with one hash over `cols` as rows of 64 bits: at most
+    bits / 64 rows, so it may be broadcast whatever the data."""
+    at = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    return (ids.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("_word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("_mask")))
+
+
+def repeated_filter(rows: DataFrame, cols: list[str], bits: int) -> DataFrame:
+    """As `hash_filter`, of the positions that more than one row marks."""
+    at = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    twice = rows.select(at.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return (twice.groupBy(F.shiftright("p", 6).alias("_word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("_mask")))
+
+
+def marked(rows: DataFrame, words: DataFrame, cols: list[str], bits: int, flag: str) -> DataFrame:
+    """`rows` with `flag`: false if the row's position is surely not in the filter."""
+    at = F.pmod(F.xxhash64(*cols), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    hit = F.coalesce(F.col("_mask").bitwiseAND(bit), F.lit(0)) != 0
+    return (rows.join(F.broadcast(words), F.shiftright(at, 6) == F.col("_word"), "left")
+            .withColumn(flag, hit).drop("_word", "_mask"))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a Parquet table in the shared checkpoint folder, read again. It is
+    deleted when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 __all__ = ["cut_lineage", "prepare", "table", "docs_of", "fold", "map_batches", "chunks",
-           "splitmix64", "attach_by_key", "ARROW_BATCH_BYTES", "CHUNK_CHARS", "SPACE_CLASS"]
+           "splitmix64", "attach_by_key", "hash_filter", "repeated_filter", "marked", "written",
+           "ARROW_BATCH_BYTES", "CHUNK_CHARS", "SPACE_CLASS"]

@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, exact_dedup, fingerprint, language, packing, secrets, toxicity)
+from . import (bpe, chat, exact_dedup, fingerprint, language, line_dedup, ngram_join, packing, secrets,
+               toxicity)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,17 @@ def op10_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit_languages(docs, fold("doc_id", 4) != 2)
     return language.predict_languages(docs, model).select(
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = ngram_join.JoinParams(words=3, num=90, den=100)
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), params).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_decisions(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
+                      F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))

@@ -126,6 +126,22 @@ def _entropy_spans(text: Column, p: EntropyParams) -> Column:
         F.lit(KINDS[rank]).alias("kind"), (m["start"] + m["w"]["last"]).alias("end"))).cast(_SPAN)
 
 
+def with_spans(df: DataFrame, text: str, out: str, params: EntropyParams = EntropyParams()) -> DataFrame:
+    """`df` with the spans of the non-null string column `text` as `out`."""
+    prepare(df.sparkSession)
+    t, none = F.col(text), F.array().cast(_SPAN)
+    assign = F.filter(located(t, ASSIGN),
+                      lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 1)) >= ASSIGN_MIN)
+    # A cheap test first: most texts have none of a kind and skip its positions.
+    kinds = ((t.rlike(ASSIGN), _spans(assign, 0)),
+             (t.contains("AKIA"), _spans(located(t, ACCESS), 1)),
+             (t.rlike(HEX), _spans(located(t, HEX), 2)),
+             (t.rlike(_candidates(params.min_run)), _entropy_spans(t, params)))
+    names = [f"_kind{k}" for k in range(len(kinds))]
+    df = df.withColumns({n: F.when(test, spans).otherwise(none) for n, (test, spans) in zip(names, kinds)})
+    return df.withColumn(out, F.array_sort(F.concat(*names))).drop(*names)
+
+
 def scan_secrets(docs: DataFrame, params: EntropyParams = EntropyParams()) -> DataFrame:
     """`doc_id`, `text` and `spans` (array of struct start, rank, kind, end; by
     start, then kind as listed in `KINDS`) of every whole text.
@@ -133,41 +149,29 @@ def scan_secrets(docs: DataFrame, params: EntropyParams = EntropyParams()) -> Da
     A null text counts as empty and has no spans. Spans of different kinds may
     overlap. Repeated rows are each scanned.
     """
-    prepare(docs.sparkSession)
-    df = docs_of(docs)
-    none = F.array().cast(_SPAN)
-    # A cheap test first: most texts have none of a kind and skip its positions.
-    assign = F.filter(located(F.col("text"), ASSIGN),
-                      lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 1)) >= ASSIGN_MIN)
-    df = df.select("doc_id", "text", *[
-        F.when(test, spans).otherwise(none).alias(name) for name, test, spans in (
-            ("_assign", F.col("text").rlike(ASSIGN), _spans(assign, 0)),
-            ("_access", F.col("text").contains("AKIA"), _spans(located(F.col("text"), ACCESS), 1)),
-            ("_hex", F.col("text").rlike(HEX), _spans(located(F.col("text"), HEX), 2)),
-            ("_entropy", F.col("text").rlike(_candidates(params.min_run)),
-             _entropy_spans(F.col("text"), params)))])
-    return df.select("doc_id", "text", F.array_sort(
-        F.concat("_assign", "_access", "_hex", "_entropy")).alias("spans"))
-
-
-def redact(scanned: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """`doc_id` and `text` with every span (overlapping ones as one) replaced by
-    `mask`. Texts without spans stay as they are."""
+    return with_spans(docs_of(docs), "text", "spans", params)
+
+
+def redact(docs: DataFrame, mask: str = "[SECRET]", params: EntropyParams = EntropyParams()) -> DataFrame:
+    """The columns of `docs`, with every span in `text` (overlapping ones as one)
+    replaced by `mask`. Texts without spans, and null texts, stay as they are."""
     kind = "struct<at:int,out:string>"
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out")).cast(kind)
+    t = F.col("_secret_text")
 
     def step(s: Column, m: Column) -> Column:
-        fresh = m["start"] >= s["at"]
-        gap = F.substring(F.col("text"), s["at"] + 1, m["start"] - s["at"])
+        gap = F.substring(t, s["at"] + 1, m["start"] - s["at"])
         return F.struct(F.greatest(s["at"], m["end"]).alias("at"),
-                        F.when(fresh, F.concat(s["out"], gap, F.lit(mask)))
+                        F.when((m["start"] >= s["at"]), F.concat(s["out"], gap, F.lit(mask)))
                         .otherwise(s["out"]).alias("out")).cast(kind)
 
-    done = F.aggregate("spans", start, step)
-    return (scanned.withColumn("_d", F.when(F.size("spans") > 0, done))
-            .select("doc_id", F.when(F.col("_d").isNull(), F.col("text")).otherwise(
-                F.concat("_d.out", F.substring("text", F.col("_d.at") + 1, F.length("text"))))
-                .alias("text")))
+    df = docs.withColumn("_secret_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    df = with_spans(df, "_secret_text", "_secret_spans", params)
+    done = F.when(F.size("_secret_spans") > 0, F.aggregate("_secret_spans", start, step))
+    df = df.withColumn("_secret_done", done)
+    text = F.when(F.col("_secret_done").isNull(), F.col("text")).otherwise(
+        F.concat("_secret_done.out", F.substring(t, F.col("_secret_done.at") + 1, F.length(t))))
+    return df.withColumn("text", text).select(*docs.columns)
 
 
 def span_text(spans: Column) -> Column:

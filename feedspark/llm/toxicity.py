@@ -239,3 +239,19 @@ def score_toxicity(docs: DataFrame, model: FMModel) -> DataFrame:
                 "predicted": pa.array([int(x >= 0.5) for x in s], pa.int32())})
 
     return map_batches(df, run, "doc_id long, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: FMModel) -> DataFrame:
+    """The rows of `docs`, with all their columns, that the model does not reject
+    (score below 0.5). Null and empty texts are scored as in `score_toxicity`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        terms = _Terms((1 << m.params.bits) - 1, m.seen)
+        for b in batches:
+            keep = [m.score(terms.of(t or "")) < 0.5 for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)

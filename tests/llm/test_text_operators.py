@@ -242,8 +242,9 @@ def test_secret_scan(spark, wild):
     want = {i: brute_spans(t or "") for i, t in TEXTS}
     assert all([tuple(s) for s in r["spans"]] == want[r["doc_id"]] for r in got) and len(got) == len(TEXTS)
     assert want[13] and want[14]
-    done = {r["doc_id"]: r["text"] for r in secrets.redact(secrets.scan_secrets(wild)).collect()}
-    assert "hunter2" not in done[13] and "AKIA" not in done[13] and done[9] == "a" and done[6] == LONG_TEXT
+    out = secrets.redact(wild)
+    done = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert out.columns == wild.columns and done[2] is None and "hunter2" not in done[13] and "AKIA" not in done[13] and done[9] == "a" and done[6] == LONG_TEXT
 
 
 LONG_TEXT = dict(TEXTS)[6]
