@@ -19,8 +19,8 @@ or more to it; lines without a token stay.
    members of their lists, so a list of near copies costs its length, not its
    square.
 5. *Length and positional filters* drop pairs that cannot reach the threshold: by
-   their sizes, and by the tokens that can still agree before and after the common
-   pair. What is left is verified on the words themselves.
+   their sizes, by a parity sketch of their tokens, and by the tokens that can still
+   agree before and after the common pair. What is left is verified on the words.
 """
 
 from __future__ import annotations
@@ -56,9 +56,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
             .withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")}))
 
 
-def rarity_rank(lines: DataFrame, p: LineParams) -> Column:
+def rarity_rank(docs: DataFrame, p: LineParams) -> Column:
     """A constant array: the rank (0 .. 32767) of each bucket by its token count."""
-    token = lines.select(F.explode(F.split(F.lower("line"), " ")).alias("w")).where("w != ''")
+    token = docs.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("w"))
     counts = {r["k"]: r["n"] for r in
               token.groupBy(F.xxhash64("w").bitwiseAND(F.lit(p.buckets - 1)).alias("k"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}             # `buckets` rows at most
@@ -68,23 +68,46 @@ def rarity_rank(lines: DataFrame, p: LineParams) -> Column:
     return F.from_json(F.lit(json.dumps(ranks)), "array<int>")
 
 
-def token_codes(line: Column, rank: Column, p: LineParams) -> Column:
-    """array<long>: the line's distinct tokens in order of rarity, each as its
-    bucket's rank (16 bits) and its hash (48 bits)."""
-    hashes = F.transform(F.filter(F.split(F.lower(line), " "), lambda w: w != ""), lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.call_function(
+def token_hashes(line: Column) -> Column:
+    """array<long>: hashes of the line's distinct tokens."""
+    words = F.transform(F.split(F.lower(line), " "), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.array_remove(words, F.xxhash64(F.lit(""))))
+
+
+def token_codes(hashes: Column, rank: Column, p: LineParams) -> Column:
+    """array<long>: the tokens in order of rarity, each as its bucket's rank (16
+    bits) and its hash (48 bits)."""
+    return F.sort_array(F.transform(hashes, lambda h: F.call_function(
         "shiftleft", F.get(rank, h.bitwiseAND(F.lit(p.buckets - 1)).cast("int")).cast("long"), F.lit(48))
-        .bitwiseOR(F.shiftrightunsigned(h, 16)))))
+        .bitwiseOR(F.shiftrightunsigned(h, 16))))
+
+
+# A post carries, in one long, what the filters need: 8 bits of size (in fours,
+# rounded up; 255: any), 10 bits of position (1023: any), and a parity sketch in
+# which each token flips one of 46 bits. Two sketches differ in at most as many
+# bits as their lines differ in tokens.
+_BITS, _ANY_POS, _ANY_SIZE = 46, 1023, 255
+
+
+def _sketch(hashes: Column) -> Column:
+    whole = F.aggregate(hashes, F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(63)).cast("int"))))
+    return whole.bitwiseXOR(F.shiftrightunsigned(whole, _BITS)).bitwiseAND(F.lit((1 << _BITS) - 1))
 
 
 def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
-    """Index rows: `key`, `id` (of the line), `n` (its tokens), `pos` (of the key)."""
-    coded = lines.withColumn("codes", token_codes(F.col("line"), rank, p)).where("size(codes) > 1")
-    n = F.size("codes")
+    """Index rows: `key`, `id` (of the line), `tag` (size, position, sketch)."""
+    coded = (lines.select("id", token_hashes(F.col("line")).alias("h")).where("size(h) > 1")
+             .select("id", F.size("h").alias("n"), _sketch(F.col("h")).alias("s"),
+                     token_codes(F.col("h"), rank, p).alias("c")))
+    n = F.col("n")
     width = F.least(n - 1, F.floor(F.lit(2 * (p.den - p.num)) * n / p.den).cast("int") + 1)
-    pair = F.transform(F.slice("codes", F.lit(1), width),
-                       lambda c, i: F.xxhash64(c, F.get(F.col("codes"), i + 1)))
-    return coded.select("id", n.alias("n"), F.posexplode(pair).alias("pos", "key"))
+    pair = F.transform(F.slice("c", F.lit(1), width), lambda c, i: F.xxhash64(c, F.get(F.col("c"), i + 1)))
+    size = F.least(F.ceil(n / 4), F.lit(_ANY_SIZE)).cast("long")
+    out = coded.select("id", F.call_function("shiftleft", size, F.lit(56)).bitwiseOR(F.col("s")).alias("s"),
+                       F.posexplode(pair).alias("pos", "key"))
+    at = F.call_function("shiftleft", F.least("pos", F.lit(_ANY_POS)).cast("long"), F.lit(_BITS))
+    return out.select("key", "id", F.col("s").bitwiseOR(at).alias("tag"))
 
 
 def _with_id(lines: DataFrame, often: str) -> DataFrame:
@@ -94,13 +117,28 @@ def _with_id(lines: DataFrame, often: str) -> DataFrame:
     return lines.withColumn("id", F.when(F.col(often), half).otherwise(half + F.lit(1 << 62)))
 
 
+def _may_match(a: Column, b: Column, p: LineParams) -> Column:
+    """Length and difference filter of two tags; true where it cannot tell.
+    (num + den) * differing <= (den - num) * (n + m) for similar lines."""
+    n, m = (F.shiftrightunsigned(t, 56) for t in (a, b))
+    apart = F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit((1 << _BITS) - 1)))
+    return ((F.greatest(n, m) == _ANY_SIZE)
+            | ((F.lit(p.num + p.den) * apart <= F.lit(4 * (p.den - p.num)) * (n + m))
+               & (F.lit(p.den) * F.least(n, m) >= F.lit(p.num) * (F.greatest(n, m) - 1))))
+
+
+def _position(tag: Column) -> Column:
+    return F.shiftrightunsigned(tag, _BITS).bitwiseAND(F.lit(_ANY_POS))
+
+
 def _reachable(n: Column, m: Column, i: Column, j: Column, p: LineParams) -> Column:
-    """Length and positional filter of a pair that shares its first key at token
-    positions i and j of n and m tokens."""
+    """Length and positional filter of a pair that shares a key at token
+    positions i and j of n and m tokens (the order is the same in both lines, so
+    what agrees before the key lies before it in both, and likewise after)."""
     need = F.lit(p.num) * (n + m)                    # (num + den) * overlap >= num * (n + m)
     most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
     return ((F.lit(p.den) * F.least(n, m) >= F.lit(p.num) * F.greatest(n, m))
-            & (F.lit(p.num + p.den) * most >= need))
+            & ((F.greatest(i, j) == _ANY_POS) | (F.lit(p.num + p.den) * most >= need)))
 
 
 _ORD = "struct(isnull(doc_id) as z, doc_id, th, no)"
@@ -115,35 +153,40 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     """
     p, bits = params, params.filter_bits
     prepare(docs.sparkSession)
-    lines = lines_of(docs_of(docs))
-    rank = rarity_rank(lines, p)
+    df = docs_of(docs)
+    rank = rarity_rank(df, p)
+    lines = lines_of(df)
     repeated = cut_lineage(repeated_filter(lines, ["a", "b"], bits))
     lines = _with_id(marked(lines, repeated, ["a", "b"], bits, "often"), "often")
     once = lines.where("not often").select("id", "line")
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
-    heads = posts.groupBy("key").agg(
-        F.min(F.struct("id", "n", "pos")).alias("h"), F.max("id").alias("last")).where("h.id < last")
-    shared = written(posts.join(heads, "key").select("key", "id", "n", "pos", "h"), "line-lists")
-    reach = _reachable(F.col("n"), F.col("h.n"), F.col("pos"), F.col("h.pos"), p)
-    first = shared.where("id != h.id").where(reach).select(F.col("id").alias("x"), F.col("h.id").alias("y")).distinct()
+    heads = posts.groupBy("key").agg(F.min("id").alias("head"), F.min_by("tag", "id").alias("htag"),
+                                     F.max("id").alias("last"), F.count(F.lit(1)).alias("size")).where("head < last")
+    lists = posts.join(heads.drop("last").hint("shuffle_hash"), "key").where("id != head").where(
+        _may_match(F.col("tag"), F.col("htag"), p) | (F.col("size") > 2))
+    lists = written(lists, "line-lists")
+    first = _pairs(lists.where(_may_match(F.col("tag"), F.col("htag"), p)), "id", "tag", "head", "htag")
     first = cut_lineage(first)
-    # The lines of the lists, with their words and their first place.
-    ids = shared.select("id").distinct()
+    # Lists of three and more, with their heads, for lines that stay open.
+    many = lists.where("size > 2")
+    many = many.select("key", "id", "tag").unionByName(
+        many.select("key", F.col("head").alias("id"), F.col("htag").alias("tag")).distinct())
+    ids = first.select(F.col("x").alias("id")).unionByName(first.select(F.col("y").alias("id"))).unionByName(
+        many.select("id")).distinct()
     near = cut_lineage(hash_filter(ids, ["id"], bits))
     found = (marked(lines, near, ["id"], bits, "near").where("near")
              .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
              .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w")))
     found = written(found, "line-sets")
     done = _later(first, found, p)
-    # Lines that are still open meet every earlier member of their lists.
-    open_ = ids.join(done.select("id"), "id", "left_anti")
-    mine = shared.drop("h").join(open_, "id").select("key", F.col("id").alias("x"), "n", "pos")
-    other = shared.select("key", F.col("id").alias("y"), F.col("n").alias("m"), F.col("pos").alias("j"))
-    rest = (mine.join(other, "key").where("x != y")
-            .where(_reachable(F.col("n"), F.col("m"), F.col("pos"), F.col("j"), p)).select("x", "y").distinct()
-            .join(first, ["x", "y"], "left_anti"))
+    open_ = many.join(done.select("id").distinct(), "id", "left_anti").select(
+        "key", F.col("id").alias("x"), F.col("tag").alias("xt"))
+    other = many.select("key", F.col("id").alias("y"), F.col("tag").alias("yt"))
+    rest = open_.join(other.hint("shuffle_hash"), (open_["key"] == other["key"]) & (F.col("x") != F.col("y"))
+                      & _may_match(F.col("xt"), F.col("yt"), p))
+    rest = _pairs(rest, "x", "xt", "y", "yt").join(first.select("x", "y"), ["x", "y"], "left_anti")
     done = done.unionByName(_later(rest, found, p))
     gone = cut_lineage(done.select("a", "b").distinct())
     # Every occurrence of such a line goes, and of any other line all but the first.
@@ -160,8 +203,20 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
             .select("doc_id", "th", "no").distinct())
 
 
+def _pairs(rows: DataFrame, x: str, xt: str, y: str, yt: str) -> DataFrame:
+    """Distinct pairs `x`, `y` with the positions `i`, `j` of one of their keys."""
+    at = F.min(F.struct(_position(F.col(xt)).alias("i"), _position(F.col(yt)).alias("j"))).alias("at")
+    return (rows.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(at)
+            .select("x", "y", F.col("at.i").alias("i"), F.col("at.j").alias("j")))
+
+
 def _later(pairs: DataFrame, found: DataFrame, p: LineParams) -> DataFrame:
-    """`id`, `a`, `b` of the later line of each pair (x, y) that is similar."""
+    """`id`, `a`, `b` of the later line of each pair (x, y) that is similar. The
+    pairs are filtered by length and position before the words are joined."""
+    size = found.select("id", F.size("w").alias("n"))
+    pairs = (pairs.join(size.select(F.col("id").alias("x"), "n"), "x")
+             .join(size.select(F.col("id").alias("y"), F.col("n").alias("m")), "y")
+             .where(_reachable(F.col("n"), F.col("m"), F.col("i"), F.col("j"), p)).select("x", "y"))
     one = found.select(F.col("id").alias("x"), F.struct("id", "a", "b").alias("p"), F.col("ord").alias("po"),
                        F.col("w").alias("pw"))
     two = found.select(F.col("id").alias("y"), F.struct("id", "a", "b").alias("q"), F.col("ord").alias("qo"),

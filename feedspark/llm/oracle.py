@@ -44,7 +44,7 @@ ORACLE_SQL = {
             SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
             WHERE 100 * shared >= 90 * (na.n + nb.n - shared)),
         u AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-        r AS (SELECT doc_id, doc_id AS at FROM n UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.at)
-        SELECT r.doc_id, any_value(n.n)::BIGINT AS n_shingles, min(at) AS component_id
+        r AS (SELECT doc_id, doc_id AS link FROM n UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.link)
+        SELECT r.doc_id, any_value(n.n)::BIGINT AS n_shingles, min(link) AS component_id
         FROM r JOIN n ON n.doc_id = r.doc_id GROUP BY 1""",
 }
