@@ -161,7 +161,9 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     once = lines.where("not often").select("id", "line")
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
+    posts = _posts(once.unionByName(more.select("id", "line")), rank, p)
+    # The filter that the join implies is stated for both uses, so that they share one exchange.
+    posts = posts.where("key is not null").repartition(parts, "key")
     heads = posts.groupBy("key").agg(F.min("id").alias("head"), F.min_by("tag", "id").alias("htag"),
                                      F.max("id").alias("last"), F.count(F.lit(1)).alias("size")).where("head < last")
     lists = posts.join(heads.drop("last").hint("shuffle_hash"), "key").where("id != head").where(
