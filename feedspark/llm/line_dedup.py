@@ -28,7 +28,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import attach_by_key, cut_lineage, docs_of, hash_filter, marked, prepare, repeated_filter, written
@@ -161,18 +161,17 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     once = lines.where("not often").select("id", "line")
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posts = _posts(once.unionByName(more.select("id", "line")), rank, p)
-    # The filter that the join implies is stated for both uses, so that they share one exchange.
-    posts = posts.where("key is not null").repartition(parts, "key")
-    heads = posts.groupBy("key").agg(F.min("id").alias("head"), F.min_by("tag", "id").alias("htag"),
-                                     F.max("id").alias("last"), F.count(F.lit(1)).alias("size")).where("head < last")
-    lists = posts.join(heads.drop("last").hint("shuffle_hash"), "key").where("id != head").where(
-        _may_match(F.col("tag"), F.col("htag"), p) | (F.col("size") > 2))
+    posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
+    # One pass over each list in order of id: its head, and whether it has three members.
+    run = Window.partitionBy("key").orderBy("id")
+    lists = posts.select("key", "id", "tag", F.first("id").over(run).alias("head"), F.first("tag").over(run).alias("htag"),
+                         ((F.row_number().over(run) > 2) | F.lead("id").over(run).isNotNull()).alias("many"))
+    lists = lists.where("id != head").where(_may_match(F.col("tag"), F.col("htag"), p) | F.col("many"))
     lists = written(lists, "line-lists")
     first = _pairs(lists.where(_may_match(F.col("tag"), F.col("htag"), p)), "id", "tag", "head", "htag")
     first = cut_lineage(first)
     # Lists of three and more, with their heads, for lines that stay open.
-    many = lists.where("size > 2")
+    many = lists.where("many")
     many = many.select("key", "id", "tag").unionByName(
         many.select("key", F.col("head").alias("id"), F.col("htag").alias("tag")).distinct())
     ids = first.select(F.col("x").alias("id")).unionByName(first.select(F.col("y").alias("id"))).unionByName(
