@@ -26,8 +26,10 @@ from pyspark.sql import DataFrame
 
 from .common import chunks, docs_of, map_batches
 
-#: Words whose ids a worker keeps. Beyond it the cache starts anew.
+#: Words whose ids a worker keeps (some 200 bytes each). Beyond it the cache starts anew.
 CACHE_WORDS = 400_000
+#: Code points of text whose new words are indexed together.
+CHUNK = 1_000_000
 
 # Characters for which the regular expression below states the same rule as the
 # tokenizer's normaliser and word pattern.
@@ -57,12 +59,19 @@ class PairIndexBPE:
         self.end: str = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.merge: dict[int, tuple[int, int]] = {}     # pair -> (rank, merged id)
+        self.merge: dict[int, int] = {}                 # pair -> rank
+        self.pair: list[tuple[int, int, int]] = []      # rank -> the pair's parts, the merged id
         for rank, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            self.merge[self.vocab[a] << 32 | self.vocab[b]] = (rank, self.vocab[a + b])
-        self.pair = [(p >> 32, p & 0xFFFFFFFF, new) for p, (_, new) in self.merge.items()]
-        self.bytes = byte_alphabet()
+            self.merge[self.vocab[a] << 32 | self.vocab[b]] = rank
+            self.pair.append((self.vocab[a], self.vocab[b], self.vocab[a + b]))
+        letters = byte_alphabet()
+        self.byte_of = {c: b for b, c in enumerate(letters)}
+        self.inner = np.array([self.vocab[c] for c in letters])             # byte -> id
+        self.last = np.array([self.vocab[c + self.end] for c in letters])   # as a word's last byte
+        keys = np.array(list(self.merge), np.int64)
+        by = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[by], by
         self.cache: dict[str, bytes] = {}
         self.split_special = (re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
                               if self.special else None)
@@ -75,11 +84,11 @@ class PairIndexBPE:
             self._library = Tokenizer.from_file(self.path)
         return self._library
 
-    def spell(self, word: str) -> str:
-        """The word in the byte alphabet."""
-        if word.isascii():
-            return word
-        return "".join(map(self.bytes.__getitem__, word.encode("utf-8")))
+    def raw(self, word: str) -> bytes:
+        """The bytes of a word, as `words` gives it."""
+        if word[0] == "\0":
+            return bytes(map(self.byte_of.__getitem__, word[1:]))
+        return word.encode("utf-8")
 
     def words(self, text: str) -> list[str]:
         """The words of a text. A word that begins with NUL is spelt in the byte
@@ -95,59 +104,67 @@ class PairIndexBPE:
         norm = lib.normalizer.normalize_str(text) if lib.normalizer else text
         return ["\0" + w for w, _ in lib.pre_tokenizer.pre_tokenize_str(norm)]
 
-    def merge_words(self, spelt: list[str]) -> list[list[int]]:
-        """Token ids of each word, by the pair occurrence index."""
-        vocab, end, merge = self.vocab, self.end, self.merge
-        sym: list[int] = []
-        first: list[int] = []
-        for w in spelt:
-            first.append(len(sym))
-            ids = [vocab[c] for c in w[:-1]]
-            ids.append(vocab[w[-1] + end])
-            sym += ids
-        n = len(sym)
-        first.append(n)
-        nxt = list(range(1, n + 1))
-        prv = list(range(-1, n - 1))
-        for at in first[1:]:
-            nxt[at - 1] = -1
-        for at in first[:-1]:
-            prv[at] = -1
-        where: dict[int, list[int]] = {}                # active rank -> positions
-        for i in range(n):
-            j = nxt[i]
-            if j >= 0 and (m := merge.get(sym[i] << 32 | sym[j])):
-                if m[0] in where:
-                    where[m[0]].append(i)
-                else:
-                    where[m[0]] = [i]
-        heap = list(where)
-        heapq.heapify(heap)
+    def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words in a row, and how many each word has, by the
+        pair occurrence index."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        stop = np.cumsum(size)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ids = self.inner[data]
+        ids[stop - 1] = self.last[data[stop - 1]]
+        n = len(ids)
+        # The index at first: positions of each active rank, from left to right.
+        pair = ids[:-1] << 32 | ids[1:]
+        at = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
+        found = self.pair_keys[at] == pair
+        found[stop[:-1] - 1] = False                    # across two words
+        place = np.flatnonzero(found)
+        rank = self.pair_ranks[at[place]]
+        by = np.argsort(rank, kind="stable")
+        place, rank = place[by], rank[by]
+        cut = np.flatnonzero(np.diff(rank)) + 1
+        where: list[list[int] | None] = [None] * len(self.pair)
+        heap = rank[np.concatenate([[0], cut])].tolist() if len(rank) else []      # ascending: a heap
+        for r, p in zip(heap, np.split(place, cut)):
+            where[r] = p.tolist()
+        sym = ids.tolist()
+        nxt = np.arange(1, n + 1)
+        nxt[stop - 1] = n
+        prv = np.arange(-1, n - 1)
+        prv[stop[:-1]] = n
+        prv[0] = n
+        nxt, prv = nxt.tolist(), prv.tolist()
+        sym.append(-1)                                  # n: beyond a word's ends
+        prv.append(n)
+        push, pop, get, pairs = heapq.heappush, heapq.heappop, self.merge.get, self.pair
         while heap:
-            rank = heapq.heappop(heap)
-            a, b, new = self.pair[rank]
-            for i in sorted(where.pop(rank)):
+            now = pop(heap)
+            a, b, new = pairs[now]
+            todo, where[now] = where[now], None
+            todo.sort()
+            new32 = new << 32
+            for i in todo:
                 j = nxt[i]
-                if sym[i] != a or j < 0 or sym[j] != b:
+                if sym[i] != a or sym[j] != b:
                     continue                            # changed by an earlier merge
-                sym[i], sym[j] = new, -1
-                k = nxt[i] = nxt[j]
+                nxt[i] = k = nxt[j]
+                sym[i], sym[j], prv[k] = new, -1, i
+                if k != n and (m := get(new32 | sym[k])) is not None:
+                    if (w := where[m]) is None:
+                        where[m] = [i]
+                        push(heap, m)
+                    else:
+                        w.append(i)
                 h = prv[i]
-                if k >= 0:
-                    prv[k] = i
-                    if m := merge.get(new << 32 | sym[k]):
-                        if m[0] in where:
-                            where[m[0]].append(i)
-                        else:
-                            where[m[0]] = [i]
-                            heapq.heappush(heap, m[0])
-                if h >= 0 and (m := merge.get(sym[h] << 32 | new)):
-                    if m[0] in where:
-                        where[m[0]].append(h)
+                if h != n and (m := get(sym[h] << 32 | new)) is not None:
+                    if (w := where[m]) is None:
+                        where[m] = [h]
+                        push(heap, m)
                     else:
-                        where[m[0]] = [h]
-                        heapq.heappush(heap, m[0])
-        return [[s for s in sym[lo:hi] if s >= 0] for lo, hi in zip(first, first[1:])]
+                        w.append(h)
+        out = np.array(sym[:n])
+        kept = out >= 0
+        return out[kept], np.add.reduceat(kept, stop - size)
 
     def learn(self, words: set[str]) -> None:
         """Encode the words that the cache does not hold."""
@@ -161,9 +178,10 @@ class PairIndexBPE:
                 self.cache[w] = np.array([self.special[w[2:]]], "<i4").tobytes()
             else:
                 plain.append(w)
-        spelt = [w[1:] if w[0] == "\0" else self.spell(w) for w in plain]
-        for w, ids in zip(plain, self.merge_words(spelt)):
-            self.cache[w] = np.array(ids, "<i4").tobytes()
+        if plain:
+            ids, size = self.merge_words(list(map(self.raw, plain)))
+            data, ends = ids.astype("<i4").tobytes(), (4 * np.cumsum(size)).tolist()
+            self.cache.update(zip(plain, (data[lo:hi] for lo, hi in zip([0, *ends], ends))))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
@@ -186,6 +204,18 @@ def vocabulary(path: str) -> PairIndexBPE:
     return _OPEN[path]
 
 
+def _id_array(data: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, data)], dtype=np.int64) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
+                                    pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32()))
+
+
+def _decoded(bpe: PairIndexBPE, ids: pa.ListArray) -> pa.Array:
+    flat = ids.flatten().to_numpy().tolist()
+    ends = np.cumsum([0, *ids.value_lengths().to_pylist()]).tolist()
+    return pa.array([bpe.decode(flat[lo:hi]) for lo, hi in zip(ends, ends[1:])], pa.string())
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id` and `ids` (array of int) of every whole text.
 
@@ -196,17 +226,30 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         bpe = vocabulary(path)
         for b in batches:
             texts = b.column("text").to_pylist()
-            for lo, hi in chunks(texts):
-                data = bpe.encode_batch(texts[lo:hi])
-                ends = np.cumsum([0, *map(len, data)], dtype=np.int64) // 4
-                values = pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32())
+            for lo, hi in chunks(texts, CHUNK):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], ["doc_id", "ids"])
+                    [b.column("doc_id").slice(lo, hi - lo), _id_array(bpe.encode_batch(texts[lo:hi]))],
+                    ["doc_id", "ids"])
 
     return map_batches(docs_of(docs), run, "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """`doc_id`, `ids` (as `encode_documents`) and `decoded` (the text that the ids
+    stand for) of every whole text, in one pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path)
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            for lo, hi in chunks(texts, CHUNK):
+                ids = _id_array(bpe.encode_batch(texts[lo:hi]))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo), ids, _decoded(bpe, ids)],
+                    ["doc_id", "ids", "decoded"])
+
+    return map_batches(docs_of(docs), run, "doc_id long, ids array<int>, decoded string")
+
+
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `ids` and `decoded` (text) of rows with an array `ids`; a null
     array counts as empty and decodes to the empty text."""
@@ -218,11 +261,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
         bpe = vocabulary(path)
         for b in batches:
             ids = b.column("ids")
-            flat = ids.flatten().to_pylist()
-            ends = np.cumsum([0, *ids.value_lengths().to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), ids,
-                 pa.array([bpe.decode(flat[lo:hi]) for lo, hi in zip(ends, ends[1:])], pa.string())],
-                ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, _decoded(bpe, ids)],
+                                             ["doc_id", "ids", "decoded"])
 
     return map_batches(rows, run, "doc_id long, ids array<int>, decoded string")

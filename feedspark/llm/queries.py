@@ -45,7 +45,7 @@ def op3_exact_dedup_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    out = bpe.round_trip(table(spark, sf_dir, "documents"), path)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(joined, 256).alias("ids_sha256"),

@@ -28,6 +28,7 @@ def test_bpe_equals_the_library(spark, wild):
     want = sorted((i or -1, lib.encode(t or "", add_special_tokens=False).ids) for i, t in TEXTS)
     assert sorted((r["doc_id"] or -1, r["ids"]) for r in got) == want
     assert all(r["decoded"] == lib.decode(r["ids"], skip_special_tokens=False) for r in got)
+    assert sorted(map(str, bpe.round_trip(wild, PATH4).collect())) == sorted(map(str, got))
 
 
 def test_bpe_plain_rule_covers_every_plain_character():
