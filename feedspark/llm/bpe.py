@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from .common import chunks, docs_of, map_batches
 
 #: Words whose ids a worker keeps (some 200 bytes each). Beyond it the cache starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 #: Code points of text whose new words are indexed together.
 CHUNK = 1_000_000
 

@@ -18,10 +18,10 @@ from ..session import cut_lineage, ensure_checkpoint_dir, scratch_path
 
 #: Bytes of one Arrow batch sent to a Python worker. Rows alone do not bound a
 #: batch: ten thousand texts of a megabyte each would be ten gigabytes.
-ARROW_BATCH_BYTES = 32 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 #: Code points of text that a Python worker holds as word lists at once.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 
 #: The characters that the exact contracts treat as white space.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -56,9 +56,17 @@ def fold(col: str | Column, n: int) -> Column:
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
-    """`mapInArrow` after `prepare`: batches in, batches out, nothing shuffled."""
+    """`mapInArrow` after `prepare`: batches in, batches out, nothing shuffled. A
+    worker that has finished gives back the memory that Arrow holds in reserve."""
     prepare(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:

@@ -3,9 +3,9 @@
 Each round rewires every node's larger neighbours to its smallest one (large
 star), then its smaller neighbours (small star); the number of rounds grows with
 the logarithm of the graph. Hubs are safe: minima are combined before the
-shuffle, and the rows of a hub are never joined in one task (`attach_by_key`).
-Each round is checkpointed, so lineage stays short and a lost executor costs one
-round at most.
+shuffle and written, so that the join that returns them to the edges is between
+two plain exchanges, whose skewed partitions adaptive execution splits. Each round
+is checkpointed, so lineage stays short and a lost executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_by_key, cut_lineage
+from .common import cut_lineage
 
 
-def _with_min(pairs: DataFrame, n: int) -> DataFrame:
+def _with_min(pairs: DataFrame) -> DataFrame:
     """(u, v) with m, the smallest v of the u."""
-    mins = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
-    return attach_by_key(pairs, mins, "u", "_n", n).drop("_n")
+    mins = cut_lineage(pairs.groupBy("u").agg(F.min("v").alias("m")))
+    return pairs.join(mins.hint("merge"), "u")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -30,9 +30,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     n, state = e.count(), None
     while n:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_with_min(both, 2 * n).where("v > u")
+        large = (_with_min(both).where("v > u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u != v").distinct())
-        small = _with_min(large, n)
+        large = cut_lineage(large)
+        small = _with_min(large)
         e = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
              .unionByName(small.select("u", F.col("m").alias("v"))).where("u != v").distinct())
         e = cut_lineage(e)

@@ -41,7 +41,7 @@ from .common import (attach_by_key, chunks, cut_lineage, docs_of, hash_filter, m
 from .components import connected_components
 
 _M1, _M2, _M3, _M4 = (np.uint64(x | 1) for x in splitmix64(4, 31))
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 
 
 @dataclass(frozen=True)

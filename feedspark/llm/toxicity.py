@@ -37,7 +37,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: of it without an ending of these lengths. They tie the forms of a stem together.
 _STEMS = (4, 5, 6, 8)
 _ENDINGS = (2, 3, 4)
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -67,13 +67,14 @@ class _Terms(dict):
 
     def __init__(self, mask: int, seen: np.ndarray | None = None):
         self.mask = mask
+        self.limit = _CACHE_WORDS if seen is not None else _CACHE_WORDS // 5    # all slots of a word are kept
         self.seen = None if seen is None else seen.tobytes()
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         out = _slots(word, self.mask)
         if self.seen is not None:
             out = tuple(s for s in out if self.seen[s])
-        if len(self) >= _CACHE_WORDS:
+        if len(self) >= self.limit:
             self.clear()
         self[word] = out
         return out
