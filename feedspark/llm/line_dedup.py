@@ -13,8 +13,7 @@ or more to it; lines without a token stay.
    more selective than a token, and words that most lines share come last.
 3. Lines that occur more than once (found by a Bloom filter of fixed size) are
    reduced to one before they are indexed.
-4. *Pivots*. The lines of a list are first compared with one line of the list
-   only, preferably one that occurs often, as the original of near copies does.
+4. *Pivots*. The lines of a list are first compared with its earliest line only.
    Lines that turn out to have an earlier match are done. Only the others meet all
    members of their lists, so a list of near copies costs its length, not its
    square.
@@ -111,8 +110,7 @@ def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
 
 
 def _with_id(lines: DataFrame, often: str) -> DataFrame:
-    """Lines that occur often have ids below 2**62, so that the smallest id of a
-    list is one of theirs."""
+    """`id`: 62 bits of the line's hash, and above them whether it occurs often."""
     half = F.shiftrightunsigned("a", 2)
     return lines.withColumn("id", F.when(F.col(often), half).otherwise(half + F.lit(1 << 62)))
 
@@ -168,20 +166,26 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
                          ((F.row_number().over(run) > 2) | F.lead("id").over(run).isNotNull()).alias("many"))
     lists = lists.where("id != head").where(_may_match(F.col("tag"), F.col("htag"), p) | F.col("many"))
     lists = written(lists, "line-lists")
-    first = _pairs(lists.where(_may_match(F.col("tag"), F.col("htag"), p)), "id", "tag", "head", "htag")
-    first = cut_lineage(first)
-    # Lists of three and more, with their heads, for lines that stay open.
+    two = _pairs(lists.where("not many"), "id", "tag", "head", "htag")
     many = lists.where("many")
     many = many.select("key", "id", "tag").unionByName(
         many.select("key", F.col("head").alias("id"), F.col("htag").alias("tag")).distinct())
-    ids = first.select(F.col("x").alias("id")).unionByName(first.select(F.col("y").alias("id"))).unionByName(
+    # The lines of the lists, with their words and their first place.
+    ids = two.select(F.col("x").alias("id")).unionByName(two.select(F.col("y").alias("id"))).unionByName(
         many.select("id")).distinct()
     near = cut_lineage(hash_filter(ids, ["id"], bits))
     found = (marked(lines, near, ["id"], bits, "near").where("near")
              .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
              .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w")))
     found = written(found, "line-sets")
+    # Longer lists: every line against the list's earliest one.
+    placed = many.join(found.select("id", "ord"), "id")
+    pivot = cut_lineage(placed.groupBy("key").agg(F.min(F.struct("ord", "id", "tag")).alias("p"))
+                        .select("key", F.col("p.id").alias("y"), F.col("p.tag").alias("yt")))
+    to_pivot = many.join(pivot, "key").where("id != y").where(_may_match(F.col("tag"), F.col("yt"), p))
+    first = cut_lineage(two.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
     done = _later(first, found, p)
+    # Lines that are still open meet all members of their lists.
     open_ = many.join(done.select("id").distinct(), "id", "left_anti").select(
         "key", F.col("id").alias("x"), F.col("tag").alias("xt"))
     other = many.select("key", F.col("id").alias("y"), F.col("tag").alias("yt"))
@@ -194,7 +198,7 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     hit = cut_lineage(hash_filter(gone, ["a", "b"], bits))
     maybe = marked(lines, hit, ["a", "b"], bits, "_g").where("often or _g").select(
         "doc_id", "th", "no", "line", F.concat(F.hex("a"), F.lit(":"), F.hex("b")).alias("sig"))
-    maybe = maybe.where(F.size(words_of(F.col("line"))) > 0).drop("line")
+    maybe = cut_lineage(maybe.where(F.size(words_of(F.col("line"))) > 0).drop("line"))
     gone = gone.select(F.concat(F.hex("a"), F.lit(":"), F.hex("b")).alias("sig"), F.lit(True).alias("gone"))
     classes = (maybe.groupBy("sig").agg(F.expr(f"min({_ORD})").alias("first"), F.count(F.lit(1)).alias("_n"))
                .join(gone, "sig", "left"))
