@@ -13,7 +13,7 @@ or more to it; lines without a token stay.
    more selective than a token, and words that most lines share come last.
 3. Lines that occur more than once (found by a Bloom filter of fixed size) are
    reduced to one before they are indexed.
-4. *Pivots*. The lines of a list are first compared with its earliest line only.
+4. *Pivots*. The lines of a list are first compared with its few earliest lines.
    Lines that turn out to have an earlier match are done. Only the others meet all
    members of their lists, so a list of near copies costs its length, not its
    square.
@@ -39,6 +39,7 @@ class LineParams:
     den: int = 10
     buckets: int = 1 << 16      # counters of the rarity order
     filter_bits: int = 1 << 24  # of the broadcast filters (2 MB of bits)
+    pivots: int = 4             # earliest lines of a list that all its lines meet first
 
 
 def words_of(line: Column) -> Column:
@@ -178,11 +179,13 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
              .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
              .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w")))
     found = written(found, "line-sets")
-    # Longer lists: every line against the list's earliest one.
+    # Longer lists: every line against the list's earliest ones before it.
     placed = many.join(found.select("id", "ord"), "id")
-    pivot = cut_lineage(placed.groupBy("key").agg(F.min(F.struct("ord", "id", "tag")).alias("p"))
-                        .select("key", F.col("p.id").alias("y"), F.col("p.tag").alias("yt")))
-    to_pivot = many.join(pivot, "key").where("id != y").where(_may_match(F.col("tag"), F.col("yt"), p))
+    early = Window.partitionBy("key").orderBy("ord", "id")
+    pivot = cut_lineage(placed.withColumn("_k", F.row_number().over(early)).where(F.col("_k") <= p.pivots)
+                        .select("key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo")))
+    to_pivot = placed.join(pivot, "key").where((F.col("yo") < F.col("ord")) & _may_match(F.col("tag"), F.col("yt"), p))
+    to_pivot = to_pivot.where("id != y")
     first = cut_lineage(two.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
     done = _later(first, found, p)
     # Lines that are still open meet all members of their lists.
