@@ -7,10 +7,12 @@ or more to it; lines without a token stay.
 1. *Rarity*. Tokens are counted over all lines in a fixed number of hash buckets;
    a line's tokens are ordered by their bucket's count, then by hash.
 2. *Prefix filter*. The index keys of a line of n tokens are its first
-   floor(2 (1 - t) n) + 1 pairs of neighbours in that order. A token that only
-   one of two lines has breaks at most two pairs of that line and one of the
-   other, so two similar lines have a common pair in these prefixes; a pair is far
-   more selective than a token, and words that most lines share come last.
+   floor(3 (1 - t) n) + 1 triples of neighbours in that order. A token that only
+   one of two lines has breaks at most three triples of that line and two of the
+   other, so two similar lines have a common triple in these prefixes. A triple is
+   far more selective than a token, whose lists would grow with the square of the
+   corpus, and words that most lines share come last. Short lines, all of whose
+   triples could break, have pairs (floor(2 (1 - t) n) + 1 of them) instead.
 3. Lines that occur more than once (found by a Bloom filter of fixed size) are
    reduced to one before they are indexed.
 4. *Pivots*. The lines of a list are first compared with its few earliest lines.
@@ -97,19 +99,37 @@ def _sketch(hashes: Column) -> Column:
 
 def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
     """Index rows: `key`, `id` (of the line), `tag` (size, position, sketch)."""
-    coded = (lines.select("id", token_hashes(F.col("line")).alias("h")).where("size(h) > 1")
+    coded = (lines.select("id", token_hashes(F.col("line")).alias("h")).where("size(h) > 0")
              .select("id", F.size("h").alias("n"), _sketch(F.col("h")).alias("s"),
                      token_codes(F.col("h"), rank, p).alias("c")))
     n = F.col("n")
-    width = F.least(n - 1, F.floor(F.lit(2 * (p.den - p.num)) * n / p.den).cast("int") + 1)
-    pair = F.transform(F.slice("c", F.lit(1), width), lambda c, i: F.xxhash64(c, F.get(F.col("c"), i + 1)))
+    small, large = key_sizes(p)
+
+    def keys(k: int) -> Column:
+        """Hashes of k neighbours (a line of one token: of the token)."""
+        wide = F.greatest(F.lit(1), F.least(n - (k - 1), F.floor(F.lit(k * (p.den - p.num)) * n / p.den).cast("int") + 1))
+        return F.transform(F.slice("c", F.lit(1), wide), lambda c, i: F.xxhash64(
+            F.lit(k), c, *[F.get(F.col("c"), i + j) for j in range(1, k)]))
+
+    key = F.when(n < large, keys(2)).when(n > small, keys(3)).otherwise(F.concat(keys(2), keys(3)))
     size = F.least(F.ceil(n / 4), F.lit(_ANY_SIZE)).cast("long")
     out = coded.select("id", F.call_function("shiftleft", size, F.lit(56)).bitwiseOR(F.col("s")).alias("s"),
-                       F.posexplode(pair).alias("pos", "key"))
-    at = F.call_function("shiftleft", F.least("pos", F.lit(_ANY_POS)).cast("long"), F.lit(_BITS))
+                       (n <= small).alias("any"), F.posexplode(key).alias("pos", "key"))
+    pos = F.when(F.col("any"), F.lit(_ANY_POS)).otherwise(F.least("pos", F.lit(_ANY_POS)))
+    at = F.call_function("shiftleft", pos.cast("long"), F.lit(_BITS))
     return out.select("key", "id", F.col("s").bitwiseOR(at).alias("tag"))
 
 
+def key_sizes(p: LineParams) -> tuple[int, int]:
+    """Lines of up to `small` tokens have keys of two neighbours, those of `large`
+    or more of three; two similar lines have a kind in common. Three neighbours
+    are enough once fewer triples than a line has can be broken."""
+    large = 3
+    while large < 10_000 and not all(3 * (p.den - p.num) * n // p.den < n - 2 for n in range(large, large + 2 * p.den)):
+        large += 1
+    return (large - 1) * p.den // p.num, large
+
+
 def _with_id(lines: DataFrame, often: str) -> DataFrame:
     """`id`: 62 bits of the line's hash, and above them whether it occurs often."""
     half = F.shiftrightunsigned("a", 2)
@@ -151,6 +171,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     texts are ordered by a hash of the text; null ids come last.
     """
     p, bits = params, params.filter_bits
+    if 3 * p.num < 2 * p.den:
+        raise ValueError("the prefix bound holds for similarities of 2/3 and more")
     prepare(docs.sparkSession)
     df = docs_of(docs)
     rank = rarity_rank(df, p)

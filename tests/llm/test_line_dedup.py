@@ -28,7 +28,7 @@ def brute(texts, num=8, den=10):
 
 def made(seed):
     rng = random.Random(seed)
-    base = [[f"w{rng.randrange(300)}" for _ in range(rng.choice((1, 2, 5, 6, 10, 20, 45)))] for _ in range(40)]
+    base = [[f"w{rng.randrange(300)}" for _ in range(rng.choice((1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 20, 45)))] for _ in range(40)]
     hot = " ".join(f"h{k}" for k in range(30))
     docs = []
     for i in range(150):
@@ -39,6 +39,7 @@ def made(seed):
                 w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
             lines.append(rng.choice((" ", "  ")).join(w))
         lines += [hot] * (i % 3 == 0) + [hot + f" tail{i} and{i} more{i}"] * (i % 5 == 0) + [""]
+        lines += [rng.choice(("Solo", "solo", "SOLO "))] * (i % 7 == 0)
         rng.shuffle(lines)
         docs.append((i, "\n".join(lines)))
     return docs
@@ -58,6 +59,12 @@ def test_random_lines(spark):
     assert kept == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i]) for i, t in rows}
 
 
+def test_key_sizes():
+    assert line_dedup.key_sizes(line_dedup.LineParams()) == (6, 6)
+    small, large = line_dedup.key_sizes(line_dedup.LineParams(num=9))
+    assert all(3 * n // 10 < n - 2 for n in range(large, 500)) and large * 10 > 9 * small >= 9 * (large - 1)
+
+
 def test_query(spark):
     got = queries.QUERIES["op7_line_dedup"](spark, SF).collect()
     want = brute(texts_of(SF))
