@@ -7,6 +7,7 @@ clash), and treats a null text as empty unless its docstring says otherwise.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -139,6 +140,14 @@ def marked(rows: DataFrame, words: DataFrame, cols: list[str], bits: int, flag:
             .withColumn(flag, hit).drop("_word", "_mask"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to
+    any more. It waits for a collection on the driver, which may come only when
+    the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared checkpoint folder, read again. It is
     deleted when the application ends."""
@@ -151,5 +160,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 __all__ = ["cut_lineage", "prepare", "table", "docs_of", "fold", "map_batches", "chunks",
-           "splitmix64", "attach_by_key", "hash_filter", "repeated_filter", "marked", "written",
+           "splitmix64", "attach_by_key", "hash_filter", "repeated_filter", "marked", "written", "release",
            "ARROW_BATCH_BYTES", "CHUNK_CHARS", "SPACE_CLASS"]

@@ -32,7 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach_by_key, cut_lineage, docs_of, hash_filter, marked, prepare, repeated_filter, written
+from .common import (attach_by_key, cut_lineage, docs_of, hash_filter, marked, prepare, release,
+                     repeated_filter, written)
 
 
 @dataclass(frozen=True)
@@ -163,6 +164,22 @@ def _reachable(n: Column, m: Column, i: Column, j: Column, p: LineParams) -> Col
 _ORD = "struct(isnull(doc_id) as z, doc_id, th, no)"
 
 
+def _lists(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
+    """The index lists with two lines and more, a row for each line but the one
+    with the smallest id (the head): `key`, `id`, `tag`, `head`, `htag`, `many`
+    (three lines and more). Lists of two that cannot match are left out."""
+    once = lines.where("not often").select("id", "line")
+    more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
+    # One pass over each list in order of id: its head, and whether it has three members.
+    run = Window.partitionBy("key").orderBy("id")
+    lists = posts.select("key", "id", "tag", F.first("id").over(run).alias("head"), F.first("tag").over(run).alias("htag"),
+                         ((F.row_number().over(run) > 2) | F.lead("id").over(run).isNotNull()).alias("many"))
+    lists = lists.where("id != head").where(_may_match(F.col("tag"), F.col("htag"), p) | F.col("many"))
+    return written(lists, "line-lists")
+
+
 def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame:
     """`doc_id`, `th`, `no` of every line that goes (one row each).
 
@@ -179,16 +196,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     lines = lines_of(df)
     repeated = cut_lineage(repeated_filter(lines, ["a", "b"], bits))
     lines = _with_id(marked(lines, repeated, ["a", "b"], bits, "often"), "often")
-    once = lines.where("not often").select("id", "line")
-    more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
-    # One pass over each list in order of id: its head, and whether it has three members.
-    run = Window.partitionBy("key").orderBy("id")
-    lists = posts.select("key", "id", "tag", F.first("id").over(run).alias("head"), F.first("tag").over(run).alias("htag"),
-                         ((F.row_number().over(run) > 2) | F.lead("id").over(run).isNotNull()).alias("many"))
-    lists = lists.where("id != head").where(_may_match(F.col("tag"), F.col("htag"), p) | F.col("many"))
-    lists = written(lists, "line-lists")
+    lists = _lists(lines, rank, p)
+    release(docs.sparkSession)
     two = _pairs(lists.where("not many"), "id", "tag", "head", "htag")
     many = lists.where("many")
     many = many.select("key", "id", "tag").unionByName(
@@ -201,6 +210,7 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
              .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
              .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w")))
     found = written(found, "line-sets")
+    release(docs.sparkSession)
     # Longer lists: every line against the list's earliest ones before it.
     placed = many.join(found.select("id", "ord"), "id")
     early = Window.partitionBy("key").orderBy("ord", "id")
@@ -210,6 +220,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     to_pivot = to_pivot.where("id != y")
     first = cut_lineage(two.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
     done = _later(first, found, p)
+    del placed, pivot, to_pivot, two
+    release(docs.sparkSession)
     # Lines that are still open meet all members of their lists.
     open_ = many.join(done.select("id").distinct(), "id", "left_anti").select(
         "key", F.col("id").alias("x"), F.col("tag").alias("xt"))
@@ -219,6 +231,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     rest = _pairs(rest, "x", "xt", "y", "yt").join(first.select("x", "y"), ["x", "y"], "left_anti")
     done = done.unionByName(_later(rest, found, p))
     gone = cut_lineage(done.select("a", "b").distinct())
+    del rest, open_, other, done
+    release(docs.sparkSession)
     # Every occurrence of such a line goes, and of any other line all but the first.
     hit = cut_lineage(hash_filter(gone, ["a", "b"], bits))
     maybe = marked(lines, hit, ["a", "b"], bits, "_g").where("often or _g").select(
