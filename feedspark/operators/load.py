@@ -15,6 +15,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 
@@ -40,10 +41,17 @@ def new_rows(offered: DataFrame, target: DataFrame, key: str = "id",
     `dropDuplicates` keeps the other columns with `first()`, which for text
     columns plans a sort-based aggregate. When every copy of a key carries
     the same values (the columns describe the keyed event), `same_per_key`
-    groups on all columns instead: the same rows, hash-aggregated.
+    takes the largest of each column: the same rows, and one row per key even
+    where copies do differ.
     """
     rows = offered.where(F.col(key).isNotNull())
-    rows = rows.distinct() if same_per_key else rows.dropDuplicates([key])
+    if same_per_key:
+        # `max` of each column is hash-aggregated, and the batch stays partitioned
+        # on the key, so the anti join does not shuffle it again.
+        rest = [c for c in rows.columns if c != key]
+        rows = rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rest]).select(*offered.columns)
+    else:
+        rows = rows.dropDuplicates([key])
     return rows.join(target.select(key), key, "left_anti")
 
 
@@ -58,12 +66,12 @@ def load_counts(offered: DataFrame, target: DataFrame, key: str = "id") -> DataF
     `inserted` counts rows actually added (not offered), as the source does.
     One pass: the distinct batch is tagged with whether the target knows it.
     """
-    known = target.select(key).withColumn("_known", F.lit(True))
+    known = target.select(key).distinct().withColumn("_known", F.lit(True))
     d = (offered.where(F.col(key).isNotNull())
          .groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
          .join(known, key, "left"))
     return d.agg(
-        F.sum("_n").cast("long").alias("offered"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("offered"),
         F.count(F.lit(1)).cast("long").alias("offered_distinct"),
         F.count_if(F.col("_known").isNull()).cast("long").alias("inserted"),
     ).withColumn("rejected", F.col("offered") - F.col("inserted"))
@@ -82,7 +90,9 @@ def append_new_ids(offered: DataFrame, target_path: str, key: str = "id",
     spark = offered.sparkSession
     try:
         target = spark.read.format(fmt).load(target_path).select(key)
-    except Exception:  # noqa: BLE001 - absent table means "nothing seen yet"
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":        # any other failure must not reload known ids
+            raise
         target = spark.createDataFrame([], offered.select(key).schema)
     obs = Observation("inserted")
     rows = new_ids(offered, target, key).observe(obs, F.count(F.lit(1)).alias("n"))

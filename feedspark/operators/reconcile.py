@@ -88,7 +88,7 @@ def time_gaps(loaded: DataFrame, expected: DataFrame, bucket_ms: int,
     a = loaded.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("loaded"))
     bounds = expected.agg(F.min(b).alias("lo"), F.max(b).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        return e.select("bucket").where(F.lit(False))
+        return spark.createDataFrame([], "bucket long, bucket_start_ms long, expected long, loaded long, missing long")
     spine = spark.range(bounds["lo"], bounds["hi"] + 1).select(F.col("id").alias("bucket"))
     rep = (spine.join(e, "bucket", "left").join(a, "bucket", "left")
            .select("bucket", (F.col("bucket") * bucket_ms).alias("bucket_start_ms"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import SERVER_PAGE_CAP, TIME_SLICES
+from ..constants import TIME_SLICES
 from ..functions.timefmt import epoch_ms
 from .rowindex import with_row_index
 from ..functions.num import idiv
@@ -46,7 +46,8 @@ def with_time_slice(df: DataFrame, n_slices: int = TIME_SLICES, ms: str = "ms",
 
 
 def slice_table(df: DataFrame, n_slices: int = TIME_SLICES, ms: str = "ms") -> DataFrame:
-    """The slice list the source builds: (slice, since_ms, until_ms), last until clamped."""
+    """The slice list the source builds: (slice, since_ms, until_ms), half-open; the last
+    one ends just after the newest row, so that every row lies in a slice."""
     spark = df.sparkSession
     lo = df.agg(F.min(ms)).scalar()
     hi = df.agg(F.max(ms)).scalar()
@@ -54,7 +55,7 @@ def slice_table(df: DataFrame, n_slices: int = TIME_SLICES, ms: str = "ms") -> D
     return (spark.range(n_slices).select(F.col("id").cast("int").alias("slice"))
             .select("slice",
                     (lo + F.col("slice") * width).alias("since_ms"),
-                    F.least(lo + (F.col("slice") + 1) * width, hi).alias("until_ms")))
+                    F.least(lo + (F.col("slice") + 1) * width, hi + 1).alias("until_ms")))
 
 
 def time_filter(df: DataFrame, since_ms: int | None = None, until_ms: int | None = None,
@@ -133,7 +134,6 @@ def with_offset_range(df: DataFrame, n_ranges: int, order: list[Column],
 
 def with_pages(df: DataFrame, limit: int, order: list[Column]) -> DataFrame:
     """Page number of each row for pages of `limit` rows in feed order."""
-    limit = min(limit, SERVER_PAGE_CAP)
     return with_row_index(df, order).withColumn("page_no", idiv("idx", limit))
 
 
@@ -146,7 +146,6 @@ def page_summary(paged: DataFrame, limit: int, key: str = "event_id",
     last rows matter: they are filtered out first (2 rows per page) and the
     aggregate runs on those alone.
     """
-    limit = min(limit, SERVER_PAGE_CAP)
     cur = cursor if cursor is not None else F.col(key).cast("string")
     last_idx = paged.agg(F.max("idx")).scalar()
     pos = F.col("idx") % F.lit(limit)
@@ -167,13 +166,11 @@ def page_after(df: DataFrame, cursor_ms: int, cursor_key: int, limit: int,
                ms: str = "ms", key: str = "event_id") -> DataFrame:
     """`limit` rows strictly after a keyset cursor, newest first.
 
-    Capped at the server maximum like the source. The limit is the feature
-    (one page); Spark plans it as a top-k per partition, not a full sort.
+    The limit is the feature (one page); Spark plans it as a top-k per partition, not a full sort.
     """
-    n = min(limit, SERVER_PAGE_CAP)
     after = (F.col(ms) < F.lit(cursor_ms)) | ((F.col(ms) == F.lit(cursor_ms))
                                               & (F.col(key) < F.lit(cursor_key)))
-    return df.where(after).orderBy(F.col(ms).desc(), F.col(key).desc()).limit(n)
+    return df.where(after).orderBy(F.col(ms).desc(), F.col(key).desc()).limit(limit)
 
 
 def staggered_chains(paged: DataFrame, n_chains: int) -> DataFrame:

@@ -118,7 +118,7 @@ DELIV = ("deliv AS ("
          "UNION ALL SELECT id, event_id, event_type, ms, 'cursor-chain', 1 * (SELECT n FROM n) + event_id, "
          "'cursor-chain:' || props FROM ev WHERE event_id % 3 = 0 "
          "UNION ALL SELECT id, event_id, event_type, ms, 'type-worker', 2 * (SELECT n FROM n) + event_id, "
-         "'type-worker:' || props FROM ev WHERE event_id % 5 = 0)")
+         "'type-worker:' || props FROM ev WHERE event_id % 5 = 0 OR (event_id % 2 <> 0 AND event_id % 3 <> 0))")
 DTGT = "dtgt AS (SELECT id FROM ev WHERE event_id % 10 = 3)"
 DELIVERIES = ", ".join([EV, N, DELIV, DTGT])
 
@@ -370,7 +370,7 @@ SELECT event_id, ms FROM ev
 WHERE ts >= make_timestamp({Q.FILTER_SINCE_MS} * 1000) AND ts < make_timestamp({Q.FILTER_UNTIL_MS} * 1000)""")
 
 _SL = (f"b AS (SELECT min(ms) AS lo, max(ms) AS hi, greatest(CAST(ceil((max(ms) - min(ms)) / {K.TIME_SLICES}.0) AS BIGINT), 1) AS w FROM ev), "
-       f"sl AS (SELECT CAST(s AS INTEGER) AS slice, lo + s * w AS since_ms, least(lo + (s + 1) * w, hi) AS until_ms "
+       f"sl AS (SELECT CAST(s AS INTEGER) AS slice, lo + s * w AS since_ms, least(lo + (s + 1) * w, hi + 1) AS until_ms "
        f"FROM (SELECT unnest(range({K.TIME_SLICES})) AS s, (SELECT lo FROM b) AS lo, (SELECT w FROM b) AS w, "
        f"(SELECT hi FROM b) AS hi))")
 sql("scan_time_slices", f"""WITH {EV}, {_SL},
@@ -496,8 +496,8 @@ sql("page_script_srcs", f"""WITH m AS (SELECT page_id, list_slice(list_filter(
     lambda s: suffix(s, '.js') OR contains(s, 'assets/')), 1, {K.SCRIPT_MAX}) AS a FROM pages)
 SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS src FROM m""")
 
-sql("page_href_links", f"""WITH m AS (SELECT page_id, list_slice(
-    regexp_extract_all(html, '{sql_regex(Q.HREF_PATTERN)}', 1), 1, {K.SCRIPT_MAX}) AS a FROM pages)
+sql("page_href_links", f"""WITH m AS (SELECT page_id, regexp_extract_all(html, '{sql_regex(Q.HREF_PATTERN)}', 1) AS a
+    FROM pages)
 SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS src FROM m""")
 
 sql("page_call_urls", f"""WITH m AS (SELECT page_id, regexp_extract_all(html, '{sql_regex(K.FETCH_URL_PATTERN)}', 1) AS a

@@ -448,7 +448,7 @@ def page_script_srcs(spark, sf_dir):
 @query("page_href_links")
 def page_href_links(spark, sf_dir):
     return extract.script_srcs(_pages(spark, sf_dir), pattern=HREF_PATTERN, keep_suffix=None,
-                               keep_contains=None, max_per_page=K.SCRIPT_MAX)
+                               keep_contains=None, max_per_page=None)
 
 
 @query("page_call_urls")

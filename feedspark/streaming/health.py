@@ -47,6 +47,8 @@ def _transitions(stuck_ms: int, dead_ms: int):
                 last, fetched = int(pdf.at[i, "last_progress_ms"]), int(pdf.at[i, "fetched"])
         if last is None:
             return
+        if state.exists and state.get[0] > last:        # a late, older heartbeat
+            last, fetched = state.get[0], state.get[1]
         was = state.get[2] if state.exists else None
         state.update((last, fetched, "active"))
         state.setTimeoutDuration(stuck_ms)

@@ -10,6 +10,8 @@ NESTED_LOOP_OK = {"range_join_slices"}  # broadcast of the slice list, size chec
 def test_no_cartesian_products(spark):
     bad = {}
     for name, fn in E.queries().items():
+        if name in E.CORPUS:            # those run jobs while they are built; see tests/llm
+            continue
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         if "CartesianProduct" in plan:
             bad[name] = "CartesianProduct"
