@@ -98,6 +98,15 @@ def _sketch(hashes: Column) -> Column:
     return whole.bitwiseXOR(F.shiftrightunsigned(whole, _BITS)).bitwiseAND(F.lit((1 << _BITS) - 1))
 
 
+def _wide_sketch(words: Column) -> list[Column]:
+    """`s0`, `s1`: a parity sketch of 128 bits, for the pairs that get that far."""
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    flip = lambda s, h: s.bitwiseXOR(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))
+    return [F.aggregate(F.filter(hashes, lambda h, k=k: h.bitwiseAND(F.lit(64)) == F.lit(64 * k)),
+                        F.lit(0).cast("long"), flip).alias(f"s{k}") for k in (0, 1)]
+
+
 def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
     """Index rows: `key`, `id` (of the line), `tag` (size, position, sketch)."""
     coded = (lines.select("id", token_hashes(F.col("line")).alias("h")).where("size(h) > 0")
@@ -208,7 +217,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     near = cut_lineage(hash_filter(ids, ["id"], bits))
     found = (marked(lines, near, ["id"], bits, "near").where("near")
              .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
-             .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w")))
+             .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w"))
+             .select("*", *_wide_sketch(F.col("w"))))
     found = written(found, "line-sets")
     release(docs.sparkSession)
     # Longer lists: every line against the list's earliest ones before it.
@@ -256,11 +266,15 @@ def _pairs(rows: DataFrame, x: str, xt: str, y: str, yt: str) -> DataFrame:
 
 def _later(pairs: DataFrame, found: DataFrame, p: LineParams) -> DataFrame:
     """`id`, `a`, `b` of the later line of each pair (x, y) that is similar. The
-    pairs are filtered by length and position before the words are joined."""
-    size = found.select("id", F.size("w").alias("n"))
-    pairs = (pairs.join(size.select(F.col("id").alias("x"), "n"), "x")
-             .join(size.select(F.col("id").alias("y"), F.col("n").alias("m")), "y")
-             .where(_reachable(F.col("n"), F.col("m"), F.col("i"), F.col("j"), p)).select("x", "y"))
+    pairs are filtered by length, position and a wide sketch before the words are
+    joined."""
+    size = found.select("id", F.size("w").alias("n"), "s0", "s1")
+    apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
+    pairs = (pairs.join(size.withColumnRenamed("id", "x"), "x")
+             .join(size.toDF("y", "m", "t0", "t1"), "y")
+             .where(_reachable(F.col("n"), F.col("m"), F.col("i"), F.col("j"), p)
+                    & (F.lit(p.num + p.den) * apart <= F.lit(p.den - p.num) * (F.col("n") + F.col("m"))))
+             .select("x", "y"))
     one = found.select(F.col("id").alias("x"), F.struct("id", "a", "b").alias("p"), F.col("ord").alias("po"),
                        F.col("w").alias("pw"))
     two = found.select(F.col("id").alias("y"), F.struct("id", "a", "b").alias("q"), F.col("ord").alias("qo"),
