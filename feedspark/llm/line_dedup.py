@@ -103,8 +103,9 @@ def _wide_sketch(words: Column) -> list[Column]:
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     flip = lambda s, h: s.bitwiseXOR(F.call_function(
         "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))
-    return [F.aggregate(F.filter(hashes, lambda h, k=k: h.bitwiseAND(F.lit(64)) == F.lit(64 * k)),
-                        F.lit(0).cast("long"), flip).alias(f"s{k}") for k in (0, 1)]
+    low = F.filter(hashes, lambda h: h.bitwiseAND(F.lit(64)) == 0)
+    high = F.filter(hashes, lambda h: h.bitwiseAND(F.lit(64)) != 0)
+    return [F.aggregate(half, F.lit(0).cast("long"), flip).alias(name) for half, name in ((low, "s0"), (high, "s1"))]
 
 
 def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
@@ -229,6 +230,7 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     to_pivot = placed.join(pivot, "key").where((F.col("yo") < F.col("ord")) & _may_match(F.col("tag"), F.col("yt"), p))
     to_pivot = to_pivot.where("id != y")
     first = cut_lineage(two.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
+    release(docs.sparkSession)
     done = _later(first, found, p)
     del placed, pivot, to_pivot, two
     release(docs.sparkSession)

@@ -65,6 +65,28 @@ def test_key_sizes():
     assert all(3 * n // 10 < n - 2 for n in range(large, 500)) and large * 10 > 9 * small >= 9 * (large - 1)
 
 
+def test_sketches_never_exceed_the_difference(spark):
+    """Each word that only one line has flips one bit, whatever its place."""
+    from pyspark.sql import functions as F
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(300):
+        x = [f"w{rng.randrange(400)}" for _ in range(rng.choice((1, 3, 8, 30, 120)))]
+        y = [w for w in x if rng.random() < 0.9] + [f"v{rng.randrange(50)}" for _ in range(rng.randrange(3))]
+        rng.shuffle(y)
+        pairs.append((" ".join(x), " ".join(y)))
+    df = spark.createDataFrame(pairs, "x string, y string")
+    cols = []
+    for c in ("x", "y"):
+        cols += [k.alias(f"{c}{n}") for n, k in enumerate(line_dedup._wide_sketch(line_dedup.words_of(F.col(c))))]
+        cols.append(line_dedup._sketch(line_dedup.token_hashes(F.col(c))).alias(f"{c}t"))
+    for r in df.select("x", "y", *cols).collect():
+        apart = len(set(r["x"].split()) ^ set(r["y"].split()))
+        wide = sum(bin((r[f"x{n}"] ^ r[f"y{n}"]) & (2**64 - 1)).count("1") for n in (0, 1))
+        assert wide <= apart and (wide - apart) % 2 == 0
+        assert bin(r["xt"] ^ r["yt"]).count("1") <= apart
+
+
 def test_query(spark):
     got = queries.QUERIES["op7_line_dedup"](spark, SF).collect()
     want = brute(texts_of(SF))
