@@ -21,7 +21,8 @@ or more to it; lines without a token stay.
    square.
 5. *Length and positional filters* drop pairs that cannot reach the threshold: by
    their sizes, by a parity sketch of their tokens, and by the tokens that can still
-   agree before and after the common pair. What is left is verified on the words.
+   agree before and after the common pair. What is left is verified on all its
+   words, as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -52,23 +53,24 @@ def words_of(line: Column) -> Column:
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """`doc_id`, `th` (hash of the document's text), `no` (line number from 0),
-    `line`, `a` and `b` (a 128-bit hash of the line)."""
+    `line`, `a` and `b` (a 128-bit hash of the line), of the lines with a token."""
     return (docs.select("doc_id", F.xxhash64("text").alias("th"),
                         F.posexplode(F.split("text", "\n")).alias("no", "line"))
-            .where("line != ''")
+            .where("trim(line) != ''")
             .withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")}))
 
 
 def rarity_rank(docs: DataFrame, p: LineParams) -> Column:
-    """A constant array: the rank (0 .. 32767) of each bucket by its token count."""
+    """A constant array: the rank (0 .. 32767, shifted above 48 bits) of each bucket
+    by its token count."""
     token = docs.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("w"))
     counts = {r["k"]: r["n"] for r in
               token.groupBy(F.xxhash64("w").bitwiseAND(F.lit(p.buckets - 1)).alias("k"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}             # `buckets` rows at most
     levels = sorted(set(counts.values()))
     place = {n: 1 + i * 32766 // max(1, len(levels) - 1) for i, n in enumerate(levels)}
-    ranks = [place.get(counts.get(k), 0) for k in range(p.buckets)]
-    return F.from_json(F.lit(json.dumps(ranks)), "array<int>")
+    ranks = [place.get(counts.get(k), 0) << 48 for k in range(p.buckets)]
+    return F.from_json(F.lit(json.dumps(ranks)), "array<long>")
 
 
 def token_hashes(line: Column) -> Column:
@@ -77,12 +79,17 @@ def token_hashes(line: Column) -> Column:
     return F.array_distinct(F.array_remove(words, F.xxhash64(F.lit(""))))
 
 
-def token_codes(hashes: Column, rank: Column, p: LineParams) -> Column:
-    """array<long>: the tokens in order of rarity, each as its bucket's rank (16
-    bits) and its hash (48 bits)."""
-    return F.sort_array(F.transform(hashes, lambda h: F.call_function(
-        "shiftleft", F.get(rank, h.bitwiseAND(F.lit(p.buckets - 1)).cast("int")).cast("long"), F.lit(48))
-        .bitwiseOR(F.shiftrightunsigned(h, 16))))
+def token_codes(line: Column, rank: Column, p: LineParams) -> Column:
+    """array<long>: the line's distinct tokens in order of rarity, each as its
+    bucket's rank (16 bits) and its hash (48 bits). The array is declared free of
+    nulls, which lets Spark sort and compare plain longs."""
+    def code(word: Column) -> Column:
+        h = F.xxhash64(word)
+        return F.coalesce(F.get(rank, h.bitwiseAND(F.lit(p.buckets - 1)).cast("int")), F.lit(0).cast("long")).bitwiseOR(
+            F.shiftrightunsigned(h, 16))
+
+    codes = F.transform(F.split(F.lower(line), " "), code)
+    return F.sort_array(F.array_distinct(F.array_remove(codes, code(F.lit("")))))
 
 
 # A post carries, in one long, what the filters need: 8 bits of size (in fours,
@@ -109,26 +116,33 @@ def _wide_sketch(words: Column) -> list[Column]:
 
 
 def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
-    """Index rows: `key`, `id` (of the line), `tag` (size, position, sketch)."""
-    coded = (lines.select("id", token_hashes(F.col("line")).alias("h")).where("size(h) > 0")
-             .select("id", F.size("h").alias("n"), _sketch(F.col("h")).alias("s"),
-                     token_codes(F.col("h"), rank, p).alias("c")))
-    n = F.col("n")
+    """Index rows: `key`, `id` (of the line), `tag` (size, position, sketch). The
+    prefix is exploded before its keys are hashed: outside of lambda functions the
+    hashing is compiled code."""
+    n, at = F.col("n"), F.col("at")
     small, large = key_sizes(p)
 
-    def keys(k: int) -> Column:
-        """Hashes of k neighbours (a line of one token: of the token)."""
-        wide = F.greatest(F.lit(1), F.least(n - (k - 1), F.floor(F.lit(k * (p.den - p.num)) * n / p.den).cast("int") + 1))
-        return F.transform(F.slice("c", F.lit(1), wide), lambda c, i: F.xxhash64(
-            F.lit(k), c, *[F.get(F.col("c"), i + j) for j in range(1, k)]))
+    def wide(k: int) -> Column:
+        """How many keys of k neighbours (a line of one token: of the token)."""
+        return F.greatest(F.lit(1), F.least(n - (k - 1), F.floor(F.lit(k * (p.den - p.num)) * n / p.den).cast("int") + 1))
+
+    def prefix(k: int) -> Column:
+        return F.slice("c", F.lit(1), wide(k))
+
+    def key(k: int) -> Column:
+        return F.xxhash64(F.lit(k), "c0", *[F.get("c", at + j) for j in range(1, k)])
 
-    key = F.when(n < large, keys(2)).when(n > small, keys(3)).otherwise(F.concat(keys(2), keys(3)))
+    first = F.when(n < large, prefix(2)).when(n > small, prefix(3)).otherwise(F.concat(prefix(2), prefix(3)))
+    pairs = (n < large) | ((n <= small) & (F.col("pos") < wide(2)))
     size = F.least(F.ceil(n / 4), F.lit(_ANY_SIZE)).cast("long")
-    out = coded.select("id", F.call_function("shiftleft", size, F.lit(56)).bitwiseOR(F.col("s")).alias("s"),
-                       (n <= small).alias("any"), F.posexplode(key).alias("pos", "key"))
-    pos = F.when(F.col("any"), F.lit(_ANY_POS)).otherwise(F.least("pos", F.lit(_ANY_POS)))
-    at = F.call_function("shiftleft", pos.cast("long"), F.lit(_BITS))
-    return out.select("key", "id", F.col("s").bitwiseOR(at).alias("tag"))
+    coded = (lines.select("id", token_codes(F.col("line"), rank, p).alias("c"))
+             .select("id", "c", F.size("c").alias("n"), _sketch(F.col("c")).alias("s")))
+    out = coded.select("id", "c", "n", "s", F.posexplode(first).alias("pos", "c0")).withColumn("two", pairs)
+    out = out.withColumn("at", F.when(F.col("two") | (n > small), F.col("pos")).otherwise(F.col("pos") - wide(2)))
+    place = F.when(n <= small, F.lit(_ANY_POS)).otherwise(F.least("pos", F.lit(_ANY_POS))).cast("long")
+    tag = (F.call_function("shiftleft", size, F.lit(56)).bitwiseOR(F.call_function("shiftleft", place, F.lit(_BITS)))
+           .bitwiseOR(F.col("s")))
+    return out.select(F.when(F.col("two"), key(2)).otherwise(key(3)).alias("key"), "id", tag.alias("tag"))
 
 
 def key_sizes(p: LineParams) -> tuple[int, int]:
@@ -182,10 +196,10 @@ def _lists(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
-    # One pass over each list in order of id: its head, and whether it has three members.
-    run = Window.partitionBy("key").orderBy("id")
+    # One pass and one frame over each list in order of id: its head, and whether it has three members.
+    run = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lists = posts.select("key", "id", "tag", F.first("id").over(run).alias("head"), F.first("tag").over(run).alias("htag"),
-                         ((F.row_number().over(run) > 2) | F.lead("id").over(run).isNotNull()).alias("many"))
+                         (F.count(F.lit(1)).over(run) > 2).alias("many"))
     lists = lists.where("id != head").where(_may_match(F.col("tag"), F.col("htag"), p) | F.col("many"))
     return written(lists, "line-lists")
 
@@ -212,14 +226,14 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     many = lists.where("many")
     many = many.select("key", "id", "tag").unionByName(
         many.select("key", F.col("head").alias("id"), F.col("htag").alias("tag")).distinct())
-    # The lines of the lists, with their words and their first place.
+    # The lines of the lists, with their words' hashes and their first place.
     ids = two.select(F.col("x").alias("id")).unionByName(two.select(F.col("y").alias("id"))).unionByName(
         many.select("id")).distinct()
     near = cut_lineage(hash_filter(ids, ["id"], bits))
     found = (marked(lines, near, ["id"], bits, "near").where("near")
              .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
-             .join(ids, "id", "left_semi").select("id", "a", "b", "ord", words_of(F.col("line")).alias("w"))
-             .select("*", *_wide_sketch(F.col("w"))))
+             .join(ids, "id", "left_semi").select("id", "a", "b", "ord", token_hashes(F.col("line")).alias("w"))
+             .select("*", F.size("w").alias("n"), *_wide_sketch(F.col("w"))))
     found = written(found, "line-sets")
     release(docs.sparkSession)
     # Longer lists: every line against the list's earliest ones before it.
@@ -248,8 +262,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     # Every occurrence of such a line goes, and of any other line all but the first.
     hit = cut_lineage(hash_filter(gone, ["a", "b"], bits))
     maybe = marked(lines, hit, ["a", "b"], bits, "_g").where("often or _g").select(
-        "doc_id", "th", "no", "line", F.concat(F.hex("a"), F.lit(":"), F.hex("b")).alias("sig"))
-    maybe = cut_lineage(maybe.where(F.size(words_of(F.col("line"))) > 0).drop("line"))
+        "doc_id", "th", "no", F.concat(F.hex("a"), F.lit(":"), F.hex("b")).alias("sig"))
+    maybe = cut_lineage(maybe)
     gone = gone.select(F.concat(F.hex("a"), F.lit(":"), F.hex("b")).alias("sig"), F.lit(True).alias("gone"))
     classes = (maybe.groupBy("sig").agg(F.expr(f"min({_ORD})").alias("first"), F.count(F.lit(1)).alias("_n"))
                .join(gone, "sig", "left"))
@@ -268,9 +282,9 @@ def _pairs(rows: DataFrame, x: str, xt: str, y: str, yt: str) -> DataFrame:
 
 def _later(pairs: DataFrame, found: DataFrame, p: LineParams) -> DataFrame:
     """`id`, `a`, `b` of the later line of each pair (x, y) that is similar. The
-    pairs are filtered by length, position and a wide sketch before the words are
-    joined."""
-    size = found.select("id", F.size("w").alias("n"), "s0", "s1")
+    pairs are filtered by length, position and a wide sketch before the words'
+    hashes are joined."""
+    size = found.select("id", "n", "s0", "s1")
     apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
     pairs = (pairs.join(size.withColumnRenamed("id", "x"), "x")
              .join(size.toDF("y", "m", "t0", "t1"), "y")
