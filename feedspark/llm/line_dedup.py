@@ -61,16 +61,15 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def rarity_rank(docs: DataFrame, p: LineParams) -> Column:
-    """A constant array: the rank (0 .. 32767, shifted above 48 bits) of each bucket
-    by its token count."""
+    """A constant array: the rank (0 .. 32767) of each bucket by its token count."""
     token = docs.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("w"))
     counts = {r["k"]: r["n"] for r in
               token.groupBy(F.xxhash64("w").bitwiseAND(F.lit(p.buckets - 1)).alias("k"))
               .agg(F.count(F.lit(1)).alias("n")).collect()}             # `buckets` rows at most
     levels = sorted(set(counts.values()))
     place = {n: 1 + i * 32766 // max(1, len(levels) - 1) for i, n in enumerate(levels)}
-    ranks = [place.get(counts.get(k), 0) << 48 for k in range(p.buckets)]
-    return F.from_json(F.lit(json.dumps(ranks)), "array<long>")
+    ranks = [place.get(counts.get(k), 0) for k in range(p.buckets)]
+    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<long>")
 
 
 def token_hashes(line: Column) -> Column:
@@ -85,8 +84,8 @@ def token_codes(line: Column, rank: Column, p: LineParams) -> Column:
     nulls, which lets Spark sort and compare plain longs."""
     def code(word: Column) -> Column:
         h = F.xxhash64(word)
-        return F.coalesce(F.get(rank, h.bitwiseAND(F.lit(p.buckets - 1)).cast("int")), F.lit(0).cast("long")).bitwiseOR(
-            F.shiftrightunsigned(h, 16))
+        place = F.coalesce(F.get(rank, h.bitwiseAND(F.lit(p.buckets - 1)).cast("int")), F.lit(0).cast("long"))
+        return F.call_function("shiftleft", place, F.lit(48)).bitwiseOR(F.shiftrightunsigned(h, 16))
 
     codes = F.transform(F.split(F.lower(line), " "), code)
     return F.sort_array(F.array_distinct(F.array_remove(codes, code(F.lit("")))))
@@ -162,13 +161,17 @@ def _with_id(lines: DataFrame, often: str) -> DataFrame:
 
 
 def _may_match(a: Column, b: Column, p: LineParams) -> Column:
-    """Length and difference filter of two tags; true where it cannot tell.
-    (num + den) * differing <= (den - num) * (n + m) for similar lines."""
+    """Length, difference and positional filter of two tags with the same key; true
+    where it cannot tell. For similar lines of n and m tokens (known in fours here),
+    (num + den) * differing <= (den - num) * (n + m)."""
     n, m = (F.shiftrightunsigned(t, 56) for t in (a, b))
+    i, j = _position(a), _position(b)
     apart = F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit((1 << _BITS) - 1)))
+    most = F.least(i, j) + 1 + F.least(4 * n - i - 1, 4 * m - j - 1)
+    placed = (F.greatest(i, j) == _ANY_POS) | (F.lit(p.num + p.den) * most >= F.lit(p.num) * (4 * (n + m) - 6))
     return ((F.greatest(n, m) == _ANY_SIZE)
             | ((F.lit(p.num + p.den) * apart <= F.lit(4 * (p.den - p.num)) * (n + m))
-               & (F.lit(p.den) * F.least(n, m) >= F.lit(p.num) * (F.greatest(n, m) - 1))))
+               & (F.lit(p.den) * F.least(n, m) >= F.lit(p.num) * (F.greatest(n, m) - 1)) & placed))
 
 
 def _position(tag: Column) -> Column:
@@ -226,15 +229,18 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     many = lists.where("many")
     many = many.select("key", "id", "tag").unionByName(
         many.select("key", F.col("head").alias("id"), F.col("htag").alias("tag")).distinct())
-    # The lines of the lists, with their words' hashes and their first place.
+    # The lines of the lists: their texts stay where they are read, their sizes and
+    # sketches and the first place of each are gathered.
     ids = two.select(F.col("x").alias("id")).unionByName(two.select(F.col("y").alias("id"))).unionByName(
         many.select("id")).distinct()
     near = cut_lineage(hash_filter(ids, ["id"], bits))
-    found = (marked(lines, near, ["id"], bits, "near").where("near")
-             .groupBy("id", "a", "b").agg(F.expr(f"min({_ORD})").alias("ord"), F.first("line").alias("line"))
-             .join(ids, "id", "left_semi").select("id", "a", "b", "ord", token_hashes(F.col("line")).alias("w"))
-             .select("*", F.size("w").alias("n"), *_wide_sketch(F.col("w"))))
-    found = written(found, "line-sets")
+    texts = (marked(lines, near, ["id"], bits, "near").where("near")
+             .select("id", "a", "b", "doc_id", "th", "no", "line", token_hashes(F.col("line")).alias("w")))
+    texts = written(texts.select("id", "a", "b", "doc_id", "th", "no", "line", F.size("w").alias("n"),
+                                 *_wide_sketch(F.col("w"))), "line-texts")
+    found = (texts.groupBy("id", "a", "b", "n", "s0", "s1").agg(F.expr(f"min({_ORD})").alias("ord"))
+             .join(ids, "id", "left_semi"))
+    found = written(found, "line-sketches")
     release(docs.sparkSession)
     # Longer lists: every line against the list's earliest ones before it.
     placed = many.join(found.select("id", "ord"), "id")
@@ -245,7 +251,7 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     to_pivot = to_pivot.where("id != y")
     first = cut_lineage(two.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
     release(docs.sparkSession)
-    done = _later(first, found, p)
+    done = _later(first, found, texts, p)
     del placed, pivot, to_pivot, two
     release(docs.sparkSession)
     # Lines that are still open meet all members of their lists.
@@ -255,7 +261,7 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     rest = open_.join(other.hint("shuffle_hash"), (open_["key"] == other["key"]) & (F.col("x") != F.col("y"))
                       & _may_match(F.col("xt"), F.col("yt"), p))
     rest = _pairs(rest, "x", "xt", "y", "yt").join(first.select("x", "y"), ["x", "y"], "left_anti")
-    done = done.unionByName(_later(rest, found, p))
+    done = done.unionByName(_later(rest, found, texts, p))
     gone = cut_lineage(done.select("a", "b").distinct())
     del rest, open_, other, done
     release(docs.sparkSession)
@@ -280,21 +286,27 @@ def _pairs(rows: DataFrame, x: str, xt: str, y: str, yt: str) -> DataFrame:
             .select("x", "y", F.col("at.i").alias("i"), F.col("at.j").alias("j")))
 
 
-def _later(pairs: DataFrame, found: DataFrame, p: LineParams) -> DataFrame:
+def _later(pairs: DataFrame, found: DataFrame, texts: DataFrame, p: LineParams) -> DataFrame:
     """`id`, `a`, `b` of the later line of each pair (x, y) that is similar. The
-    pairs are filtered by length, position and a wide sketch before the words'
-    hashes are joined."""
+    pairs are filtered by length, position and a wide sketch; only lines of pairs
+    that pass are shuffled with their words' hashes."""
     size = found.select("id", "n", "s0", "s1")
     apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
-    pairs = (pairs.join(size.withColumnRenamed("id", "x"), "x")
-             .join(size.toDF("y", "m", "t0", "t1"), "y")
-             .where(_reachable(F.col("n"), F.col("m"), F.col("i"), F.col("j"), p)
-                    & (F.lit(p.num + p.den) * apart <= F.lit(p.den - p.num) * (F.col("n") + F.col("m"))))
-             .select("x", "y"))
-    one = found.select(F.col("id").alias("x"), F.struct("id", "a", "b").alias("p"), F.col("ord").alias("po"),
-                       F.col("w").alias("pw"))
-    two = found.select(F.col("id").alias("y"), F.struct("id", "a", "b").alias("q"), F.col("ord").alias("qo"),
-                       F.col("w").alias("qw"))
+    pairs = cut_lineage(
+        pairs.join(size.withColumnRenamed("id", "x"), "x").join(size.toDF("y", "m", "t0", "t1"), "y")
+        .where(_reachable(F.col("n"), F.col("m"), F.col("i"), F.col("j"), p)
+               & (F.lit(p.num + p.den) * apart <= F.lit(p.den - p.num) * (F.col("n") + F.col("m"))))
+        .select("x", "y"))
+    bits = p.filter_bits
+    used = cut_lineage(hash_filter(pairs.select(F.explode(F.array("x", "y")).alias("id")), ["id"], bits))
+    words = (marked(texts.select("id", "line"), used, ["id"], bits, "used").where("used")
+             .groupBy("id").agg(F.first("line").alias("line")).select("id", token_hashes(F.col("line")).alias("w")))
+    sets = (marked(found.select("id", "a", "b", "ord"), used, ["id"], bits, "used").where("used").drop("used")
+            .join(words, "id"))
+    one = sets.select(F.col("id").alias("x"), F.struct("id", "a", "b").alias("p"), F.col("ord").alias("po"),
+                      F.col("w").alias("pw"))
+    two = sets.select(F.col("id").alias("y"), F.struct("id", "a", "b").alias("q"), F.col("ord").alias("qo"),
+                      F.col("w").alias("qw"))
     both = F.size(F.array_intersect("pw", "qw"))
     either = F.size("pw") + F.size("qw") - both
     alike = (pairs.join(one, "x").join(two, "y").where(F.lit(p.den) * both >= F.lit(p.num) * either)
