@@ -10,8 +10,13 @@ name, two mild words that are hostile together) have a weight of their own,
 factorised as the product of two short vectors. The pair sum is evaluated in
 linear time as half of |sum v_i|^2 - sum |v_i|^2.
 
+Every slot that enough sampled documents hold has a weight and a vector, also one
+that shows no association with the label by itself: it may do so in a pair. Such a
+quiet slot enters with a small value x_i in place of 1 (w_i x_i, v_i x_i), which
+shrinks what it learns from noise and leaves what many documents agree on.
+
 Fitting reads a bounded sample of the labelled rows (`max_rows`, chosen by a
-hash of the id), in one task; the model has a fixed size (2**bits x (1 + rank)
+hash of the id), in one task; the model has a fixed size (2**bits x (2 + rank)
 numbers at most) and is broadcast. Scoring is a map over all documents: no
 shuffle, whole texts.
 """
@@ -37,7 +42,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: of it without an ending of these lengths. They tie the forms of a stem together.
 _STEMS = (4, 5, 6, 8)
 _ENDINGS = (2, 3, 4)
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -46,7 +51,8 @@ class FMParams:
     bits: int = 20              # 2**bits hash slots
     rank: int = 8               # length of a slot's pair vector
     min_docs: int = 3           # sampled documents that hold a slot, at least
-    min_z: float = 3.3          # its association with the label, at least
+    min_z: float = 3.3          # association with the label below which a slot is quiet
+    quiet: float = 0.1          # value of a quiet slot (others: 1)
     updates: int = 60_000       # stochastic steps over the sample
     rate: float = 0.1           # AdaGrad step
     l2: float = 1e-4
@@ -67,7 +73,7 @@ class _Terms(dict):
 
     def __init__(self, mask: int, seen: np.ndarray | None = None):
         self.mask = mask
-        self.limit = _CACHE_WORDS if seen is not None else _CACHE_WORDS // 5    # all slots of a word are kept
+        self.limit = _CACHE_WORDS if seen is not None else _CACHE_WORDS * 2 // 5    # rare slots are kept too
         self.seen = None if seen is None else seen.tobytes()
 
     def __missing__(self, word: str) -> tuple[int, ...]:
@@ -84,9 +90,10 @@ class _Terms(dict):
         return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64))
 
 
-def _associated(docs: list[np.ndarray], y: np.ndarray, n: int, p: FMParams) -> np.ndarray:
-    """Slots whose presence goes with the label: in `min_docs` documents at least,
-    and a signed root of chi-square of `min_z` or more either way."""
+def _values(docs: list[np.ndarray], y: np.ndarray, n: int, p: FMParams) -> tuple[np.ndarray, np.ndarray]:
+    """The slots that `min_docs` documents hold at least, and the value of each of
+    them: 1 if its presence alone goes with the label (a signed root of chi-square
+    of `min_z` or more either way), else `quiet`."""
     both = np.zeros((2, n))
     for d, t in zip(docs, y):
         both[int(t), d] += 1
@@ -94,16 +101,17 @@ def _associated(docs: list[np.ndarray], y: np.ndarray, n: int, p: FMParams) -> n
     with np.errstate(divide="ignore", invalid="ignore"):
         expect = df * n1 / total
         z = (both[1] - expect) / np.sqrt(expect * (1 - n1 / total) * (1 - df / total))
-    return (df >= p.min_docs) & (np.abs(np.nan_to_num(z)) >= p.min_z)
+    seen = df >= p.min_docs
+    return seen, np.where(np.abs(np.nan_to_num(z[seen])) >= p.min_z, 1.0, p.quiet)
 
 
 def _fit(docs: list[np.ndarray], y: np.ndarray, p: FMParams):
     """AdaGrad on the logistic loss. Slots never seen keep weight and vector 0.
-    The pair term is scaled by 1/sqrt(number of slots), so that the length of a
-    document does not blow it up."""
+    The pair term is scaled by 1/sqrt(sum of squared values), so that the length of
+    a document does not blow it up. Returns weights and vectors times the values."""
     n = 1 << p.bits
     rng = np.random.Generator(np.random.PCG64(splitmix64(1, p.seed)[0]))
-    seen = _associated(docs, y, n, p)
+    seen, x = _values(docs, y, n, p)
     slot = np.cumsum(seen) - 1              # dense rows for the kept slots only
     m = int(seen.sum())
     w, v = np.zeros(m), rng.normal(0, 0.05, (m, p.rank))
@@ -120,30 +128,32 @@ def _fit(docs: list[np.ndarray], y: np.ndarray, p: FMParams):
         left -= len(order)
         for k in order:
             i = own[k]
-            s = 1 / np.sqrt(max(len(i), 1))
-            vi = v[i]
+            xi = x[i]
+            s = 1 / np.sqrt(max(xi @ xi, 1))
+            vi = v[i] * xi[:, None]
             sv = vi.sum(0)
-            z = w0 + w[i].sum() + 0.5 * s * (sv @ sv - np.einsum("ij,ij->", vi, vi))
+            z = w0 + w[i] @ xi + 0.5 * s * (sv @ sv - np.einsum("ij,ij->", vi, vi))
             e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[k]) * (pos if y[k] else neg)
             g0 += e * e
             w0 -= p.rate * e / np.sqrt(g0)
-            d = e + p.l2 * w[i]
+            d = e * xi + p.l2 * w[i]
             gw[i] += d * d
             w[i] -= p.rate * d / np.sqrt(gw[i])
-            d = e * s * (sv - vi) + p.l2 * vi
+            d = e * s * xi[:, None] * (sv - vi) + p.l2 * v[i]
             gv[i] += d * d
             v[i] -= p.rate * d / np.sqrt(gv[i])
-    return float(w0), seen, w.astype(np.float32), v.astype(np.float32)
+    return float(w0), seen, *(a.astype(np.float32) for a in (w * x, v * x[:, None], x))
 
 
 @dataclass
 class FMModel:
-    """w0, which slots were seen, and for those the weights and pair vectors."""
+    """w0, which slots were seen, and for those the weights, pair vectors and values."""
     params: FMParams
     w0: float
     seen: np.ndarray
     w: np.ndarray
     v: np.ndarray
+    x: np.ndarray
 
     def score(self, slots: np.ndarray) -> float:
         if not len(slots):
@@ -153,24 +163,24 @@ class FMModel:
             vi = self.v[i].astype(np.float64)
             sv = vi.sum(0)
             z = (self.w0 + float(self.w[i].sum(dtype=np.float64))
-                 + 0.5 / np.sqrt(len(i)) * float(sv @ sv - np.einsum("ij,ij->", vi, vi)))
+                 + 0.5 / np.sqrt(max(np.square(self.x[i], dtype=np.float64).sum(), 1)) * float(sv @ sv - np.einsum("ij,ij->", vi, vi)))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
     @property
     def row(self) -> np.ndarray:
         if not hasattr(self, "_row"):
-            self._row = np.cumsum(self.seen) - 1
+            self._row = np.cumsum(self.seen, dtype=np.int32) - 1
         return self._row
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
-        np.savez_compressed(out, w0=self.w0, seen=self.seen, w=self.w, v=self.v)
+        np.savez_compressed(out, w0=self.w0, seen=self.seen, w=self.w, v=self.v, x=self.x)
         return out.getvalue()
 
     @staticmethod
     def from_bytes(params: FMParams, data: bytes) -> FMModel:
         z = np.load(io.BytesIO(data))
-        return FMModel(params, float(z["w0"]), z["seen"], z["w"], z["v"])
+        return FMModel(params, float(z["w0"]), z["seen"], z["w"], z["v"], z["x"])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None,
@@ -209,15 +219,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
         got.sort()
         xs = [np.frombuffer(s, np.int32).astype(np.int64) for _, _, s in got]
         y = np.array([float(t) for _, t, _ in got])
-        w0, seen, w, v = _fit(xs, y, params)
-        data = FMModel(params, w0, seen, w, v).to_bytes()
+        data = FMModel(params, *_fit(xs, y, params)).to_bytes()
         yield pa.RecordBatch.from_pydict({"model": pa.array([data], pa.binary())})
 
     feats = map_batches(rows, featurise, "doc_id long, toxic int, slots binary")
     got = feats.repartition(1).mapInArrow(fit, "model binary").collect()
     if not got:                                  # no rows at all: Spark runs no batch
         return FMModel(params, float(np.log(1e-3 / 1.001)), np.zeros(mask + 1, bool),
-                       np.zeros(0, np.float32), np.zeros((0, params.rank), np.float32))
+                       np.zeros(0, np.float32), np.zeros((0, params.rank), np.float32),
+                       np.zeros(0, np.float32))
     return FMModel.from_bytes(params, bytes(got[0]["model"]))
 
 

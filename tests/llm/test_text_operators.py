@@ -297,6 +297,38 @@ def test_toxicity_finds_a_pair_that_no_single_word_shows(spark):
     assert all(got[k] == t for k, t in lab)
 
 
+def test_toxicity_finds_a_pair_with_balanced_marginals(spark):
+    """Toxic if exactly one of two words is there: neither word shows it by itself."""
+    rows = [(k, " ".join(["plain"] + ["alpha"] * (k % 2) + ["omega"] * (k // 2 % 2))) for k in range(400)]
+    lab = [(k, k % 2 ^ k // 2 % 2) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    m = toxicity.fit_toxicity(df, spark.createDataFrame(lab, "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(df, m).collect()}
+    assert all(got[k] == t for k, t in lab)
+
+
+def test_toxicity_finds_a_common_neutral_word_in_a_pair():
+    """16,000 rows, 10 % toxic; word 1 in 2,000 (z = 1.8 by itself), word 2 in 200,
+    both in 25, which are toxic. Neither word alone is."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+
+    def doc(*words):
+        return np.unique(np.r_[rng.integers(10, 310, 20), words].astype(np.int64))
+
+    docs, y = [], []
+    for k in range(16_000):
+        group, rare, both = k < 2000, k < 25 or 2000 <= k < 2175, k < 25
+        toxic = both or rng.random() < 0.1
+        docs.append(doc(*[1] * group, *[2] * rare, *[3 + int(rng.integers(3))] * (toxic and not both)))
+        y.append(float(toxic))
+    p = toxicity.FMParams()
+    m = toxicity.FMModel(p, *toxicity._fit(docs, np.array(y), p))
+    share = [np.mean([m.score(d[m.seen[d]]) >= 0.5 for d in (doc(*words) for _ in range(200))])
+             for words in ((1, 2), (1,), (2,))]
+    assert share[0] > 0.7 and share[1] < 0.02 and share[2] < 0.1
+
+
 def test_toxicity_edges(spark, wild, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     lab = spark.createDataFrame([(1, 1), (9, 0), (None, 1), (5, None), (77, 1)], "doc_id long, toxic int")
