@@ -5,8 +5,9 @@ gives the pieces between the matches, extracting all gives the matches, and the
 running sum of both lengths gives the positions (code points, end exclusive).
 
 Candidate strings for the entropy scan are maximal runs of key characters with a
-letter and a digit. Each has a character class (hex or mixed) with its own window
-and threshold. The window slides by one character: with c occurrences of the
+letter and a digit, or of letters only. Each has a character class (hex; letters of
+one case and digits, as base36 and base32; letters of both cases and digits; mixed)
+with its own threshold. The window slides by one character: with c occurrences of the
 entering character already in it, the sum of c*log2(c) over all characters
 changes by (c+1)*log2(c+1) - c*log2(c), and likewise for the leaving one, so the
 entropy follows from two counts a step. Allow-listed candidates are suppressed.
@@ -37,21 +38,32 @@ class EntropyParams:
     hex_bits: float = 3.0
     mixed_window: int = 20
     mixed_bits: float = 3.8
+    case_bits: float = 3.3      # letters of one case, with or without digits (window of mixed)
+    alnum_bits: float = 3.55    # letters of both cases, with or without digits (window of mixed)
+
+
+#: A run of up to 15 letters, or of any length if shaped like words: no six sounds
+#: without a vowel, no two of j, x and q without u, no quick changes of case.
+_WORD = (r"(?:[A-Za-z]{1,15}(?![A-Za-z])"
+         r"|(?![A-Za-z]*(?:(?>sch|ch|ck|tz|th|[bcdfghjklmnpqrstvwxz]){6}|[BCDFGHJKLMNPQRSTVWXZ]{7}))"
+         r"(?![A-Za-z]*(?:[jxJX]|[qQ](?![uU]))[A-Za-z]*(?:[jxJX]|[qQ](?![uU])))"
+         r"(?![A-Za-z]*[A-Z][a-z][A-Z][A-Za-z]*[A-Z][a-z][A-Z])"
+         r"(?![A-Za-z]*?(?:[a-z]{1,2}[A-Z]{1,9}){4})[A-Za-z]+)")
 
 
 #: A candidate that matches one of these as a whole is no secret.
 ALLOW = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",   # a UUID
     r"[0-9]{4}-[0-9]{2}-[0-9]{2}[-_T0-9]*",                                            # a date and time
-    r"[A-Za-z]+([-_/=+][A-Za-z]+)*[-_/=+]*[0-9]{0,6}",                                 # words and a number
+    rf"{_WORD}([-_/=+]{_WORD})*[-_/=+]*[0-9]{{0,6}}",                                  # words and a number
     r"[-_/=+]*[0-9]+([-_/=+]+[0-9]+)*[-_/=+]*[A-Za-z]{0,3}",                           # a number and a unit
 )
 _RUN = r"A-Za-z0-9+/_="
 
 
 def _candidates(min_run: int) -> str:
-    return (rf"(?<![{_RUN}-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])"
-            rf"[{_RUN}-]{{{min_run},}}")
+    return (rf"(?<![{_RUN}-])(?:(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])"
+            rf"[{_RUN}-]{{{min_run},}}|[A-Za-z]{{{min_run},}}+(?![{_RUN}-]))")
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -84,7 +96,7 @@ def _clog(c: Column) -> Column:
     return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
 
-def hot_window(hit: Column, window: int, bits: float) -> Column:
+def hot_window(hit: Column, window: int, bits: float | Column) -> Column:
     """struct<first:int, last:int>: the start of the first and the end of the
     last window of `hit` whose entropy reaches `bits`; null fields if none does.
     A run shorter than the window has no window."""
@@ -105,7 +117,7 @@ def hot_window(hit: Column, window: int, bits: float) -> Column:
         enter = count(kept, F.substring(hit, i, F.lit(1)))
         total = (s["sum"] - F.when(leaves, _clog(gone) - _clog(gone - 1)).otherwise(F.lit(0.0))
                  + _clog(enter + 1) - _clog(enter))
-        hot = (i >= window) & (F.log2(F.lit(float(window))) - total / window >= bits - 1e-9)
+        hot = (i >= window) & (F.log2(F.lit(float(window))) - total / window >= bits - F.lit(1e-9))
         return F.struct(total.alias("sum"),
                         F.when(hot, F.coalesce(s["first"], i - window)).otherwise(s["first"]).alias("first"),
                         F.when(hot, i).otherwise(s["last"]).alias("last")).cast(kind)
@@ -119,7 +131,9 @@ def _entropy_spans(text: Column, p: EntropyParams) -> Column:
     tagged = F.transform(runs, lambda m: F.struct(
         m["start"].alias("start"),
         F.when(m["hit"].rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), hot_window(m["hit"], p.hex_window, p.hex_bits))
-        .otherwise(hot_window(m["hit"], p.mixed_window, p.mixed_bits)).alias("w")))
+        .otherwise(hot_window(m["hit"], p.mixed_window, F.when(
+            m["hit"].rlike("^(?:[a-z0-9]+|[A-Z0-9]+)$"), p.case_bits).when(
+            m["hit"].rlike("^[A-Za-z0-9]+$"), p.alnum_bits).otherwise(p.mixed_bits))).alias("w")))
     rank = len(KINDS) - 1
     return F.transform(F.filter(tagged, lambda m: m["w"]["first"].isNotNull()), lambda m: F.struct(
         (m["start"] + m["w"]["first"]).alias("start"), F.lit(rank).alias("rank"),

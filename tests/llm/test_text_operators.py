@@ -251,6 +251,30 @@ def test_secret_scan(spark, wild):
 LONG_TEXT = dict(TEXTS)[6]
 
 
+def test_secret_recall_per_class(spark):
+    """Random keys of each class, alone in a text, against the shares in the README; words stay."""
+    import random
+    rng, low = random.Random(11), "abcdefghijklmnopqrstuvwxyz"
+    up, digits = low.upper(), "0123456789"
+    least = {"lower+digit": (low + digits, (.98, .99, .99)), "base32": (up + "234567", (.97, .99, .99)),
+             "base62": (low + up + digits, (.97, .99, .99)), "letters": (low + up, (.9, .95, .98)),
+             "lower": (low, (.82, .88, .95))}
+    sizes, n = (20, 24, 32), 1000
+    keys = [(c, k, "".join(rng.choice(al) for _ in range(size)))
+            for c, (al, _) in least.items() for k, size in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame([(i, f"x {key} y") for i, (_, _, key) in enumerate(keys)], "doc_id long, text string")
+    found = defaultdict(int)
+    for r in secrets.scan_secrets(df).collect():
+        c, k, _ = keys[r["doc_id"]]
+        found[c, k] += bool(r["spans"])
+    assert all(found[c, k] / n >= want[k] for c, (_, want) in least.items() for k in range(3))
+    words = ["Geschichtsschreibung", "Rechtsschutzversicherungsgesellschaften", "internationalization2024",
+             "getElementsByTagNameNS", "XMLHttpRequestFactoryBean", "counterrevolutionaries", "Netzwerkzertifizierung",
+             "INTERNATIONALIZATION", "docs/getting-started/installation-guide"]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    assert [r["text"] for r in secrets.scan_secrets(df).collect() if r["spans"]] == []
+
+
 def test_secret_query(spark):
     got = {r["doc_id"]: r for r in queries.QUERIES["op9_secret_scan"](spark, "/root/testdata/sf0.01").collect()}
     some = 0
