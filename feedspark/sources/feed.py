@@ -30,15 +30,61 @@ def _js_trim(col: Column) -> Column:
     return F.regexp_replace(col, r"^\s+|\s+$", "")
 
 
-def _parsed(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Project `keep`, the strict parse `_v` of column `text` and its kind `_k`
+def _parsed(df: DataFrame, text: str, keep: list[str], raw: str = "_raw") -> DataFrame:
+    """Project `keep`, `text` as `raw`, its strict parse `_v` and the kind `_k`
     (two projections, so the parse runs once per row)."""
-    df = with_strict_parse(df.select(*keep, F.col(text).alias("_raw")), "_raw", "_v")
+    df = with_strict_parse(df.select(*keep, F.col(text).alias(raw)), raw, "_v")
     return df.withColumn("_k", vkind(F.col("_v")))
 
 
+#: Documents of more bytes are not tried as one Variant (its limit is near 128 MB).
+WHOLE_BYTES = 32 << 20
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _documents(text: DataFrame, keep: list[str], fields: str) -> DataFrame:
+    """`_parsed` whole documents. A document that is no Variant as a whole (too
+    large) is cut into its parts, each a Variant of its own: `_o` holds the
+    `fields` of an object, `_a` the elements of an array, both NULL otherwise.
+    Of a repeated key the last value counts, as in JavaScript."""
+    text.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    raw = F.col("value")
+    p = text.select(*keep, raw.alias("_raw"), F.when(F.octet_length(raw) <= WHOLE_BYTES, raw).alias("_whole"))
+    p = _parsed(p, "_whole", [*keep, "_raw"], "_whole").drop("_whole", "_k")
+    wrapped = F.concat(F.lit("["), F.col("_raw"), F.lit("]"))     # refuses junk after the document
+    array = F.col("_raw").rlike(r"^\s*\[")
+
+    def cut(test: Column, kind: str) -> Column:
+        parts = F.from_json(wrapped, f"array<{kind}>", _STRICT)
+        return F.when(F.col("_v").isNull() & test, F.when(F.size(parts) == 1, parts[0]))
+
+    return p.withColumns({"_o": cut(~array, f"struct<{fields}>"), "_a": cut(array, "array<variant>")})
+
+
+def _quarantine(p: DataFrame, keep: list[str], elements: Column) -> DataFrame:
+    """The documents of `p` (`_documents`) that hold no array of elements, whole."""
+    lost = F.col("_raw").isNotNull() & elements.isNull()
+    parsed = F.col("_v").isNotNull() | F.col("_o").isNotNull() | F.col("_a").isNotNull()
+    return keep_rows(p, lost).select(
+        *keep, F.when(parsed, "no array").otherwise("not parsed").alias("reason"), F.col("_raw").alias("value"))
+
+
 # ----------------------------------------------------------- page envelopes
 
+_PAGE_FIELDS = "data array<variant>, hasMore variant, nextCursor variant, pagination variant"
+
+
+def _page_events() -> Column:
+    return F.coalesce(F.try_variant_get(F.col("_v"), "$.data", "array<variant>"), F.col("_o.data"))
+
+
+def page_quarantine(text: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """`keep`, `reason` (``not parsed`` or ``no array``) and the whole `value` of
+    every page from which `parse_pages` takes no events array. NULL texts are no pages."""
+    keep = keep or []
+    return _quarantine(_documents(text, keep, _PAGE_FIELDS), keep, _page_events())
+
+
 def parse_pages(text: DataFrame, nested: bool = True, fields=ID_FIELDS,
                 keep: list[str] | None = None) -> DataFrame:
     """One row per event of every page, with the page's `has_more`
@@ -46,21 +92,24 @@ def parse_pages(text: DataFrame, nested: bool = True, fields=ID_FIELDS,
 
     Nested reader: ``hasMore = pagination.hasMore ?? hasMore ?? false`` and
     the cursor likewise. Flat reader (``nested=False``): top-level fields only
-    (NULL when a page carries only the nested form).
+    (NULL when a page carries only the nested form). Pages without a readable
+    events array give no rows here; `page_quarantine` returns them.
     """
     keep = keep or []
-    p = _parsed(text, "value", keep)
-    v = F.col("_v")
-    flat_more = F.try_variant_get(v, "$.hasMore", "boolean")
-    flat_cur = F.try_variant_get(v, "$.nextCursor", "string")
+    p = _documents(text, keep, _PAGE_FIELDS)
+
+    def field(name: str, kind: str, part: str = "") -> Column:
+        whole = F.try_variant_get(F.col("_v"), f"$.{part or name}" + (f".{name}" if part else ""), kind)
+        return F.coalesce(whole, F.try_variant_get(F.col(f"_o.{part or name}"), f"$.{name}" if part else "$", kind))
+
+    flat_more, flat_cur = field("hasMore", "boolean"), field("nextCursor", "string")
     if nested:
-        more = F.coalesce(F.try_variant_get(v, "$.pagination.hasMore", "boolean"), flat_more,
-                          F.lit(False))
-        cur = F.coalesce(F.try_variant_get(v, "$.pagination.nextCursor", "string"), flat_cur)
+        more = F.coalesce(field("hasMore", "boolean", "pagination"), flat_more, F.lit(False))
+        cur = F.coalesce(field("nextCursor", "string", "pagination"), flat_cur)
     else:
         more, cur = flat_more, flat_cur
     rows = p.select(*keep, more.alias("has_more"), cur.alias("next_cursor"),
-                    F.explode(F.try_variant_get(v, "$.data", "array<variant>")).alias("_e"))
+                    F.explode(_page_events()).alias("_e"))
     rows = with_id_pick(rows, "_e", fields, field_col=None, kind_col=None)
     return keep_rows(rows, is_valid_id(F.col("id"))).select(*keep, "id", "has_more", "next_cursor")
 
@@ -73,17 +122,33 @@ def read_pages(spark: SparkSession, path: str, whole_file: bool = True,
 
 # -------------------------------------------------------------------- dumps
 
+def _dump_fields(array_fields) -> str:
+    return ", ".join(f"`{f}` array<variant>" for f in array_fields)
+
+
+def _dump_elements(array_fields) -> Column:
+    v = F.col("_v")
+    arrays = [F.try_variant_get(v, "$", "array<variant>"), F.col("_a")]
+    arrays += [F.try_variant_get(v, field_path(f), "array<variant>") for f in array_fields]
+    return F.coalesce(*arrays, *[F.col("_o").getField(f) for f in array_fields])
+
+
+def dump_quarantine(text: DataFrame, keep: list[str] | None = None,
+                    array_fields=DUMP_ARRAY_FIELDS) -> DataFrame:
+    """As `page_quarantine`, of the dumps from which `parse_dump` takes no array."""
+    keep = keep or []
+    return _quarantine(_documents(text, keep, _dump_fields(array_fields)), keep, _dump_elements(array_fields))
+
+
 def parse_dump(text: DataFrame, fields=ID_FIELDS, keep: list[str] | None = None,
                array_fields=DUMP_ARRAY_FIELDS) -> DataFrame:
     """Whole-dump JSON: a bare array, or the first of `data` / `ids` /
     `events` that is present. Each element decides for itself whether it is
-    an id string or an event object (a superset of deciding by the first)."""
+    an id string or an event object (a superset of deciding by the first).
+    Dumps without a readable array give no rows here; `dump_quarantine` returns them."""
     keep = keep or []
-    p = _parsed(text, "value", keep)
-    v = F.col("_v")
-    arrays = [F.try_variant_get(v, "$", "array<variant>")]
-    arrays += [F.try_variant_get(v, field_path(f), "array<variant>") for f in array_fields]
-    rows = p.select(*keep, F.explode(F.coalesce(*arrays)).alias("_e"))
+    p = _documents(text, keep, _dump_fields(array_fields))
+    rows = p.select(*keep, F.explode(_dump_elements(array_fields)).alias("_e"))
     rows = with_element_id(rows, "_e", fields)
     return keep_rows(rows, is_valid_id(F.col("id"))).select(*keep, "id")
 

@@ -105,3 +105,33 @@ def test_ndjson_number_text_like_javascript(spark):
     got = {r["n"]: r["id"] for r in feed.parse_ndjson_lenient(lines(spark, vals), keep=["n"]).collect()}
     assert [got.get(i) for i in range(len(vals))] == [
         "Infinity", "-Infinity", "1.5", "2", "1000", None, None, "Infinity", "0x1F2E3D", "012345"]
+
+
+def test_repeated_keys_and_lost_documents(spark):
+    """The last value of a repeated key counts; what cannot be read is kept whole."""
+    pages = ['{"data":[{"id":"a","id":"b"},{"id":"c"}],"hasMore":true,"hasMore":false}', '{"data":[{"id":"t"},{"i',
+             '{"data":[{"id":"j"}]} junk', '{"hasMore":false}', None, '{"data":[]}']
+    df = lines(spark, pages)
+    assert sorted((r["id"], r["has_more"]) for r in feed.parse_pages(df).collect()) == [("b", False), ("c", False)]
+    lost = [("not parsed", pages[1]), ("not parsed", pages[2]), ("no array", pages[3])]
+    assert [(r["reason"], r["value"]) for r in feed.page_quarantine(df, ["n"]).orderBy("n").collect()] == lost
+    dumps = lines(spark, ['[{"id":"a","id":"b"}]', '{"ids":["c"],"ids":["d"]}', '["e"', "7"])
+    assert ids(feed.parse_dump(dumps)) == ["b", "d"]
+    got = feed.dump_quarantine(dumps, ["n"]).orderBy("n").collect()
+    assert [(r["n"], r["reason"]) for r in got] == [(2, "not parsed"), (3, "no array")]
+
+
+def test_documents_cut_into_parts_read_the_same(spark, monkeypatch):
+    """Documents too large for one Variant are read by element, with the same rows."""
+    pages = lines(spark, ['{"data":[{"id":"a"},{"id":"b","x":[1,{"id":"n"}]}],"pagination":{"hasMore":true,"nextCursor":"c"}}',
+                          ' {"data":[{"_id":"d"},null,3],"hasMore":false,"nextCursor":null}', '{"hasMore":true}'])
+    dumps = lines(spark, [' [{"id":"a"},"b",7]', '{"data":[{"id":"c"}],"ids":["x"]}', '{"ids":["null","d"]}', '{"a":1}'])
+
+    def read():
+        return [sorted(map(str, df.collect())) for df in (
+            feed.parse_pages(pages, keep=["n"]), feed.parse_pages(pages, nested=False, keep=["n"]),
+            feed.parse_dump(dumps, keep=["n"]), feed.page_quarantine(pages, ["n"]), feed.dump_quarantine(dumps, ["n"]))]
+
+    whole = read()
+    monkeypatch.setattr(feed, "WHOLE_BYTES", 0)
+    assert read() == whole and all(whole)
