@@ -215,8 +215,8 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     texts are ordered by a hash of the text; null ids come last.
     """
     p, bits = params, params.filter_bits
-    if 3 * p.num < 2 * p.den:
-        raise ValueError("the prefix bound holds for similarities of 2/3 and more")
+    if 3 * p.num <= 2 * p.den:
+        raise ValueError("the prefix of pairs is exact for similarities above 2/3 only")
     prepare(docs.sparkSession)
     df = docs_of(docs)
     rank = rarity_rank(df, p)

@@ -246,8 +246,8 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
     whose rows all have a null id has a null `component_id`.
     """
     p = params
-    if 2 * p.num < p.den:
-        raise ValueError("the prefix bound holds for similarities of 1/2 and more")
+    if 3 * p.num <= 2 * p.den:
+        raise ValueError("the prefix of pairs is exact for similarities above 2/3 only")
     df = docs_of(docs)
     rank = ranks(rarity_counts(df, p))
     sets = _set_table(df, rank, p)

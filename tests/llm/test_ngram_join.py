@@ -97,3 +97,16 @@ def test_components_of_paths_and_stars(spark):
     got = connected_components(spark.createDataFrame(e, "a long, b long")).collect()
     want = {k: 0 for k in range(61)} | {100 + k: 100 for k in range(50)} | {200: 200, 201: 200}
     assert {r["node"]: r["root"] for r in got} == want and len(got) == len(want)
+
+
+def test_similarities_whose_prefix_could_lose_links_are_refused(spark):
+    """{a, c, b} and {a, b} in order of rarity share no pair of neighbours at 2/3."""
+    import pytest
+
+    from feedspark.llm import line_dedup
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b")], "doc_id long, text string")
+    for num, den in ((1, 2), (6, 10), (2, 3)):
+        with pytest.raises(ValueError, match="2/3"):
+            ngram_join.ngram_components(df, ngram_join.JoinParams(words=1, num=num, den=den))
+        with pytest.raises(ValueError, match="2/3"):
+            line_dedup.line_decisions(df, line_dedup.LineParams(num=num, den=den))
