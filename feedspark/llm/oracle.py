@@ -2,6 +2,13 @@
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: crc32 of a number's decimal digits (null: of nothing), bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+                        [4294967295] || list_transform(range(1, length(coalesce({0}::VARCHAR, '')) + 1),
+                                                       lambda i: ascii(substring({0}::VARCHAR, i, 1))::BIGINT),
+                        lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                                                 lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))))"""
+
 ORACLE_SQL = {
     "op3_exact_dedup_bloom": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
@@ -47,4 +54,49 @@ ORACLE_SQL = {
         r AS (SELECT doc_id, doc_id AS link FROM n UNION SELECT r.doc_id, u.b FROM r JOIN u ON u.a = r.link)
         SELECT r.doc_id, any_value(n.n)::BIGINT AS n_shingles, min(link) AS component_id
         FROM r JOIN n ON n.doc_id = r.doc_id GROUP BY 1""",
+    "op13_merkle_manifest": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, lang, n_chars, text,
+                   CASE WHEN {_CRC32.format("doc_id")} % 3 = 0 THEN translate(text, '{_UPPER}', '{_UPPER.lower()}')
+                        ELSE text END AS now
+            FROM documents),
+        f AS (
+            SELECT doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                coalesce(strlen(text) || ':' || text, '-') AS was, coalesce(strlen(now) || ':' || now, '-') AS is_now
+            FROM d),
+        l AS MATERIALIZED (
+            SELECT doc_id, lang, sha256(head || was) AS leaf, sha256(head || is_now) AS now,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(head || was)) - 1 AS pos
+            FROM f),
+        node AS (
+            SELECT 0 AS lv, lang, pos, leaf AS digest, count(*) OVER (PARTITION BY lang) AS width FROM l
+            UNION ALL
+            SELECT any_value(lv) + 1, lang, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)),
+                   (any_value(width) + 7) // 8
+            FROM node WHERE width > 1 GROUP BY lang, pos // 8),
+        nodes AS MATERIALIZED (SELECT * FROM node),
+        runs AS MATERIALIZED (
+            SELECT lv, lang, pos // 8 AS up, list(digest ORDER BY pos) AS run FROM nodes WHERE width > 1
+            GROUP BY lv, lang, pos // 8),
+        s AS MATERIALIZED (
+            SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) AS g,
+                   list(digest) OVER (ORDER BY lang NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run
+            FROM nodes WHERE width = 1),
+        climb AS (
+            SELECT 0 AS lv, doc_id, lang, pos AS leaf_pos, pos, now AS cur, '' AS proof FROM l
+            UNION ALL
+            SELECT c.lv + 1, doc_id, c.lang, leaf_pos, pos // 8,
+                   sha256(array_to_string(run[:pos % 8] || [cur] || run[pos % 8 + 2:], '')),
+                   proof || array_to_string(run[:pos % 8] || run[pos % 8 + 2:], '')
+            FROM climb c JOIN runs r ON r.lv = c.lv AND r.up = c.pos // 8 AND r.lang IS NOT DISTINCT FROM c.lang),
+        topped AS (
+            SELECT lang, leaf_pos, arg_max(cur, lv) AS cur, arg_max(proof, lv) AS proof FROM climb GROUP BY 1, 2)
+        SELECT l.doc_id, l.leaf, s.subroot, sha256(array_to_string(s.run, '')) AS root,
+               sha256(t.proof || array_to_string(s.run[:g - 1] || s.run[g + 1:], '')) AS proof_sha256,
+               sha256(array_to_string(s.run[:g - 1] || [t.cur] || s.run[g + 1:], '')) AS folded_root,
+               folded_root = root AS verified
+        FROM l JOIN topped t ON t.leaf_pos = l.pos AND t.lang IS NOT DISTINCT FROM l.lang
+        JOIN s ON s.lang IS NOT DISTINCT FROM l.lang""",
 }

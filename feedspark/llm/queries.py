@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, exact_dedup, fingerprint, language, line_dedup, ngram_join, packing, secrets,
-               toxicity)
+from . import (bpe, chat, exact_dedup, fingerprint, language, line_dedup, merkle, ngram_join, packing,
+               secrets, toxicity)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,9 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_decisions(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"),
                       F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_rows(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
