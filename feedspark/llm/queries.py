@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, chat, exact_dedup, fingerprint, language, line_dedup, merkle, ngram_join, packing,
-               secrets, toxicity)
+               passages, secrets, toxicity)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_rows(table(spark, sf_dir, "documents")).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op12_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = passages.fit_quality(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return passages.score_quality(docs, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
