@@ -99,4 +99,27 @@ ORACLE_SQL = {
                folded_root = root AS verified
         FROM l JOIN topped t ON t.leaf_pos = l.pos AND t.lang IS NOT DISTINCT FROM l.lang
         JOIN s ON s.lang IS NOT DISTINCT FROM l.lang""",
+    "op11_phrase_collocations": rf"""
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, doc_id,
+                          unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                                       '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+        g AS (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+              FROM w, range(1, 6) AS ks(k) WHERE len(w) >= k),
+        f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+        n AS MATERIALIZED (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+        c AS MATERIALIZED (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        inside AS (SELECT c.lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(a) AS a
+                   FROM c, range(2, 5) AS js(j), range(1, 5) AS si(i) WHERE j < k AND i + j - 1 <= k GROUP BY 1, 2),
+        cuts AS (SELECT c.lang, c.phrase, a, w, cut, array_to_string(w[:cut], ' ') AS lp, array_to_string(w[cut + 1:], ' ') AS rp
+                 FROM c, range(1, 5) AS cs(cut)
+                 WHERE cut < k AND NOT EXISTS (FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 100 * c.a)),
+        s AS (SELECT u.lang, u.phrase, u.a, l.a AS l, r.a AS r, n.n, cut,
+                     ((1000::HUGEINT * u.a * n.n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+              FROM cuts u JOIN f l ON l.lang = u.lang AND l.phrase = u.lp JOIN f r ON r.lang = u.lang AND r.phrase = u.rp
+              JOIN n ON n.lang = u.lang),
+        b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM b QUALIFY rank <= 2000""",
 }

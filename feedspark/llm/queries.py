@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat, exact_dedup, fingerprint, language, line_dedup, merkle, ngram_join, packing,
-               passages, secrets, toxicity)
+from . import (bpe, chat, collocations, exact_dedup, fingerprint, language, line_dedup, merkle,
+               ngram_join, packing, passages, secrets, toxicity)
 from .common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,8 @@ def op12_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = passages.fit_quality(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
     return passages.score_quality(docs, model).select(
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
