@@ -82,6 +82,7 @@ def build_manifest(docs: DataFrame, group: str = "lang", order: str = "doc_id",
     rows = docs.select(key.alias("_key"), F.col(order).alias("doc_id"),
                        leaf_digest([F.col(f) for f in fields]).alias("leaf"),
                        *[c.alias(k) for k, c in (extra or {}).items()])
+    rows = cut_lineage(rows)                     # the range partition reads it twice, the texts once
     indexed = with_row_index(rows, [F.col(c).asc_nulls_first() for c in ("_key", "doc_id", "leaf")], "_idx")
     sizes = cut_lineage(indexed.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.min("_idx").alias("_first")))
     n_rows, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
