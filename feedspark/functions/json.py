@@ -31,19 +31,31 @@ def unwrap(wrapped) -> Column:
                   F.try_variant_get(w, "$[0]", "variant"))
 
 
+def _closed_once(text) -> Column:
+    """False if an array wrapped around `text` could be closed by a bracket of its own
+    (``"x"] junk``): then an object wrapped around it does not parse. Only texts with a
+    closing bracket need that second parse."""
+    t = _c(text)
+    return F.when(F.contains(t, F.lit("]")), F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}"))).isNotNull()
+                  ).otherwise(F.lit(True))
+
+
 def strict_parse(text) -> Column:
     """Variant of a whole JSON text, or NULL if the text is not exactly one value.
 
     As one expression the parse appears twice; `with_strict_parse` stages it
     so each row is parsed once.
     """
-    return unwrap(wrap_parse(text))
+    return F.when(_closed_once(text), unwrap(wrap_parse(text)))
 
 
 def with_strict_parse(df, text: str, out: str = "v"):
-    """Add `out` = strict parse of column `text`, parsing each row once."""
-    return df.withColumn("_wrapped", wrap_parse(text)).withColumn(out, unwrap("_wrapped")).drop(
-        "_wrapped")
+    """Add `out` = strict parse of column `text`, parsing each row once. Of a repeated key
+    the last value counts, as in JavaScript: one rule for every reader, whichever was
+    called first (Spark takes it from the session only, so it is set wherever text is parsed)."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df.withColumn("_wrapped", F.when(_closed_once(text), wrap_parse(text))).withColumn(
+        out, unwrap("_wrapped")).drop("_wrapped")
 
 
 def vget(v, path: str) -> Column:

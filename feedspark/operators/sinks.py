@@ -1,5 +1,5 @@
 """Sinks: id export, gated export, journal append, table creation
-(K04-K07, S09, S10).
+(K04-K07, S09, S10, P03).
 
 Exports write in parallel (one file per task, `maxRecordsPerFile` as the
 chunk size) and count what they wrote with `observe`, so a gate costs no
@@ -48,6 +48,17 @@ def gated_export(ids: DataFrame, path: str, required: int, key: str = "id",
     return {"exact": exact, "exported": written, "required": required, "status": status}
 
 
+def write_with_rejects(df: DataFrame, path: str, reason: str = "reason",
+                       mode: str = "errorifexists") -> tuple[DataFrame, DataFrame]:
+    """P03 as a sink: rows and rejects (`reason` not NULL) of one frame, e.g. of
+    `feed.parse_pages(..., rejects=True)`, stored by one job under ``rejected=false`` and
+    ``rejected=true``. Returns (rows, rejects), each reading its own folder only."""
+    flagged = df.withColumn("rejected", F.col(reason).isNotNull())
+    flagged.write.mode(mode).partitionBy("rejected").parquet(path)
+    stored = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    return stored.where(~F.col("rejected")).drop("rejected"), stored.where("rejected").drop("rejected")
+
+
 def journal_append(ids: DataFrame, path: str, key: str = "id") -> None:
     """Append a batch of ids to the journal folder (one line each)."""
     ids.select(F.col(key).cast("string")).write.mode("append").text(path)

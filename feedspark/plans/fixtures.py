@@ -159,6 +159,37 @@ def dump_texts(ev: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     return pages.select("page_no", doc.alias("value"))
 
 
+def dump_files(ev: DataFrame, path: str) -> None:
+    """Four dumps, each one file and one JSON text over all events of its form
+    (``event_id % 4``, the shapes of `dump_texts`), one element an event in the order of
+    the ids. Texts hold the signs that a scan could take for structure; for
+    ``event_id % 50 = 13`` the element is no JSON."""
+    eid = F.col("event_id")
+    note = F.lit(',"note":"a,\\"b\\\\],{[","more":[[1,2],{"k":"}"}]}')
+    json = F.concat(F.expr("left(json, length(json) - 1)"), note)
+    ids = F.when(eid % 50 == 7, F.lit('"null"')).otherwise(_q(eid.cast("string")))
+    form = eid % 4
+    r = raw_events(ev).select("event_id", form.alias("form"), F.when(
+        eid % 50 == 13, F.concat(F.lit('{"id": oops '), eid.cast("string"), F.lit(', "x": [1, 2]}')))
+        .when(form == 2, ids).otherwise(json).alias("_t"))
+    ends = r.groupBy("form").agg(F.min("event_id").alias("_lo"), F.max("event_id").alias("_hi"))
+    head = pick_value(F.col("form"), ("[", '{"total":[1, 2],"data":[', '{"ids": [', '{"a":{"data":[7,8]},"events":\n['))
+    tail = pick_value(F.col("form"), ("]", '],"hasMore":false}', "] }", "]}\n"))
+    text = F.concat(F.when(eid == F.col("_lo"), head).otherwise(""), F.col("_t"), F.when(eid == F.col("_hi"), tail).otherwise(""))
+    # one file a form: the text writer puts the commas between the elements
+    (r.join(F.broadcast(ends), "form").select("form", "event_id", text.alias("value")).repartition(4, "form")
+     .sortWithinPartitions("form", "event_id").select("form", "value")
+     .write.partitionBy("form").option("lineSep", ",").text(path))
+
+
+def damaged(texts: DataFrame) -> DataFrame:
+    """`page_texts` or `dump_texts` of which some are cut off (``page_no % 5 = 2``) or hold
+    no events (``page_no % 5 = 4``)."""
+    k = F.col("page_no") % 5
+    return texts.withColumn("value", F.when(k == 2, F.expr("left(value, length(value) - 9)"))
+                            .when(k == 4, F.lit('{"hasMore":false}')).otherwise(F.col("value")))
+
+
 def ndjson_lines(ev: DataFrame) -> DataFrame:
     """Lenient NDJSON lines, one per event: objects, JSON strings, bare ids
     and junk (scalars, broken JSON, short text, blank lines)."""

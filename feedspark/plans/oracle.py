@@ -436,6 +436,29 @@ x AS (SELECT page_no, CASE WHEN page_no % 4 = 2 THEN
         (CASE WHEN event_id % 50 = 7 THEN 'null' ELSE id END) ELSE {jid('json')} END AS id2 FROM pg)
 SELECT page_no, id2 AS id FROM x WHERE {valid('id2')}""")
 
+sql("dump_split", f"""WITH {EV}, {RAW},
+x AS (SELECT CAST(event_id % 4 AS INTEGER) AS form,
+             row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) - 1 AS element, event_id % 50 = 13 AS bad,
+             CASE WHEN event_id % 4 = 2 THEN (CASE WHEN event_id % 50 = 7 THEN 'null' ELSE id END) ELSE {jid('json')} END AS id2
+      FROM raw)
+SELECT form, element, CASE WHEN NOT bad THEN id2 END AS id, CASE WHEN bad THEN 'not parsed' END AS reason
+FROM x WHERE bad OR {valid('id2')}""")
+
+_LOST = "CASE page_no % 5 WHEN 2 THEN 'not parsed' WHEN 4 THEN 'no array' END"
+_ENVELOPE = """length('{"data":[') + sum(length(json)) + count(*) - 1 + CASE WHEN page_no % 2 = 0
+  THEN length('],"pagination":{"hasMore":,"nextCursor":,"cursorExpiresIn":119}}') ELSE length('],"hasMore":,"nextCursor":}') END
+  + CASE WHEN page_no < any_value(last_page) THEN length('true""') + length(any_value(cur)) ELSE length('falsenull') END"""
+sql("page_quarantine", f"""WITH {EV}, {RAW}, {PAGED}
+SELECT page_no, {_LOST} AS reason, CAST(CASE WHEN page_no % 5 = 4 THEN length('{{"hasMore":false}}') ELSE {_ENVELOPE} - 9 END AS INTEGER) AS n_chars
+FROM pg JOIN pgc USING (page_no) WHERE page_no % 5 IN (2, 4) GROUP BY page_no""")
+
+sql("dump_quarantine", f"""WITH {EV}, {RAW}, {PAGED}
+SELECT DISTINCT page_no, {_LOST} AS reason FROM pg WHERE page_no % 5 IN (2, 4)""")
+
+sql("load_with_rejects", f"""{_PAGE_ROWS}
+SELECT page_no, CASE WHEN page_no % 5 IN (2, 4) THEN 0 ELSE count(*) FILTER (WHERE {valid('id2')}) END AS n_rows, {_LOST} AS reason
+FROM x GROUP BY page_no""")
+
 _BARE = "(length(t) > 5 AND length(t) < 200)"
 sql("src_ndjson_lenient", f"""WITH {EV}, {RAW},
 l AS (SELECT event_id, json, CASE WHEN event_id % 50 = 9 THEN '123456789'

@@ -18,7 +18,7 @@ from ..functions.json import with_strict_parse
 from ..functions.num import idiv, keep_rows
 from ..operators import extract, load, profile, progress, reconcile, scans, sinks
 from ..session import scratch_path
-from ..sources import feed
+from ..sources import feed, split
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -350,6 +350,35 @@ def src_dump_json(spark, sf_dir):
     return feed.parse_dump(fx.dump_texts(fx.events(spark, sf_dir)), keep=["page_no"])
 
 
+@query("dump_split")
+def dump_split(spark, sf_dir):
+    """S03 at any size: four dump files, cut in parallel; rejects are rows too."""
+    path = scratch_path(spark, "dump-files")
+    fx.dump_files(fx.events(spark, sf_dir), path)
+    return split.split_dump(spark, path, keep=["form"]).select("form", "element", "id", "reason")
+
+
+@query("page_quarantine")
+def page_quarantine(spark, sf_dir):
+    return feed.page_quarantine(fx.damaged(fx.page_texts(fx.events(spark, sf_dir))), ["page_no"]).select(
+        "page_no", "reason", F.length("value").alias("n_chars"))
+
+
+@query("dump_quarantine")
+def dump_quarantine(spark, sf_dir):
+    return feed.dump_quarantine(fx.damaged(fx.dump_texts(fx.events(spark, sf_dir))), ["page_no"]).select(
+        "page_no", "reason")
+
+
+@query("load_with_rejects")
+def load_with_rejects(spark, sf_dir):
+    """Pages parsed once, events and rejected pages stored by one job, counted per page."""
+    pages = feed.parse_pages(fx.damaged(fx.page_texts(fx.events(spark, sf_dir))), keep=["page_no"], rejects=True)
+    rows, rejects = sinks.write_with_rejects(pages, scratch_path(spark, "with-rejects"))
+    return (rows.groupBy("page_no").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(rejects.select("page_no", F.lit(0).cast("long").alias("n_rows"), "reason")))
+
+
 @query("src_ndjson_lenient")
 def src_ndjson_lenient(spark, sf_dir):
     return feed.parse_ndjson_lenient(fx.ndjson_lines(fx.events(spark, sf_dir)), keep=["event_id"])

@@ -47,7 +47,6 @@ def _documents(text: DataFrame, keep: list[str], fields: str) -> DataFrame:
     large) is cut into its parts, each a Variant of its own: `_o` holds the
     `fields` of an object, `_a` the elements of an array, both NULL otherwise.
     Of a repeated key the last value counts, as in JavaScript."""
-    text.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     raw = F.col("value")
     p = text.select(*keep, raw.alias("_raw"), F.when(F.octet_length(raw) <= WHOLE_BYTES, raw).alias("_whole"))
     p = _parsed(p, "_whole", [*keep, "_raw"], "_whole").drop("_whole", "_k")
@@ -61,12 +60,36 @@ def _documents(text: DataFrame, keep: list[str], fields: str) -> DataFrame:
     return p.withColumns({"_o": cut(~array, f"struct<{fields}>"), "_a": cut(array, "array<variant>")})
 
 
+def _lost_reason() -> Column:
+    parsed = F.col("_v").isNotNull() | F.col("_o").isNotNull() | F.col("_a").isNotNull()
+    return F.when(parsed, "no array").otherwise("not parsed")
+
+
 def _quarantine(p: DataFrame, keep: list[str], elements: Column) -> DataFrame:
     """The documents of `p` (`_documents`) that hold no array of elements, whole."""
     lost = F.col("_raw").isNotNull() & elements.isNull()
-    parsed = F.col("_v").isNotNull() | F.col("_o").isNotNull() | F.col("_a").isNotNull()
-    return keep_rows(p, lost).select(
-        *keep, F.when(parsed, "no array").otherwise("not parsed").alias("reason"), F.col("_raw").alias("value"))
+    return keep_rows(p, lost).select(*keep, _lost_reason().alias("reason"), F.col("_raw").alias("value"))
+
+
+def _exploded(p: DataFrame, cols: list, elements: Column, rejects: bool) -> DataFrame:
+    """`cols` and one element `_e` a row; with `rejects` also one row for each document
+    that holds no array of elements, with `reason` and its whole `value`."""
+    if not rejects:
+        return p.select(*cols, F.explode(elements).alias("_e"))
+    none = F.lit(None).cast("string")
+    rows = F.coalesce(
+        F.transform(elements, lambda e: F.struct(e.alias("e"), none.alias("reason"), none.alias("value"))),
+        F.when(F.col("_raw").isNotNull(), F.array(F.struct(F.lit(None).cast("variant").alias("e"), _lost_reason().alias("reason"),
+                                                           F.col("_raw").alias("value")))))
+    return p.select(*cols, F.explode(rows).alias("_r")).select(
+        "*", F.col("_r.e").alias("_e"), F.col("_r.reason").alias("reason"), F.col("_r.value").alias("value")).drop("_r")
+
+
+def _valid_or_rejected(rows: DataFrame, rejects: bool, cols: list[str]) -> DataFrame:
+    ok = is_valid_id(F.col("id"))
+    if not rejects:
+        return keep_rows(rows, ok).select(*cols)
+    return keep_rows(rows, F.col("reason").isNotNull() | ok).select(*cols, "reason", "value")
 
 
 # ----------------------------------------------------------- page envelopes
@@ -86,9 +109,11 @@ def page_quarantine(text: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def parse_pages(text: DataFrame, nested: bool = True, fields=ID_FIELDS,
-                keep: list[str] | None = None) -> DataFrame:
+                keep: list[str] | None = None, rejects: bool = False) -> DataFrame:
     """One row per event of every page, with the page's `has_more`
-    and `next_cursor`, valid ids only.
+    and `next_cursor`, valid ids only. With `rejects` the pages that give no
+    events array are rows too, with `reason` and `value` (NULL in event rows), from
+    the same pass; `sinks.write_with_rejects` stores both at once.
 
     Nested reader: ``hasMore = pagination.hasMore ?? hasMore ?? false`` and
     the cursor likewise. Flat reader (``nested=False``): top-level fields only
@@ -108,10 +133,9 @@ def parse_pages(text: DataFrame, nested: bool = True, fields=ID_FIELDS,
         cur = F.coalesce(field("nextCursor", "string", "pagination"), flat_cur)
     else:
         more, cur = flat_more, flat_cur
-    rows = p.select(*keep, more.alias("has_more"), cur.alias("next_cursor"),
-                    F.explode(_page_events()).alias("_e"))
+    rows = _exploded(p, [*keep, more.alias("has_more"), cur.alias("next_cursor")], _page_events(), rejects)
     rows = with_id_pick(rows, "_e", fields, field_col=None, kind_col=None)
-    return keep_rows(rows, is_valid_id(F.col("id"))).select(*keep, "id", "has_more", "next_cursor")
+    return _valid_or_rejected(rows, rejects, [*keep, "id", "has_more", "next_cursor"])
 
 
 def read_pages(spark: SparkSession, path: str, whole_file: bool = True,
@@ -141,16 +165,18 @@ def dump_quarantine(text: DataFrame, keep: list[str] | None = None,
 
 
 def parse_dump(text: DataFrame, fields=ID_FIELDS, keep: list[str] | None = None,
-               array_fields=DUMP_ARRAY_FIELDS) -> DataFrame:
+               array_fields=DUMP_ARRAY_FIELDS, rejects: bool = False) -> DataFrame:
     """Whole-dump JSON: a bare array, or the first of `data` / `ids` /
     `events` that is present. Each element decides for itself whether it is
     an id string or an event object (a superset of deciding by the first).
-    Dumps without a readable array give no rows here; `dump_quarantine` returns them."""
+    Dumps without a readable array give no rows here; `dump_quarantine` returns them, and
+    `rejects` adds them as in `parse_pages`. A dump file that is too large for one row is
+    read by `split.split_dump`."""
     keep = keep or []
     p = _documents(text, keep, _dump_fields(array_fields))
-    rows = p.select(*keep, F.explode(_dump_elements(array_fields)).alias("_e"))
+    rows = _exploded(p, keep, _dump_elements(array_fields), rejects)
     rows = with_element_id(rows, "_e", fields)
-    return keep_rows(rows, is_valid_id(F.col("id"))).select(*keep, "id")
+    return _valid_or_rejected(rows, rejects, [*keep, "id"])
 
 
 # ------------------------------------------------------------------- NDJSON

@@ -135,3 +135,19 @@ def test_documents_cut_into_parts_read_the_same(spark, monkeypatch):
     whole = read()
     monkeypatch.setattr(feed, "WHOLE_BYTES", 0)
     assert read() == whole and all(whole)
+
+
+def test_rows_and_rejects_of_one_pass(spark, tmp_dir):
+    """Pages and dumps that cannot be read are rows of the same frame, stored by one job."""
+    from feedspark.operators import sinks
+    pages = lines(spark, ['{"data":[{"id":"a"},{"id":""}],"hasMore":true}', '{"data":[{"id":"t"},{"i', '{"hasMore":false}', None,
+                          '{"data":[]}'])
+    df = feed.parse_pages(pages, keep=["n"], rejects=True)
+    got = sorted((r["n"], r["id"], r["reason"], r["value"]) for r in df.collect())
+    assert got == [(0, "a", None, None), (1, None, "not parsed", '{"data":[{"id":"t"},{"i'), (2, None, "no array", '{"hasMore":false}')]
+    rows, lost = sinks.write_with_rejects(df, tmp_dir + "/out")
+    assert [r["id"] for r in rows.collect()] == ["a"] and sorted(r["n"] for r in lost.collect()) == [1, 2]
+    assert "PartitionFilters: [" in rows._jdf.queryExecution().toString()
+    dumps = feed.parse_dump(lines(spark, ['["x",{"id":"y"}]', "oops", "{}"]), keep=["n"], rejects=True)
+    assert sorted((r["n"], str(r["id"]), str(r["reason"])) for r in dumps.collect()) == [
+        (0, "x", "None"), (0, "y", "None"), (1, "None", "not parsed"), (2, "None", "no array")]
