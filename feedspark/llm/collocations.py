@@ -18,9 +18,10 @@ the phrase itself, so frequent phrases can be mined by their parts:
 
 Which phrases to count is asked of Bloom filters over 64-bit phrase hashes, sized from
 the number of phrases up to `max_bits` and broadcast. A false positive, or a filter at
-its bound, makes a pass count more phrases and changes no result: counts are grouped by
-the phrase's text. Every pass combines equal phrases within a batch, again within a task
-and only then shuffles.
+its bound, makes a pass count more phrases and changes no result: what is returned was
+counted by the phrase's text. A pass first counts by hash and then, by text, the phrases
+whose hash is frequent. Equal phrases are combined within a batch, again within a task
+and only then shuffled.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -234,45 +236,72 @@ def phrase_bytes(w: Words, first: np.ndarray, k: int) -> pa.Array:
     return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(w.raw[at].tobytes()))
 
 
-_OUT = "lang string, k int, phrase string, n long, h long, proposed boolean"
-
-
 def _lang_hash(names: list[str], known: dict[str, int]) -> np.ndarray:
-    import hashlib
+    if len(known) > 100_000:
+        known.clear()
     for x in names:
         if x not in known:
-            known[x] = int.from_bytes(hashlib.blake2b(x.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+            known[x] = int.from_bytes(blake2b(x.encode("utf-8", "replace"), digest_size=8).digest(), "little")
     return np.array([known[x] for x in names], np.uint64)
 
 
-def count_phrases(docs: DataFrame, how: Pass, p: PhraseParams) -> DataFrame:
-    """`lang`, `k`, `phrase`, `n`, `h`, `proposed` of every phrase that `how` counts."""
+def _chunks(batches: Iterator[pa.RecordBatch], p: PhraseParams) -> Iterator[tuple[list[str], Words, np.ndarray]]:
+    """Languages of the texts, words, and each word's language, hashed."""
+    hashes: dict[str, int] = {}
+    for b in batches:
+        for langs, texts, n_old in chunked(*(b.column(c).to_pylist() for c in ("lang", "text")), p.chunk, p.longest - 1):
+            w = read_words(texts, n_old)
+            yield langs, w, _lang_hash(langs, hashes)[w.text]
+
+
+def count_hashes(docs: DataFrame, how: Pass, p: PhraseParams) -> DataFrame:
+    """`h`, `n` of every phrase that `how` counts, by its hash (of language and words). A
+    hash may stand for several phrases, so `n` is an upper bound."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[str, int] = {}
-        for b in batches:
-            for langs, texts, n_old in chunked(*(b.column(c).to_pylist() for c in ("lang", "text")), p.chunk, p.longest - 1):
-                w = read_words(texts, n_old)
-                if len(hashes) > 100_000:
-                    hashes.clear()
-                of_text = _lang_hash(langs, hashes)
-                names = pa.array(langs, pa.string())
-                if 0 in how.levels:
-                    for x in sorted(set(langs)):
-                        mine = np.array([y == x for y in langs])[w.text]
-                        yield pa.RecordBatch.from_pydict({
-                            "lang": pa.array([x]), "k": pa.array([0], pa.int32()), "phrase": pa.array([""]),
-                            "n": pa.array([int((mine & ~w.old).sum())]), "h": pa.array([0]), "proposed": pa.array([True])})
-                for k, first, count, h, hit in count_chunk(w, of_text[w.text], how, p.longest):
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": names.take(pa.array(w.text[first])), "k": pa.array(np.full(len(first), k, np.int32)),
-                        "phrase": phrase_bytes(w, first, k), "n": pa.array(count.astype(np.int64)),
-                        "h": pa.array(h.view(np.int64)), "proposed": pa.array(hit)})
-
-    got = map_batches(docs.select("lang", "text"), run, _OUT)
+        for _, w, lang in _chunks(batches, p):
+            for _, _, count, h, _ in count_chunk(w, lang, how, p.longest):
+                yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(count.astype(np.int64))})
+
+    return map_batches(docs.select("lang", "text"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def count_phrases(docs: DataFrame, how: Pass, wanted, p: PhraseParams) -> DataFrame:
+    """`lang`, `k`, `phrase`, `n`, `h`, `proposed` of every phrase that `how` counts and whose
+    hash the filter `wanted` has. With level 0 also the number of words, as k = 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, w, lang in _chunks(batches, p):
+            if 0 in how.levels:
+                names = sorted(set(langs))
+                at = np.array([names.index(x) for x in langs])[w.text]
+                yield _rows(pa.array(names), 0, pa.array([""] * len(names)), np.bincount(at, ~w.old, len(names)),
+                            np.zeros(len(names), np.uint64), np.ones(len(names), bool))
+            names = pa.array(langs, pa.string())
+            for k, first, count, h, hit in count_chunk(w, lang, how, p.longest):
+                i = np.flatnonzero(wanted.value.has(h))
+                if len(i):
+                    yield _rows(names.take(pa.array(w.text[first[i]])), k, phrase_bytes(w, first[i], k), count[i], h[i], hit[i])
+
+    got = map_batches(docs.select("lang", "text"), run,
+                      "lang string, k int, phrase string, n long, h long, proposed boolean")
     return got.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"), F.max("h").alias("h"),
                                                   F.max("proposed").alias("proposed"))
 
 
+def _rows(lang, k: int, phrase, n: np.ndarray, h: np.ndarray, proposed: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "lang": lang, "k": pa.array(np.full(len(n), k, np.int32)), "phrase": phrase, "n": pa.array(n.astype(np.int64)),
+        "h": pa.array(h.view(np.int64)), "proposed": pa.array(proposed)})
+
+
+def exact_counts(docs: DataFrame, how: Pass, p: PhraseParams, name: str) -> DataFrame:
+    """The frequent ones of the phrases that `how` counts, exactly. Almost all phrases of the
+    border are rare, so they are first counted by their hashes, 16 bytes a row; only
+    phrases whose hash reaches `least` are then counted by their text."""
+    often = written(count_hashes(docs, how, p).where(F.col("n") >= p.least).select("h"), f"{name}-hashes")
+    counted = count_phrases(docs, how, bloom_of(often, p), p)
+    return written(counted.where((F.col("n") >= p.least) | (F.col("k") == 0)), name)
+
+
 def bloom_of(phrases: DataFrame, p: PhraseParams):
     """A broadcast filter over the hashes `h` of `phrases`. Its words come from a grouped
     aggregate; one task packs them, at most `max_bits` / 64 rows, into one value."""
@@ -306,7 +335,7 @@ def propose(docs: DataFrame, p: PhraseParams):
                      .select("lang", "text"), "phrase-sample")
     found = proposed = None
     for k in range(1, p.longest):                # phrases of `longest` words have no extensions
-        got = count_phrases(sample, Pass(proposed, (k,)), p).where(F.col("n") >= p.sample_least)
+        got = count_hashes(sample, Pass(proposed, (k,)), p).where(F.col("n") >= p.sample_least)
         got = written(got.select("h"), f"phrase-proposal-{k}")
         found = got if found is None else found.unionByName(got)
         proposed = bloom_of(found, p)
@@ -324,13 +353,12 @@ def frequent_phrases(docs: DataFrame, params: PhraseParams = PhraseParams()) ->
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     proposed = propose(docs, p)
     every = tuple(range(p.longest + 1))
-    counted = written(count_phrases(docs, Pass(proposed, every), p).where((F.col("n") >= p.least) | (F.col("k") == 0)),
-                      "phrase-counts")
+    counted = exact_counts(docs, Pass(proposed, every), p, "phrase-counts")
     totals = counted.where((F.col("k") == 0) & (F.col("n") > 0)).select("lang", "n")
     found, passes = counted.where("k > 0"), 1
     if not found.where(~F.col("proposed") & (F.col("k") < p.longest)).isEmpty():
-        more = count_phrases(docs, Pass(proposed, (), bloom_of(found, p)), p).where(F.col("n") >= p.least)
-        found, passes = found.unionByName(written(more, "phrase-expansion")), 2
+        more = exact_counts(docs, Pass(proposed, (), bloom_of(found, p)), p, "phrase-expansion")
+        found, passes = found.unionByName(more), 2
     return found.select("lang", "k", "phrase", "n"), totals, passes
 
 
