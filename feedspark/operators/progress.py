@@ -9,7 +9,7 @@ join back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (DEAD_AFTER_MS, RATE_WINDOW_MS, RECENT_SAMPLES, STUCK_AFTER_MS,
@@ -18,9 +18,6 @@ from ..functions.text import request_outcome
 from ..functions.num import idiv
 from .running import running_sums
 
-CHECKPOINT_COLS = ["seq", "strategy", "status", "cursor", "events_count"]
-
-
 def _last_per_strategy(log: DataFrame) -> DataFrame:
     """Newest row per strategy: a hash `max(seq)` per strategy (one row per
     strategy, so AQE broadcasts it) and a semi join back, so the log itself
@@ -149,16 +146,24 @@ def throughput_trend(samples: DataFrame, bucket_ms: int, ts: str = "ts_ms",
                      events: str = "events") -> DataFrame:
     """Rate per time bucket and the controller's reaction to it:
     > 1.05x the previous ``ramp_up``, < 0.85x ``back_off``, else ``hold``;
-    no label while the previous rate is 0 or absent.
+    no label while the previous rate is 0 or absent. Every bucket between the first and
+    the last sample counts, also an idle one (rate 0).
 
-    Samples are aggregated to buckets first, so the ordered window runs over
-    one row per bucket.
+    Samples are aggregated to buckets, and the buckets are dense, so a bucket's
+    predecessor is an equi-join on its number: no ordered window in one task.
     """
-    b = samples.groupBy(idiv(ts, bucket_ms).alias("bucket")).agg(
-        F.sum(events).cast("long").alias("events"))
-    b = b.withColumn("rate", F.col("events") / F.lit(bucket_ms / 1000.0))
-    prev = F.lag("rate").over(Window.orderBy("bucket"))
-    b = b.withColumn("prev_rate", prev)
+    per = samples.groupBy(idiv(ts, bucket_ms).alias("bucket")).agg(F.sum(events).cast("long").alias("events"))
+    bounds = samples.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).select(
+        idiv("lo", bucket_ms).alias("lo"), idiv("hi", bucket_ms).alias("hi")).first()
+    if bounds["lo"] is None:
+        spine = samples.sparkSession.range(0)
+    else:
+        spine = samples.sparkSession.range(bounds["lo"], bounds["hi"] + 1)
+    b = (spine.select(F.col("id").alias("bucket")).join(per, "bucket", "left")
+         .withColumn("events", F.coalesce("events", F.lit(0)))
+         .withColumn("rate", F.col("events") / F.lit(bucket_ms / 1000.0)))
+    prev = b.select((F.col("bucket") + 1).alias("bucket"), F.col("rate").alias("prev_rate"))
+    b = b.join(prev, "bucket", "left")
     return b.withColumn("action", F.when(F.col("prev_rate") > 0,
                                          F.when(F.col("rate") > F.col("prev_rate") * TREND_UP_RATIO,
                                                 F.lit("ramp_up"))

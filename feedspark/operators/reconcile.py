@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..constants import ESTIMATE_EXACT_BELOW, SHORTFALL_MAX_PASSES
 from ..functions.num import idiv
+from .rowindex import with_row_index
 
 
 def exact_count(df: DataFrame) -> DataFrame:
@@ -102,13 +103,13 @@ def gap_ranges(gaps: DataFrame, bucket_ms: int) -> DataFrame:
     merged into ``[since_ms, until_ms)`` ranges (what a targeted re-fetch
     with since/until needs), with the rows missing in each.
 
-    Gaps and islands: within a run, ``bucket - rank`` is constant. The window
-    runs over gap buckets only, whose number is bounded by the time span,
-    not by the row count.
+    Gaps and islands: within a run, ``bucket - position`` is constant. The position
+    comes from the distributed row index (range partitions, one count carried for
+    each), so no task sees all gaps; the runs are folded map-side, so neither does a
+    run as long as the whole span.
     """
-    from pyspark.sql import Window
-
-    island = F.col("bucket") - F.row_number().over(Window.orderBy("bucket"))
+    island = F.col("bucket") - F.col("_pos")
+    gaps = with_row_index(gaps.select("bucket", "missing"), [F.col("bucket")], "_pos")
     return (gaps.withColumn("_island", island).groupBy("_island")
             .agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"),
                  F.sum("missing").cast("long").alias("missing"),

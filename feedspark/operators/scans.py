@@ -10,11 +10,10 @@ round-trip); positions come from the distributed row index.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TIME_SLICES
-from ..functions.timefmt import epoch_ms
 from .rowindex import with_row_index
 from ..functions.num import idiv
 
@@ -78,23 +77,51 @@ def _ts_type(df: DataFrame, ts: str) -> str:
     return df.schema[ts].dataType.simpleString()
 
 
-def range_join_slices(df: DataFrame, slices: DataFrame, ms: str = "ms",
-                      broadcast_max: int = 10_000, bucket_ms: int = 86_400_000) -> DataFrame:
-    """Assign rows to uneven slices given as (slice, since_ms, until_ms).
+#: Buckets of an interval join, at most, and parts of a hot bucket, at most.
+RANGE_BUCKETS = 64
+HOT_PARTS = 64
 
-    A slice list is tiny and its size is checked before broadcasting; beyond
-    the bound this falls back to an equi-join on a coarse bucket plus the
-    range test, so neither side is replicated.
+
+def _bucket_of(col: Column, edges: list[int]) -> Column:
+    """How many of the ascending `edges` are <= `col`, by a tree of comparisons."""
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(col < F.lit(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return F.when(col.isNotNull(), tree(0, len(edges)))
+
+
+def range_join_slices(df: DataFrame, slices: DataFrame, ms: str = "ms", buckets: int = RANGE_BUCKETS,
+                      hot_parts: int = HOT_PARTS) -> DataFrame:
+    """Rows with the slices (slice, since_ms, until_ms) that hold their time, by an
+    interval join: `since_ms` <= `ms` < `until_ms`; rows in no slice, and rows without a
+    time, have NULLs. Slices may overlap, leave gaps, and be as many as the rows.
+
+    The time axis is cut at quantiles of the rows, so buckets hold about as many rows
+    each wherever the rows lie. A slice is copied into every bucket that it touches (at
+    most `buckets`), and the join is an equi-join on the bucket with the range test: no
+    nested loop, nothing broadcast by hand. A bucket that still holds much more than its
+    share, an instant that very many rows have, is dealt into parts, each with its own
+    copy of the bucket's slices.
     """
-    n = slices.count()
-    cond = (F.col(ms) >= F.col("since_ms")) & (F.col(ms) < F.col("until_ms"))
-    if n <= broadcast_max:
-        return df.join(F.broadcast(slices), cond, "left")
-    # Bucketed range join: each slice is copied into every bucket it touches.
-    s = slices.withColumn("_b", F.explode(F.sequence(idiv("since_ms", bucket_ms),
-                                                    idiv(F.col("until_ms") - 1, bucket_ms))))
-    d = df.withColumn("_b", idiv(ms, bucket_ms))
-    return d.join(s, (d["_b"] == s["_b"]) & cond, "left").drop(d["_b"]).drop(s["_b"])
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(df.agg(F.percentile_approx(ms, probs, 10 * buckets)).first()[0] or [])) if probs else []
+    d = df.withColumn("_b", _bucket_of(F.col(ms), cuts))
+    sizes = {r["_b"]: r["n"] for r in d.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect()
+             if r["_b"] is not None}                                    # at most `buckets` rows
+    share = max(1, 2 * sum(sizes.values()) // max(len(sizes), 1))
+    parts = {b: min(hot_parts, -(-n // share)) for b, n in sizes.items() if n > share}
+    n_parts = F.lit(1)
+    for b, n in parts.items():
+        n_parts = F.when(F.col("_b") == b, F.lit(n)).otherwise(n_parts)
+    # the part only says where a row is joined: any part of its bucket gives the same rows
+    d = d.withColumn("_p", F.pmod(F.monotonically_increasing_id(), n_parts).cast("int"))
+    s = slices.where(F.col("since_ms") < F.col("until_ms"))
+    s = s.withColumn("_b", F.explode(F.sequence(_bucket_of(F.col("since_ms"), cuts), _bucket_of(F.col("until_ms") - 1, cuts))))
+    s = s.withColumn("_p", F.explode(F.sequence(F.lit(0), (n_parts - 1).cast("int"))))
+    cond = ((d["_b"] == s["_b"]) & (d["_p"] == s["_p"]) & (d[ms] >= s["since_ms"]) & (d[ms] < s["until_ms"]))
+    return d.join(s, cond, "left").drop("_b", "_p")
 
 
 # ------------------------------------------------------------- category scan
@@ -162,15 +189,68 @@ def page_summary(paged: DataFrame, limit: int, key: str = "event_id",
             .withColumn("has_more", F.col("page_no") < idiv(last_idx, limit)))
 
 
+def _after(cursor_ms: int, cursor_key: int, ms: str, key: str) -> Column:
+    return (F.col(ms) < F.lit(cursor_ms)) | ((F.col(ms) == F.lit(cursor_ms)) & (F.col(key) < F.lit(cursor_key)))
+
+
 def page_after(df: DataFrame, cursor_ms: int, cursor_key: int, limit: int,
-               ms: str = "ms", key: str = "event_id") -> DataFrame:
+               ms: str = "ms", key: str = "event_id", ts: str | None = "ts") -> DataFrame:
     """`limit` rows strictly after a keyset cursor, newest first.
 
-    The limit is the feature (one page); Spark plans it as a top-k per partition, not a full sort.
+    The limit is the feature (one page); Spark plans it as a top-k per partition, not a full
+    sort. What the cursor says of the stored column `ts` itself (`ms` is its milliseconds) is
+    a conjunct of its own, so it reaches the scan and row groups newer than the cursor are
+    skipped by their statistics. For a feed that is read page by page, store it with
+    `store_keyset` and use `page_after_stored`, which reads a page's files only.
     """
-    after = (F.col(ms) < F.lit(cursor_ms)) | ((F.col(ms) == F.lit(cursor_ms))
-                                              & (F.col(key) < F.lit(cursor_key)))
-    return df.where(after).orderBy(F.col(ms).desc(), F.col(key).desc()).limit(limit)
+    rows = df
+    if ts:
+        rows = rows.where(F.col(ts) < F.timestamp_millis(F.lit(cursor_ms + 1)).cast(_ts_type(df, ts)))
+    return (rows.where(_after(cursor_ms, cursor_key, ms, key))
+            .orderBy(F.col(ms).desc(), F.col(key).desc()).limit(limit))
+
+
+def store_keyset(df: DataFrame, path: str, num_files: int, ms: str = "ms", key: str = "event_id") -> None:
+    """S14 / S15 storage: the feed in files that each hold one range of the keyset order,
+    sorted, under ``path/data``, and one row a file (`file`, `lo`, `hi`, `n_rows`) under
+    ``path/index``."""
+    order = [F.col(ms).desc(), F.col(key).desc()]
+    df.repartitionByRange(num_files, *order).sortWithinPartitions(*order).write.parquet(path + "/data")
+    stored = df.sparkSession.read.parquet(path + "/data")
+    at = F.struct(F.col(ms).alias("ms"), F.col(key).alias("key"))
+    (stored.groupBy(F.col("_metadata.file_path").alias("file"))
+     .agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(F.lit(1)).alias("n_rows"))
+     .write.parquet(path + "/index"))
+
+
+def page_files(spark: SparkSession, path: str, cursor_ms: int, cursor_key: int, limit: int) -> list[str]:
+    """The files of a `store_keyset` feed that hold the page after a cursor: by their ranges
+    the newest that reach below the cursor, until those that lie wholly below it have
+    `limit` rows. A few index rows are fetched at a time, however many files there are."""
+    cursor = F.struct(F.lit(cursor_ms).cast("long").alias("ms"), F.lit(cursor_key).cast("long").alias("key"))
+    index = spark.read.parquet(path + "/index").where(F.col("lo") < cursor).orderBy(F.col("hi").desc())
+    take = 16
+    while True:
+        rows = index.limit(take).collect()
+        files, have = [], 0
+        for r in rows:
+            if have >= limit:
+                break
+            files.append(r["file"])
+            have += r["n_rows"] if tuple(r["hi"]) < (cursor_ms, cursor_key) else 0
+        if have >= limit or len(rows) < take:
+            return files
+        take *= 4
+
+
+def page_after_stored(spark: SparkSession, path: str, cursor_ms: int, cursor_key: int, limit: int,
+                      ms: str = "ms", key: str = "event_id") -> DataFrame:
+    """S15 as a seek: `page_after` of a feed stored by `store_keyset`. Reads the few files
+    that hold the page, whatever the size of the feed."""
+    files = page_files(spark, path, cursor_ms, cursor_key, limit)
+    schema = spark.read.parquet(path + "/data").schema
+    rows = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    return page_after(rows, cursor_ms, cursor_key, limit, ms, key, ts=None)
 
 
 def staggered_chains(paged: DataFrame, n_chains: int) -> DataFrame:
@@ -192,7 +272,3 @@ def export_chunks(df: DataFrame, size: int, order: list[Column]) -> DataFrame:
     """Fixed-size batches of `size` rows in a total order."""
     return with_row_index(df, order).withColumn("batch_no",
                                                 idiv("idx", size))
-
-
-def with_ms(df: DataFrame, ts: str = "ts", out: str = "ms") -> DataFrame:
-    return df.withColumn(out, epoch_ms(ts))

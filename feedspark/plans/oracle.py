@@ -405,6 +405,17 @@ sql("keyset_page_after", f"""WITH {EV}
 SELECT event_id, ms FROM ev WHERE ms < {Q.CURSOR_MS} OR (ms = {Q.CURSOR_MS} AND event_id < {Q.CURSOR_KEY})
 ORDER BY ms DESC, event_id DESC LIMIT {PAGE_SIZE}""")
 
+sql("keyset_seek_stored", f"""WITH {EV}
+SELECT event_id, ms FROM ev WHERE ms < {Q.CURSOR_MS} OR (ms = {Q.CURSOR_MS} AND event_id < {Q.CURSOR_KEY})
+ORDER BY ms DESC, event_id DESC LIMIT {PAGE_SIZE}""")
+
+sql("range_join_uneven", f"""WITH {EV}, iv AS (
+  SELECT batch AS slice, min(ms) AS since_ms, min(ms) + 1000 * (1 + batch % 97) * (1 + 900 * CAST(batch % 41 = 0 AS INTEGER)) AS until_ms
+  FROM (SELECT event_id // 20 AS batch, ms FROM ev) GROUP BY batch),
+hot AS (SELECT CASE WHEN event_id % 3 = 0 THEN (SELECT min(ms) FROM ev) ELSE ms END AS ms, event_id FROM ev)
+SELECT slice, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS key_sum
+FROM hot LEFT JOIN iv ON hot.ms >= iv.since_ms AND hot.ms < iv.until_ms GROUP BY 1""")
+
 sql("staggered_chain_overlap", f"""WITH {EV},
 p AS (SELECT (row_number() OVER (ORDER BY ts DESC, event_id DESC) - 1) // {PAGE_SIZE} AS page_no FROM ev),
 d AS (SELECT 'chain-' || CAST(k AS VARCHAR) AS source, page_no
@@ -596,8 +607,10 @@ SELECT (SELECT strategy FROM r JOIN fs USING (strategy) WHERE rate > 0 ORDER BY
        (SELECT max(rate) FROM r WHERE rate > 0) AS best_rate""")
 
 sql("throughput_trend", f"""WITH {EV}, {BATCHES},
-d AS (SELECT ts_ms // {Q.DAY_MS} AS bucket, CAST(sum(events) AS BIGINT) AS events FROM b GROUP BY 1),
-r AS (SELECT bucket, events, events / {Q.DAY_MS / 1000.0} AS rate FROM d),
+h AS (SELECT ts_ms // {Q.TREND_BUCKET_MS} AS bucket, CAST(sum(events) AS BIGINT) AS events FROM b GROUP BY 1),
+d AS (SELECT bucket, coalesce(events, 0) AS events
+      FROM (SELECT unnest(range((SELECT min(bucket) FROM h), (SELECT max(bucket) FROM h) + 1)) AS bucket) LEFT JOIN h USING (bucket)),
+r AS (SELECT bucket, events, events / {Q.TREND_BUCKET_MS / 1000.0} AS rate FROM d),
 p AS (SELECT *, lag(rate) OVER (ORDER BY bucket) AS prev_rate FROM r)
 SELECT bucket, events, rate, prev_rate,
   CASE WHEN prev_rate > 0 THEN CASE WHEN rate > prev_rate * {K.TREND_UP_RATIO} THEN 'ramp_up'

@@ -35,6 +35,7 @@ EXPORT_CHUNK = 5000                          # S10 / U05 (the server page cap)
 MILESTONE_EVERY = 1000                       # W01 / W02
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
+TREND_BUCKET_MS = 1_800_000                  # W03: half-hour buckets, some of them idle
 HREF_PATTERN = r'<a[^>]+href="([^"]+)"'      # P12 with a pattern that the test pages hold
 HEALTH_STATE_PARTITIONS = 2                  # T06: state partitions for a stream keyed by worker
 
@@ -310,6 +311,27 @@ def keyset_page_after(spark, sf_dir):
     return scans.page_after(ev, CURSOR_MS, CURSOR_KEY, fx.PAGE_SIZE).select("event_id", "ms")
 
 
+@query("keyset_seek_stored")
+def keyset_seek_stored(spark, sf_dir):
+    """S15 as a seek into a feed stored in keyset order."""
+    path = scratch_path(spark, "keyset")
+    scans.store_keyset(fx.events(spark, sf_dir).select("event_id", "ms", "ts"), path, num_files=32)
+    return scans.page_after_stored(spark, path, CURSOR_MS, CURSOR_KEY, fx.PAGE_SIZE).select("event_id", "ms")
+
+
+@query("range_join_uneven")
+def range_join_uneven(spark, sf_dir):
+    """J06 on many uneven, overlapping slices (one for each load batch) and rows a third of
+    which have one time."""
+    ev = fx.events(spark, sf_dir)
+    b = F.col("slice")
+    iv = ev.groupBy(idiv("event_id", 20).alias("slice")).agg(F.min("ms").alias("since_ms")).select(
+        "slice", "since_ms", (F.col("since_ms") + 1000 * (1 + b % 97) * F.when(b % 41 == 0, 901).otherwise(1)).alias("until_ms"))
+    hot = ev.select("event_id", F.when(F.col("event_id") % 3 == 0, ev.agg(F.min("ms")).scalar()).otherwise(F.col("ms")).alias("ms"))
+    return scans.range_join_slices(hot, iv).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").cast("long").alias("key_sum"))
+
+
 @query("staggered_chain_overlap")
 def staggered_chain_overlap(spark, sf_dir):
     ev = fx.events(spark, sf_dir)
@@ -568,7 +590,7 @@ def best_strategy(spark, sf_dir):
 
 @query("throughput_trend")
 def throughput_trend(spark, sf_dir):
-    return progress.throughput_trend(_batches(spark, sf_dir), DAY_MS)
+    return progress.throughput_trend(_batches(spark, sf_dir), TREND_BUCKET_MS)
 
 
 @query("recent_samples")
@@ -606,15 +628,15 @@ def _stream_dirs(spark, name):
 @query("stream_idempotent_load")
 def stream_idempotent_load(spark, sf_dir):
     """Deliveries land newest-first-agnostic in several files; a file
-    stream loads them into a table that already holds the existing ids."""
-    from ..streaming import create_target, stream_idempotent_load as run
+    stream loads them into a keyed target that already holds the existing ids."""
+    from ..streaming.keyed import KeyedTarget, stream_keyed_load
     ev = fx.events(spark, sf_dir)
-    landing, target, ckpt = _stream_dirs(spark, "stream-load")
+    landing, path, ckpt = _stream_dirs(spark, "stream-load")
     d = fx.deliveries(ev).select("id", "strategy", "seq")
     d.repartition(12).write.parquet(landing)  # 12 files, strategies mixed; T01 is order-free
-    create_target(spark, target, seed=fx.existing_target(ev))
-    run(spark, landing, d.schema, target, ckpt, files_per_trigger=4)
-    return spark.read.parquet(target)
+    target = KeyedTarget(spark, path).create(fx.existing_target(ev), n_buckets=16)
+    stream_keyed_load(spark, landing, d.schema, path, ckpt, files_per_trigger=4, tend_every=2, max_files=3)
+    return target.read().select("id")
 
 
 @query("stream_dedup_watermark")

@@ -163,15 +163,81 @@ def test_gap_ranges_merge_runs(spark):
     assert got == [(0, h, 1, 1), (2 * h, 4 * h, 2, 4), (5 * h, 6 * h, 1, 1), (7 * h, 9 * h, 2, 4)]
 
 
-def test_range_join_fallback_equals_broadcast(spark):
-    ev = fx.events(spark, SF)
-    slices = scans.slice_table(ev, 6)
-    cols = ["event_id", "slice", "since_ms", "until_ms"]
-    small = scans.range_join_slices(ev, slices).select(*cols)
-    big = scans.range_join_slices(ev, slices, broadcast_max=0, bucket_ms=3_600_000).select(*cols)
-    assert "BroadcastNestedLoopJoin" not in big._jdf.queryExecution().executedPlan().toString()
-    assert sorted(tuple(r) for r in small.collect()) == sorted(tuple(r) for r in big.collect())
-    assert big.count() == ev.count()
+def _plain_ranges(rows, slices):
+    out = []
+    for key, ms in rows:
+        hits = [k for k, lo, hi in slices if ms is not None and lo <= ms < hi]
+        out += [(key, k) for k in hits] or [(key, None)]
+    return sorted(out, key=str)
+
+
+def test_interval_join_equals_a_double_loop(spark):
+    """Uneven, overlapping, empty and far slices; a hot instant; rows without a time."""
+    rows = [(i, 1000) for i in range(400)] + [(1000 + i, i * i % 7919) for i in range(500)] + [(5000, None), (5001, -50), (5002, 10 ** 15)]
+    slices = [(0, 0, 10), (1, 5, 2000), (2, 1000, 1001), (3, 999, 1000), (4, 3000, 3000), (5, -100, 10 ** 6), (6, 7000, 6000)]
+    slices += [(10 + i, i * 11, i * 11 + 23) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, ms long").repartition(4)
+    sl = spark.createDataFrame(slices, "slice long, since_ms long, until_ms long")
+    for buckets, parts in ((64, 64), (4, 8), (1, 1)):
+        got = scans.range_join_slices(df, sl, buckets=buckets, hot_parts=parts)
+        assert sorted(((r["k"], r["slice"]) for r in got.select("k", "slice").collect()), key=str) == _plain_ranges(rows, slices)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = scans.range_join_slices(df.where("k < 0"), sl)
+    assert none.collect() == []
+
+
+def test_interval_join_deals_out_a_hot_instant(spark):
+    """Half of all rows have one time; on the join no task gets all of them."""
+    hot = spark.range(20000).select("id", F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("ms")).repartition(4)
+    sl = spark.range(50).select(F.col("id").alias("slice"), (F.col("id") * 400).alias("since_ms"), (F.col("id") * 400 + 400).alias("until_ms"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = scans.range_join_slices(hot, sl)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 20000 and max(sizes) < 7000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_page_after_skips_newer_row_groups(spark, tmp_dir):
+    """What the cursor says of `ts` reaches the scan, and a stored feed is sought, not read."""
+    df = spark.range(40000).select(F.col("id").alias("event_id"), (F.col("id") * 250).alias("ms"),
+                                   F.timestamp_millis(F.col("id") * 250).alias("ts"))
+    scans.store_keyset(df, tmp_dir + "/feed", num_files=20)
+    stored = spark.read.parquet(tmp_dir + "/feed/data")
+    at = 12345
+    page = scans.page_after(stored, at * 250, at, 100)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(ts," in plan[plan.index("PushedFilters"):]
+    want = [(i, i * 250) for i in range(at - 1, at - 101, -1)]
+    assert [(r["event_id"], r["ms"]) for r in page.collect()] == want
+    sought = scans.page_after_stored(spark, tmp_dir + "/feed", at * 250, at, 100)
+    assert [(r["event_id"], r["ms"]) for r in sought.collect()] == want
+    assert len(scans.page_files(spark, tmp_dir + "/feed", at * 250, at, 100)) <= 2
+    assert len(scans.page_files(spark, tmp_dir + "/feed", at * 250, at, 5000)) <= 5
+    assert len(scans.page_files(spark, tmp_dir + "/feed", 10 ** 12, 0, 10 ** 9)) == len(stored.inputFiles())
+    assert scans.page_after_stored(spark, tmp_dir + "/feed", 0, 0, 10).collect() == []
+    short = scans.page_after_stored(spark, tmp_dir + "/feed", 750, 3, 10).collect()
+    assert [r["event_id"] for r in short] == [2, 1, 0]
+
+
+def test_no_ordered_window_in_one_task(spark):
+    """Gap ranges and the trend rank nothing in a single partition."""
+    h = 3_600_000
+    gaps = spark.range(1000).select(F.col("id").alias("bucket"), F.lit(1).alias("missing")).where("bucket % 10 < 7")
+    ranges = reconcile.gap_ranges(gaps, h)
+    assert ranges.count() == 100 and ranges.agg(F.sum("buckets")).first()[0] == 700
+    samples = spark.range(200).select((F.col("id") * h * 3).alias("ts_ms"), F.lit(5).alias("events"))
+    trend = progress.throughput_trend(samples, h)
+    plan = trend._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    rows = trend.orderBy("bucket").collect()
+    assert len(rows) == 598 and [r["events"] for r in rows[:4]] == [5, 0, 0, 5]
+    assert [r["action"] for r in rows[:4]] == [None, "back_off", None, None]
+    assert progress.throughput_trend(samples.where("false"), h).collect() == []
 
 
 def test_row_index_balanced_when_one_timestamp_holds_all_rows(spark):
