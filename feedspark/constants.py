@@ -14,15 +14,12 @@ TYPE_FIELDS = ("type", "eventType", "event_type")
 TIME_FIELDS_REPORT = ("timestamp", "created_at", "createdAt", "time", "ts", "occurred_at")
 TIME_FIELDS_PROBE = ("timestamp", "created_at", "createdAt", "time", "date", "ts",
                      "eventTime", "occurred_at")
-TIME_FIELDS_RANGE = ("timestamp", "created_at", "createdAt")
 DUMP_ARRAY_FIELDS = ("data", "ids", "events")
 
 # --- fixed values: id sentinels dropped after the pick (no fallthrough) ----
 ID_SENTINELS = ("undefined", "null")
 
-# --- fixed values: event and device types named by the source -------------
-EVENT_TYPES = ("page_view", "click", "api_call", "form_submit", "scroll", "purchase",
-               "error", "video_play")
+# --- fixed values: device types named by the source ------------------------
 DEVICE_TYPES = ("mobile", "desktop", "tablet")
 
 # --- fixed values: bare-id length gate (exclusive bounds) ------------------
@@ -70,14 +67,9 @@ TREND_UP_RATIO = 1.05
 TREND_DOWN_RATIO = 0.85
 
 # --- fixed values: sizes ---------------------------------------------------
-SERVER_PAGE_CAP = 5000
-DEFAULT_PAGE_LIMIT = 1000
 EXPORT_BATCH = 50_000
 RECENT_SAMPLES = 1000
 RATE_WINDOW_MS = 10_000
-SCHEMA_SAMPLE = 10
-MILESTONE_SMALL = 10_000
-MILESTONE_LARGE = 50_000
 SHORTFALL_MAX_PASSES = 3
 ESTIMATE_EXACT_BELOW = 10_000
 TIME_SLICES = 6

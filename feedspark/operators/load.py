@@ -39,17 +39,19 @@ def new_rows(offered: DataFrame, target: DataFrame, key: str = "id",
     """K01 keeping the offered columns: one row per unseen key (any of its copies).
 
     `dropDuplicates` keeps the other columns with `first()`, which for text
-    columns plans a sort-based aggregate. When every copy of a key carries
-    the same values (the columns describe the keyed event), `same_per_key`
-    takes the largest of each column: the same rows, and one row per key even
-    where copies do differ.
+    columns may keep any copy. With `same_per_key` the copy that is kept is the
+    largest as a row, always one that was delivered: the same rows whatever the order,
+    also where copies do differ.
     """
     rows = offered.where(F.col(key).isNotNull())
     if same_per_key:
-        # `max` of each column is hash-aggregated, and the batch stays partitioned
-        # on the key, so the anti join does not shuffle it again.
+        # Combined map-side, and the batch stays partitioned on the key, so the anti
+        # join does not shuffle it again.
         rest = [c for c in rows.columns if c != key]
-        rows = rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rest]).select(*offered.columns)
+        if rest:
+            rows = rows.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(key, "_row.*").select(*offered.columns)
+        else:
+            rows = rows.dropDuplicates([key])
     else:
         rows = rows.dropDuplicates([key])
     return rows.join(target.select(key), key, "left_anti")

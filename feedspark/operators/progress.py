@@ -35,6 +35,8 @@ def checkpoint_state(log: DataFrame, as_written: bool = False) -> DataFrame:
     unique index never matches a completed row): every completed row plus
     the newest non-completed row per strategy.
     """
+    if "metadata" in log.columns:                    # missing metadata is an empty object
+        log = log.withColumn("metadata", F.coalesce("metadata", F.lit("{}")))
     done = log.where(F.col("status") == "completed")
     if as_written:
         open_rows = _last_per_strategy(log.where(F.col("status") != "completed"))
@@ -44,8 +46,9 @@ def checkpoint_state(log: DataFrame, as_written: bool = False) -> DataFrame:
 
 
 def latest_open_checkpoint(state: DataFrame) -> DataFrame:
-    """Newest non-completed checkpoint (top-1 by `seq`)."""
-    return state.where(F.col("status") != "completed").orderBy(F.col("seq").desc()).limit(1)
+    """Newest non-completed checkpoint (top-1 by `updated_at` if there is one, then `seq`)."""
+    order = [F.col(c).desc() for c in ("updated_at", "seq") if c in state.columns]
+    return state.where(F.col("status") != "completed").orderBy(*order).limit(1)
 
 
 def milestones(batches: DataFrame, every: int, by: str = "worker", order: str = "batch",

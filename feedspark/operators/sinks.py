@@ -8,11 +8,16 @@ second scan. Nothing is coalesced to one file.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EXPORT_BATCH
 
+#: Bytes of an exported file, about.
+EXPORT_FILE_BYTES = 128 << 20
+
 
 def export_ids(ids: DataFrame, path: str, key: str = "id", batch: int = EXPORT_BATCH,
                mode: str = "errorifexists") -> int:
@@ -28,24 +33,37 @@ def export_ids(ids: DataFrame, path: str, key: str = "id", batch: int = EXPORT_B
 
 
 def gated_export(ids: DataFrame, path: str, required: int, key: str = "id",
-                 batch: int = EXPORT_BATCH) -> dict:
-    """Refuse when the exact distinct count is below `required`; write;
-    refuse again when the written line count differs from the exact count.
-
-    Returns a dict with `exact`, `exported`, `required` and `status`
-    (``refused_count``, ``refused_mismatch`` or ``exported``).
+                 batch: int | None = None, file_bytes: int = EXPORT_FILE_BYTES) -> dict:
+    """Refuse when the exact distinct count is below `required`; write to a folder
+    beside `path`; refuse again, and remove what was written, when the lines read back
+    are not as many as the ids (an id that holds a line break, say); else publish the
+    folder as `path` by one rename.
+
+    Files hold `batch` lines, or as many as give about `file_bytes`. Returns a dict with
+    `exact`, `exported`, `required` and `status` (``refused_count``, ``refused_mismatch``
+    or ``exported``). `path` exists only after an export, with `exported` lines.
     """
-    from ..session import cut_lineage
+    from ..session import cut_lineage, hadoop_fs
 
+    spark = ids.sparkSession
+    fs, to_path = hadoop_fs(spark, path)
+    if fs.exists(to_path(path)):
+        raise FileExistsError(path)
     # The distinct set is computed once (reliable checkpoint in the shared
     # folder) and both counted and written from there.
     distinct = cut_lineage(ids.select(key).where(F.col(key).isNotNull()).dropDuplicates([key]))
-    exact = distinct.count()
+    exact, size = distinct.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 1), F.lit(0))).first()
     if exact < required:
         return {"exact": exact, "exported": 0, "required": required, "status": "refused_count"}
-    written = export_ids(distinct, path, key, batch)
-    status = "exported" if written == exact else "refused_mismatch"
-    return {"exact": exact, "exported": written, "required": required, "status": status}
+    staged = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex[:12]}"
+    try:
+        export_ids(distinct, staged, key, batch or max(1, file_bytes * exact // max(size, 1)))
+        lines = spark.read.text(staged).count()
+        if lines == exact and fs.rename(to_path(staged), to_path(path)):
+            return {"exact": exact, "exported": lines, "required": required, "status": "exported"}
+        return {"exact": exact, "exported": lines, "required": required, "status": "refused_mismatch"}
+    finally:
+        fs.delete(to_path(staged), True)             # gone already after the rename
 
 
 def write_with_rejects(df: DataFrame, path: str, reason: str = "reason",

@@ -243,6 +243,37 @@ def csv_rows(ev: DataFrame) -> DataFrame:
                      F.col("event_type").alias("type"))
 
 
+def csv_files(ev: DataFrame, path: str) -> None:
+    """CSV files of several shapes by ``event_id % 4`` (partition column `shape`): `csv_rows`;
+    a spaced header with the id second and quoted commas; no id column; a quoted header."""
+    eid, txt = F.col("event_id"), F.col("event_id").cast("string")
+    shape = eid % 4
+    ev_id = F.when(eid % 50 == 7, F.lit("undefined")).when(eid % 50 == 17, F.lit("")).otherwise(F.concat(F.lit("e"), txt))
+    line = (F.when(shape == 0, F.concat_ws(",", F.col("user_id").cast("string"), ev_id, txt, F.col("event_type")))
+            .when(shape == 1, F.concat(F.lit('"u, '), F.col("user_id").cast("string"), F.lit('" , '), ev_id, F.lit("  ")))
+            .when(shape == 2, F.concat_ws(",", F.col("user_id").cast("string"), F.col("event_type")))
+            .otherwise(F.concat(F.lit('"'), ev_id, F.lit('",x'))))
+    heads = ("user_id,eventId,id,type", "user , id ", "user,type", '"event_id","k"')
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    rows = ev.select(shape.cast("int").alias("shape"), line.alias("_l"))
+    for i, head in enumerate(heads):             # every file begins with its header
+        part = rows.where(F.col("shape") == i).repartition(2).withColumn("_first", first)
+        (part.select(F.when(F.col("_first"), F.concat(F.lit(head + "\n"), F.col("_l"))).otherwise(F.col("_l")).alias("value"))
+         .write.text(f"{path}/shape={i}"))
+
+
+def script_pages(pages: DataFrame) -> DataFrame:
+    """`pages` with script text after their `html`, which the default patterns of the text
+    scans find: sources, calls, paths (one twice, one that is called too) and headers."""
+    k = F.col("page_id").cast("string")
+    extra = F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in (
+        '<script src="/a', k, '.js"></script><script src="/x.css"></script><script type="module" src="/assets/b"></script>',
+        '<script src="c.js"></script><script src="/d.js"></script><script>fetch("/api/v1/pages/', k, '"); fetch( \'https://x.example/', k,
+        '\' ); const p = "/api/v1/pages/', k, '", q = "/internal/p/', k, '", r = \'/internal/p/', k,
+        '\', h = {"Page-Token": 1, \'Content-Type\': 2, "lower-case": 3};</script>')])
+    return pages.withColumn("html", F.concat(F.coalesce("html", F.lit("")), extra))
+
+
 def existing_target(ev: DataFrame) -> DataFrame:
     """Ids already in the table before the load: ``event_id % 10 = 3``."""
     return ev.where(F.col("event_id") % 10 == 3).select("id")
@@ -303,13 +334,16 @@ def heartbeats(ev: DataFrame) -> DataFrame:
 
 
 def checkpoint_log(ev: DataFrame) -> DataFrame:
-    """Checkpoint log rows: (seq, strategy, status, cursor, events_count)."""
+    """Checkpoint log rows: (seq, strategy, status, cursor, events_count, metadata, updated_at ms);
+    a third of them without metadata."""
     eid = F.col("event_id")
     return ev.select(eid.alias("seq"), F.col("event_type").alias("strategy"),
                      F.when(eid % 40 == 39, F.lit("completed")).otherwise(F.lit("running"))
                      .alias("status"),
                      F.col("user_id").cast("string").alias("cursor"),
-                     eid.alias("events_count"))
+                     eid.alias("events_count"),
+                     F.when(eid % 3 != 0, F.concat(F.lit('{"page":'), eid.cast("string"), F.lit("}"))).alias("metadata"),
+                     F.col("ms").alias("updated_at"))
 
 
 def request_log(ev: DataFrame) -> DataFrame:

@@ -136,7 +136,8 @@ PAGED = (f"pg AS (SELECT *, idx // {PAGE_SIZE} AS page_no, max(idx // {PAGE_SIZE
 
 CKPT = ("ck AS (SELECT event_id AS seq, event_type AS strategy, "
         "CASE WHEN event_id % 40 = 39 THEN 'completed' ELSE 'running' END AS status, "
-        "CAST(user_id AS VARCHAR) AS cursor, event_id AS events_count FROM ev)")
+        "CAST(user_id AS VARCHAR) AS cursor, event_id AS events_count, "
+        "CASE WHEN event_id % 3 <> 0 THEN '{\"page\":' || id || '}' ELSE '{}' END AS metadata, ms AS updated_at FROM ev)")
 
 # Intent fold written with windows (epoch = completed rows before this one),
 # independent of the Spark side's aggregate formulation.
@@ -144,7 +145,7 @@ CKPT_INTENT = (CKPT + ", ck2 AS (SELECT *, coalesce(sum(CASE WHEN status = 'comp
                "OVER (PARTITION BY strategy ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
                "AS epoch FROM ck), ck3 AS (SELECT *, row_number() OVER (PARTITION BY strategy, epoch "
                "ORDER BY seq DESC) AS rn FROM ck2), state AS (SELECT seq, strategy, status, cursor, "
-               "events_count FROM ck3 WHERE rn = 1)")
+               "events_count, metadata, updated_at FROM ck3 WHERE rn = 1)")
 
 HB = ("hb AS (SELECT 'w' || CAST(user_id % 6 AS VARCHAR) AS name, "
       "1000000000000 - (user_id % 6) * 13000 - (event_id % 5) * 100 AS last_progress_ms, "
@@ -362,6 +363,14 @@ f AS (SELECT family, min(position) AS fp FROM p WHERE n_present > 0 GROUP BY 1)
 SELECT p.family, p.position, p.field, p.n_present, coalesce(p.position = f.fp, false) AS is_used
 FROM p LEFT JOIN f ON p.family = f.family""")
 
+_PROBE = [f"SELECT '{fam}' AS family, {pos} AS position, '{f}' AS field, count(*) FILTER (WHERE json_type(json, '$.{f}') IS NOT NULL "
+          f"AND json_type(json, '$.{f}') <> 'NULL') AS n_present FROM raw"
+          for fam, fields in (("id", K.ID_FIELDS_PROBE), ("time", K.TIME_FIELDS_PROBE)) for pos, f in enumerate(fields)]
+sql("probe_field_presence", f"""WITH {EV}, {RAW}, p AS ({' UNION ALL '.join(_PROBE)}),
+f AS (SELECT family, min(position) AS fp FROM p WHERE n_present > 0 GROUP BY 1)
+SELECT p.family, p.position, p.field, p.n_present, coalesce(p.position = f.fp, false) AS is_used
+FROM p LEFT JOIN f ON p.family = f.family""")
+
 # ----------------------------------------------------------------- scans
 sql("time_range", f"WITH {EV} SELECT min(ms) AS min_ms, max(ms) AS max_ms FROM ev")
 
@@ -506,6 +515,10 @@ sql("src_csv", f"""WITH {EV}
 SELECT id FROM (SELECT CASE WHEN event_id % 50 = 7 THEN 'undefined' WHEN event_id % 50 = 17 THEN NULL
                             ELSE 'e' || id END AS id FROM ev) WHERE {valid('id')}""")
 
+sql("src_csv_mixed", f"""WITH {EV}
+SELECT shape, id FROM (SELECT CAST(event_id % 4 AS INTEGER) AS shape, CASE WHEN event_id % 50 = 7 THEN 'undefined' WHEN event_id % 50 = 17 THEN NULL
+                                  ELSE 'e' || id END AS id FROM ev WHERE event_id % 4 <> 2) WHERE {valid('id')}""")
+
 sql("journal_replay", f"""WITH {DELIVERIES},
 lines AS (SELECT id, event_id FROM deliv UNION ALL SELECT '', event_id FROM deliv WHERE event_id % 13 = 0),
 ids AS (SELECT id FROM lines WHERE id <> '')
@@ -513,43 +526,54 @@ SELECT (SELECT count(*) FROM lines) AS lines, (SELECT count(*) FROM ids) AS ids,
        (SELECT count(DISTINCT id) FROM ids WHERE id NOT IN (SELECT id FROM dtgt)) AS recovered""")
 
 sql("stats_doc_rows", f"""WITH {EV}
-SELECT 'counts' AS section, 'events' AS name, count(*) AS count FROM ev
-UNION ALL SELECT 'counts', 'users', count(DISTINCT user_id) FROM ev
-UNION ALL SELECT 'counts', 'types', count(DISTINCT event_type) FROM ev
-UNION ALL SELECT 'eventTypes', event_type, count(*) FROM ev GROUP BY event_type
-UNION ALL SELECT 'deviceTypes', ({_list(K.DEVICE_TYPES)})[user_id % 3 + 1], count(*) FROM ev GROUP BY 2""")
+SELECT 'counts' AS section, 'events' AS name, count(*) AS count, CAST(NULL AS VARCHAR) AS value FROM ev
+UNION ALL SELECT 'counts', 'users', count(DISTINCT user_id), NULL FROM ev
+UNION ALL SELECT 'counts', 'types', count(DISTINCT event_type), NULL FROM ev
+UNION ALL SELECT 'eventTypes', event_type, count(*), NULL FROM ev GROUP BY event_type
+UNION ALL SELECT 'deviceTypes', ({_list(K.DEVICE_TYPES)})[user_id % 3 + 1], count(*), NULL FROM ev GROUP BY 2
+UNION ALL SELECT 'shards', CAST(user_id % 5 AS VARCHAR), count(*), NULL FROM ev GROUP BY 2
+UNION ALL SELECT 'total', NULL, NULL, '{{"n":' || count(*) || '}}' FROM ev
+UNION ALL SELECT 'cache', 'hits', NULL, '0' UNION ALL SELECT 'unexpected', 'build', NULL, '"v2"'
+UNION ALL SELECT 'rejected', NULL, NULL, 'no json'""")
 
 sql("export_ids", f"WITH {SLICE} SELECT id FROM loaded")
 
-sql("export_gate", f"""SELECT count(DISTINCT event_id) AS exact, count(DISTINCT event_id) AS exported,
-count(*) AS required, 'exported' AS status FROM events""")
+sql("export_gate", """SELECT count(*) AS exact, count(*) AS exported, count(*) AS required, 'exported' AS status, true AS published FROM events
+UNION ALL SELECT count(*), 0, count(*) + 1, 'refused_count', false FROM events
+UNION ALL SELECT count(*), count(*) + count(*) FILTER (WHERE event_id % 97 = 0), count(*), 'refused_mismatch', false FROM events""")
 
 # ------------------------------------------------------------- page text
-sql("page_script_srcs", f"""WITH m AS (SELECT page_id, list_slice(list_filter(
+SCRIPTED = """scripted AS (SELECT page_id, coalesce(html, '') || '<script src="/a' || page_id || '.js"></script><script src="/x.css"></script>'
+  || '<script type="module" src="/assets/b"></script><script src="c.js"></script><script src="/d.js"></script>'
+  || '<script>fetch("/api/v1/pages/' || page_id || '"); fetch( ''https://x.example/' || page_id || ''' ); const p = "/api/v1/pages/'
+  || page_id || '", q = "/internal/p/' || page_id || '", r = ''/internal/p/' || page_id
+  || ''', h = {"Page-Token": 1, ''Content-Type'': 2, "lower-case": 3};</script>' AS html FROM pages)"""
+sql("page_script_srcs", f"""WITH {SCRIPTED}, m AS (SELECT page_id, list_slice(list_filter(
     regexp_extract_all(html, '{sql_regex(K.SCRIPT_SRC_PATTERN)}', 1),
-    lambda s: suffix(s, '.js') OR contains(s, 'assets/')), 1, {K.SCRIPT_MAX}) AS a FROM pages)
+    lambda s: suffix(s, '.js') OR contains(s, 'assets/')), 1, {K.SCRIPT_MAX}) AS a FROM scripted)
 SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS src FROM m""")
 
 sql("page_href_links", f"""WITH m AS (SELECT page_id, regexp_extract_all(html, '{sql_regex(Q.HREF_PATTERN)}', 1) AS a
     FROM pages)
 SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS src FROM m""")
 
-sql("page_call_urls", f"""WITH m AS (SELECT page_id, regexp_extract_all(html, '{sql_regex(K.FETCH_URL_PATTERN)}', 1) AS a
-    FROM pages)
+sql("page_call_urls", f"""WITH {SCRIPTED}, m AS (SELECT page_id, regexp_extract_all(html, '{sql_regex(K.FETCH_URL_PATTERN)}', 1) AS a
+    FROM scripted)
 SELECT page_id, pos, url, starts_with(url, '/api/') OR starts_with(url, '/internal/') AS is_endpoint
 FROM (SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS pos, unnest(a) AS url FROM m)""")
 
-sql("page_path_literals", f"""WITH m AS (SELECT page_id,
+sql("page_path_literals", f"""WITH {SCRIPTED}, m AS (SELECT page_id,
     list_distinct(regexp_extract_all(html, '{sql_regex(K.PATH_LITERAL_PATTERN)}', 1)) AS p,
     list_filter(regexp_extract_all(html, '{sql_regex(K.FETCH_URL_PATTERN)}', 1),
-                lambda u: starts_with(u, '/api/') OR starts_with(u, '/internal/')) AS f FROM pages)
+                lambda u: starts_with(u, '/api/') OR starts_with(u, '/internal/')) AS f FROM scripted)
 SELECT page_id, unnest(list_filter(p, lambda x: NOT list_contains(f, x))) AS path FROM m""")
 
 sql("page_query_params", f"""SELECT DISTINCT page_id, unnest(regexp_extract_all(url, '{sql_regex(K.QUERY_PARAM_PATTERN)}', 1)) AS param
 FROM pages""")
 
-sql("page_header_names", f"""SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '{sql_regex(K.HEADER_NAME_PATTERN)}', 1)) AS header
-FROM pages""")
+sql("page_header_names", f"""WITH {SCRIPTED}
+SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '{sql_regex(K.HEADER_NAME_PATTERN)}', 1)) AS header
+FROM scripted""")
 
 sql("link_rel_extract", f"""WITH {EV},
 l AS (SELECT event_id, '<https://feed.example/' || event_type || '/' || id || '>; rel="' ||
@@ -573,7 +597,7 @@ UNION ALL SELECT * FROM (SELECT * FROM ck WHERE status <> 'completed'
   QUALIFY row_number() OVER (PARTITION BY strategy ORDER BY seq DESC) = 1)""")
 
 sql("latest_checkpoint", f"""WITH {EV}, {CKPT_INTENT}
-SELECT * FROM state WHERE status <> 'completed' ORDER BY seq DESC LIMIT 1""")
+SELECT * FROM state WHERE status <> 'completed' ORDER BY updated_at DESC, seq DESC LIMIT 1""")
 
 _CUM = (f"c AS (SELECT worker, batch, events, CAST(sum(events) OVER (PARTITION BY worker ORDER BY batch "
         f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fetched FROM b)")

@@ -17,7 +17,7 @@ from ..functions.ids import invalid_reason, is_uuid, is_valid_id, with_id_pick
 from ..functions.json import with_strict_parse
 from ..functions.num import idiv, keep_rows
 from ..operators import extract, load, profile, progress, reconcile, scans, sinks
-from ..session import scratch_path
+from ..session import hadoop_fs, scratch_path
 from ..sources import feed, split
 from . import fixtures as fx
 
@@ -249,6 +249,12 @@ def candidate_field_presence(spark, sf_dir):
     return profile.candidate_field_presence(_records(spark, sf_dir))
 
 
+@query("probe_field_presence")
+def probe_field_presence(spark, sf_dir):
+    """A07 with the wider candidate lists of a first look at an unknown feed."""
+    return profile.candidate_field_presence(_records(spark, sf_dir), {"id": K.ID_FIELDS_PROBE, "time": K.TIME_FIELDS_PROBE})
+
+
 # ----------------------------------------------------------------- scans
 
 @query("time_range")
@@ -424,6 +430,14 @@ def src_csv(spark, sf_dir):
     return feed.read_csv_ids(spark, path)
 
 
+@query("src_csv_mixed")
+def src_csv_mixed(spark, sf_dir):
+    """S06 over files whose headers differ, are spaced or quoted, or name no id."""
+    path = scratch_path(spark, "landing-csv-mixed")
+    fx.csv_files(fx.events(spark, sf_dir), path)
+    return feed.read_csv_ids(spark, path, keep=["shape"])
+
+
 @query("journal_replay")
 def journal_replay(spark, sf_dir):
     """K06 appends two batches to a journal (padded, with blank lines); S08
@@ -460,9 +474,10 @@ def stats_doc_rows(spark, sf_dir):
 
     doc = F.struct(counts.alias("counts"),
                    F.struct(dist(F.col("event_type")).alias("eventTypes"),
-                            dist(device).alias("deviceTypes")).alias("distributions"),
-                   F.create_map(F.lit("hits"), F.lit("0")).alias("cache"))
-    text = spark.range(1).select(F.to_json(doc).alias("value"))
+                            dist(device).alias("deviceTypes"), dist((F.col("user_id") % 5).cast("string")).alias("shards"),
+                            F.create_map(F.lit("n"), ev.agg(F.count(F.lit(1))).scalar()).alias("total")).alias("distributions"),
+                   F.create_map(F.lit("hits"), F.lit("0")).alias("cache"), F.lit("v2").alias("build"))
+    text = spark.range(2).select(F.when(F.col("id") == 0, F.to_json(doc)).otherwise("no json").alias("value"))
     return feed.parse_stats_doc(text)
 
 
@@ -476,13 +491,18 @@ def export_ids(spark, sf_dir):
 
 @query("export_gate")
 def export_gate(spark, sf_dir):
+    """K05, a row for each outcome: published; too few ids; ids with line breaks, whose lines
+    are more than the ids."""
     ev = fx.events(spark, sf_dir)
-    required = ev.count()
-    res = sinks.gated_export(ev.select("id"), scratch_path(spark, "export-gate"), required)
-    return ev.agg(F.count(F.lit(1)).alias("expected")).select(
-        F.lit(res["exact"]).cast("long").alias("exact"),
-        F.lit(res["exported"]).cast("long").alias("exported"),
-        F.col("expected").alias("required"), F.lit(res["status"]).alias("status"))
+    n = ev.count()
+    broken = F.when(F.col("event_id") % 97 == 0, F.concat("id", F.lit("\n"), "id")).otherwise(F.col("id")).alias("id")
+    rows = []
+    for ids, required in ((ev.select("id"), n), (ev.select("id"), n + 1), (ev.select(broken), n)):
+        path = scratch_path(spark, "export-gate")
+        res = sinks.gated_export(ids, path, required)
+        fs, to_path = hadoop_fs(spark, path)
+        rows.append((res["exact"], res["exported"], res["required"], res["status"], fs.exists(to_path(path))))
+    return spark.createDataFrame(rows, "exact long, exported long, required long, status string, published boolean")
 
 
 # ---------------------------------------------------------- page text
@@ -491,9 +511,13 @@ def _pages(spark, sf_dir):
     return fx.spread(fx.table(spark, sf_dir, "pages"))
 
 
+def _script_pages(spark, sf_dir):
+    return fx.script_pages(_pages(spark, sf_dir))
+
+
 @query("page_script_srcs")
 def page_script_srcs(spark, sf_dir):
-    return extract.script_srcs(_pages(spark, sf_dir))
+    return extract.script_srcs(_script_pages(spark, sf_dir))
 
 
 @query("page_href_links")
@@ -504,12 +528,12 @@ def page_href_links(spark, sf_dir):
 
 @query("page_call_urls")
 def page_call_urls(spark, sf_dir):
-    return extract.call_urls(_pages(spark, sf_dir))
+    return extract.call_urls(_script_pages(spark, sf_dir))
 
 
 @query("page_path_literals")
 def page_path_literals(spark, sf_dir):
-    return extract.path_literals(_pages(spark, sf_dir))
+    return extract.path_literals(_script_pages(spark, sf_dir))
 
 
 @query("page_query_params")
@@ -519,7 +543,7 @@ def page_query_params(spark, sf_dir):
 
 @query("page_header_names")
 def page_header_names(spark, sf_dir):
-    return extract.header_names(_pages(spark, sf_dir))
+    return extract.header_names(_script_pages(spark, sf_dir))
 
 
 @query("link_rel_extract")

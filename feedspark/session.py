@@ -85,3 +85,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "feedspark", f"{name}-{uuid.uuid4().hex}")
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system of `path` and the function that makes its paths."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path

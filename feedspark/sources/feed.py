@@ -18,6 +18,7 @@ from ..constants import (BARE_ID_MAX_LEN_EXCL, BARE_ID_MIN_LEN_EXCL, DUMP_ARRAY_
 from ..functions.ids import is_valid_id, with_element_id, with_id_pick
 from ..functions.json import field_path, truthy_of, vget, vkind, vtext, with_strict_parse
 from ..functions.num import keep_rows
+from ..session import cut_lineage
 
 
 def _bare_ok(t: Column) -> Column:
@@ -201,11 +202,12 @@ def parse_ndjson_lenient(lines: DataFrame, fields=ID_FIELDS,
 
 def parse_ndjson_strict(lines: DataFrame, fields=ID_FIELDS,
                         keep: list[str] | None = None) -> DataFrame:
-    """Every non-blank line must be one JSON object; any other line fails
-    the job (`raise_error`), naming the offending text."""
+    """Every non-blank line must be one JSON value other than null; any other line
+    fails the job (`raise_error`), naming the offending text. Only objects hold ids:
+    a line that is a string or a number is read, and yields nothing."""
     keep = keep or []
     p = _parsed(keep_rows(lines, _js_trim(F.col("value")) != ""), "value", keep)
-    bad = F.col("_v").isNull() | (F.col("_k") != "object")
+    bad = F.col("_v").isNull() | (F.col("_k") == "null")
     p = p.withColumn("_chk", F.when(bad, F.raise_error(
         F.concat(F.lit("bad NDJSON line: "), F.substring(F.col("_raw"), 1, 200)))))
     p = with_id_pick(p, "_v", fields, field_col=None, kind_col=None)
@@ -225,7 +227,7 @@ def parse_sse(lines: DataFrame, fields=ID_FIELDS, gate_fields=SSE_ID_GATE_FIELDS
     """
     keep = keep or []
     raw = F.col("value")
-    data = _js_trim(F.substring(raw, len(SSE_DATA_PREFIX) + 1, 1 << 30))
+    data = _js_trim(F.expr(f"substring(value, {len(SSE_DATA_PREFIX) + 1})"))
     # Line filters run as generators (`keep_rows`): a `where` would be pushed
     # into whatever computed `value` and evaluate it twice.
     framed = keep_rows(lines, raw.startswith(SSE_DATA_PREFIX)).select(*keep, data.alias("_d"))
@@ -260,15 +262,32 @@ def parse_sse(lines: DataFrame, fields=ID_FIELDS, gate_fields=SSE_ID_GATE_FIELDS
 # ---------------------------------------------------------------------- CSV
 
 def read_csv_ids(spark: SparkSession, path: str, candidates=ID_FIELDS_CSV,
-                 sentinels=ID_SENTINELS) -> DataFrame:
-    """CSV with a header; the id column is the first *column* whose name
-    is a candidate (not the first candidate). No id column gives zero rows.
-    Unlike the source, quoting follows RFC 4180."""
-    df = spark.read.option("header", True).csv(path)
-    col = next((c for c in df.columns if c in candidates), None)
-    if col is None:
-        return df.select(F.lit(None).cast("string").alias("id")).where(F.lit(False))
-    return df.select(F.col(col).alias("id")).where(is_valid_id(F.col("id"), sentinels))
+                 sentinels=ID_SENTINELS, keep: list[str] | None = None) -> DataFrame:
+    """CSV files, each with a header of its own; the id column of a file is the first
+    *column* whose name is a candidate (not the first candidate), names trimmed and
+    unquoted. A file without an id column gives no rows. `keep`: partition columns.
+    Unlike the source, quoting in rows follows RFC 4180.
+
+    The headers are one row a file (its first line that is not blank); rows meet them on
+    the file's name, and one parse as wide as the furthest id column serves all files."""
+    keep = keep or []
+    lines = spark.read.text(path).select(
+        *keep, F.col("_metadata.file_path").alias("_file"), "value",
+        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("m")).alias("_at"))
+    lines = lines.where(F.trim(F.regexp_replace("value", r"^\uFEFF", "")) != "")
+    names = F.transform(F.split(F.regexp_replace(F.col("_h.value"), r"^\uFEFF", ""), ","),
+                        lambda h: F.replace(F.regexp_replace(h, r"^\s+|\s+$", ""), F.lit('"')))
+    place = F.array_position(F.transform(names, lambda h: h.isin(*candidates)), True)
+    heads = (lines.groupBy("_file").agg(F.min(F.struct("_at", "value")).alias("_h"))
+             .select("_file", F.col("_h._at").alias("_first"), place.cast("int").alias("_i")).where(F.col("_i") > 0))
+    heads = cut_lineage(heads)
+    width = heads.agg(F.max("_i")).first()[0] or 1
+    rows = lines.join(heads, "_file").where(F.col("_at") != F.col("_first"))
+    cols = ", ".join(f"c{i} string" for i in range(width))
+    cells = F.from_csv("value", cols, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    out = rows.withColumn("_c", cells).select(*keep, F.array(*[F.col(f"_c.c{i}") for i in range(width)]).alias("_c"), "_i")
+    out = out.select(*keep, F.element_at("_c", F.col("_i")).alias("id"))
+    return keep_rows(out, is_valid_id(F.col("id"), sentinels))
 
 
 # ----------------------------------------------------------- id-per-line text
@@ -286,31 +305,43 @@ def read_id_lines(spark: SparkSession, path: str) -> DataFrame:
 
 # ----------------------------------------------------------- stats document
 
-STATS_SCHEMA = ("counts MAP<STRING, BIGINT>, "
-                "distributions STRUCT<eventTypes: ARRAY<STRUCT<type: STRING, count: BIGINT>>, "
-                "deviceTypes: ARRAY<STRUCT<type: STRING, count: BIGINT>>>, "
-                "cache MAP<STRING, STRING>")
-
+def parse_stats_doc(text: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """A stats document to rows `section`, `name`, `count`, `value`.
 
-def parse_stats_doc(text: DataFrame) -> DataFrame:
-    """A stats document to rows (section, name, count).
+    `counts` becomes section ``counts``; each distribution, known or not, a section of its
+    own name with a row for each {type, count} (whatever else it holds is one row with its
+    JSON as `value`); `cache` section ``cache`` with the texts; every other top-level key a
+    row of section ``unexpected``. A text that is no JSON object is a row of section
+    ``rejected`` with the whole text. All from one parse and one explode a document."""
+    keep = keep or []
+    p = _parsed(text, "value", keep)
+    v = F.col("_v")
 
-    `counts` becomes section ``counts``; each distribution array becomes a
-    section of its own.
-    """
-    doc = text.select(F.from_json(F.col("value"), STATS_SCHEMA).alias("d"))
-    counts = doc.select(F.lit("counts").alias("section"),
-                        F.explode("d.counts").alias("name", "count"))
-    parts = [counts]
-    for section in ("eventTypes", "deviceTypes"):
-        parts.append(doc.select(F.lit(section).alias("section"),
-                                F.explode(f"d.distributions.{section}").alias("e"))
-                     .select("section", F.col("e.type").alias("name"),
-                             F.col("e.count").alias("count")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    def entries(path: str) -> Column:
+        return F.coalesce(F.map_entries(F.try_variant_get(v, path, "map<string,variant>")),
+                          F.array().cast("array<struct<key:string,value:variant>>"))
+
+    def row(section, name, count=None, value=None) -> Column:
+        return F.struct(section.alias("section"), name.alias("name"),
+                        (F.lit(None) if count is None else count).cast("bigint").alias("count"),
+                        (F.lit(None) if value is None else value).cast("string").alias("value"))
+
+    def element(section: Column, x: Column) -> Column:
+        kind = F.try_variant_get(x, "$.type", "string")
+        return F.when(kind.isNotNull(), row(section, kind, F.try_variant_get(x, "$.count", "bigint"))).otherwise(
+            row(section, F.lit(None).cast("string"), value=F.to_json(x)))
+
+    counts = F.transform(entries("$.counts"), lambda e: row(F.lit("counts"), e["key"], F.try_variant_get(e["value"], "$", "bigint")))
+    dists = F.flatten(F.transform(entries("$.distributions"), lambda d: F.coalesce(
+        F.transform(F.try_variant_get(d["value"], "$", "array<variant>"), lambda x: element(d["key"], x)),
+        F.array(row(d["key"], F.lit(None).cast("string"), value=F.to_json(d["value"]))))))
+    cache = F.transform(entries("$.cache"), lambda e: row(F.lit("cache"), e["key"], value=F.coalesce(
+        F.try_variant_get(e["value"], "$", "string"), F.to_json(e["value"]))))
+    other = F.transform(F.filter(entries("$"), lambda e: ~e["key"].isin("counts", "distributions", "cache")),
+                        lambda e: row(F.lit("unexpected"), e["key"], value=F.to_json(e["value"])))
+    lost = F.array(row(F.lit("rejected"), F.lit(None).cast("string"), value=F.col("_raw")))
+    rows = F.when(F.col("_k") == "object", F.concat(counts, dists, cache, other)).when(F.col("_raw").isNotNull(), lost)
+    return p.select(*keep, F.explode(rows).alias("_r")).select(*keep, "_r.*")
 
 
 def read_stats_doc(spark: SparkSession, path: str) -> DataFrame:

@@ -151,3 +151,36 @@ def test_rows_and_rejects_of_one_pass(spark, tmp_dir):
     dumps = feed.parse_dump(lines(spark, ['["x",{"id":"y"}]', "oops", "{}"]), keep=["n"], rejects=True)
     assert sorted((r["n"], str(r["id"]), str(r["reason"])) for r in dumps.collect()) == [
         (0, "x", "None"), (0, "y", "None"), (1, "None", "not parsed"), (2, "None", "no array")]
+
+
+def test_csv_header_of_each_file(spark, tmp_dir):
+    """Spaced, quoted and missing id columns; every file by its own header; blank lines; a BOM."""
+    import os
+    files = {"a": "user, id\nu1,i1\nu2 , i2 \n", "b": '"id","x"\n"i,3",1\n\n undefined ,2\n', "c": "user,type\nu4,click\n",
+             "d": "\ufeffeventId\ni5\n", "e": "\n\n k,event_id,id\n1,i6,no\n2\n3,,no\n", "f": "", "g": "id\n"}
+    for name, text in files.items():
+        with open(os.path.join(tmp_dir, name + ".csv"), "w") as f:
+            f.write(text)
+    assert ids(feed.read_csv_ids(spark, tmp_dir)) == ["i,3", "i1", "i2", "i5", "i6"]
+    os.makedirs(tmp_dir + "/none")
+    with open(tmp_dir + "/none/x.csv", "w") as f:
+        f.write("user\nu1\n")
+    assert feed.read_csv_ids(spark, tmp_dir + "/none").collect() == []
+
+
+def test_ndjson_strict_reads_any_value_but_null(spark):
+    vals = ['"abc123"', "17", "[1]", '{"id":"a"}', '{"id":null}', " "]
+    assert ids(feed.parse_ndjson_strict(lines(spark, vals))) == ["a"]
+    with pytest.raises(Exception, match="bad NDJSON line"):
+        feed.parse_ndjson_strict(lines(spark, ["null"])).collect()
+
+
+def test_stats_doc_keeps_what_it_does_not_know(spark):
+    doc = ('{"counts":{"events":3,"odd":"x"},"distributions":{"countries":[{"type":"fr","count":2},7],"hours":{"0":1}},'
+           '"cache":{"ttl":5,"on":true},"build":{"v":1}}')
+    got = [tuple(r) for r in feed.parse_stats_doc(lines(spark, [doc, "oops", "[1]", None]), ["n"]).collect()]
+    assert sorted(got, key=str) == sorted([
+        (0, "counts", "events", 3, None), (0, "counts", "odd", None, None), (0, "countries", "fr", 2, None),
+        (0, "countries", None, None, "7"), (0, "hours", None, None, '{"0":1}'), (0, "cache", "ttl", None, "5"),
+        (0, "cache", "on", None, "true"), (0, "unexpected", "build", None, '{"v":1}'),
+        (1, "rejected", None, None, "oops"), (2, "rejected", None, None, "[1]")], key=str)

@@ -48,3 +48,39 @@ def test_estimated_count_paths(spark, tmp_dir):
         assert (est["n"], est["method"]) == (50, "estimate")
     finally:
         spark.sql("DROP TABLE IF EXISTS est_t")
+
+
+def test_gated_export_publishes_or_leaves_nothing(spark, tmp_dir):
+    import os
+    ids = spark.range(100).select((F.col("id") % 60).cast("string").alias("id"))
+    assert sinks.gated_export(ids, tmp_dir + "/few", 61)["status"] == "refused_count"
+    broken = ids.withColumn("id", F.when(F.col("id") == "7", "7\n7").otherwise(F.col("id")))
+    res = sinks.gated_export(broken, tmp_dir + "/broken", 60)
+    assert (res["exact"], res["exported"], res["status"]) == (60, 61, "refused_mismatch")
+    res = sinks.gated_export(ids, tmp_dir + "/out", 60, file_bytes=40)
+    assert (res["exact"], res["exported"], res["status"]) == (60, 60, "exported")
+    assert sorted(os.listdir(tmp_dir)) == ["out"]
+    out = spark.read.text(tmp_dir + "/out")
+    assert out.count() == 60 and len(out.inputFiles()) >= 4          # some 15 lines a file
+    try:
+        sinks.gated_export(ids, tmp_dir + "/out", 60)
+        raise AssertionError
+    except FileExistsError:
+        pass
+
+
+def test_new_rows_are_rows_that_were_delivered(spark):
+    rows = [("a", 1, "z"), ("a", 2, "b"), ("b", 5, "c"), (None, 1, "d"), ("k", 1, "e")]
+    offered = spark.createDataFrame(rows, "id string, n long, t string")
+    target = spark.createDataFrame([("k",)], "id string")
+    got = sorted(tuple(r) for r in load.new_rows(offered, target, same_per_key=True).collect())
+    assert got == [("a", 2, "b"), ("b", 5, "c")]
+
+
+def test_checkpoint_metadata_and_times(spark):
+    from feedspark.operators import progress
+    log = spark.createDataFrame([(1, "a", "running", None, 9), (2, "b", "running", '{"x":1}', 5)],
+                                "seq long, strategy string, status string, metadata string, updated_at long")
+    state = progress.checkpoint_state(log)
+    assert sorted((r["seq"], r["metadata"]) for r in state.collect()) == [(1, "{}"), (2, '{"x":1}')]
+    assert progress.latest_open_checkpoint(state).first()["seq"] == 1
