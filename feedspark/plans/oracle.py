@@ -654,6 +654,15 @@ SELECT id FROM dtgt UNION SELECT id FROM deliv""")
 
 sql("stream_dedup_watermark", f"WITH {DELIVERIES} SELECT DISTINCT id FROM deliv")
 
+# six time-ordered chunks, a batch each; the late rows land with the last, when the watermark
+# is the newest time of the chunk before the one before
+sql("stream_late_rows", f"""WITH {EV},
+b AS (SELECT min(ms) AS lo, max(ms) AS hi, (max(ms) - min(ms) + 6) // 6 AS w FROM ev),
+c AS (SELECT ms, event_id % 50 = 0 AS late, CASE WHEN event_id % 50 = 0 THEN 5 ELSE (ms - lo) // w END AS chunk FROM ev, b),
+d AS (SELECT count(*) AS landed, count(*) FILTER (WHERE late AND (ms // {Q.DAY_MS} + 1) * {Q.DAY_MS} <=
+        (SELECT max(ms) FROM c WHERE chunk <= 3)) AS dropped FROM c)
+SELECT landed, landed - dropped AS counted, dropped, dropped > 0 AS measured, 6 AS batches FROM d""")
+
 sql("stream_throughput", f"""WITH {EV},
 s AS (SELECT (ms // 43200000) * 43200000 AS window_start_ms FROM ev
       UNION ALL SELECT (ms // 43200000) * 43200000 - 43200000 FROM ev)

@@ -671,17 +671,38 @@ def stream_dedup_watermark(spark, sf_dir):
     landing, sink, ckpt = _stream_dirs(spark, "stream-dedup")
     d = fx.deliveries(ev).select("id", "strategy", "ms", F.timestamp_millis("ms").alias("ts"))
     land_in_time_order(d, landing)
-    stream_dedup_within_watermark(spark, landing, d.schema, sink, ckpt)
+    stream_dedup_within_watermark(spark, landing, d.schema, sink, ckpt, files_per_trigger=4)
     return spark.read.parquet(sink)
 
 
+@query("stream_late_rows")
+def stream_late_rows(spark, sf_dir):
+    """T02 / T07 with late data: events land in time order but for one in 50, which lands
+    with the newest. What the windows count, and how many rows the watermark dropped."""
+    from ..streaming import fold_window_log, land_in_time_order, stream_window_counts, watermark_figures
+    ev = fx.events(spark, sf_dir)
+    last = ev.agg(F.max("ms")).scalar()
+    late = F.col("event_id") % 50 == 0
+    ev = ev.select("event_id", F.col("ms").alias("event_ms"), F.when(late, last).otherwise(F.col("ms")).alias("ms"),
+                   F.timestamp_millis("ms").alias("ts"))
+    landing, log, ckpt = _stream_dirs(spark, "stream-late")
+    land_in_time_order(ev, landing)
+    q = stream_window_counts(spark, landing, ev.schema, log, ckpt, "1 day", delay="0 seconds", files_per_trigger=2)
+    figures = watermark_figures(q)
+    kept = fold_window_log(spark.read.parquet(log), ["window_start_ms", "window_end_ms"])
+    landed = F.lit(figures["rows"]).cast("long")
+    return kept.agg(F.sum("events").cast("long").alias("counted")).select(
+        landed.alias("landed"), "counted", (landed - F.col("counted")).alias("dropped"),
+        F.lit(figures["late"] > 0).alias("measured"), F.lit(figures["batches"]).cast("long").alias("batches"))
+
+
 def _stream_counts(spark, sf_dir, name, window, slide, by):
     from ..streaming import fold_window_log, land_in_time_order, stream_window_counts
     ev = fx.events(spark, sf_dir).select("event_id", "event_type", "ms",
                                          F.timestamp_millis("ms").alias("ts"))
     landing, log, ckpt = _stream_dirs(spark, name)
     land_in_time_order(ev, landing)
-    stream_window_counts(spark, landing, ev.schema, log, ckpt, window, slide, by=by)
+    stream_window_counts(spark, landing, ev.schema, log, ckpt, window, slide, by=by, files_per_trigger=4)
     return fold_window_log(spark.read.parquet(log), ["window_start_ms", "window_end_ms", *by])
 
 
@@ -703,18 +724,10 @@ def stream_worker_health(spark, sf_dir):
     """T06 / A10 on a stream: heartbeats land in time order, keyed state with
     event-time timers turns silent workers stuck, then dead; the transition
     log is folded to each worker's latest state (now = the last heartbeat)."""
-    from ..streaming.health import (fold_transitions, start_with_state_partitions,
-                                    worker_health_event_time)
+    from ..streaming.health import fold_transitions, run_worker_health
     from ..streaming.loader import land_in_time_order
-    from ..streaming.windows import log_batch
-    hb = fx.heartbeats(fx.events(spark, sf_dir)).withColumn(
-        "hb_ts", F.timestamp_millis("last_progress_ms"))
+    hb = fx.heartbeats(fx.events(spark, sf_dir))
     landing, log, ckpt = _stream_dirs(spark, "stream-health")
     land_in_time_order(hb, landing, ms="last_progress_ms")
-    stream = spark.readStream.schema(hb.schema).option("maxFilesPerTrigger", 4).parquet(landing)
-    writer = (worker_health_event_time(stream).writeStream.outputMode("append")
-              .foreachBatch(log_batch(log)).option("checkpointLocation", ckpt)
-              .trigger(availableNow=True))
-    q = start_with_state_partitions(writer, spark, HEALTH_STATE_PARTITIONS)
-    q.awaitTermination()
+    run_worker_health(spark, landing, log, ckpt, files_per_trigger=4, state_partitions=HEALTH_STATE_PARTITIONS)
     return fold_transitions(spark.read.parquet(log))

@@ -81,11 +81,23 @@ def stream_idempotent_load(spark: SparkSession, landing: str, schema: StructType
     return writer.start()
 
 
+def watermark_figures(q) -> dict[str, int]:
+    """Of an ended query, from its progress: `batches` with data, `rows` read, `late` rows
+    that state operators dropped because the watermark had passed them, and `state_rows`
+    kept at the end."""
+    seen = [p for p in q.recentProgress]
+    ops = [[o for o in p["stateOperators"]] for p in seen]
+    return {"batches": sum(p["numInputRows"] > 0 for p in seen), "rows": sum(p["numInputRows"] for p in seen),
+            "late": sum(o["numRowsDroppedByWatermark"] for x in ops for o in x),
+            "state_rows": sum(o["numRowsTotal"] for o in ops[-1]) if ops else 0}
+
+
 def stream_dedup_within_watermark(spark: SparkSession, landing: str, schema: StructType | str,
                                   sink: str, checkpoint: str, key: str = "id",
                                   ts: str = "ts", delay: str = "1 hour",
-                                  files_per_trigger: int | None = None) -> None:
-    """Bounded-state de-duplication for time-ordered input; drains and stops."""
+                                  files_per_trigger: int | None = None):
+    """Bounded-state de-duplication for time-ordered input; drains and stops. Returns
+    the ended query; `watermark_figures` tells how many rows came too late."""
     reader = spark.readStream.schema(schema).format("parquet")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -95,6 +107,7 @@ def stream_dedup_within_watermark(spark: SparkSession, landing: str, schema: Str
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return q
 
 
 def land_in_time_order(df: DataFrame, path: str, ms: str = "ms", n_chunks: int = 6,

@@ -28,8 +28,9 @@ def log_batch(log_path: str):
 def stream_window_counts(spark: SparkSession, landing: str, schema: StructType | str,
                          log_path: str, checkpoint: str, window: str, slide: str | None = None,
                          by: list[str] | None = None, ts: str = "ts", delay: str = "1 hour",
-                         files_per_trigger: int | None = None) -> None:
-    """Windowed row counts per `by`, appended per batch to `log_path`; drains and stops."""
+                         files_per_trigger: int | None = None):
+    """Windowed row counts per `by`, appended per batch to `log_path`; drains and stops.
+    Returns the ended query (see `loader.watermark_figures`)."""
     by = by or []
     reader = spark.readStream.schema(schema).format("parquet")
     if files_per_trigger:
@@ -42,6 +43,7 @@ def stream_window_counts(spark: SparkSession, landing: str, schema: StructType |
     q = (agg.writeStream.outputMode("update").foreachBatch(log_batch(log_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return q
 
 
 def fold_window_log(log: DataFrame, keys: list[str]) -> DataFrame:

@@ -137,3 +137,38 @@ def test_watermark_dedup_loses_newest_first_input(spark, tmp_dir):
                                   files_per_trigger=1)
     kept = spark.read.parquet(tmp_dir + "/sink").count()
     assert kept < d.select("id").distinct().count()
+
+
+def test_worker_health_in_keyed_state(spark, tmp_dir):
+    """Timers, late and equal heartbeats, a worker that returns; the caller's settings stay."""
+    from feedspark.streaming.health import fold_transitions, run_worker_health
+    landing, log, ckpt = tmp_dir + "/hb", tmp_dir + "/log", tmp_dir + "/ck"
+    t0, s = 1_700_000_000_000, 1000
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.shuffle.partitions")
+
+    def land(rows):
+        spark.createDataFrame([(n, t0 + t, f) for n, t, f in rows], "name string, last_progress_ms long, fetched long").coalesce(
+            1).write.mode("append").parquet(landing)
+    land([("a", 0, 1), ("b", 0, 1), ("c", 0, 1), ("c", 0, 7), ("c", 0, 3)] + [("a", -k, 0) for k in range(500)])
+    land([("a", 40 * s, 2), ("b", 10 * s, 2)])
+    land([("a", 95 * s, 3), ("d", 60 * s, 1), ("e", 34 * s, 1), ("e", 35 * s, 1)])
+    land([("a", 95 * s, 9), ("b", 95 * s, 4), ("d", 50 * s, 2)])       # b returns; d has one that is older than its last
+    q = run_worker_health(spark, landing, log, ckpt, files_per_trigger=1)
+    assert q.exception() is None and len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
+    rows = spark.read.parquet(log)
+    got = {r["name"]: (r["state"], r["last_progress_ms"] - t0, r["fetched"]) for r in fold_transitions(rows).collect()}
+    # now = 95 s: c silent 95 s, e 60 s (not more than 60: stuck), d 35 s (its heartbeat at 50 s came late)
+    assert got == {"a": ("active", 95 * s, 9), "b": ("active", 95 * s, 4), "c": ("dead", 0, 7),
+                   "d": ("stuck", 60 * s, 1), "e": ("stuck", 35 * s, 1)}
+    steps = {n: [r["state"] for r in rows.where(f"name = '{n}'").collect()] for n in "bce"}
+    assert sorted(steps["c"]) == ["active", "dead", "stuck"] and steps["b"] == ["active"] * 3
+    assert sorted(steps["e"]) == ["active", "stuck"]
+    assert (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.shuffle.partitions")) == before
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_state_gets_one_row_per_worker_and_task(spark):
+    from feedspark.streaming.health import latest_heartbeats
+    hb = spark.range(5000).select(F.lit("w").alias("name"), (F.col("id") % 100).alias("last_progress_ms"), F.col("id").alias("fetched"))
+    rows = latest_heartbeats(hb.repartition(3)).collect()
+    assert len(rows) == 3 and max((r["last_progress_ms"], r["fetched"]) for r in rows) == (99, 4999)
