@@ -674,3 +674,8 @@ SELECT (ms // {Q.DAY_MS}) * {Q.DAY_MS} AS window_start_ms, (ms // {Q.DAY_MS}) *
        event_type, count(*) AS events FROM ev GROUP BY 1, 2, 3""")
 
 sql("stream_worker_health", f"WITH {EV}, {HEALTH} SELECT name, state, last_progress_ms, fetched FROM health")
+
+sql("sketch_counts", f"""WITH {DELIVERIES}, a AS (SELECT DISTINCT id, strategy FROM deliv)
+SELECT strategy AS source, '' AS other, count(*) AS offered, count(DISTINCT id) AS exact, true AS within FROM deliv GROUP BY 1
+UNION ALL SELECT x.strategy, y.strategy, NULL, count(*), true FROM a x JOIN a y USING (id)
+WHERE x.strategy < y.strategy GROUP BY 1, 2""")

@@ -16,7 +16,7 @@ from .. import constants as K
 from ..functions.ids import invalid_reason, is_uuid, is_valid_id, with_id_pick
 from ..functions.json import with_strict_parse
 from ..functions.num import idiv, keep_rows
-from ..operators import extract, load, profile, progress, reconcile, scans, sinks
+from ..operators import extract, load, profile, progress, reconcile, scans, sinks, sketches
 from ..session import hadoop_fs, scratch_path
 from ..sources import feed, split
 from . import fixtures as fx
@@ -633,6 +633,28 @@ def worker_health_counts(spark, sf_dir):
     return progress.worker_health_counts(worker_health(spark, sf_dir))
 
 
+@query("sketch_counts")
+def sketch_counts(spark, sf_dir):
+    """A02 / A03 / A13 by stored daily sketches: exact counts, and whether the estimates lie
+    within three standard errors of them."""
+    d = fx.deliveries(fx.events(spark, sf_dir))
+    path = scratch_path(spark, "sketches")
+    sketches.daily_sketches(d).write.parquet(path)
+    stored = spark.read.parquet(path)
+    exact = d.groupBy(F.col("strategy").alias("source")).agg(F.count_distinct("id").alias("exact"))
+    est = sketches.distinct_estimates(stored).join(exact, "source")
+    close = F.abs(F.col("distinct_est") - F.col("exact")) <= F.col("exact") * sketches.HLL_ERROR + 1
+    rows = est.select("source", F.lit("").alias("other"), "offered", "exact", close.alias("within"))
+    a = d.select("id", F.col("strategy").alias("source")).distinct()
+    both = (a.join(a.withColumnRenamed("source", "other"), "id").where("source < other")
+            .groupBy("source", "other").agg(F.count(F.lit(1)).alias("exact")))
+    pairs = sketches.overlap_estimates(stored).join(both, ["source", "other"], "left").withColumn(
+        "exact", F.coalesce("exact", F.lit(0)))
+    least = F.greatest(F.col("both_est"), F.col("exact"))
+    close = F.abs(F.col("both_est") - F.col("exact")) <= least * 3 * sketches.THETA_ERROR + 1
+    return rows.unionByName(pairs.select("source", "other", F.lit(None).cast("long").alias("offered"), "exact", close.alias("within")))
+
+
 @query("estimated_count")
 def estimated_count(spark, sf_dir):
     name = "feedspark_est_" + scratch_path(spark, "t").rsplit("-", 1)[-1][:12]

@@ -285,3 +285,24 @@ def test_segmented_running_sums_one_hot_worker(spark):
     key = ["worker", "batch", "fetched"]
     assert sorted(tuple(r) for r in seg.select(*key).collect()) == sorted(
         tuple(r) for r in plain.select(*key).collect())
+
+
+def test_sketches_merge_and_stay_within_their_error(spark):
+    """Merged days equal one sketch of all; estimates within three standard errors."""
+    from feedspark.operators import sketches as S
+    n = 60_000
+    d = (spark.range(n).select(F.col("id").cast("string").alias("id"), (F.col("id") % 30 * S.DAY_MS).alias("ms"), F.lit("a").alias("strategy"))
+         .unionByName(spark.range(n // 2, n * 2).select(F.col("id").cast("string").alias("id"), F.lit(0).cast("long").alias("ms"),
+                                                         F.lit("b").alias("strategy"))))
+    d = d.unionByName(d.where("id = '7'")).unionByName(spark.createDataFrame([(None, 1, "a")], "id string, ms long, strategy string"))
+    daily = S.daily_sketches(d)
+    assert daily.count() == 31
+    got = {r["source"]: (r["offered"], r["distinct_est"]) for r in S.distinct_estimates(daily).collect()}
+    assert got["a"][0] == n + 1 and got["b"][0] == n * 3 // 2
+    for k, exact in (("a", n), ("b", n * 3 // 2)):
+        assert abs(got[k][1] - exact) <= exact * S.HLL_ERROR
+    whole = S.distinct_estimates(S.daily_sketches(d.withColumn("ms", F.lit(0).cast("long")))).collect()
+    assert all(abs(r["distinct_est"] - got[r["source"]][1]) <= got[r["source"]][1] * S.HLL_ERROR for r in whole)
+    both = S.overlap_estimates(daily).first()
+    assert (both["source"], both["other"]) == ("a", "b") and abs(both["both_est"] - n // 2) <= n * 2 * S.THETA_ERROR
+    assert S.distinct_estimates(S.daily_sketches(d.where("false"))).collect() == []
