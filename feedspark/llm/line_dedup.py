@@ -15,10 +15,11 @@ or more to it; lines without a token stay.
    triples could break, have pairs (floor(2 (1 - t) n) + 1 of them) instead.
 3. Lines that occur more than once (found by a Bloom filter of fixed size) are
    reduced to one before they are indexed.
-4. *Pivots*. The lines of a list are first compared with its few earliest lines.
-   Lines that turn out to have an earlier match are done. Only the others meet all
-   members of their lists, so a list of near copies costs its length, not its
-   square.
+4. *Lists*. The lines of a list of up to `short` lines meet each other. Those of a
+   longer one are first compared with its few earliest lines (pivots). Lines that turn
+   out to have an earlier match are done. Only the others meet the lines before them
+   in their lists, so a list of near copies costs its length, not its square. Lists
+   over `block` lines do this in blocks.
 5. *Length and positional filters* drop pairs that cannot reach the threshold: by
    their sizes, by a parity sketch of their tokens, and by the tokens that can still
    agree before and after the common pair. What is left is verified on all its
@@ -43,7 +44,9 @@ class LineParams:
     den: int = 10
     buckets: int = 1 << 16      # counters of the rarity order
     filter_bits: int = 1 << 24  # of the broadcast filters (2 MB of bits)
-    pivots: int = 4             # earliest lines of a list that all its lines meet first
+    pivots: int = 4             # earliest lines of a longer list that all its lines meet first
+    short: int = 8              # lines of a list that all meet each other
+    block: int = 2048           # lines of a list that meet its open lines in one task
 
 
 def words_of(line: Column) -> Column:
@@ -188,25 +191,47 @@ def _reachable(n: Column, m: Column, i: Column, j: Column, p: LineParams) -> Col
             & ((F.greatest(i, j) == _ANY_POS) | (F.lit(p.num + p.den) * most >= need)))
 
 
+def _within(x: str, y: str, i: Column, j: Column, p: LineParams) -> Column:
+    """`_reachable`, and the difference of the wide sketches, for lines whose sizes and
+    sketches are in the structs `x` and `y` (`n`, `s0`, `s1`)."""
+    a, b = F.col(x), F.col(y)
+    apart = F.bit_count(a["s0"].bitwiseXOR(b["s0"])) + F.bit_count(a["s1"].bitwiseXOR(b["s1"]))
+    return (_reachable(a["n"], b["n"], i, j, p)
+            & (F.lit(p.num + p.den) * apart <= F.lit(p.den - p.num) * (a["n"] + b["n"])))
+
+
 _ORD = "struct(isnull(doc_id) as z, doc_id, th, no)"
 
 
 def _lists(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
-    """The index lists with two lines and more, a row for each line but the one
-    with the smallest id (the head): `key`, `id`, `tag`, `head`, `htag`, `many`
-    (three lines and more). Lists of two that cannot match are left out."""
+    """The index lists with two lines and more: `key`, `id`, `tag`, `c` (the list's
+    length), `head` and `htag` (its smallest id). A list of two is one row, left out
+    if the two cannot match; longer ones have a row for each line."""
     once = lines.where("not often").select("id", "line")
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
-    # One pass and one frame over each list in order of id: its head, and whether it has three members.
+    # One pass and one frame over each list in order of id: its head and its length.
     run = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lists = posts.select("key", "id", "tag", F.first("id").over(run).alias("head"), F.first("tag").over(run).alias("htag"),
-                         (F.count(F.lit(1)).over(run) > 2).alias("many"))
-    lists = lists.where("id != head").where(_may_match(F.col("tag"), F.col("htag"), p) | F.col("many"))
+                         F.count(F.lit(1)).over(run).alias("c"))
+    lists = lists.where((F.col("c") > 2) | ((F.col("c") == 2) & (F.col("id") != F.col("head"))
+                                            & _may_match(F.col("tag"), F.col("htag"), p)))
     return written(lists, "line-lists")
 
 
+def _close_pairs(lists: DataFrame, p: LineParams) -> DataFrame:
+    """The pairs of the lists of up to `short` lines that pass the filters of their
+    tags. Most such lists are lines that share a key by chance, and end here."""
+    few = lists.where(f"c > 2 and c <= {p.short}")
+    one = few.select("key", F.col("id").alias("x"), F.col("tag").alias("xt"))
+    two = few.select("key", F.col("id").alias("y"), F.col("tag").alias("yt"))
+    met = one.join(two, "key").where((F.col("x") < F.col("y")) & _may_match(F.col("xt"), F.col("yt"), p))
+    pair = lists.where("c = 2").select(F.col("id").alias("x"), F.col("tag").alias("xt"),
+                                       F.col("head").alias("y"), F.col("htag").alias("yt"))
+    return cut_lineage(_pairs(pair.unionByName(met.select("x", "xt", "y", "yt")), "x", "xt", "y", "yt"))
+
+
 def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame:
     """`doc_id`, `th`, `no` of every line that goes (one row each).
 
@@ -225,13 +250,11 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     lines = _with_id(marked(lines, repeated, ["a", "b"], bits, "often"), "often")
     lists = _lists(lines, rank, p)
     release(docs.sparkSession)
-    two = _pairs(lists.where("not many"), "id", "tag", "head", "htag")
-    many = lists.where("many")
-    many = many.select("key", "id", "tag").unionByName(
-        many.select("key", F.col("head").alias("id"), F.col("htag").alias("tag")).distinct())
+    close = _close_pairs(lists, p)
+    many = lists.where(f"c > {p.short}").select("key", "id", "tag", "c")
     # The lines of the lists: their texts stay where they are read, their sizes and
     # sketches and the first place of each are gathered.
-    ids = two.select(F.col("x").alias("id")).unionByName(two.select(F.col("y").alias("id"))).unionByName(
+    ids = close.select(F.col("x").alias("id")).unionByName(close.select(F.col("y").alias("id"))).unionByName(
         many.select("id")).distinct()
     near = cut_lineage(hash_filter(ids, ["id"], bits))
     texts = (marked(lines, near, ["id"], bits, "near").where("near")
@@ -243,23 +266,29 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     found = written(found, "line-sketches")
     release(docs.sparkSession)
     # Longer lists: every line against the list's earliest ones before it.
-    placed = many.join(found.select("id", "ord"), "id")
+    placed = cut_lineage(many.join(found.select("id", "ord", F.struct("n", "s0", "s1").alias("w")), "id"))
     early = Window.partitionBy("key").orderBy("ord", "id")
     pivot = cut_lineage(placed.withColumn("_k", F.row_number().over(early)).where(F.col("_k") <= p.pivots)
-                        .select("key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo")))
-    to_pivot = placed.join(pivot, "key").where((F.col("yo") < F.col("ord")) & _may_match(F.col("tag"), F.col("yt"), p))
-    to_pivot = to_pivot.where("id != y")
-    first = cut_lineage(two.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
+                        .select("key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo"),
+                                F.col("w").alias("yw")))
+    to_pivot = placed.join(pivot, "key").where((F.col("yo") < F.col("ord")) & _within(
+        "w", "yw", _position(F.col("tag")), _position(F.col("yt")), p))
+    first = cut_lineage(close.unionByName(_pairs(to_pivot, "id", "tag", "y", "yt")))
     release(docs.sparkSession)
     done = _later(first, found, texts, p)
-    del placed, pivot, to_pivot, two
+    del pivot, to_pivot, close
     release(docs.sparkSession)
-    # Lines that are still open meet all members of their lists.
-    open_ = many.join(done.select("id").distinct(), "id", "left_anti").select(
-        "key", F.col("id").alias("x"), F.col("tag").alias("xt"))
-    other = many.select("key", F.col("id").alias("y"), F.col("tag").alias("yt"))
-    rest = open_.join(other.hint("shuffle_hash"), (open_["key"] == other["key"]) & (F.col("x") != F.col("y"))
-                      & _may_match(F.col("xt"), F.col("yt"), p))
+    # Lines that are still open meet the members of their lists that come before them.
+    # A list over `block` lines is dealt into blocks, each of which meets the open lines
+    # in a task of its own.
+    blocks = F.ceil(F.col("c") / F.lit(p.block)).cast("int")
+    open_ = placed.join(done.select("id").distinct(), "id", "left_anti").select(
+        "key", F.col("id").alias("x"), F.col("tag").alias("xt"), F.col("ord").alias("xo"),
+        F.col("w").alias("xw"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("part"))
+    other = placed.select("key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo"),
+                          F.col("w").alias("yw"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("part"))
+    rest = open_.join(other.hint("shuffle_hash"), ["key", "part"]).where(
+        (F.col("yo") < F.col("xo")) & _within("xw", "yw", _position(F.col("xt")), _position(F.col("yt")), p))
     rest = _pairs(rest, "x", "xt", "y", "yt").join(first.select("x", "y"), ["x", "y"], "left_anti")
     done = done.unionByName(_later(rest, found, texts, p))
     gone = cut_lineage(done.select("a", "b").distinct())
@@ -281,22 +310,20 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
 
 def _pairs(rows: DataFrame, x: str, xt: str, y: str, yt: str) -> DataFrame:
     """Distinct pairs `x`, `y` with the positions `i`, `j` of one of their keys."""
-    at = F.min(F.struct(_position(F.col(xt)).alias("i"), _position(F.col(yt)).alias("j"))).alias("at")
-    return (rows.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(at)
-            .select("x", "y", F.col("at.i").alias("i"), F.col("at.j").alias("j")))
+    span = F.lit(_ANY_POS + 1)
+    at = F.min(_position(F.col(xt)) * span + _position(F.col(yt)))      # one long: a hash aggregate
+    return (rows.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(at.alias("at"))
+            .select("x", "y", F.floor(F.col("at") / span).alias("i"), (F.col("at") % span).alias("j")))
 
 
 def _later(pairs: DataFrame, found: DataFrame, texts: DataFrame, p: LineParams) -> DataFrame:
     """`id`, `a`, `b` of the later line of each pair (x, y) that is similar. The
     pairs are filtered by length, position and a wide sketch; only lines of pairs
     that pass are shuffled with their words' hashes."""
-    size = found.select("id", "n", "s0", "s1")
-    apart = F.bit_count(F.col("s0").bitwiseXOR(F.col("t0"))) + F.bit_count(F.col("s1").bitwiseXOR(F.col("t1")))
+    size = found.select("id", F.struct("n", "s0", "s1").alias("w"))
     pairs = cut_lineage(
-        pairs.join(size.withColumnRenamed("id", "x"), "x").join(size.toDF("y", "m", "t0", "t1"), "y")
-        .where(_reachable(F.col("n"), F.col("m"), F.col("i"), F.col("j"), p)
-               & (F.lit(p.num + p.den) * apart <= F.lit(p.den - p.num) * (F.col("n") + F.col("m"))))
-        .select("x", "y"))
+        pairs.join(size.toDF("x", "xw"), "x").join(size.toDF("y", "yw"), "y")
+        .where(_within("xw", "yw", F.col("i"), F.col("j"), p)).select("x", "y"))
     bits = p.filter_bits
     used = cut_lineage(hash_filter(pairs.select(F.explode(F.array("x", "y")).alias("id")), ["id"], bits))
     words = (marked(texts.select("id", "line"), used, ["id"], bits, "used").where("used")

@@ -55,6 +55,9 @@ def test_random_lines(spark):
     small = line_dedup.LineParams(buckets=16, filter_bits=64)    # filters that pass nearly all
     got = line_dedup.line_decisions(df, small).collect()
     assert {r["doc_id"]: r["removed"] for r in got} == want
+    lists = line_dedup.LineParams(pivots=1, short=2, block=4)    # long lists, dealt into blocks
+    got = line_dedup.line_decisions(df, lists).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == want
     kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
     assert kept == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i]) for i, t in rows}
 
