@@ -132,7 +132,9 @@ def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
         return F.slice("c", F.lit(1), wide(k))
 
     def key(k: int) -> Column:
-        return F.xxhash64(F.lit(k), "c0", *[F.get("c", at + j) for j in range(1, k)])
+        # 48 bits tell keys apart; a chance meeting ends at the filters. The zero bytes lie
+        # next to a row's empty null flags, where the shuffle's compression removes them.
+        return F.xxhash64(F.lit(k), "c0", *[F.get("c", at + j) for j in range(1, k)]).bitwiseAND(F.lit(-1 << 16))
 
     first = F.when(n < large, prefix(2)).when(n > small, prefix(3)).otherwise(F.concat(prefix(2), prefix(3)))
     pairs = (n < large) | ((n <= small) & (F.col("pos") < wide(2)))
@@ -205,8 +207,8 @@ _ORD = "struct(isnull(doc_id) as z, doc_id, th, no)"
 
 def _lists(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
     """The index lists with two lines and more: `key`, `id`, `tag`, `c` (the list's
-    length), `head` and `htag` (its smallest id). A list of two is one row, left out
-    if the two cannot match; longer ones have a row for each line."""
+    length). A list of two is one row with its smallest id as `head` and `htag`, left
+    out if the two cannot match; longer ones have a row for each line."""
     once = lines.where("not often").select("id", "line")
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -217,7 +219,8 @@ def _lists(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
                          F.count(F.lit(1)).over(run).alias("c"))
     lists = lists.where((F.col("c") > 2) | ((F.col("c") == 2) & (F.col("id") != F.col("head"))
                                             & _may_match(F.col("tag"), F.col("htag"), p)))
-    return written(lists, "line-lists")
+    two = F.col("c") == 2
+    return written(lists.withColumns({"head": F.when(two, F.col("head")), "htag": F.when(two, F.col("htag"))}), "line-lists")
 
 
 def _close_pairs(lists: DataFrame, p: LineParams) -> DataFrame:
