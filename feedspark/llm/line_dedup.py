@@ -232,7 +232,7 @@ def _close_pairs(lists: DataFrame, p: LineParams) -> DataFrame:
     met = one.join(two, "key").where((F.col("x") < F.col("y")) & _may_match(F.col("xt"), F.col("yt"), p))
     pair = lists.where("c = 2").select(F.col("id").alias("x"), F.col("tag").alias("xt"),
                                        F.col("head").alias("y"), F.col("htag").alias("yt"))
-    return cut_lineage(_pairs(pair.unionByName(met.select("x", "xt", "y", "yt")), "x", "xt", "y", "yt"))
+    return written(_pairs(pair.unionByName(met.select("x", "xt", "y", "yt")), "x", "xt", "y", "yt"), "line-pairs")
 
 
 def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame:
@@ -251,6 +251,7 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     lines = lines_of(df)
     repeated = cut_lineage(repeated_filter(lines, ["a", "b"], bits))
     lines = _with_id(marked(lines, repeated, ["a", "b"], bits, "often"), "often")
+    release(docs.sparkSession)
     lists = _lists(lines, rank, p)
     release(docs.sparkSession)
     close = _close_pairs(lists, p)
