@@ -6,6 +6,8 @@ the logarithm of the graph. Hubs are safe: minima are combined before the
 shuffle and written, so that the join that returns them to the edges is between
 two plain exchanges, whose skewed partitions adaptive execution splits. Each round
 is checkpointed, so lineage stays short and a lost executor costs one round at most.
+What a round leaves behind (plans, minima, shuffles) is released before the next one:
+the driver's heap would otherwise grow with the number of rounds up to its limit.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, release
 
 
 def _with_min(pairs: DataFrame) -> DataFrame:
@@ -43,5 +45,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
+        del both, large, small
+        release(e.sparkSession)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (attach_by_key, chunks, cut_lineage, docs_of, hash_filter, map_batches, marked,
-                     splitmix64)
+                     release, splitmix64)
 from .components import connected_components
 
 _M1, _M2, _M3, _M4 = (np.uint64(x | 1) for x in splitmix64(4, 31))
@@ -250,7 +250,9 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
         raise ValueError("the prefix of pairs is exact for similarities above 2/3 only")
     df = docs_of(docs)
     rank = ranks(rarity_counts(df, p))
+    release(df.sparkSession)
     sets = _set_table(df, rank, p)
+    release(df.sparkSession)
     rows = sets.where("n > 0").select("uid", "doc_id", "n", "sig", "th")
     n_rows = rows.count()
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid"))
@@ -265,6 +267,8 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
     edges = (post.join(heads, "key").where("uid != head").select(F.col("uid").alias("a"), F.col("head").alias("b"))
              .distinct())
     edges = cut_lineage(edges)
+    del post, heads
+    release(df.sparkSession)
     # From rows to classes: the rows that have an edge, with their class.
     nodes = edges.select(F.col("a").alias("uid")).unionByName(edges.select(F.col("b").alias("uid"))).distinct()
     known = cut_lineage(attach_by_key(rows.join(nodes, "uid").select("uid", "sig"),
@@ -274,6 +278,8 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
              .join(known.select(F.col("uid").alias("b"), F.col("cls").alias("cb")), "b")
              .select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     family = cut_lineage(connected_components(pairs))            # node: cls, root: family
+    del edges, nodes, known, pairs
+    release(df.sparkSession)
     size = family.groupBy(F.col("root").alias("fam")).agg(F.count(F.lit(1)).alias("members"))
     placed = attach_by_key(family.select(F.col("node").alias("cls"), F.col("root").alias("fam")),
                            size, "fam", "members", n_rows)
@@ -292,6 +298,8 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
     members = (texts.join(wanted, match).select("cls", "fam", "text", F.explode("meet").alias("_p"))
                .select("cls", "fam", "text", "_p.i", "_p.j"))
     linked = connected_components(_link_families(members, p))    # node: cls, root: cls
+    del family, size, placed, wanted, near, texts, members
+    release(df.sparkSession)
     # Answers of the classes, then of all their rows.
     classes = classes.join(linked, F.col("cls") == F.col("node"), "left").select(
         "sig", "copies", "best", F.coalesce("root", "cls").alias("comp"))
@@ -312,7 +320,8 @@ def keep_one_of_each(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
     found = ngram_components(docs, params).groupBy("doc_id", "th").agg(
         F.sum(F.col("first").cast("int")).alias("stay"), F.count(F.lit(1)).alias("all")).where("stay < all")
     found = cut_lineage(found.select(F.col("doc_id").alias("_j"), F.col("th").alias("_t"), "stay"))
-    near = hash_filter(found, ["_j", "_t"], bits)
+    release(docs.sparkSession)
+    near = cut_lineage(hash_filter(found, ["_j", "_t"], bits))    # read three times below
     rows = docs.withColumns({"_i": F.col("doc_id").cast("long"),
                              "_h": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
     rows = marked(rows, near, ["_i", "_h"], bits, "_near")

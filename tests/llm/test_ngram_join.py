@@ -99,6 +99,17 @@ def test_components_of_paths_and_stars(spark):
     assert {r["node"]: r["root"] for r in got} == want and len(got) == len(want)
 
 
+def test_a_round_leaves_nothing_behind_on_the_driver(spark, monkeypatch):
+    """Plans, minima and shuffles of a round are let go before the next: the driver's heap
+    does not grow with the rounds."""
+    from feedspark.llm import components
+    rounds, free = [], components.release
+    monkeypatch.setattr(components, "release", lambda s: (rounds.append(1), free(s)))
+    e = [(k, k + 1) for k in range(60)]
+    got = connected_components(spark.createDataFrame(e, "a long, b long")).collect()
+    assert len(rounds) >= 2 and {r["root"] for r in got} == {0} and len(got) == 61
+
+
 def test_similarities_whose_prefix_could_lose_links_are_refused(spark):
     """{a, c, b} and {a, b} in order of rarity share no pair of neighbours at 2/3."""
     import pytest
