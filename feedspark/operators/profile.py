@@ -15,6 +15,10 @@ from ..functions.json import _c, field_path, vget, vkind, vtext
 from ..functions.text import string_format_class
 from ..functions.timefmt import epoch_ms, ts_format_class, ts_normalise
 from ..functions.num import idiv
+from ..session import cut_lineage
+
+#: Groups of a report that may be sent to every task.
+BROADCAST_GROUPS = 10_000
 
 
 def type_matches(v, value, fields=TYPE_FIELDS) -> Column:
@@ -71,19 +75,32 @@ def field_type_profile(records: DataFrame, v: str = "v", order: str = "event_id"
     """Per top-level field and JSON kind, rows, largest array
     length and a preview (first `preview_len` characters of the value in the
     first record by `order`)."""
-    kv = records.select(order, F.explode(F.try_variant_get(F.col(v), "$", "map<string,variant>"))
-                        .alias("field", "val"))
-    kv = kv.withColumn("kind", vkind(F.col("val")))  # staged: used three times below
+    def exploded(rows: DataFrame) -> DataFrame:
+        kv = rows.select(order, F.explode(F.try_variant_get(F.col(v), "$", "map<string,variant>"))
+                         .alias("field", "val"))
+        return kv.withColumn("kind", vkind(F.col("val")))  # staged: used three times below
+
+    # Numbers only: one row a group in a hash table. A text beside them (`min_by`) would
+    # make Spark sort every exploded row.
+    alen = F.when(F.col("kind") == "array", F.size(F.try_variant_get(F.col("val"), "$", "array<variant>")))
+    groups = (exploded(records).select("field", "kind", order, alen.alias("_alen"))
+              .groupBy("field", "kind")
+              .agg(F.count(F.lit(1)).alias("n_rows"),
+                   F.max("_alen").alias("max_array_len"),
+                   F.min(order).alias("_first")))
+    groups = cut_lineage(groups)
+    # The previews are read from the groups' first records alone.
+    few = groups.count() <= BROADCAST_GROUPS
+    shared = F.broadcast if few else lambda df: df
+    first = records.join(shared(groups.select(F.col("_first").alias(order)).distinct()), order, "left_semi")
     kind = F.col("kind")
     text = F.when(kind == "null", F.lit("null")).when(kind.isin("object", "array"),
                                                       F.to_json(F.col("val"))).otherwise(vtext("val"))
-    alen = F.when(kind == "array", F.size(F.try_variant_get(F.col("val"), "$", "array<variant>")))
-    return (kv.select("field", "kind", order, alen.alias("_alen"),
-                      F.substring(text, 1, preview_len).alias("_preview"))
-            .groupBy("field", "kind")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.max("_alen").alias("max_array_len"),
-                 F.min_by("_preview", order).alias("preview")))
+    shown = (exploded(first).select("field", "kind", F.col(order).alias("_first"),
+                                    F.substring(text, 1, preview_len).alias("_preview"))
+             .join(shared(groups.select("field", "kind", "_first")), ["field", "kind", "_first"], "left_semi")
+             .groupBy("field", "kind").agg(F.min("_preview").alias("preview")))
+    return groups.join(shared(shown), ["field", "kind"], "left").select("field", "kind", "n_rows", "max_array_len", "preview")
 
 
 def schema_variants(records: DataFrame, v: str = "v") -> DataFrame:

@@ -306,3 +306,28 @@ def test_sketches_merge_and_stay_within_their_error(spark):
     both = S.overlap_estimates(daily).first()
     assert (both["source"], both["other"]) == ("a", "b") and abs(both["both_est"] - n // 2) <= n * 2 * S.THETA_ERROR
     assert S.distinct_estimates(S.daily_sketches(d.where("false"))).collect() == []
+
+
+def test_field_profile_holds_a_row_a_group(spark):
+    """Counted in a hash table; the preview is the first record's, whatever the order of the rows."""
+    from pyspark.sql import DataFrame
+
+    from feedspark.functions.json import with_strict_parse
+    from feedspark.operators import profile
+    rows = [(5, '{"a":"five","b":[1,2,3]}'), (2, '{"a":"two","c":null}'), (None, '{"a":"none","d":{"x":1}}'),
+            (3, '{"a":3,"b":[7]}'), (2, '{"a":"two","b":[1,2]}'), (9, "oops")]
+    records = with_strict_parse(spark.createDataFrame(rows, "event_id long, json string"), "json")
+    plans, cut = [], profile.cut_lineage
+
+    def keep(df: DataFrame) -> DataFrame:
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    profile.cut_lineage = keep
+    try:
+        got = profile.field_type_profile(records).collect()
+    finally:
+        profile.cut_lineage = cut
+    assert sorted((r["field"], r["kind"], r["n_rows"], r["max_array_len"], r["preview"]) for r in got) == [
+        ("a", "number", 1, None, "3"), ("a", "string", 4, None, "two"), ("b", "array", 3, 3, "[1,2]"),
+        ("c", "null", 1, None, "null"), ("d", "object", 1, None, None)]
+    assert plans and all("SortAggregate" not in p for p in plans)
