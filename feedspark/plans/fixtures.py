@@ -166,20 +166,23 @@ def dump_files(ev: DataFrame, path: str) -> None:
     ``event_id % 50 = 13`` the element is no JSON."""
     eid = F.col("event_id")
     note = F.lit(',"note":"a,\\"b\\\\],{[","more":[[1,2],{"k":"}"}]}')
-    json = F.concat(F.expr("left(json, length(json) - 1)"), note)
+    raw = raw_event_json(ev)
+    json = F.concat(F.left(raw, F.length(raw) - 1), note)
     ids = F.when(eid % 50 == 7, F.lit('"null"')).otherwise(_q(eid.cast("string")))
     form = eid % 4
-    r = raw_events(ev).select("event_id", form.alias("form"), F.when(
-        eid % 50 == 13, F.concat(F.lit('{"id": oops '), eid.cast("string"), F.lit(', "x": [1, 2]}')))
-        .when(form == 2, ids).otherwise(json).alias("_t"))
+    r = spread(ev).withColumn("form", form)
     ends = r.groupBy("form").agg(F.min("event_id").alias("_lo"), F.max("event_id").alias("_hi"))
+    # Events are dealt out and sorted; their texts, several times as long, are made after that.
+    cols = ["event_id", "ts", "ms", "event_type", "user_id", "value", "props"]
+    r = (r.join(F.broadcast(ends), "form").select("form", *cols, (eid == F.col("_lo")).alias("_is_lo"), (eid == F.col("_hi")).alias("_is_hi"))
+         .repartition(4, "form").sortWithinPartitions("form", "event_id"))
+    body = F.when(eid % 50 == 13, F.concat(F.lit('{"id": oops '), eid.cast("string"), F.lit(', "x": [1, 2]}'))).when(
+        form == 2, ids).otherwise(json)
     head = pick_value(F.col("form"), ("[", '{"total":[1, 2],"data":[', '{"ids": [', '{"a":{"data":[7,8]},"events":\n['))
     tail = pick_value(F.col("form"), ("]", '],"hasMore":false}', "] }", "]}\n"))
-    text = F.concat(F.when(eid == F.col("_lo"), head).otherwise(""), F.col("_t"), F.when(eid == F.col("_hi"), tail).otherwise(""))
+    text = F.concat(F.when(F.col("_is_lo"), head).otherwise(""), body, F.when(F.col("_is_hi"), tail).otherwise(""))
     # one file a form: the text writer puts the commas between the elements
-    (r.join(F.broadcast(ends), "form").select("form", "event_id", text.alias("value")).repartition(4, "form")
-     .sortWithinPartitions("form", "event_id").select("form", "value")
-     .write.partitionBy("form").option("lineSep", ",").text(path))
+    r.select("form", text.alias("value")).write.partitionBy("form").option("lineSep", ",").text(path)
 
 
 def damaged(texts: DataFrame) -> DataFrame:

@@ -81,6 +81,22 @@ def test_an_element_longer_than_blocks(spark, tmp_dir, tiny_blocks):
     assert [r["id"] for r in split.read_dump_ids(spark, path).orderBy("element").collect()] == ["x", "long", "y"]
 
 
+def test_no_stored_row_for_every_piece(spark, tmp_dir, monkeypatch):
+    """What is kept between passes is chunks and elements, not the pieces between commas."""
+    kept, cut = [], split.cut_lineage
+
+    def keep(df):
+        out = cut(df)
+        kept.append(out.count())
+        return out
+    monkeypatch.setattr(split, "cut_lineage", keep)
+    monkeypatch.setattr(split, "CHUNK_BYTES", 500, raising=False)
+    n = 300
+    path = put(os.path.join(tmp_dir, "d"), {"a": json.dumps([{"id": f"e{i}", "n": list(range(20))} for i in range(n)])})
+    assert sorted((r["element"], r["id"]) for r in split.read_dump_ids(spark, path).collect()) == [(i, f"e{i}") for i in range(n)]
+    assert max(kept) < 2 * n
+
+
 VALUES = st.recursive(st.none() | st.booleans() | st.integers(-9, 10 ** 9) | st.text('ab",[]{}\\: \n', max_size=6),
                       lambda x: st.lists(x, max_size=3) | st.dictionaries(st.sampled_from(["id", "k", "data"]), x, max_size=2),
                       max_leaves=6)
