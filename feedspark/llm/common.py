@@ -7,6 +7,7 @@ clash), and treats a null text as empty unless its docstring says otherwise.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -58,18 +59,29 @@ def fold(col: str | Column, n: int) -> Column:
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
     """`mapInArrow` after `prepare`: batches in, batches out, nothing shuffled. A
-    worker that has finished gives back the memory that Arrow holds in reserve."""
+    worker that has finished gives back the memory that it holds in reserve."""
     prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from fn(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system: what Arrow keeps in reserve,
+    and the pages between blocks that are still in use, which the C library keeps. An
+    idle Python worker would hold them beside the executor's later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts that hold about `limit` code points."""
     start = size = 0
@@ -159,6 +171,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["cut_lineage", "prepare", "table", "docs_of", "fold", "map_batches", "chunks",
+__all__ = ["cut_lineage", "prepare", "table", "docs_of", "fold", "map_batches", "give_back", "chunks",
            "splitmix64", "attach_by_key", "hash_filter", "repeated_filter", "marked", "written", "release",
            "ARROW_BATCH_BYTES", "CHUNK_CHARS", "SPACE_CLASS"]

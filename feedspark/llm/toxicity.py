@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, docs_of, map_batches, splitmix64
+from .common import chunks, docs_of, give_back, map_batches, splitmix64
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Besides the word, its beginnings of these lengths are terms, and what is left
@@ -213,6 +213,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = None
                                       pa.binary())})
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fitted(batches)      # its arrays are free by now
+        give_back()
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = []
         for b in batches:
             got += zip(*(b.column(c).to_pylist() for c in ("doc_id", "toxic", "slots")))
