@@ -6,20 +6,24 @@ or more to it; lines without a token stay.
 
 1. *Rarity*. Tokens are counted over all lines in a fixed number of hash buckets;
    a line's tokens are ordered by their bucket's count, then by hash.
-2. *Prefix filter*. The index keys of a line of n tokens are its first
-   floor(3 (1 - t) n) + 1 triples of neighbours in that order. A token that only
-   one of two lines has breaks at most three triples of that line and two of the
-   other, so two similar lines have a common triple in these prefixes. A triple is
-   far more selective than a token, whose lists would grow with the square of the
-   corpus, and words that most lines share come last. Short lines, all of whose
-   triples could break, have pairs (floor(2 (1 - t) n) + 1 of them) instead.
+2. *Prefix filter*. The index keys of a line are its first runs of neighbours in that
+   order: a run that starts at a rare token is a pair, any other a triple. Two rare
+   tokens are as selective as three common ones, and break less easily: a token that
+   only one of two lines has breaks at most two pairs or three triples of that line and
+   one or two of the other. So two similar lines of n tokens have a common run before
+   the first `broken` + 1 of either end, where `broken` counts a pair as 1/2 and a
+   triple as 1/3 of the (1 - t) n tokens that can differ: floor(2 (1 - t) n) if all are
+   pairs, floor(3 (1 - t) n) if all are triples. Single tokens would have lists that
+   grow with the square of the corpus. Short lines, all of whose triples could break,
+   have pairs only.
 3. Lines that occur more than once (found by a Bloom filter of fixed size) are
    reduced to one before they are indexed.
 4. *Lists*. The lines of a list of up to `short` lines meet each other. Those of a
    longer one are first compared with its few earliest lines (pivots). Lines that turn
    out to have an earlier match are done. Only the others meet the lines before them
-   in their lists, so a list of near copies costs its length, not its square. Lists
-   over `block` lines do this in blocks.
+   in their lists, so a list of near copies costs its length, not its square. Two lines
+   that share many lists meet in the one of the smallest key. Lists over `block` lines do
+   this in blocks.
 5. *Length and positional filters* drop pairs that cannot reach the threshold: by
    their sizes, by a parity sketch of their tokens, and by the tokens that can still
    agree before and after the common pair. What is left is verified on all its
@@ -63,8 +67,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
             .withColumns({"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")}))
 
 
-def rarity_rank(docs: DataFrame, p: LineParams) -> Column:
-    """A constant array: the rank (0 .. 32767) of each bucket by its token count."""
+def rarity_rank(docs: DataFrame, p: LineParams) -> tuple[Column, int]:
+    """A constant array: the rank (0 .. 32767) of each bucket by its token count. And
+    the highest rank of a rare token: its bucket counts a quarter of the root of all
+    tokens at most, so that two such tokens meet by chance in a few lines only,
+    whatever the size of the corpus."""
     token = docs.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("w"))
     counts = {r["k"]: r["n"] for r in
               token.groupBy(F.xxhash64("w").bitwiseAND(F.lit(p.buckets - 1)).alias("k"))
@@ -72,7 +79,8 @@ def rarity_rank(docs: DataFrame, p: LineParams) -> Column:
     levels = sorted(set(counts.values()))
     place = {n: 1 + i * 32766 // max(1, len(levels) - 1) for i, n in enumerate(levels)}
     ranks = [place.get(counts.get(k), 0) for k in range(p.buckets)]
-    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<long>")
+    rare = max((place[n] for n in levels if 16 * n * n <= sum(counts.values())), default=0)
+    return F.from_json(F.lit(json.dumps(ranks, separators=(",", ":"))), "array<long>"), rare
 
 
 def token_hashes(line: Column) -> Column:
@@ -107,9 +115,10 @@ def _sketch(hashes: Column) -> Column:
     return whole.bitwiseXOR(F.shiftrightunsigned(whole, _BITS)).bitwiseAND(F.lit((1 << _BITS) - 1))
 
 
-def _wide_sketch(words: Column) -> list[Column]:
-    """`s0`, `s1`: a parity sketch of 128 bits, for the pairs that get that far."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+def _wide_sketch(words: Column, hashed: bool = False) -> list[Column]:
+    """`s0`, `s1`: a parity sketch of 128 bits, for the pairs that get that far. The
+    words may come as their hashes."""
+    hashes = words if hashed else F.transform(words, lambda w: F.xxhash64(w))
     flip = lambda s, h: s.bitwiseXOR(F.call_function(
         "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))
     low = F.filter(hashes, lambda h: h.bitwiseAND(F.lit(64)) == 0)
@@ -117,42 +126,48 @@ def _wide_sketch(words: Column) -> list[Column]:
     return [F.aggregate(half, F.lit(0).cast("long"), flip).alias(name) for half, name in ((low, "s0"), (high, "s1"))]
 
 
-def _posts(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
+def _posts(lines: DataFrame, rank: Column, rare: int, p: LineParams) -> DataFrame:
     """Index rows: `key`, `id` (of the line), `tag` (size, position, sketch). The
     prefix is exploded before its keys are hashed: outside of lambda functions the
     hashing is compiled code."""
-    n, at = F.col("n"), F.col("at")
+    n, at, few = F.col("n"), F.col("at"), F.col("rare")
     small, large = key_sizes(p)
+    limit = F.lit((rare + 1) << 48)                  # of the code of a rare token
 
-    def wide(k: int) -> Column:
-        """How many keys of k neighbours (a line of one token: of the token)."""
-        return F.greatest(F.lit(1), F.least(n - (k - 1), F.floor(F.lit(k * (p.den - p.num)) * n / p.den).cast("int") + 1))
-
-    def prefix(k: int) -> Column:
-        return F.slice("c", F.lit(1), wide(k))
+    # How many keys: pairs only (a line of one token: the token); pairs and triples.
+    only = F.greatest(F.lit(1), F.least(n - 1, F.floor(F.lit(2 * (p.den - p.num)) * n / p.den).cast("int") + 1))
+    mixed = F.when(few * p.den >= F.lit(2 * (p.den - p.num)) * n, only).otherwise(
+        few + F.floor((F.lit(6 * (p.den - p.num)) * n - F.lit(3 * p.den) * few) / F.lit(2 * p.den)).cast("int") + 1)
 
     def key(k: int) -> Column:
         # 48 bits tell keys apart; a chance meeting ends at the filters. The zero bytes lie
         # next to a row's empty null flags, where the shuffle's compression removes them.
         return F.xxhash64(F.lit(k), "c0", *[F.get("c", at + j) for j in range(1, k)]).bitwiseAND(F.lit(-1 << 16))
 
-    first = F.when(n < large, prefix(2)).when(n > small, prefix(3)).otherwise(F.concat(prefix(2), prefix(3)))
-    pairs = (n < large) | ((n <= small) & (F.col("pos") < wide(2)))
+    first = (F.when(n < large, F.slice("c", F.lit(1), only)).when(n > small, F.slice("c", F.lit(1), mixed))
+             .otherwise(F.concat(F.slice("c", F.lit(1), only), F.slice("c", F.lit(1), mixed))))
     size = F.least(F.ceil(n / 4), F.lit(_ANY_SIZE)).cast("long")
     coded = (lines.select("id", token_codes(F.col("line"), rank, p).alias("c"))
-             .select("id", "c", F.size("c").alias("n"), _sketch(F.col("c")).alias("s")))
-    out = coded.select("id", "c", "n", "s", F.posexplode(first).alias("pos", "c0")).withColumn("two", pairs)
-    out = out.withColumn("at", F.when(F.col("two") | (n > small), F.col("pos")).otherwise(F.col("pos") - wide(2)))
+             .select("id", "c", F.size("c").alias("n"), F.size(F.filter("c", lambda x: x < limit)).alias("rare"),
+                     _sketch(F.col("c")).alias("s")))
+    out = coded.select("id", "c", "n", "rare", "s", F.posexplode(first).alias("pos", "c0"))
+    # Lines that have both kinds of prefix: the pairs of the second are among the first.
+    pairs = (n < large) | ((n <= small) & (F.col("pos") < only))
+    again = (n >= large) & (n <= small) & (F.col("pos") >= only) & (F.col("c0") < limit)
+    out = out.withColumn("two", pairs).where(~again)
+    out = out.withColumn("at", F.when(F.col("two") | (n > small), F.col("pos")).otherwise(F.col("pos") - only))
     place = F.when(n <= small, F.lit(_ANY_POS)).otherwise(F.least("pos", F.lit(_ANY_POS))).cast("long")
     tag = (F.call_function("shiftleft", size, F.lit(56)).bitwiseOR(F.call_function("shiftleft", place, F.lit(_BITS)))
            .bitwiseOR(F.col("s")))
-    return out.select(F.when(F.col("two"), key(2)).otherwise(key(3)).alias("key"), "id", tag.alias("tag"))
+    two = F.col("two") | (F.col("c0") < limit)
+    return out.select(F.when(two, key(2)).otherwise(key(3)).alias("key"), "id", tag.alias("tag"))
 
 
 def key_sizes(p: LineParams) -> tuple[int, int]:
     """Lines of up to `small` tokens have keys of two neighbours, those of `large`
-    or more of three; two similar lines have a kind in common. Three neighbours
-    are enough once fewer triples than a line has can be broken."""
+    or more of two or three, by the first one's rarity; two similar lines have a kind of
+    prefix in common. Three neighbours are enough once fewer triples than a line has
+    can be broken."""
     large = 3
     while large < 10_000 and not all(3 * (p.den - p.num) * n // p.den < n - 2 for n in range(large, large + 2 * p.den)):
         large += 1
@@ -205,14 +220,14 @@ def _within(x: str, y: str, i: Column, j: Column, p: LineParams) -> Column:
 _ORD = "struct(isnull(doc_id) as z, doc_id, th, no)"
 
 
-def _lists(lines: DataFrame, rank: Column, p: LineParams) -> DataFrame:
+def _lists(lines: DataFrame, rank: Column, rare: int, p: LineParams) -> DataFrame:
     """The index lists with two lines and more: `key`, `id`, `tag`, `c` (the list's
     length). A list of two is one row with its smallest id as `head` and `htag`, left
     out if the two cannot match; longer ones have a row for each line."""
     once = lines.where("not often").select("id", "line")
     more = lines.where("often").groupBy("a", "b").agg(F.first("id").alias("id"), F.first("line").alias("line"))
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    posts = _posts(once.unionByName(more.select("id", "line")), rank, p).repartition(parts, "key")
+    posts = _posts(once.unionByName(more.select("id", "line")), rank, rare, p).repartition(parts, "key")
     # One pass and one frame over each list in order of id: its head and its length.
     run = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lists = posts.select("key", "id", "tag", F.first("id").over(run).alias("head"), F.first("tag").over(run).alias("htag"),
@@ -247,12 +262,12 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
         raise ValueError("the prefix of pairs is exact for similarities above 2/3 only")
     prepare(docs.sparkSession)
     df = docs_of(docs)
-    rank = rarity_rank(df, p)
+    rank, rare = rarity_rank(df, p)
     lines = lines_of(df)
     repeated = cut_lineage(repeated_filter(lines, ["a", "b"], bits))
     lines = _with_id(marked(lines, repeated, ["a", "b"], bits, "often"), "often")
     release(docs.sparkSession)
-    lists = _lists(lines, rank, p)
+    lists = _lists(lines, rank, rare, p)
     release(docs.sparkSession)
     close = _close_pairs(lists, p)
     many = lists.where(f"c > {p.short}").select("key", "id", "tag", "c")
@@ -264,13 +279,15 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     texts = (marked(lines, near, ["id"], bits, "near").where("near")
              .select("id", "a", "b", "doc_id", "th", "no", "line", token_hashes(F.col("line")).alias("w")))
     texts = written(texts.select("id", "a", "b", "doc_id", "th", "no", "line", F.size("w").alias("n"),
-                                 *_wide_sketch(F.col("w"))), "line-texts")
+                                 *_wide_sketch(F.col("w"), hashed=True)), "line-texts")
     found = (texts.groupBy("id", "a", "b", "n", "s0", "s1").agg(F.expr(f"min({_ORD})").alias("ord"))
              .join(ids, "id", "left_semi"))
     found = written(found, "line-sketches")
     release(docs.sparkSession)
     # Longer lists: every line against the list's earliest ones before it.
-    placed = cut_lineage(many.join(found.select("id", "ord", F.struct("n", "s0", "s1").alias("w")), "id"))
+    members = cut_lineage(many.groupBy("id").agg(F.collect_list(F.struct("key", "tag", "c")).alias("posts"))
+                          .join(found.select("id", "ord", F.struct("n", "s0", "s1").alias("w")), "id"))
+    placed = _placed(members)
     early = Window.partitionBy("key").orderBy("ord", "id")
     pivot = cut_lineage(placed.withColumn("_k", F.row_number().over(early)).where(F.col("_k") <= p.pivots)
                         .select("key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo"),
@@ -282,21 +299,26 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
     done = _later(first, found, texts, p)
     del pivot, to_pivot, close
     release(docs.sparkSession)
-    # Lines that are still open meet the members of their lists that come before them.
-    # A list over `block` lines is dealt into blocks, each of which meets the open lines
-    # in a task of its own.
+    # Lines that are still open meet the members of their lists that come before them, each
+    # in the list of their smallest common key. A list over `block` lines is dealt into
+    # blocks, each of which meets the open lines in a task of its own.
     blocks = F.ceil(F.col("c") / F.lit(p.block)).cast("int")
-    open_ = placed.join(done.select("id").distinct(), "id", "left_anti").select(
-        "key", F.col("id").alias("x"), F.col("tag").alias("xt"), F.col("ord").alias("xo"),
+    keys = F.col("posts.key").alias("keys")
+    open_ = _placed(members.join(done.select("id").distinct(), "id", "left_anti"), keys).select(
+        "key", F.col("id").alias("x"), F.col("tag").alias("xt"), F.col("ord").alias("xo"), F.col("keys").alias("xk"),
         F.col("w").alias("xw"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("part"))
-    other = placed.select("key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo"),
-                          F.col("w").alias("yw"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("part"))
+    asked = cut_lineage(hash_filter(open_.select("key"), ["key"], bits))
+    other = marked(_placed(members, keys), asked, ["key"], bits, "asked").where("asked").select(
+        "key", F.col("id").alias("y"), F.col("tag").alias("yt"), F.col("ord").alias("yo"), F.col("keys").alias("yk"),
+        F.col("w").alias("yw"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("part"))
+    i, j = _position(F.col("xt")), _position(F.col("yt"))
     rest = open_.join(other.hint("shuffle_hash"), ["key", "part"]).where(
-        (F.col("yo") < F.col("xo")) & _within("xw", "yw", _position(F.col("xt")), _position(F.col("yt")), p))
-    rest = _pairs(rest, "x", "xt", "y", "yt").join(first.select("x", "y"), ["x", "y"], "left_anti")
+        (F.col("yo") < F.col("xo")) & _within("xw", "yw", i, j, p)
+        & (F.col("key") == F.array_min(F.array_intersect("xk", "yk"))))
+    rest = rest.select("x", "y", i.alias("i"), j.alias("j")).join(first.select("x", "y"), ["x", "y"], "left_anti")
     done = done.unionByName(_later(rest, found, texts, p))
     gone = cut_lineage(done.select("a", "b").distinct())
-    del rest, open_, other, done
+    del rest, open_, other, done, asked, placed, members
     release(docs.sparkSession)
     # Every occurrence of such a line goes, and of any other line all but the first.
     hit = cut_lineage(hash_filter(gone, ["a", "b"], bits))
@@ -312,6 +334,12 @@ def removed_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFra
             .select("doc_id", "th", "no").distinct())
 
 
+def _placed(members: DataFrame, *more: Column) -> DataFrame:
+    """The members of the longer lists: a row for each of their `posts`."""
+    return (members.select("id", "ord", "w", *more, F.explode("posts").alias("post"))
+            .select("*", "post.key", "post.tag", "post.c").drop("post"))
+
+
 def _pairs(rows: DataFrame, x: str, xt: str, y: str, yt: str) -> DataFrame:
     """Distinct pairs `x`, `y` with the positions `i`, `j` of one of their keys."""
     span = F.lit(_ANY_POS + 1)

@@ -107,3 +107,49 @@ def test_wild_and_empty(spark, wild, nothing):
     texts = {r["doc_id"]: r["text"] for r in out.collect()}
     assert texts[2] is None and texts[7] == "" and texts[1] == "The cat sat on the mat."
     assert line_dedup.line_decisions(nothing).count() == 0 and line_dedup.dedup_lines(nothing).count() == 0
+
+
+def test_rare_tokens_make_pairs(spark):
+    """A line whose rare tokens come first has floor(2 (1 - t) n) + 1 keys, not
+    floor(3 (1 - t) n) + 1. Whatever is rare, two similar lines share a key."""
+    from pyspark.sql import functions as F
+    rng, p = random.Random(4), line_dedup.LineParams(buckets=16)
+    rows = []
+    for k in range(400):
+        x = [f"w{rng.randrange(500)}" for _ in range(rng.choice((1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 20, 47)))]
+        y = list(x)
+        for _ in range(rng.randrange(1 + len(x) // 5)):
+            if rng.random() < 0.5:
+                y.remove(rng.choice(y))
+            else:
+                y.append(f"v{rng.randrange(500)}")
+        rows += [(2 * k, " ".join(x)), (2 * k + 1, " ".join(y))]
+    words = [set(line.split()) for _, line in rows]
+    alike = [k for k in range(400) if 10 * len(words[2 * k] & words[2 * k + 1]) >= 8 * len(words[2 * k] | words[2 * k + 1])]
+    assert len(alike) > 200
+    rank = F.array(*[F.lit(1 + k).cast("long") for k in range(16)])
+    lines = spark.createDataFrame(rows, "id long, line string")
+    for rare in (0, 3, 8, 16):                       # none, some, half, all of the buckets
+        keys = {}
+        for r in line_dedup._posts(lines, rank, rare, p).collect():
+            keys.setdefault(r["id"], []).append(r["key"])
+        assert all(set(keys[2 * k]) & set(keys[2 * k + 1]) for k in alike)
+        most = 2 if rare == 16 else 3
+        assert all(len(keys[i]) <= max(1, most * 2 * len(w) // 10 + 1) for i, w in enumerate(words) if len(w) > 6)
+
+
+def test_a_pair_of_long_lists_is_made_once(spark, monkeypatch):
+    """Lines that share many long lists meet in one of them only."""
+    made, later = [], line_dedup._later
+
+    def seen(pairs, found, texts, p):
+        made.append([(r["x"], r["y"]) for r in pairs.select("x", "y").collect()])
+        return later(pairs, found, texts, p)
+
+    monkeypatch.setattr(line_dedup, "_later", seen)
+    own = lambda i: [f"own{i}x{k}" for k in range(7)]  # noqa: E731  too many to be similar, few enough for the filters
+    rows = [(i, " ".join([f"h{k}" for k in range(45)] + own(i))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.line_decisions(df, line_dedup.LineParams(pivots=1, short=2)).collect()
+    assert {r["doc_id"]: r["removed"] for r in got} == brute(rows)
+    assert len(made) == 2 and len(made[1]) == len(set(made[1]))
