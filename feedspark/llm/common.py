@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, ensure_checkpoint_dir, scratch_path
+from .. import session
+from ..session import ensure_checkpoint_dir, scratch_path
 
 #: Bytes of one Arrow batch sent to a Python worker. Rows alone do not bound a
 #: batch: ten thousand texts of a megabyte each would be ten gigabytes.
@@ -160,12 +161,34 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def heap_share(spark: SparkSession) -> float:
+    """The share of the heap's limit that the driver has taken from the system."""
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    return heap.totalMemory() / heap.maxMemory()
+
+
+def settle(spark: SparkSession) -> None:
+    """`release` after a step that has grown the driver's heap beyond half its limit. The
+    plans of many small steps leave little behind that is in use, but the heap would grow
+    to its limit before it is collected, beside the memory that the driver has off the heap."""
+    if heap_share(spark) > 0.5:
+        release(spark)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The session's reliable checkpoint, with the driver's heap kept small."""
+    out = session.cut_lineage(df)
+    settle(df.sparkSession)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared checkpoint folder, read again. It is
     deleted when the application ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    settle(spark)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)
@@ -173,4 +196,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 __all__ = ["cut_lineage", "prepare", "table", "docs_of", "fold", "map_batches", "give_back", "chunks",
            "splitmix64", "attach_by_key", "hash_filter", "repeated_filter", "marked", "written", "release",
+           "heap_share", "settle",
            "ARROW_BATCH_BYTES", "CHUNK_CHARS", "SPACE_CLASS"]

@@ -15,3 +15,16 @@ def test_give_back_returns_pages_between_blocks_in_use():
     before = _own_mb()
     common.give_back()
     assert before - _own_mb() > 100 and len(kept) == 50
+
+
+def test_steps_collect_the_drivers_garbage_once_its_heap_is_half_grown(spark, monkeypatch):
+    assert 0 < common.heap_share(spark) <= 1
+    released, share = [], [0.4]
+    monkeypatch.setattr(common, "release", released.append)
+    monkeypatch.setattr(common, "heap_share", lambda _: share[0])
+    for step in (common.cut_lineage, lambda df: common.written(df, "step")):
+        share[0] = 0.4
+        assert step(spark.range(3)).count() == 3 and not released
+        share[0] = 0.6
+        assert step(spark.range(3)).count() == 3 and released == [spark]
+        released.clear()
