@@ -13,7 +13,13 @@ result is the components of the links. No link is lost.
    pair among the first floor(2 (1 - t) n) + 1 pairs of each. Such pairs are so
    selective that a list holds hardly any but near copies, and a shingle that
    very many documents share comes last and is no key at all.
-3. *Families*: classes connected by shared keys. Every link lies in a family.
+3. *Families*: classes connected by shared keys. A list is in order of set size, and cut
+   where the next size is out of reach: two linked sets have no such step between them.
+   The sets of a short run meet each other, and pairs whose counting sketches differ in
+   more than a link allows are no edge; in a longer run, whose sets are mostly near
+   copies, all have an edge to the first. Every link lies in a family, and sets that
+   share a key by chance do not join their families: the families of near copies would
+   else grow together as the corpus grows.
 4. Inside a family the sets are taken relative to a centre (the shingles that
    most members have): with D(x) the difference of x and the centre, the symmetric
    difference of x and y is |D(x)| + |D(y)| - 2 |D(x) & D(y)|, so answers follow
@@ -33,7 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (attach_by_key, chunks, cut_lineage, docs_of, hash_filter, map_batches, marked,
@@ -50,6 +56,8 @@ class JoinParams:
     num: int = 8                # similarity num / den
     den: int = 10
     buckets: int = 1 << 16      # counters of the rarity order
+    short: int = 32             # sets of a run of a list that all meet each other
+    sketch: int = 256           # counters of a set's sketch, a byte each
     block: int = 1024           # members of a family that meet in a task, times two
     filter_bits: int = 1 << 24  # of the broadcast filter of candidate ids (2 MB)
 
@@ -127,9 +135,15 @@ def index_keys(s: np.ndarray, rank: np.ndarray, p: JoinParams) -> np.ndarray:
         return ((first[:-1] * _M3) ^ (first[1:] * _M4 + (first[:-1] >> np.uint64(31)))).view(np.int64)
 
 
+def sketch(s: np.ndarray, p: JoinParams) -> bytes:
+    """How many shingles fall into each of `sketch` parts of the hashes, 255 at most. The
+    counts of two sets differ by no more in all than the sets do."""
+    return np.minimum(np.bincount((s % np.uint64(p.sketch)).astype(np.int64), minlength=p.sketch), 255).astype(np.uint8).tobytes()
+
+
 def _set_table(docs: DataFrame, rank: np.ndarray, p: JoinParams) -> DataFrame:
-    """Per row: `doc_id`, `n` (set size), `sig`, `th` (hash of the text), `keys`.
-    A set that its task has met already carries no keys."""
+    """Per row: `doc_id`, `n` (set size), `sig`, `th` (hash of the text), `keys`, `sk`.
+    A set that its task has met already carries no keys and no sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(rank)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,28 +151,71 @@ def _set_table(docs: DataFrame, rank: np.ndarray, p: JoinParams) -> DataFrame:
         for b in batches:
             texts = b.column("text").to_pylist()
             for lo, hi in chunks(texts):
-                n, sig, keys = [], [], []
+                n, sig, keys, sk = [], [], [], []
                 for t in texts[lo:hi]:
                     s = shingles(t, p.words, cache)
                     g = xxhash.xxh3_128_digest(s.tobytes())
                     n.append(len(s))
                     sig.append(g.hex())
-                    keys.append(index_keys(s, shared.value, p) if len(s) > 1 and g not in met
-                                else np.empty(0, np.int64))
+                    new = len(s) > 1 and g not in met
+                    keys.append(index_keys(s, shared.value, p) if new else np.empty(0, np.int64))
+                    sk.append(sketch(s, p) if new else None)
                     met.add(g)
                 ends = np.cumsum([0, *map(len, keys)])
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()),
                     pa.array(sig, pa.string()), b.column("th").slice(lo, hi - lo),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                             pa.array(np.concatenate(keys), pa.int64()))],
-                    ["doc_id", "n", "sig", "th", "keys"])
+                                             pa.array(np.concatenate(keys), pa.int64())),
+                    pa.array(sk, pa.binary())],
+                    ["doc_id", "n", "sig", "th", "keys", "sk"])
 
     rows = map_batches(docs.withColumn("th", F.xxhash64("text")), run,
-                       "doc_id long, n long, sig string, th long, keys array<long>")
+                       "doc_id long, n long, sig string, th long, keys array<long>, sk binary")
     return cut_lineage(rows.withColumn("uid", F.monotonically_increasing_id()))
 
 
+def _list_pairs(sets: DataFrame, p: JoinParams) -> DataFrame:
+    """Distinct pairs (`a`, `b`, uids) of rows that share a key and whose sizes are in
+    reach. `near`: the two are not known to be near copies, and it is the pair alone that
+    may link them; else `a` is the first of a run that is too long for all its pairs."""
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    post = sets.select("uid", "n", F.explode("keys").alias("key")).repartition(parts, "key")
+    out_of_reach = lambda less, more: F.coalesce(F.lit(p.den) * less < F.lit(p.num) * more, F.lit(True))
+    run = Window.partitionBy("key").orderBy("n", "uid")
+    post = post.select("key", "uid", "n", out_of_reach(F.lag("n").over(run), F.col("n")).alias("starts"),
+                       out_of_reach(F.col("n"), F.lead("n").over(run)).alias("ends")).where("not (starts and ends)")
+    post = post.withColumn("run", F.sum(F.col("starts").cast("int")).over(run))
+    run = Window.partitionBy("key", "run").orderBy("n", "uid")
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    post = post.select("uid", "n", F.count(F.lit(1)).over(whole).alias("c"), F.first("uid").over(whole).alias("head"),
+                       F.collect_list(F.struct("n", "uid")).over(run.rowsBetween(1 - p.short, -1)).alias("before"))
+    short = F.col("c") <= p.short
+    met = F.transform(F.filter("before", lambda x: ~out_of_reach(x["n"], F.col("n"))), lambda x: x["uid"])
+    pairs = post.select(F.explode(F.when(short, met).otherwise(F.array("head"))).alias("a"),
+                        F.col("uid").alias("b"), short.alias("near")).where("a != b")
+    return pairs.groupBy("a", "b").agg(F.min("near").alias("near"))
+
+
+def _edges(sets: DataFrame, p: JoinParams) -> DataFrame:
+    """The pairs (`a`, `b`) of `_list_pairs`, less those that their sketches tell apart."""
+    pairs = cut_lineage(_list_pairs(sets, p))
+    release(sets.sparkSession)
+    size = sets.where("sk is not null").select("uid", "n", "sk")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, p.sketch)
+                    for c in ("ak", "bk"))
+            apart = (np.maximum(x, y) - np.minimum(x, y)).sum(axis=1, dtype=np.int64)
+            both = b.column("an").to_numpy() + b.column("bn").to_numpy()
+            yield b.select(["a", "b"]).filter(pa.array((p.den + p.num) * apart <= (p.den - p.num) * both))
+
+    near = (pairs.where("near").join(size.toDF("a", "an", "ak"), "a").join(size.toDF("b", "bn", "bk"), "b"))
+    near = map_batches(near.select("a", "b", "an", "bn", "ak", "bk"), run, "a long, b long")
+    return cut_lineage(pairs.where("not near").select("a", "b").unionByName(near))
+
+
 def linked_members(sets: list[np.ndarray], num: int, den: int) -> list[int]:
     """Of each set the index of its component's first set, where two sets link
     when den * |both| >= num * |either|."""
@@ -259,15 +316,8 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
     classes = rows.groupBy("sig").agg(F.min("uid").alias("cls"), F.count(F.lit(1)).alias("copies"),
                                       F.min(order).alias("best"))
     classes = cut_lineage(classes)
-    # Keys that more than one row has; rows of one class count, and drop out below.
-    post = sets.select("uid", F.explode("keys").alias("key"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    post = post.repartition(parts, "key")
-    heads = post.groupBy("key").agg(F.min("uid").alias("head"), F.max("uid").alias("last")).where("head < last")
-    edges = (post.join(heads, "key").where("uid != head").select(F.col("uid").alias("a"), F.col("head").alias("b"))
-             .distinct())
-    edges = cut_lineage(edges)
-    del post, heads
+    # Pairs of rows; those of one class count, and drop out below.
+    edges = _edges(sets, p)
     release(df.sparkSession)
     # From rows to classes: the rows that have an edge, with their class.
     nodes = edges.select(F.col("a").alias("uid")).unionByName(edges.select(F.col("b").alias("uid"))).distinct()

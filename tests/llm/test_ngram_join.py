@@ -121,3 +121,38 @@ def test_similarities_whose_prefix_could_lose_links_are_refused(spark):
             ngram_join.ngram_components(df, ngram_join.JoinParams(words=1, num=num, den=den))
         with pytest.raises(ValueError, match="2/3"):
             line_dedup.line_decisions(df, line_dedup.LineParams(num=num, den=den))
+
+
+def test_chance_keys_join_no_families(spark, monkeypatch):
+    """Texts in a row of which each shares a passage with the next: they have keys in common
+    but do not link, so none of them is read again; the copies among them are."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    passages = [[word() for _ in range(40)] for _ in range(121)]
+    texts = [" ".join([*passages[i], *(word() for _ in range(60)), *passages[i + 1]]) for i in range(120)]
+    for i in (7, 50):                                  # near copies
+        texts.append(texts[i] + " end")
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    met, link = [], ngram_join._link_families
+
+    def linked(members, p):
+        met.append(members.count())
+        return link(members, p)
+    monkeypatch.setattr(ngram_join, "_link_families", linked)
+    for short in (32, 1):                              # 1: every run is a long one
+        p = ngram_join.JoinParams(buckets=1024, short=short)   # as full as the counters of a large corpus
+        got = ngram_join.ngram_components(df, p).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 5, 8, 10)
+    assert met[0] == 4 < 100 < met[1]
+
+
+def test_sizes_out_of_reach_join_no_families(spark):
+    """The rows of a list, by size: 10, 11 | 20, 21, 22 | 40."""
+    sizes = [21, 10, 40, 11, 22, 20]
+    rows = [(i, n, [7, 100 + i], b"\0" * 256) for i, n in enumerate(sizes)]
+    sets = spark.createDataFrame(rows, "uid long, n long, keys array<long>, sk binary")
+    pairs = lambda short: {(sizes[r["a"]], sizes[r["b"]], r["near"])
+                           for r in ngram_join._list_pairs(sets, ngram_join.JoinParams(short=short)).collect()}
+    assert pairs(32) == {(10, 11, True), (20, 21, True), (20, 22, True), (21, 22, True)}
+    assert pairs(2) == {(10, 11, True), (20, 21, False), (20, 22, False)}
