@@ -12,6 +12,7 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,9 +157,29 @@ def marked(rows: DataFrame, words: DataFrame, cols: list[str], bits: int, flag:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of plans that nothing refers to
     any more. It waits for a collection on the driver, which may come only when
-    the disks are full."""
+    the disks are full. What the driver's JVM has freed goes back to the system."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trim_driver(spark)
+
+
+def trim_driver(spark: SparkSession) -> bool:
+    """Have the driver's JVM return the memory that it has freed off its heap: compiler and
+    collector leave it with the C library, which keeps it beside what later steps take.
+    False where the JVM has no such command (Java 17.0.9 or later, glibc)."""
+    jvm, new_array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    find = jvm.java.lang.Class.forName
+    kinds, args = new_array(jvm.java.lang.Class, 4), new_array(jvm.java.lang.Object, 4)
+    for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        kinds[i] = find(kind)
+    args[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    args[1] = "systemTrimNativeHeap"
+    try:        # the server's class is not public, its interface's method is
+        find("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(
+            jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JJavaError:
+        return False
+    return True
 
 
 def heap_share(spark: SparkSession) -> float:
@@ -196,5 +217,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 __all__ = ["cut_lineage", "prepare", "table", "docs_of", "fold", "map_batches", "give_back", "chunks",
            "splitmix64", "attach_by_key", "hash_filter", "repeated_filter", "marked", "written", "release",
-           "heap_share", "settle",
+           "trim_driver", "heap_share", "settle",
            "ARROW_BATCH_BYTES", "CHUNK_CHARS", "SPACE_CLASS"]

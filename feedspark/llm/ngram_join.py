@@ -351,10 +351,12 @@ def ngram_components(docs: DataFrame, params: JoinParams = JoinParams()) -> Data
     del family, size, placed, wanted, near, texts, members
     release(df.sparkSession)
     # Answers of the classes, then of all their rows.
-    classes = classes.join(linked, F.col("cls") == F.col("node"), "left").select(
-        "sig", "copies", "best", F.coalesce("root", "cls").alias("comp"))
+    classes = cut_lineage(classes.join(linked, F.col("cls") == F.col("node"), "left").select(
+        "sig", "copies", "best", F.coalesce("root", "cls").alias("comp")))
     whole = classes.groupBy("comp").agg(F.min("best").alias("keep"), F.count(F.lit(1)).alias("_n"))
-    classes = attach_by_key(classes.select("sig", "copies", "comp"), whole, "comp", "_n", n_rows)
+    classes = cut_lineage(attach_by_key(classes.select("sig", "copies", "comp"), whole, "comp", "_n", n_rows))
+    del linked, whole
+    release(df.sparkSession)
     out = attach_by_key(rows, classes.select("sig", "copies", "keep"), "sig", "copies", n_rows).select(
         "doc_id", "th", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"), "uid",
         (F.col("uid") == F.col("keep.uid")).alias("first"))

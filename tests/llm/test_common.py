@@ -28,3 +28,15 @@ def test_steps_collect_the_drivers_garbage_once_its_heap_is_half_grown(spark, mo
         share[0] = 0.6
         assert step(spark.range(3)).count() == 3 and released == [spark]
         released.clear()
+
+
+def test_the_driver_gives_freed_memory_back(spark, monkeypatch):
+    """A release reaches the memory off the heap, too; without the JVM's command it goes on."""
+    from feedspark.llm import common
+    done, trim = [], common.trim_driver
+    monkeypatch.setattr(common, "trim_driver", lambda s: done.append(trim(s)))
+    common.release(spark)
+    assert done in ([True], [False])
+    vm = spark.sparkContext._jvm.java.lang.Runtime.version()
+    if spark.sparkContext._jvm.java.lang.System.getProperty("os.name") == "Linux" and vm.feature() >= 18:
+        assert done == [True]

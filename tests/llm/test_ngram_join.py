@@ -156,3 +156,11 @@ def test_sizes_out_of_reach_join_no_families(spark):
                            for r in ngram_join._list_pairs(sets, ngram_join.JoinParams(short=short)).collect()}
     assert pairs(32) == {(10, 11, True), (20, 21, True), (20, 22, True), (21, 22, True)}
     assert pairs(2) == {(10, 11, True), (20, 21, False), (20, 22, False)}
+
+
+def test_the_last_plan_is_short(spark):
+    """What is left for the caller to run is one join of rows and answers: the driver plans
+    a hundred exchanges at once no more."""
+    df = spark.createDataFrame([(k, f"a b c d e f {k // 2}") for k in range(8)], "doc_id long, text string")
+    plan = ngram_join.ngram_components(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 8, plan.count("Exchange")
